@@ -71,3 +71,79 @@ def sql(body: str, *needs: str) -> str:
     if not order:
         return body
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n][1]})" for n in order) + "\n" + body
+
+
+# ---- dates and age (D1-D6) on top of the module flags
+cte("dates", ["flags"], """
+SELECT *, make_date(CAST(birth_year AS INTEGER), CAST(substr(PAT_GEBDATUM, 4, 2) AS INTEGER),
+                    CAST(substr(PAT_GEBDATUM, 1, 2) AS INTEGER)) AS birth_date
+FROM (
+  SELECT *, CASE WHEN by2 > '20' THEN '19' WHEN entry_year < '2000' THEN '19'
+                 WHEN CAST(substr(entry_year, 3, 2) AS INTEGER) - CAST(by2 AS INTEGER) < 0 THEN '19'
+                 ELSE '20' END || by2 AS birth_year,
+    make_date(CAST(entry_year AS INTEGER), CAST(substr(DATUM, 4, 2) AS INTEGER),
+              CAST(substr(DATUM, 1, 2) AS INTEGER)) AS entry_date
+  FROM (
+    SELECT *, CASE WHEN yy < '21' THEN '20' ELSE '19' END || yy AS entry_year, substr(PAT_GEBDATUM, 7) AS by2
+    FROM (SELECT *, CASE substr(DATUM, 7) WHEN '50' THEN '05' WHEN '90' THEN '09' ELSE substr(DATUM, 7) END AS yy
+          FROM flags) a
+  ) b
+) c
+""")
+cte("aged", ["dates"],
+    "SELECT * EXCLUDE (yy, entry_year, by2, birth_year), "
+    "round(datediff('day', birth_date, entry_date) / 365.2425, 1) + 0.0 AS age FROM dates")
+
+_DIAG = "TYP IN ('*', 'D')"
+cte("icd", ["aged"], f"""
+SELECT * REPLACE (
+  CASE WHEN ICD10 LIKE '%-' THEN substr(ICD10, 1, length(ICD10) - 1)
+       WHEN {_DIAG} AND ICD10 IS NULL THEN
+         CASE WHEN is_E75_22 > 0 THEN 'E75.22' WHEN is_E78_01 > 0 THEN 'E78.01'
+              WHEN is_E78_3 > 0 THEN 'E78.3' WHEN is_E71_3 > 0 THEN 'E71.3'
+              ELSE nullif(regexp_extract(coalesce(TEXT, ''), '([A-Za-z][0-9]{{2}}\\.[0-9]+)[A-Za-z]', 1), '') END
+       WHEN {_DIAG} AND ICD10 = 'E75.2' AND is_E75_22 > 0 THEN 'E75.22'
+       ELSE ICD10 END AS ICD10)
+FROM aged
+""")
+cte("cert", ["icd"], f"""
+SELECT * REPLACE (
+  CASE WHEN {_DIAG} AND {has('TEXT', 'usschlu')} THEN 'A'
+       WHEN {_DIAG} AND {has('TEXT', 'V.a.')} THEN 'V'
+       WHEN {_DIAG} AND {has('TEXT', 'Z.a.')} THEN 'Z'
+       WHEN {_DIAG} AND ICD10 IS NOT NULL AND SICHERHEIT IS NULL THEN 'G'
+       WHEN SICHERHEIT IS NULL AND coalesce(strpos(TEXT, ICD10 || 'G') > 0, false) THEN 'G'
+       WHEN SICHERHEIT IS NULL AND coalesce(strpos(TEXT, ICD10 || 'A') > 0, false) THEN 'A'
+       WHEN SICHERHEIT IS NULL AND coalesce(strpos(TEXT, ICD10 || 'V') > 0, false) THEN 'V'
+       WHEN SICHERHEIT IS NULL AND coalesce(strpos(TEXT, ICD10 || 'Z') > 0, false) THEN 'Z'
+       ELSE SICHERHEIT END AS SICHERHEIT)
+FROM icd
+""")
+cte("dedup", ["cert"], """
+SELECT * FROM cert WHERE TYP IN ('A', 'Y')
+UNION ALL
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY PATIENT_HASH, ZENTRUM_ID, TYP, ICD10, SICHERHEIT
+                               ORDER BY entry_date, entry_id) AS rn
+  FROM cert WHERE TYP IN ('*', 'D')) d WHERE rn = 1
+""")
+cte("kept", ["dedup"],
+    "SELECT * FROM dedup WHERE NOT (" + has("TEXT", "AL:") + " OR " + has("TEXT", "|END") + ")")
+
+
+def _label_sql(src: str) -> str:
+    aggs, labels = [], []
+    for c in R.LABEL_CODES:
+        k = c.replace(".", "_")
+        aggs.append(f"bool_or(ICD10 = '{c}' AND SICHERHEIT = 'A') AS x_{k}, "
+                    f"bool_or(ICD10 = '{c}' AND TYP = '*' AND SICHERHEIT IN ('G', 'Z')) AS c_{k}, "
+                    f"bool_or(ICD10 = '{c}') AS s_{k}")
+        labels.append(f"CASE WHEN x_{k} THEN 'excluded' WHEN c_{k} THEN 'confirmed' "
+                      f"WHEN s_{k} THEN 'suspicious' END AS diagnosis_{k}")
+    return (f"SELECT t.*, {', '.join(labels)} FROM {src} t LEFT JOIN "
+            f"(SELECT PATIENT_HASH, {', '.join(aggs)} FROM {src} GROUP BY PATIENT_HASH) l USING (PATIENT_HASH)")
+
+
+PRE_WORK = "PAT_GEBDATUM, TYP_EXT, is_E75_22, is_E78_01, is_E78_3, is_E71_3, is_disease, birth_date"
+cte("pre_full", ["kept"], _label_sql("kept"))
+cte("pre", ["pre_full"], f"SELECT * EXCLUDE ({PRE_WORK}) FROM pre_full")

@@ -172,3 +172,115 @@ def q_non_cohort(spark, sf_dir):
     ids = FL.cases(fl).unionByName(C.sample_controls(fl, seed=SEED).select(PATIENT))
     rest = C.drop_patients(fl, ids)
     return rest.groupBy(SITE).agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(PATIENT).alias("n_patients"))
+
+
+# ---------------------------------------------------------------- step 3: dates, diagnosis rules
+
+from casebook.operators import dates as DT  # noqa: E402
+from casebook.operators import diagnosis as DG  # noqa: E402
+
+
+def aged(spark, sf_dir):
+    return DT.add_age(flagged(spark, sf_dir))
+
+
+def repaired(spark, sf_dir):
+    return DG.repair_certainty(DG.repair_icd(aged(spark, sf_dir)))
+
+
+def pre(spark, sf_dir, keep_flags=False):
+    return DG.preprocess(J(spark, sf_dir), keep_flags=keep_flags)
+
+
+@query("entry_date", O.sql("SELECT entry_id, entry_date FROM dates", "dates"))
+def q_entry_date(spark, sf_dir):
+    return DT.add_entry_date(J(spark, sf_dir)).select("entry_id", "entry_date")
+
+
+@query("birth_date", O.sql("SELECT entry_id, birth_date FROM dates", "dates"))
+def q_birth_date(spark, sf_dir):
+    return DT.add_birth_date(DT.add_entry_date(J(spark, sf_dir))).select("entry_id", "birth_date")
+
+
+@query("age_years", O.sql("SELECT entry_id, age FROM aged", "aged"))
+def q_age(spark, sf_dir):
+    return aged(spark, sf_dir).select("entry_id", "age")
+
+
+@query("mean_age", O.sql(
+    "SELECT PATIENT_HASH, round(avg(age), 6) AS mean_age FROM pre GROUP BY PATIENT_HASH", "pre"))
+def q_mean_age(spark, sf_dir):
+    from casebook.operators import features as FT
+    return FT.mean_age(pre(spark, sf_dir))
+
+
+@query("repair_icd", O.sql("SELECT entry_id, TYP, ICD10 FROM icd", "icd"))
+def q_repair_icd(spark, sf_dir):
+    return DG.repair_icd(aged(spark, sf_dir)).select("entry_id", "TYP", "ICD10")
+
+
+@query("repair_certainty", O.sql("SELECT entry_id, ICD10, SICHERHEIT FROM cert", "cert"))
+def q_repair_cert(spark, sf_dir):
+    return repaired(spark, sf_dir).select("entry_id", "ICD10", "SICHERHEIT")
+
+
+def _impute_sql(src: str) -> str:
+    chain = " ".join(f"WHEN {O.has_all('TEXT', frags)} THEN '{code}'" for frags, code in R.COMORBIDITY_RULES)
+    return (f"SELECT * REPLACE (CASE WHEN TYP IN ('*', 'D') AND ICD10 IS NULL THEN CASE {chain} ELSE ICD10 END "
+            f"ELSE ICD10 END AS ICD10) FROM {src}")
+
+
+O.cte("pre_imputed", ["pre"], _impute_sql("pre"))
+
+
+@query("impute_comorbidity", O.sql("SELECT entry_id, TYP, ICD10 FROM pre_imputed", "pre_imputed"))
+def q_impute(spark, sf_dir):
+    return DG.impute_comorbidity_icd(pre(spark, sf_dir)).select("entry_id", "TYP", "ICD10")
+
+
+@query("dedup_diagnoses", O.sql("SELECT entry_id, TYP, ICD10, SICHERHEIT, entry_date FROM dedup", "dedup"))
+def q_dedup(spark, sf_dir):
+    return DG.dedup_diagnoses(repaired(spark, sf_dir)).select("entry_id", "TYP", "ICD10", "SICHERHEIT",
+                                                              "entry_date")
+
+
+@query("drop_reimbursement", O.sql(
+    "SELECT entry_id, TYP FROM journal WHERE NOT (" + O.has("TEXT", "AL:") + " OR " + O.has("TEXT", "|END") + ")",
+    "journal"))
+def q_drop_reimb(spark, sf_dir):
+    return DG.drop_reimbursement(J(spark, sf_dir)).select("entry_id", "TYP")
+
+
+_LABEL_COLS = [f"diagnosis_{c.replace('.', '_')}" for c in R.LABEL_CODES]
+
+
+@query("diagnosis_labels", O.sql(f"SELECT DISTINCT PATIENT_HASH, {', '.join(_LABEL_COLS)} FROM pre", "pre"))
+def q_labels(spark, sf_dir):
+    return pre(spark, sf_dir).select(PATIENT, *_LABEL_COLS).distinct()
+
+
+@query("mark_excluded", O.sql(
+    "SELECT entry_id, CASE WHEN " + O.has("TEXT", "usschl") + " THEN 'A' ELSE SICHERHEIT END AS SICHERHEIT "
+    "FROM journal WHERE TEXT IS NOT NULL", "journal"))
+def q_mark_excluded(spark, sf_dir):
+    return DG.mark_excluded(J(spark, sf_dir).dropna(subset=["TEXT"])).select("entry_id", "SICHERHEIT")
+
+
+_STATUS_SQL = O.sql(
+    "SELECT entry_id, ICD10, CASE WHEN SICHERHEIT IN ('G', 'Z') AND ICD10 = 'E78.01' AND TYP = '*' THEN 1 ELSE 0 END "
+    "AS Status FROM (SELECT * REPLACE (CASE WHEN " + O.has_any("TEXT", R.E78_SPELLINGS)
+    + " THEN 'E78.01' ELSE ICD10 END AS ICD10) FROM cert) s", "cert")
+
+
+@query("status_label", _STATUS_SQL)
+def q_status(spark, sf_dir):
+    return DG.label_status(repaired(spark, sf_dir)).select("entry_id", "ICD10", "Status")
+
+
+_PRE_COLS = ["entry_id", "PATIENT_HASH", "ZENTRUM_ID", "PATIENT_ID", "PAT_GESCHLECHT", "DATUM", "TYP", "TEXT",
+             "ICD10", "SICHERHEIT", "entry_date", "age", *_LABEL_COLS]
+
+
+@query("preprocess", O.sql(f"SELECT {', '.join(_PRE_COLS)} FROM pre", "pre"))
+def q_preprocess(spark, sf_dir):
+    return pre(spark, sf_dir).select(*_PRE_COLS)
