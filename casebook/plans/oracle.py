@@ -147,3 +147,69 @@ def _label_sql(src: str) -> str:
 PRE_WORK = "PAT_GEBDATUM, TYP_EXT, is_E75_22, is_E78_01, is_E78_3, is_E71_3, is_disease, birth_date"
 cte("pre_full", ["kept"], _label_sql("kept"))
 cte("pre", ["pre_full"], f"SELECT * EXCLUDE ({PRE_WORK}) FROM pre_full")
+
+
+# ---- labs
+def inference_sql(result: str) -> str:
+    h = f"split_part({result}, '(', 1)"
+    chain = " ".join(
+        f"WHEN strpos({'lower(' + h + ')' if blind else h}, {q(frag)}) > 0 THEN {q(label)}"
+        for frag, label, blind in R.INFERENCE_RULES)
+    return f"CASE WHEN {result} IS NULL THEN NULL ELSE CASE {chain} ELSE {q(R.INFERENCE_DEFAULT)} END END"
+
+
+def pieces_sql(src: str) -> str:
+    return (f"SELECT *, regexp_replace(piece, '^\\s+', '') AS test_text FROM ("
+            f"SELECT *, unnest(string_split(TEXT, ';')) AS piece, "
+            f"unnest(range(0, len(string_split(TEXT, ';')))) AS pos FROM {src}) p0")
+
+
+def eq_sql(src: str) -> str:
+    return (f"SELECT * EXCLUDE (piece), split_part(test_text, '=', 1) AS Lab_test, "
+            f"substr(test_text, strpos(test_text, '=') + 1) AS Result, 'eq' AS fmt FROM ({pieces_sql(src)}) p1 "
+            f"WHERE regexp_matches(test_text, '[a-zA-Z0-9\\s]+=[a-zA-Z0-9\\s]+')")
+
+
+def range_sql(src: str) -> str:
+    return (f"SELECT * EXCLUDE (piece, ws), substr(test_text, 1, ws - 1) AS Lab_test, substr(test_text, ws + 1) "
+            f"AS Result, 'range' AS fmt FROM (SELECT *, strpos(regexp_replace(test_text, '\\s', chr(1)), chr(1)) AS ws "
+            f"FROM ({pieces_sql(src)}) p1 WHERE regexp_matches(test_text, '\\([.0-9\\s]+-[.0-9\\s]+\\)')) p2 WHERE ws > 0")
+
+
+def with_inference(src: str) -> str:
+    return f"SELECT *, {inference_sql('Result')} AS Inference FROM ({src}) li"
+
+
+cte("labsrc", ["journal"], "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY entry_id) AS rn "
+                           "FROM journal WHERE TYP = 'Y' AND TEXT IS NOT NULL) d WHERE rn = 1")
+cte("labs_eq", ["labsrc"], with_inference(eq_sql("labsrc")))
+cte("labsrc_all", ["journal"], "SELECT * FROM journal WHERE TYP = 'Y' AND TEXT IS NOT NULL")
+cte("labs_both", ["labsrc_all"], with_inference(eq_sql("labsrc_all") + " UNION ALL " + range_sql("labsrc_all")))
+cte("labs_common", ["labs_eq"], "SELECT * FROM labs_eq WHERE Lab_test IN "
+                                "(SELECT Lab_test FROM labs_eq GROUP BY Lab_test HAVING count(*) >= 2)")
+MAP_KEYS_SQL = "PATIENT_HASH, ZENTRUM_ID, PATIENT_ID, PAT_GESCHLECHT, DATUM, TYP, TEXT"
+cte("labs_last", ["labs_common"], f"""
+SELECT {MAP_KEYS_SQL}, Lab_test, arg_max(Inference, entry_id || ':' || lpad(CAST(pos AS VARCHAR), 10, '0')) AS Inference,
+       arg_max(Result, entry_id || ':' || lpad(CAST(pos AS VARCHAR), 10, '0')) AS Result
+FROM labs_common WHERE PATIENT_HASH IS NOT NULL AND ZENTRUM_ID IS NOT NULL AND PATIENT_ID IS NOT NULL
+  AND PAT_GESCHLECHT IS NOT NULL AND DATUM IS NOT NULL AND TYP IS NOT NULL AND TEXT IS NOT NULL
+GROUP BY ALL
+""")
+cte("labs_wide", ["labs_last"],
+    "SELECT PATIENT_HASH, ZENTRUM_ID, DATUM, TYP, TEXT, "
+    + ", ".join(f"max(CASE WHEN Lab_test = {q(t)} THEN Inference END) AS {t}" for t in R.E75_TESTS)
+    + f" FROM labs_last GROUP BY {MAP_KEYS_SQL}")
+cte("labs_joined", ["labs_wide"], "SELECT j.*, " + ", ".join(f"w.{t}" for t in R.E75_TESTS)
+    + " FROM journal j LEFT JOIN labs_wide w USING (PATIENT_HASH, ZENTRUM_ID, DATUM, TYP, TEXT)")
+
+
+def majority_sql(src: str, tests) -> str:
+    cols = []
+    for t in tests:
+        cnts = [f"count_if({t} = {q(c)})" for c in R.MAJORITY_CATEGORIES]
+        # first maximum in category order
+        best = "CASE " + " ".join(
+            f"WHEN {cnts[i]} >= greatest({', '.join(cnts)}) THEN {q(c)}" for i, c in enumerate(R.MAJORITY_CATEGORIES)
+        ) + " END"
+        cols.append(f"CASE WHEN count({t}) = 0 THEN {q(R.NO_TEST)} ELSE {best} END AS {t}")
+    return f"SELECT PATIENT_HASH, {', '.join(cols)} FROM {src} WHERE TYP = 'Y' GROUP BY PATIENT_HASH"

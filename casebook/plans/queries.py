@@ -17,6 +17,7 @@ from casebook.operators import cohort as C
 from casebook.operators import flags as FL
 from casebook.plans import oracle as O
 from casebook.schema import FLAG_COLUMNS, PATIENT, SITE
+from casebook.session import apply_plan_settings, stage
 from casebook.sources import journal as IO
 from casebook.sources.fixtures import journal_view
 
@@ -33,6 +34,7 @@ def query(name: str, sql: str | None = None):
 
 
 def J(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_plan_settings(spark)
     return journal_view(spark, sf_dir)
 
 
@@ -284,3 +286,159 @@ _PRE_COLS = ["entry_id", "PATIENT_HASH", "ZENTRUM_ID", "PATIENT_ID", "PAT_GESCHL
 @query("preprocess", O.sql(f"SELECT {', '.join(_PRE_COLS)} FROM pre", "pre"))
 def q_preprocess(spark, sf_dir):
     return pre(spark, sf_dir).select(*_PRE_COLS)
+
+
+# ---------------------------------------------------------------- step 4: labs
+
+from casebook.operators import labs as LB  # noqa: E402
+
+_LONG = ["entry_id", "pos", "test_text", "Lab_test", "Result", "Inference"]
+
+
+def labs_eq(spark, sf_dir):
+    return LB.explode_labs(J(spark, sf_dir), ("eq",))
+
+
+@query("labs_long", O.sql(f"SELECT {', '.join(_LONG)} FROM labs_eq", "labs_eq"))
+def q_labs_long(spark, sf_dir):
+    return labs_eq(spark, sf_dir).select(*_LONG)
+
+
+@query("labs_range_format", O.sql(f"SELECT fmt, {', '.join(_LONG)} FROM labs_both", "labs_both"))
+def q_labs_range(spark, sf_dir):
+    return LB.explode_labs(J(spark, sf_dir), ("eq", "range"), dedup=False).select("fmt", *_LONG)
+
+
+@query("infer_result", O.sql(
+    "SELECT fmt, Inference, count(*) AS n FROM labs_both GROUP BY fmt, Inference", "labs_both"))
+def q_infer(spark, sf_dir):
+    labs = LB.explode_labs(J(spark, sf_dir), ("eq", "range"), dedup=False)
+    return labs.groupBy("fmt", "Inference").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("rare_test_filter", O.sql("SELECT entry_id, pos, Lab_test FROM labs_common", "labs_common"))
+def q_rare(spark, sf_dir):
+    return LB.filter_rare_tests(labs_eq(spark, sf_dir)).select("entry_id", "pos", "Lab_test")
+
+
+_MAP_SQL = O.sql(
+    f"SELECT {O.MAP_KEYS_SQL}, string_agg(Lab_test || ':' || Inference, ';' ORDER BY Lab_test || ':' || Inference) "
+    "AS inference_text, string_agg(Lab_test || ':' || Result, ';' ORDER BY Lab_test || ':' || Result) AS result_text "
+    f"FROM labs_last GROUP BY {O.MAP_KEYS_SQL}", "labs_last")
+
+
+@query("labs_map", _MAP_SQL)
+def q_labs_map(spark, sf_dir):
+    m = LB.lab_map(LB.filter_rare_tests(labs_eq(spark, sf_dir)))
+    return m.select(*LB.MAP_KEYS, LB.map_text("inference").alias("inference_text"),
+                    LB.map_text("result").alias("result_text"))
+
+
+def labs_wide(spark, sf_dir):
+    return LB.interpret_tests(J(spark, sf_dir), R.E75_TESTS)
+
+
+@query("labs_wide", O.sql("SELECT * FROM labs_wide", "labs_wide"))
+def q_labs_wide(spark, sf_dir):
+    return labs_wide(spark, sf_dir)
+
+
+def labs_joined(spark, sf_dir):
+    return LB.join_labs(J(spark, sf_dir), labs_wide(spark, sf_dir))
+
+
+@query("labs_joined", O.sql(f"SELECT entry_id, {', '.join(R.E75_TESTS)} FROM labs_joined", "labs_joined"))
+def q_labs_joined(spark, sf_dir):
+    return labs_joined(spark, sf_dir).select("entry_id", *R.E75_TESTS)
+
+
+@query("lab_majority", O.sql(O.majority_sql("labs_joined", R.E75_TESTS), "labs_joined"))
+def q_majority(spark, sf_dir):
+    return LB.lab_majority(labs_joined(spark, sf_dir), R.E75_TESTS)
+
+
+def _disc_sql(src: str) -> str:
+    cats7 = R.MAJORITY7_CATEGORIES
+    cnt = [f"count_if(Inference = {O.q(c)})" for c in cats7]
+    major = "CASE " + " ".join(f"WHEN {cnt[i]} >= greatest({', '.join(cnt)}) THEN {O.q(c)}"
+                               for i, c in enumerate(cats7)) + " END"
+    d4 = R.DOMINANT_CATEGORIES
+    cols4 = ", ".join(f"count_if(major = {O.q(c)}) AS \"{c}\"" for c in d4)
+    n = " + ".join(f"\"{c}\"" for c in d4)
+    mx = f"greatest({', '.join(chr(34) + c + chr(34) for c in d4)})"
+    dom = "CASE " + " ".join(f"WHEN \"{c}\" = {mx} THEN {O.q(c)}" for c in d4) + " END"
+    return (f"SELECT *, round({mx} / n, 6) AS share, {dom} AS Dominant FROM ("
+            f"SELECT *, {n} AS n FROM (SELECT Lab_test, {cols4} FROM ("
+            f"SELECT PATIENT_HASH, Lab_test, {major} AS major FROM {src} WHERE Inference <> 'Normal' "
+            f"GROUP BY PATIENT_HASH, Lab_test) m GROUP BY Lab_test) a) b")
+
+
+O.cte("certain_e75", ["pre"], "SELECT * FROM pre WHERE PATIENT_HASH IN "
+                              "(SELECT PATIENT_HASH FROM pre WHERE SICHERHEIT = 'G' AND ICD10 = 'E75.22')")
+O.cte("certain_src", ["certain_e75"], "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER "
+                                      "(PARTITION BY entry_id) AS rn FROM certain_e75 WHERE TYP = 'Y' AND TEXT IS NOT NULL) d "
+                                      "WHERE rn = 1")
+O.cte("certain_eq", ["certain_src"], O.with_inference(O.eq_sql("certain_src")))
+O.cte("certain_labs", ["certain_eq"],
+      "SELECT * FROM certain_eq WHERE (ZENTRUM_ID, Lab_test) IN "
+      "(SELECT (ZENTRUM_ID, Lab_test) FROM certain_eq GROUP BY ZENTRUM_ID, Lab_test HAVING count(*) >= 2)")
+O.cte("disc", ["certain_labs"], _disc_sql("certain_labs"))
+
+
+def pre_stage(spark, sf_dir, keep_flags=False):
+    """The preprocessed journal as a materialised stage (composite queries reuse it twice)."""
+    return stage(pre(spark, sf_dir, keep_flags))
+
+
+def certain_labs(spark, sf_dir):
+    p = pre_stage(spark, sf_dir)
+    ids = C.diagnosed_cases(p, "E75.22", source="certain")
+    return LB.filter_rare_tests(LB.explode_labs(C.keep_patients(p, ids), ("eq",)), by=[SITE])
+
+
+_DISC_COLS = ["Lab_test", *R.DOMINANT_CATEGORIES, "n", "share", "Dominant"]
+
+
+@query("discriminative_tests", O.sql(
+    "SELECT " + ", ".join(f'"{c}"' for c in _DISC_COLS) + " FROM disc WHERE n > 5 AND share > 0.6", "disc"))
+def q_disc(spark, sf_dir):
+    return LB.discriminative_tests(certain_labs(spark, sf_dir)).select(*_DISC_COLS)
+
+
+@query("relevant_test_score", O.sql(
+    "SELECT PATIENT_HASH, count(*) AS relevant_tests FROM certain_labs l JOIN "
+    "(SELECT Lab_test, Dominant FROM disc WHERE n > 5 AND share > 0.6) d USING (Lab_test) "
+    "WHERE l.Inference = d.Dominant GROUP BY PATIENT_HASH", "certain_labs", "disc"))
+def q_relevant(spark, sf_dir):
+    labs = certain_labs(spark, sf_dir)
+    return LB.relevant_test_score(labs, LB.discriminative_tests(labs))
+
+
+O.cte("e78_entries", ["cert"], "SELECT * FROM cert WHERE TEXT IS NOT NULL")
+O.cte("top20", ["labs_both", "e78_entries"],
+      "SELECT Lab_test, count(*) AS count FROM labs_both WHERE Inference <> 'Normal' AND PATIENT_HASH IN "
+      "(SELECT PATIENT_HASH FROM e78_entries GROUP BY PATIENT_HASH HAVING bool_or("
+      + O.has("TEXT", R.E78_PHRASE) + ")) GROUP BY Lab_test ORDER BY count DESC, Lab_test LIMIT 20")
+
+
+@query("top_abnormal_tests", O.sql("SELECT Lab_test, count FROM top20", "top20"))
+def q_top20(spark, sf_dir):
+    labs = LB.explode_labs(J(spark, sf_dir), ("eq", "range"), dedup=False)
+    entries = repaired(spark, sf_dir).filter(F.col("TEXT").isNotNull())
+    return LB.top_abnormal_tests(labs, entries, R.E78_PHRASE, 20)
+
+
+def _ordinal_sql(c: str) -> str:
+    return "CASE " + " ".join(f"WHEN {c} = {O.q(k)} THEN {v}" for k, v in R.INFERENCE_ORDINAL.items()) + " END"
+
+
+@query("lab_ordinal_pivot", O.sql(
+    "SELECT PATIENT_HASH, DATUM, " + ", ".join(
+        f"avg(CASE WHEN Lab_test = {O.q(t)} THEN {_ordinal_sql('Inference')} END) AS {t}" for t in R.E78_TESTS)
+    + " FROM labs_both WHERE Lab_test IN (SELECT Lab_test FROM top20) AND Lab_test IN ("
+    + ", ".join(O.q(t) for t in R.E78_TESTS) + ") GROUP BY PATIENT_HASH, DATUM", "top20", "labs_both"))
+def q_lab_pivot(spark, sf_dir):
+    labs = LB.explode_labs(J(spark, sf_dir), ("eq", "range"), dedup=False)
+    entries = repaired(spark, sf_dir).filter(F.col("TEXT").isNotNull())
+    top = LB.top_abnormal_tests(labs, entries, R.E78_PHRASE, 20).select("Lab_test")
+    return LB.lab_pivot(labs.join(top, "Lab_test", "left_semi"), R.E78_TESTS)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8",
@@ -25,11 +25,17 @@ _LOCAL_DEFAULTS = {
     "spark.driver.memory": "16g",
 }
 
+# SQL settings the plans rely on; applied to any session (runtime-settable). Constraint
+# propagation enumerates implied predicates over every alias: with the long rule CASE chains it
+# grows combinatorially at planning time while gaining nothing (no equality-rich joins here).
+PLAN_SETTINGS = {"spark.sql.constraintPropagation.enabled": "false"}
+
 
 def get_session(master: str | None = None, app: str = "casebook", **conf: str) -> SparkSession:
     """Return the active session, or build a local one with sane small-scale defaults."""
     active = SparkSession.getActiveSession()
     if active is not None:
+        apply_plan_settings(active)
         return active
     builder = SparkSession.builder.appName(app)
     builder = builder.master(master or os.environ.get("CASEBOOK_MASTER", "local[8]"))
@@ -37,10 +43,26 @@ def get_session(master: str | None = None, app: str = "casebook", **conf: str) -
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    apply_plan_settings(spark)
     checkpoint_dir(spark)
     return spark
 
 
+def apply_plan_settings(spark: SparkSession) -> None:
+    for key, value in PLAN_SETTINGS.items():
+        spark.conf.set(key, value)
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Materialise a pipeline stage (the reference writes one file per stage): a reliable
+    checkpoint into the shared ``spark.checkpoint.dir`` — survives executor loss, cuts lineage and
+    keeps later plans small."""
+    spark = df.sparkSession
+    apply_plan_settings(spark)
+    checkpoint_dir(spark)
+    return df.checkpoint(eager=True)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder: ``spark.checkpoint.dir`` if the cluster names one, else a
     new scratch folder (local runs and tests only)."""
