@@ -213,3 +213,52 @@ def majority_sql(src: str, tests) -> str:
         ) + " END"
         cols.append(f"CASE WHEN count({t}) = 0 THEN {q(R.NO_TEST)} ELSE {best} END AS {t}")
     return f"SELECT PATIENT_HASH, {', '.join(cols)} FROM {src} WHERE TYP = 'Y' GROUP BY PATIENT_HASH"
+
+
+def lab_chain(prefix: str, src: str, dep: str, tests) -> None:
+    """Register the interpret-tests chain over ``src``: {prefix}_src, _eq, _common, _last, _wide, _joined."""
+    cte(f"{prefix}_src", [dep], "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY entry_id) "
+                                f"AS rn FROM {src} WHERE TYP = 'Y' AND TEXT IS NOT NULL) d WHERE rn = 1")
+    cte(f"{prefix}_eq", [f"{prefix}_src"], with_inference(eq_sql(f"{prefix}_src")))
+    cte(f"{prefix}_common", [f"{prefix}_eq"], f"SELECT * FROM {prefix}_eq WHERE Lab_test IN "
+                                              f"(SELECT Lab_test FROM {prefix}_eq GROUP BY Lab_test HAVING count(*) >= 2)")
+    order = "entry_id || ':' || lpad(CAST(pos AS VARCHAR), 10, '0')"
+    cte(f"{prefix}_last", [f"{prefix}_common"],
+        f"SELECT {MAP_KEYS_SQL}, Lab_test, arg_max(Inference, {order}) AS Inference FROM {prefix}_common "
+        "WHERE " + " AND ".join(f"{k.strip()} IS NOT NULL" for k in MAP_KEYS_SQL.split(",")) + " GROUP BY ALL")
+    cte(f"{prefix}_wide", [f"{prefix}_last"],
+        "SELECT PATIENT_HASH, ZENTRUM_ID, DATUM, TYP, TEXT, "
+        + ", ".join(f"max(CASE WHEN Lab_test = {q(t)} THEN Inference END) AS {t}" for t in tests)
+        + f" FROM {prefix}_last GROUP BY {MAP_KEYS_SQL}")
+    cte(f"{prefix}_joined", [f"{prefix}_wide", dep], "SELECT j.*, " + ", ".join(f"w.{t}" for t in tests)
+        + f" FROM {src} j LEFT JOIN {prefix}_wide w USING (PATIENT_HASH, ZENTRUM_ID, DATUM, TYP, TEXT)")
+
+
+def one_hot_sql(src: str, tests, categories) -> str:
+    cols = [f"CASE WHEN {t} = {q(c)} THEN 1 ELSE 0 END AS {t}_{c.replace(' ', '_')}" for t in tests for c in categories]
+    return f"SELECT PATIENT_HASH, {', '.join(cols)} FROM {src}"
+
+
+def impute_sql(src: str) -> str:
+    chain = " ".join(f"WHEN {has_all('TEXT', frags)} THEN '{code}'" for frags, code in R.COMORBIDITY_RULES)
+    return (f"SELECT * REPLACE (CASE WHEN TYP IN ('*', 'D') AND ICD10 IS NULL THEN CASE {chain} ELSE ICD10 END "
+            f"ELSE ICD10 END AS ICD10) FROM {src}")
+
+
+def comorbidity_sql(src: str) -> str:
+    cols = ", ".join(f"max(CASE WHEN ICD10 = {q(c)} THEN 1 ELSE 0 END) AS {c.replace('.', '_')}"
+                     for c in R.COMORBIDITY_CODES)
+    return f"SELECT PATIENT_HASH, {cols} FROM {src} GROUP BY PATIENT_HASH"
+
+
+def symptoms_sql(src: str) -> str:
+    cols = ", ".join(f"count_if({has_any('TEXT', g)} AND PATIENT_ID IS NOT NULL) AS \"{g[0]}\""
+                     for g in R.SYMPTOM_GROUPS)
+    return f"SELECT PATIENT_HASH, {cols} FROM {src} GROUP BY PATIENT_HASH"
+
+
+def bootstrap_sql(src: str, cases: str, k: int, seed: int) -> str:
+    pool = f"SELECT DISTINCT PATIENT_HASH FROM {src} WHERE PATIENT_HASH NOT IN (SELECT PATIENT_HASH FROM {cases})"
+    return (f"SELECT PATIENT_HASH FROM (SELECT PATIENT_HASH, row_number() OVER (ORDER BY md5(PATIENT_HASH)) AS idx "
+            f"FROM ({pool}) p) ix WHERE idx IN (SELECT (CAST('0x' || substr(md5('{seed}:' || CAST(range AS VARCHAR)), "
+            f"1, 12) AS BIGINT) % (SELECT count(*) FROM ({pool}) c)) + 1 FROM range({k}))")

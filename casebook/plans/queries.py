@@ -442,3 +442,141 @@ def q_lab_pivot(spark, sf_dir):
     entries = repaired(spark, sf_dir).filter(F.col("TEXT").isNotNull())
     top = LB.top_abnormal_tests(labs, entries, R.E78_PHRASE, 20).select("Lab_test")
     return LB.lab_pivot(labs.join(top, "Lab_test", "left_semi"), R.E78_TESTS)
+
+
+# ---------------------------------------------------------------- step 5: patient features, datasets
+
+from casebook.operators import features as FT  # noqa: E402
+from casebook.plans import datasets as DS  # noqa: E402
+
+_COMO_COLS = [FT.safe_name(c) for c in R.COMORBIDITY_CODES]
+_SYMP_COLS = [g[0] for g in R.SYMPTOM_GROUPS]
+
+
+def _r6(c):
+    return F.round(F.col(c), 6).alias(c)
+
+
+@query("comorbidity", O.sql(O.comorbidity_sql("pre_imputed"), "pre_imputed"))
+def q_comorbidity(spark, sf_dir):
+    return FT.comorbidity(DG.impute_comorbidity_icd(pre(spark, sf_dir)), R.COMORBIDITY_CODES)
+
+
+@query("symptoms", O.sql(O.symptoms_sql("pre"), "pre"))
+def q_symptoms(spark, sf_dir):
+    return FT.symptoms(pre(spark, sf_dir), R.SYMPTOM_GROUPS)
+
+
+@query("symptom_score", O.sql(
+    "SELECT PATIENT_HASH, sum(s) AS is_symptom FROM (SELECT PATIENT_HASH, "
+    + " + ".join(O.i(O.has("TEXT", t)) for t in R.SYMPTOM_TERMS) + " AS s FROM pre) x WHERE s > 0 GROUP BY PATIENT_HASH",
+    "pre"))
+def q_symptom_score(spark, sf_dir):
+    return FT.symptom_score(pre(spark, sf_dir), R.SYMPTOM_TERMS)
+
+
+@query("code_frequency", O.sql(
+    "SELECT ICD10, count(PATIENT_HASH) AS n FROM pre_imputed WHERE TYP IN ('*', 'D') AND ICD10 IS NOT NULL "
+    "GROUP BY ICD10 HAVING count(PATIENT_HASH) > 3", "pre_imputed"))
+def q_code_frequency(spark, sf_dir):
+    return FT.code_frequency(DG.impute_comorbidity_icd(pre(spark, sf_dir)))
+
+
+@query("frequency_encode", O.sql(
+    "SELECT entry_id, round(count(*) OVER (PARTITION BY ICD10) / count(*) OVER (), 6) AS ICD_mean_encode "
+    "FROM (SELECT entry_id, coalesce(ICD10, 'none') AS ICD10 FROM cert) c", "cert"))
+def q_frequency_encode(spark, sf_dir):
+    df = repaired(spark, sf_dir).fillna({"ICD10": "none"})
+    return FT.frequency_encode(df, "ICD10", "ICD_mean_encode").select("entry_id", _r6("ICD_mean_encode"))
+
+
+_LAST_COLS = ["PAT_GESCHLECHT", "ZENTRUM_ID", "PATIENT_ID", "ICD10", "SICHERHEIT"]
+
+
+@query("patient_last", O.sql(
+    "SELECT PATIENT_HASH, " + ", ".join(
+        f"arg_max({c}, CAST(entry_date AS VARCHAR) || entry_id) FILTER (WHERE {c} IS NOT NULL) AS {c}"
+        for c in _LAST_COLS) + " FROM pre GROUP BY PATIENT_HASH", "pre"))
+def q_patient_last(spark, sf_dir):
+    return FT.last_values(pre(spark, sf_dir), _LAST_COLS)
+
+
+_SUM_COLS = [*FLAG_COLUMNS, "is_disease"]
+
+
+@query("patient_sums", O.sql(
+    "SELECT PATIENT_HASH, " + ", ".join(f"sum({c}) AS {c}" for c in _SUM_COLS) + " FROM pre_full GROUP BY PATIENT_HASH",
+    "pre_full"))
+def q_patient_sums(spark, sf_dir):
+    return FT.patient_sums(pre(spark, sf_dir, keep_flags=True), _SUM_COLS)
+
+
+_CATS6 = [*R.MAJORITY_CATEGORIES, R.NO_TEST]
+O.cte("majority", ["labs_joined"], O.majority_sql("labs_joined", R.E75_TESTS))
+
+
+@query("one_hot_labs", O.sql(O.one_hot_sql("majority", R.E75_TESTS, _CATS6), "majority"))
+def q_one_hot(spark, sf_dir):
+    return LB.one_hot(LB.lab_majority(labs_joined(spark, sf_dir), R.E75_TESTS), R.E75_TESTS, _CATS6)
+
+
+@query("site_sex_dummies", O.sql(
+    "SELECT PATIENT_HASH, " + ", ".join(f"CASE WHEN ZENTRUM_ID = '{s}' THEN 1 ELSE 0 END AS ZENTRUM_ID_{s}"
+                                        for s in sorted(R.SITES)[1:])
+    + ", CASE WHEN PAT_GESCHLECHT = 'W' THEN 1 ELSE 0 END AS PAT_GESCHLECHT_W FROM (SELECT PATIENT_HASH, "
+    + ", ".join(f"arg_max({c}, CAST(entry_date AS VARCHAR) || entry_id) FILTER (WHERE {c} IS NOT NULL) AS {c}"
+                for c in ["PAT_GESCHLECHT", "ZENTRUM_ID"]) + " FROM pre GROUP BY PATIENT_HASH) l", "pre"))
+def q_dummies(spark, sf_dir):
+    last = FT.last_values(pre(spark, sf_dir), ["PAT_GESCHLECHT", SITE])
+    return FT.dummies(FT.dummies(last, SITE, R.SITES), "PAT_GESCHLECHT", ["M", "W"])
+
+
+_EMPTY_SRC = ["entry_id", "PATIENT_HASH", "TEXT", "ICD10", "SICHERHEIT", "TYP_EXT", *R.E75_TESTS]
+
+
+@query("drop_empty_columns", O.sql(
+    "SELECT column_name, non_null FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count({c}) AS non_null FROM labs_joined" for c in _EMPTY_SRC)
+    + ") c WHERE non_null > 0", "labs_joined"))
+def q_drop_empty(spark, sf_dir):
+    src = labs_joined(spark, sf_dir).select(*_EMPTY_SRC)
+    return FT.empty_column_counts(src).filter(F.col("non_null") > 0)
+
+
+@query("mask_value", O.sql("SELECT entry_id, nullif(TYP, 'Y') AS TYP, nullif(TEXT, 'Y') AS TEXT FROM journal",
+                           "journal"))
+def q_mask(spark, sf_dir):
+    return FT.mask_value(J(spark, sf_dir), "Y", ["TYP", "TEXT"]).select("entry_id", "TYP", "TEXT")
+
+
+GAUCHER_K = 1800
+
+O.cte("e75_cases", ["pre"], "SELECT DISTINCT PATIENT_HASH FROM pre WHERE diagnosis_E75_22 IN ('confirmed', 'suspicious')")
+O.cte("e75_ids", ["e75_cases"], "SELECT PATIENT_HASH FROM e75_cases UNION "
+      + O.bootstrap_sql("pre", "e75_cases", GAUCHER_K, SEED))
+O.cte("e75_subset", ["e75_ids"], "SELECT * FROM pre WHERE PATIENT_HASH IN (SELECT PATIENT_HASH FROM e75_ids)")
+O.lab_chain("e75", "e75_subset", "e75_subset", R.E75_TESTS)
+O.cte("e75_major", ["e75_joined"], O.majority_sql("e75_joined", R.E75_TESTS))
+O.cte("e75_onehot", ["e75_major"], O.one_hot_sql("e75_major", R.E75_TESTS, _CATS6))
+O.cte("e75_imputed", ["e75_subset"], O.impute_sql("e75_subset"))
+O.cte("e75_como", ["e75_imputed"], O.comorbidity_sql("e75_imputed"))
+O.cte("e75_symp", ["e75_subset"], O.symptoms_sql("e75_subset"))
+O.cte("e75_age", ["e75_subset"], "SELECT PATIENT_HASH, avg(age) AS age FROM e75_subset GROUP BY PATIENT_HASH")
+O.cte("e75_base", ["e75_subset", "e75_cases"],
+      "SELECT DISTINCT PATIENT_HASH, CASE PAT_GESCHLECHT WHEN 'W' THEN 1 WHEN 'M' THEN 0 END AS PAT_GESCHLECHT, "
+      "CASE WHEN PATIENT_HASH IN (SELECT PATIENT_HASH FROM e75_cases) THEN 1 ELSE 0 END AS gaucher FROM e75_subset")
+_E75_OUT = ["PATIENT_HASH", "gaucher", *DS.E75_FEATURES]
+_E75_SQL = O.sql(
+    "SELECT PATIENT_HASH, gaucher, " + ", ".join((f"round(coalesce(\"{c}\", 0), 6) AS \"{c}\"" if c == "age" else f"coalesce(\"{c}\", 0) AS \"{c}\"") for c in DS.E75_FEATURES)
+    + " FROM e75_base LEFT JOIN e75_age USING (PATIENT_HASH) LEFT JOIN e75_onehot USING (PATIENT_HASH) "
+    "LEFT JOIN e75_como USING (PATIENT_HASH) LEFT JOIN e75_symp USING (PATIENT_HASH)",
+    "e75_base", "e75_age", "e75_onehot", "e75_como", "e75_symp")
+
+
+def dataset_e75(spark, sf_dir):
+    return DS.gaucher_dataset(pre_stage(spark, sf_dir), k=GAUCHER_K, seed=SEED)
+
+
+@query("dataset_e75", _E75_SQL)
+def q_dataset_e75(spark, sf_dir):
+    return dataset_e75(spark, sf_dir).withColumn("age", F.round("age", 6))
