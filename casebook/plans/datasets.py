@@ -55,7 +55,7 @@ def hyperchol_entries(pre_full: DataFrame, clusters: DataFrame | None = None) ->
     pivot of the top-20 abnormal tests, Status and cluster ids."""
     labs = LB.explode_labs(pre_full, ("eq", "range"), dedup=False)
     findata = DG.mark_excluded(pre_full.dropna(subset=["TEXT"]))
-    nolab = FT.mask_value(findata, "Y", ["TYP"])
+    nolab = FT.mask_value(findata, "Y")
     top = LB.top_abnormal_tests(labs, nolab, R.E78_PHRASE, 20).select("Lab_test")
     pivot = LB.lab_pivot(labs.join(top, "Lab_test", "left_semi"), R.E78_TESTS)
     final = nolab.join(pivot, [PATIENT, "DATUM"], "left")

@@ -580,3 +580,51 @@ def dataset_e75(spark, sf_dir):
 @query("dataset_e75", _E75_SQL)
 def q_dataset_e75(spark, sf_dir):
     return dataset_e75(spark, sf_dir).withColumn("age", F.round("age", 6))
+
+_STR_PRE_FULL = ["PATIENT_HASH", "ZENTRUM_ID", "PAT_GEBDATUM", "PAT_GESCHLECHT", "DATUM", "TYP", "TYP_EXT", "TEXT",
+                 "ICD10", "SICHERHEIT", "entry_id", *_LABEL_COLS]
+O.cte("e78_ysrc", ["pre_full"], "SELECT * FROM pre_full WHERE TYP = 'Y' AND TEXT IS NOT NULL")
+O.cte("e78_labs", ["e78_ysrc"], O.with_inference(O.eq_sql("e78_ysrc") + " UNION ALL " + O.range_sql("e78_ysrc")))
+O.cte("e78_find", ["pre_full"],
+      "SELECT * REPLACE (" + ", ".join(
+          (f"nullif(CASE WHEN {O.has('TEXT', 'usschl')} THEN 'A' ELSE SICHERHEIT END, 'Y') AS SICHERHEIT"
+           if c == "SICHERHEIT" else f"nullif({c}, 'Y') AS {c}") for c in _STR_PRE_FULL)
+      + ") FROM pre_full WHERE TEXT IS NOT NULL")
+O.cte("e78_top20", ["e78_labs", "e78_find"],
+      "SELECT Lab_test FROM e78_labs WHERE Inference <> 'Normal' AND PATIENT_HASH IN "
+      "(SELECT PATIENT_HASH FROM e78_find GROUP BY PATIENT_HASH HAVING bool_or(" + O.has("TEXT", R.E78_PHRASE)
+      + ")) GROUP BY Lab_test ORDER BY count(*) DESC, Lab_test LIMIT 20")
+O.cte("e78_pivot", ["e78_labs", "e78_top20"],
+      "SELECT PATIENT_HASH, DATUM, " + ", ".join(
+          f"avg(CASE WHEN Lab_test = {O.q(t)} THEN {_ordinal_sql('Inference')} END) AS {t}" for t in R.E78_TESTS)
+      + " FROM e78_labs WHERE Lab_test IN (SELECT Lab_test FROM e78_top20) AND Lab_test IN ("
+      + ", ".join(O.q(t) for t in R.E78_TESTS) + ") GROUP BY PATIENT_HASH, DATUM")
+O.cte("e78_final", ["e78_find", "e78_pivot"],
+      "SELECT f.* REPLACE (CASE WHEN " + O.has_any("f.TEXT", R.E78_SPELLINGS) + " THEN 'E78.01' ELSE "
+      "coalesce(f.ICD10, 'none') END AS ICD10), " + ", ".join(f"coalesce(p.{t}, 0) AS {t}" for t in R.E78_TESTS)
+      + " FROM e78_find f LEFT JOIN e78_pivot p USING (PATIENT_HASH, DATUM) WHERE f.SICHERHEIT IS NOT NULL")
+O.cte("e78_model", ["e78_final"],
+      "SELECT *, CASE WHEN SICHERHEIT IN ('G', 'Z') AND ICD10 = 'E78.01' AND TYP = '*' THEN 1 ELSE 0 END AS Status, "
+      "count(*) OVER (PARTITION BY ICD10) / count(*) OVER () AS ICD_mean_encode, CAST(NULL AS INTEGER) AS clusters "
+      "FROM e78_final")
+_LASTK = "CAST(entry_date AS VARCHAR) || entry_id"
+O.cte("e78_patients", ["e78_model"],
+      "SELECT PATIENT_HASH, " + ", ".join(f"sum({c}) AS {c}" for c in DS.E78_SUM_COLUMNS) + ", "
+      + ", ".join(f"arg_max({c}, {_LASTK}) FILTER (WHERE {c} IS NOT NULL) AS {c}"
+                  for c in ["clusters", "PAT_GESCHLECHT", "ZENTRUM_ID"]) + " FROM e78_model GROUP BY PATIENT_HASH")
+_E78_SQL = O.sql(
+    "SELECT PATIENT_HASH, CAST(CASE WHEN Status = 2 THEN 1 ELSE Status END AS BIGINT) AS Status, "
+    + ", ".join(f"round({t}, 6) AS {t}" for t in R.E78_TESTS) + ", round(ICD_mean_encode, 6) AS ICD_mean_encode, "
+    "coalesce(clusters, 100) AS clusters, is_E71_3, is_E75_22, is_E78_01, is_E78_3, is_disease, "
+    + ", ".join(f"CASE WHEN ZENTRUM_ID = '{s}' THEN 1 ELSE 0 END AS ZENTRUM_ID_{s}" for s in sorted(R.SITES)[1:])
+    + ", CASE WHEN PAT_GESCHLECHT = 'W' THEN 1 ELSE 0 END AS PAT_GESCHLECHT_W FROM e78_patients", "e78_patients")
+
+
+def dataset_e78(spark, sf_dir, clusters=None):
+    return DS.hyperchol_dataset(pre_stage(spark, sf_dir, keep_flags=True), clusters)
+
+
+@query("dataset_e78", _E78_SQL)
+def q_dataset_e78(spark, sf_dir):
+    out = dataset_e78(spark, sf_dir)
+    return out.select(*[_r6(c) if c in (*R.E78_TESTS, "ICD_mean_encode") else F.col(c) for c in out.columns])
