@@ -628,3 +628,127 @@ def dataset_e78(spark, sf_dir, clusters=None):
 def q_dataset_e78(spark, sf_dir):
     out = dataset_e78(spark, sf_dir)
     return out.select(*[_r6(c) if c in (*R.E78_TESTS, "ICD_mean_encode") else F.col(c) for c in out.columns])
+
+
+# ---------------------------------------------------------------- step 6: samplers, folds, metrics
+
+from casebook.operators import metrics as MT  # noqa: E402
+from casebook.operators import sampling as SP  # noqa: E402
+
+
+def labels(spark, sf_dir):
+    apply_plan_settings(spark)
+    return spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+
+
+def _md5r(part: str = "", seed: int = SEED) -> str:
+    return f"row_number() OVER ({part} ORDER BY md5('{seed}:' || CAST(doc_id AS VARCHAR)))"
+
+
+UNDER_N = 100
+
+
+@query("undersample", O.sql(
+    f"SELECT doc_id, toxic FROM labels WHERE toxic <> 0 UNION ALL SELECT doc_id, toxic FROM "
+    f"(SELECT doc_id, toxic, {_md5r()} AS rk FROM labels WHERE toxic = 0) n WHERE rk > {UNDER_N}"))
+def q_undersample(spark, sf_dir):
+    return SP.undersample(labels(spark, sf_dir), UNDER_N, SEED, "doc_id", "toxic")
+
+
+@query("train_test_split", O.sql(
+    f"SELECT doc_id, toxic, CASE WHEN {_md5r()} <= ceil(count(*) OVER () * 0.25) THEN 'test' ELSE 'train' END AS split "
+    "FROM labels"))
+def q_split(spark, sf_dir):
+    return SP.train_test(labels(spark, sf_dir), "doc_id", 0.25, SEED)
+
+
+@query("kfold", O.sql(f"SELECT doc_id, toxic, CAST(({_md5r()} - 1) % 5 AS INTEGER) AS fold, 0 AS repeat FROM labels"))
+def q_kfold(spark, sf_dir):
+    return SP.add_folds(labels(spark, sf_dir), "doc_id", 5, SEED)
+
+
+@query("stratified_folds", O.sql(
+    f"SELECT doc_id, toxic, CAST(({_md5r('PARTITION BY toxic')} - 1) % 10 AS INTEGER) AS fold, 0 AS repeat FROM labels"))
+def q_strat(spark, sf_dir):
+    return SP.add_folds(labels(spark, sf_dir), "doc_id", 10, SEED, stratify="toxic")
+
+
+@query("repeated_folds", O.sql(" UNION ALL ".join(
+    f"SELECT doc_id, toxic, CAST(({_md5r('PARTITION BY toxic', SEED + r)} - 1) % 10 AS INTEGER) AS fold, "
+    f"{r} AS repeat FROM labels" for r in range(3))))
+def q_repeated(spark, sf_dir):
+    return SP.add_folds(labels(spark, sf_dir), "doc_id", 10, SEED, stratify="toxic", repeats=3)
+
+
+_OVER_SQL = O.sql(
+    "WITH c AS (SELECT toxic, count(*) AS n FROM labels GROUP BY toxic), "
+    "b AS (SELECT arg_min(toxic, (n, toxic)) AS minor, min(n) AS nmin, max(n) AS nmax FROM c), "
+    f"m AS (SELECT doc_id, toxic, {_md5r()} AS idx FROM labels WHERE toxic = (SELECT minor FROM b)), "
+    "d AS (SELECT (CAST('0x' || substr(md5('" + str(SEED) + ":' || CAST(range AS VARCHAR)), 1, 12) AS BIGINT) "
+    "% (SELECT nmin FROM b)) + 1 AS idx FROM range((SELECT nmax - nmin FROM b))) "
+    "SELECT doc_id, toxic FROM labels UNION ALL SELECT m.doc_id, m.toxic FROM d JOIN m USING (idx)")
+
+
+@query("oversample", _OVER_SQL)
+def q_oversample(spark, sf_dir):
+    return SP.resample(labels(spark, sf_dir), "toxic", "doc_id", "over", SEED).select("doc_id", "toxic")
+
+
+def scored_embeddings(spark, sf_dir):
+    """A fixed, data-derived score per embedding (first coordinate) and a rare class (label 0): the
+    input on which the metric operators are checked."""
+    apply_plan_settings(spark)
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    s = F.element_at("embedding", 1).cast("double")
+    return e.select("vec_id", (F.col("label") == 0).cast("int").alias("label"), s.alias("score"),
+                    (s > 0).cast("int").alias("prediction"))
+
+
+O.cte("scored", [], "SELECT vec_id, CASE WHEN label = 0 THEN 1 ELSE 0 END AS label, CAST(embedding[1] AS DOUBLE) AS score, "
+                    "CASE WHEN CAST(embedding[1] AS DOUBLE) > 0 THEN 1 ELSE 0 END AS prediction FROM embeddings")
+O.cte("tfpn", ["scored"], "SELECT count_if(label = 1 AND prediction = 1) AS tp, count_if(label = 0 AND prediction = 0) AS tn, "
+                          "count_if(label = 0 AND prediction = 1) AS fp, count_if(label = 1 AND prediction = 0) AS fn FROM scored")
+
+
+@query("confusion", O.sql(
+    "SELECT a.label, b.prediction, (SELECT count(*) FROM scored s WHERE s.label = a.label AND s.prediction = b.prediction) "
+    "AS n FROM (VALUES (0), (1)) a(label), (VALUES (0), (1)) b(prediction)", "scored"))
+def q_confusion(spark, sf_dir):
+    return MT.confusion(scored_embeddings(spark, sf_dir))
+
+
+@query("misclassification", O.sql(
+    "SELECT tp, tn, fp, fn, round(fn / (tp + fn), 2) * 100 AS pos_misclassified_pct, "
+    "round(fp / (tn + fp), 2) * 100 AS neg_misclassified_pct FROM tfpn", "tfpn"))
+def q_miscls(spark, sf_dir):
+    return MT.misclassification(scored_embeddings(spark, sf_dir))
+
+
+_REPORT_SQL = O.sql("""
+, per AS (
+  SELECT '0' AS "row", CASE WHEN tn + fn = 0 THEN 0.0 ELSE tn / (tn + fn) END AS precision,
+         CASE WHEN tn + fp = 0 THEN 0.0 ELSE tn / (tn + fp) END AS recall, tn + fp AS support FROM tfpn
+  UNION ALL
+  SELECT '1', CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END,
+         CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END, tp + fn FROM tfpn),
+per2 AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END AS f1
+         FROM per)
+SELECT "row", round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM per2
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support) FROM per2
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
+  round(sum(f1 * support) / sum(support), 6), sum(support) FROM per2
+UNION ALL SELECT 'accuracy', NULL, NULL, round((tp + tn) / (tp + tn + fp + fn), 6), tp + tn + fp + fn FROM tfpn
+""", "tfpn").replace("\n\n, per AS", "\n, per AS").replace(")\n\n, per AS", "), per AS")
+
+
+@query("classification_report", _REPORT_SQL)
+def q_report(spark, sf_dir):
+    return MT.report(scored_embeddings(spark, sf_dir))
+
+
+@query("roc_auc", O.sql(
+    "SELECT round((sum(CASE WHEN label = 1 THEN r END) - P * (P + 1) / 2) / (P * N), 6) AS auc, P AS positives, "
+    "N AS negatives FROM (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 "
+    "AS r, count_if(label = 1) OVER () AS P, count_if(label = 0) OVER () AS N FROM scored) x GROUP BY P, N", "scored"))
+def q_auc(spark, sf_dir):
+    return MT.auc(scored_embeddings(spark, sf_dir))
