@@ -752,3 +752,102 @@ def q_report(spark, sf_dir):
     "AS r, count_if(label = 1) OVER () AS P, count_if(label = 0) OVER () AS N FROM scored) x GROUP BY P, N", "scored"))
 def q_auc(spark, sf_dir):
     return MT.auc(scored_embeddings(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- step 7: notes, TF-IDF, clusters
+
+from casebook.operators import text as TX  # noqa: E402
+
+
+def documents(spark, sf_dir):
+    apply_plan_settings(spark)
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+
+
+_WS = "[\\s]"
+
+
+@query("word_count", O.sql(
+    "SELECT PATIENT_HASH, CAST(sum(r) + sum(e) + sum(s) - arg_max(e, k) - arg_min(s, k) - count(*) + 1 AS BIGINT) "
+    "AS notes_word_count, count(*) AS n_notes FROM (SELECT PATIENT_HASH, len(regexp_extract_all(TEXT, '\\S+')) AS r, "
+    f"CASE WHEN regexp_matches(TEXT, '{_WS}$') THEN 1 ELSE 0 END AS e, "
+    f"CASE WHEN regexp_matches(TEXT, '^{_WS}') THEN 1 ELSE 0 END AS s, "
+    "CAST(entry_date AS VARCHAR) || entry_id AS k FROM pre WHERE TYP = 'A' AND TEXT IS NOT NULL AND length(TEXT) > 0) x "
+    "GROUP BY PATIENT_HASH", "pre"))
+def q_word_count(spark, sf_dir):
+    return TX.patient_word_count(pre(spark, sf_dir))
+
+
+_STOPS = "[" + ", ".join(O.q(w) for w in TX.german_stop_words()) + "]"
+_TOKS = ("list_filter(regexp_extract_all(lower(regexp_replace(coalesce(text, ''), '<[^>]+>', ' ', 'g')), "
+         f"'[\\p{{L}}\\p{{N}}_]+'), lambda x: NOT list_contains({_STOPS}, x))")
+O.cte("d_tok", [], f"SELECT doc_id, {_TOKS} AS toks FROM documents")
+O.cte("d_long", ["d_tok"], "SELECT doc_id, toks, list_filter(toks, lambda x: length(x) >= 9) AS lt FROM d_tok")
+O.cte("d_terms", ["d_long"], "SELECT doc_id, unnest(list_concat(lt, list_transform(range(1, len(lt)), "
+                             "lambda i: lt[i] || ' ' || lt[i + 1]))) AS term FROM d_long")
+O.cte("d_tf", ["d_terms"], "SELECT doc_id, term, count(*) AS tf FROM d_terms GROUP BY ALL")
+O.cte("d_vocab", ["d_tf"], "SELECT term, ln((n + 1) / (df + 1)) + 1 AS idf FROM (SELECT term, count(*) AS df FROM d_tf "
+                           "GROUP BY term) t, (SELECT count(*) AS n FROM documents) c WHERE df >= 10 AND df <= n * 0.3")
+O.cte("d_w", ["d_tf", "d_vocab"], "SELECT doc_id, term, tf * idf AS w FROM d_tf JOIN d_vocab USING (term)")
+O.cte("d_vec", ["d_w"], "SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM d_w")
+
+
+def doc_notes(spark, sf_dir, stem=False):
+    return TX.notes(documents(spark, sf_dir), "doc_id", "text", stem=stem)
+
+
+@query("clean_notes", O.sql("SELECT doc_id, len(toks) AS n_tokens, array_to_string(lt, ' ') AS comment_clean "
+                            "FROM d_long", "d_long"))
+def q_clean_notes(spark, sf_dir):
+    return doc_notes(spark, sf_dir).select("doc_id", F.size("tokens").alias("n_tokens"), "comment_clean")
+
+
+@query("long_tokens", O.sql("SELECT doc_id, len(lt) AS n_long, len(list_distinct(lt)) AS n_distinct FROM d_long",
+                            "d_long"))
+def q_long_tokens(spark, sf_dir):
+    return doc_notes(spark, sf_dir).select("doc_id", F.size("long_tokens").alias("n_long"),
+                                           F.size(F.array_distinct("long_tokens")).alias("n_distinct"))
+
+
+def doc_vectors(spark, sf_dir, stem=False):
+    return TX.tfidf(doc_notes(spark, sf_dir, stem), "doc_id", "long_tokens", min_df=10, max_df=0.3)
+
+
+@query("tfidf", O.sql("SELECT doc_id, term, round(weight, 6) AS weight FROM d_vec", "d_vec"))
+def q_tfidf(spark, sf_dir):
+    return doc_vectors(spark, sf_dir).withColumn("weight", F.round("weight", 6))
+
+
+@query("stem_notes")
+def q_stem(spark, sf_dir):
+    return doc_notes(spark, sf_dir, stem=True).select("doc_id", "comment_clean")
+
+
+K_CLUSTERS = 15
+
+
+O.cte("c_init", ["d_vec"], f"SELECT doc_id, cluster FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('{SEED}:' || "
+                           f"CAST(doc_id AS VARCHAR))) - 1 AS cluster FROM (SELECT DISTINCT doc_id FROM d_vec) u) r "
+                           f"WHERE cluster < {K_CLUSTERS}")
+O.cte("c_vec", ["c_init"], "SELECT c.cluster, v.term, v.weight FROM c_init c JOIN d_vec v USING (doc_id)")
+O.cte("c_norm", ["c_vec"], "SELECT cluster, sum(weight * weight) AS cn FROM c_vec GROUP BY cluster")
+O.cte("c_dot", ["c_vec"], "SELECT v.doc_id, c.cluster, sum(v.weight * c.weight) AS dot FROM d_vec v "
+                          "JOIN c_vec c USING (term) GROUP BY ALL")
+
+
+@query("cluster_assign", O.sql(
+    f"""SELECT doc_id, cluster FROM (
+  SELECT d.doc_id, n.cluster, row_number() OVER (PARTITION BY d.doc_id ORDER BY
+         round(n.cn - 2 * coalesce(x.dot, 0), 9), n.cluster) AS rk
+  FROM documents d CROSS JOIN c_norm n LEFT JOIN c_dot x ON x.doc_id = d.doc_id AND x.cluster = n.cluster) s
+WHERE rk = 1""", "c_norm", "c_dot"))
+def q_cluster_assign(spark, sf_dir):
+    vec = doc_vectors(spark, sf_dir)
+    centres = TX.initial_centres(vec, "doc_id", K_CLUSTERS, SEED)
+    return TX.assign(vec, documents(spark, sf_dir), centres, "doc_id")
+
+
+@query("cluster_notes")
+def q_cluster_notes(spark, sf_dir):
+    vec = doc_vectors(spark, sf_dir)
+    return TX.cluster_notes(vec, documents(spark, sf_dir), "doc_id", k=K_CLUSTERS, max_iter=100, seed=SEED)
