@@ -92,38 +92,51 @@ def _region_start(w: Column) -> Column:
     return F.when(F.length(m) == 0, F.length(w)).otherwise(F.length(m))
 
 
-def german_stem(w: Column) -> Column:
-    """Snowball-style German stemming as Column expressions: ß→ss; R1/R2 regions; step 1 (em ern
-    er | e en es | s after a valid s-ending), step 2 (en er est | st after a valid st-ending),
-    step 3 (end ung, ig ik isch, lich heit, keit in R2); umlauts lose their dots."""
-    w = F.regexp_replace(w, "ß", "ss")
-    n = F.length(w)
-    r1 = F.greatest(_region_start(w), F.lit(3))
-    r2 = r1 + _region_start(w.substr(r1 + 1, F.lit(1 << 20)))
+def let(value: Column, body) -> Column:
+    """Bind ``value`` once and use it several times in ``body`` (a one-element ``transform``), so
+    chained rules do not copy earlier steps into every later reference."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
 
-    def chop(word: Column, k: int | Column) -> Column:
-        return word.substr(F.lit(1), F.length(word) - k)
+def _chop(word: Column, k) -> Column:
+    return word.substr(F.lit(1), F.length(word) - k)
 
-    # step 1
+
+def _step1(w: Column, r1: Column) -> Column:
+    n = F.length(w)
     len_em = F.when(w.endswith("ern"), 3).otherwise(2)
     len_e = F.when(w.endswith("en") | w.endswith("es"), 2).otherwise(1)
-    s1 = (F.when(w.rlike("(em|ern|er)$") & (n - len_em >= r1), chop(w, len_em))
-          .when(w.rlike("(e|en|es)$") & (n - len_e >= r1), F.regexp_replace(chop(w, len_e), "niss$", "nis"))
-          .when(w.rlike("[bdfghklmnrt]s$") & (n - 1 >= r1), chop(w, 1))
-          .otherwise(w))
-    # step 2
+    return (F.when(w.rlike("(em|ern|er)$") & (n - len_em >= r1), _chop(w, len_em))
+            .when(w.rlike("(e|en|es)$") & (n - len_e >= r1), F.regexp_replace(_chop(w, len_e), "niss$", "nis"))
+            .when(w.rlike("[bdfghklmnrt]s$") & (n - 1 >= r1), _chop(w, 1))
+            .otherwise(w))
+
+
+def _step2(s1: Column, r1: Column) -> Column:
     n1 = F.length(s1)
     len2 = F.when(s1.endswith("est"), 3).otherwise(2)
-    s2 = (F.when(s1.rlike("(en|er|est)$") & (n1 - len2 >= r1), chop(s1, len2))
-          .when(s1.rlike("[bdfghklmnt]st$") & (n1 >= 6) & (n1 - 2 >= r1), chop(s1, 2))
-          .otherwise(s1))
-    # step 3: the first derivational suffix (in this order) lying in R2
-    s3, done = s2, F.lit(False)
+    return (F.when(s1.rlike("(en|er|est)$") & (n1 - len2 >= r1), _chop(s1, len2))
+            .when(s1.rlike("[bdfghklmnt]st$") & (n1 >= 6) & (n1 - 2 >= r1), _chop(s1, 2))
+            .otherwise(s1))
+
+
+def _step3(s2: Column, r2: Column) -> Column:
+    out = None
     for suf in ("ung", "end", "isch", "lich", "heit", "keit", "ig", "ik"):
-        cond = ~done & s2.endswith(suf) & (F.length(s2) - len(suf) >= r2)
-        s3 = F.when(cond, chop(s2, len(suf))).otherwise(s3)
-        done = done | cond
-    return F.translate(s3, "äöü", "aou")
+        cond = s2.endswith(suf) & (F.length(s2) - len(suf) >= r2)
+        out = F.when(cond, _chop(s2, len(suf))) if out is None else out.when(cond, _chop(s2, len(suf)))
+    return out.otherwise(s2)
+
+
+def german_stem(word: Column) -> Column:
+    """Snowball-style German stemming as Column expressions: ß→ss; R1/R2 regions; step 1 (em ern
+    er | e en es | s after a valid s-ending), step 2 (en er est | st after a valid st-ending),
+    step 3 (the first of ung end isch lich heit keit ig ik lying in R2); umlauts lose their dots."""
+    return let(F.regexp_replace(word, "ß", "ss"), lambda w: let(
+        F.greatest(_region_start(w), F.lit(3)), lambda r1: let(
+            r1 + _region_start(w.substr(r1 + 1, F.lit(1 << 20))), lambda r2: let(
+                _step1(w, r1), lambda s1: let(
+                    _step2(s1, r1), lambda s2: F.translate(_step3(s2, r2), "äöü", "aou"))))))
 
 
 def notes(df: DataFrame, doc: str, text: str, stem: bool = False) -> DataFrame:
