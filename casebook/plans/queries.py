@@ -851,3 +851,90 @@ def q_cluster_assign(spark, sf_dir):
 def q_cluster_notes(spark, sf_dir):
     vec = doc_vectors(spark, sf_dir)
     return TX.cluster_notes(vec, documents(spark, sf_dir), "doc_id", k=K_CLUSTERS, max_iter=100, seed=SEED)
+
+
+# ---------------------------------------------------------------- step 8: models
+
+from casebook.operators import models as MD  # noqa: E402
+
+N_FOLDS = 5
+
+
+def embedding_set(spark, sf_dir, folds: int = N_FOLDS):
+    """Embeddings with a rare binary class (label 0), ML features and seeded stratified folds."""
+    apply_plan_settings(spark)
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    e = e.select("vec_id", "embedding", (F.col("label") == 0).cast("int").alias("label"))
+    e = SP.add_folds(e, "vec_id", folds, SEED, stratify="label").drop("repeat")
+    return MD.with_features(e, "embedding")
+
+
+O.cte("nb_long", [], "SELECT vec_id, CASE WHEN label = 0 THEN 1 ELSE 0 END AS y, unnest(CAST(embedding AS DOUBLE[])) AS v, "
+                     "unnest(range(0, len(embedding))) AS j FROM embeddings")
+O.cte("nb_stats", ["nb_long"], "SELECT y, j, avg(v) AS mu, var_pop(v) + (SELECT max(vj) * 1e-9 FROM (SELECT var_pop(v) AS vj "
+                               "FROM nb_long GROUP BY j) q) AS var FROM nb_long GROUP BY y, j")
+O.cte("nb_prior", [], "SELECT y, ln(count(*) / (SELECT count(*) FROM embeddings)) AS lp FROM (SELECT CASE WHEN label = 0 "
+                      "THEN 1 ELSE 0 END AS y FROM embeddings) e GROUP BY y")
+_NB_SQL = O.sql("""
+SELECT vec_id, y AS prediction FROM (
+  SELECT vec_id, y, row_number() OVER (PARTITION BY vec_id ORDER BY round(ll, 9) DESC, y) AS rk FROM (
+    SELECT t.vec_id, s.y, sum(-0.5 * (ln(2 * pi() * s.var) + (t.v - s.mu) * (t.v - s.mu) / s.var)) + p.lp AS ll
+    FROM (SELECT vec_id, j, v FROM nb_long) t JOIN nb_stats s USING (j) JOIN nb_prior p ON p.y = s.y
+    GROUP BY t.vec_id, s.y, p.lp) a) b WHERE rk = 1""", "nb_stats", "nb_prior")
+
+
+@query("gaussian_nb", _NB_SQL)
+def q_gnb(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+        "vec_id", "embedding", (F.col("label") == 0).cast("int").alias("label"))
+    apply_plan_settings(spark)
+    return MD.gaussian_nb(e, e, "vec_id", "embedding")
+
+
+def _oof(name):
+    def fn(spark, sf_dir):
+        df = embedding_set(spark, sf_dir)
+        make = MD.classifiers(64, SEED, ada_rounds=10)[name]
+        pred = MD.out_of_fold(make, df)
+        return pred.select("vec_id", "fold", F.col("label").cast("int").alias("label"),
+                           F.col("prediction").cast("int").alias("prediction"))
+    return fn
+
+
+for _name in ["logreg", "tree", "forest", "mlp", "adaboost", "svc", "gbt"]:
+    query(_name)(_oof(_name))
+
+
+@query("cross_validate")
+def q_cross_validate(spark, sf_dir):
+    """M9 + M15: logistic regression, training folds over-sampled (resampling inside training only)."""
+    df = embedding_set(spark, sf_dir)
+    over = lambda d: SP.resample(d, "label", "vec_id", "over", SEED)
+    return MD.cross_validate(MD.classifiers(64, SEED)["logreg"], df, resample=over, name="logreg+oversample")
+
+
+@query("out_of_fold")
+def q_out_of_fold(spark, sf_dir):
+    df = embedding_set(spark, sf_dir)
+    pred = MD.probability_of_one(MD.out_of_fold(MD.classifiers(64, SEED)["forest"], df))
+    return pred.select("vec_id", "fold", "label", "prediction", "score")
+
+
+@query("grid_search")
+def q_grid(spark, sf_dir):
+    df = embedding_set(spark, sf_dir, folds=3)
+    grid = [{"n_estimators": n, "learning_rate": r} for n in (10, 25) for r in (0.1, 1.0)]
+    return MD.grid_search(lambda **p: MD.AdaBoost(**p), grid, df, metric="recall_weighted")
+
+
+@query("bake_off")
+def q_bake_off(spark, sf_dir):
+    df = embedding_set(spark, sf_dir, folds=3)
+    return MD.bake_off(MD.classifiers(64, SEED, ada_rounds=10), df)
+
+
+@query("feature_importance")
+def q_importance(spark, sf_dir):
+    df = embedding_set(spark, sf_dir).withColumn("label", F.col("label").cast("double"))
+    model = MD.classifiers(64, SEED)["forest"]().fit(df)
+    return MD.feature_scores(model, [f"e{i}" for i in range(64)], spark)
