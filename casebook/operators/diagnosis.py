@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from casebook.functions.columns import has, has_all, has_any
 from casebook.functions.rules import (CERTAINTY_SUFFIXES, CERTAINTY_TEXT_RULES, COMORBIDITY_RULES,
                                       E78_SPELLINGS, FLAG_CODES, LABEL_CODES, REIMBURSEMENT_MARKERS)
-from casebook.operators.dates import add_age
+from casebook.operators.dates import add_age, entry_order
 from casebook.operators.flags import disease_flags
 from casebook.schema import ENTRY_ID, PATIENT, SITE
 
@@ -69,12 +69,11 @@ def dedup_diagnoses(df: DataFrame, order: list[str] | None = None) -> DataFrame:
     ``min_by`` over a struct of the row is a grouped aggregate with map-side partial aggregation, so
     a patient with a huge share of all rows is reduced before the shuffle (a window would sort the
     whole group in one task). Ties on the date break by the content hash."""
-    order = order or ["entry_date", ENTRY_ID]
     keys = [PATIENT, SITE, "TYP", "ICD10", "SICHERHEIT"]
     rest = [c for c in df.columns if c not in keys]
     diag = df.filter(F.col("TYP").isin("*", "D"))
     firsts = (diag.groupBy(*keys)
-              .agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r"))
+              .agg(F.min_by(F.struct(*rest), F.struct(*order) if order else entry_order()).alias("_r"))
               .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
               .select(*df.columns))
     return df.filter(F.col("TYP").isin("A", "Y")).unionByName(firsts)
@@ -115,7 +114,7 @@ WORK_COLUMNS = ["PAT_GEBDATUM", "TYP_EXT", "is_E75_22", "is_E78_01", "is_E78_3",
 
 
 def preprocess(df: DataFrame, keep_flags: bool = False, typo_scope: str | None = "all",
-               strict: bool = True) -> DataFrame:
+               strict: bool = False) -> DataFrame:
     """Flags (if absent) → dates and age → code repair → certainty repair → de-dup →
     drop working columns → drop reimbursement rows → per-patient labels.
 

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casebook.functions.columns import has, has_any
-from casebook.schema import ENTRY_ID, PATIENT
+from casebook.operators.dates import entry_order
+from casebook.schema import PATIENT
 
 
 def safe_name(s: str) -> str:
@@ -65,10 +66,10 @@ def frequency_encode(df: DataFrame, col: str, out: str) -> DataFrame:
     return df.join(share, col, "left")
 
 
-def last_values(df: DataFrame, cols: Sequence[str], order: Sequence[str] = ("entry_date", ENTRY_ID)) -> DataFrame:
+def last_values(df: DataFrame, cols: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """A3: per patient the last non-null value of each column in entry order (pandas
     ``groupby.last``). ``max_by`` is a partial aggregate: hot patients are reduced map-side."""
-    key = F.struct(*order)
+    key = F.struct(*order) if order else entry_order()
     return df.groupBy(PATIENT).agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), key)).alias(c) for c in cols])
 

@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebook.functions.rules import EXTRA_STOP_WORDS, MIN_TOKEN_LENGTH, RE_TAGS
-from casebook.schema import ENTRY_ID, PATIENT
+from casebook.operators.dates import entry_order
+from casebook.schema import PATIENT
 from casebook.session import stage
 
 WORD = r"[\p{L}\p{N}_]+"
@@ -40,7 +41,7 @@ def german_stop_words() -> list[str]:
 # ---------------------------------------------------------------- T1: word count per patient
 
 
-def patient_word_count(df: DataFrame, order: tuple[str, ...] = ("entry_date", ENTRY_ID), typ: str = "A") -> DataFrame:
+def patient_word_count(df: DataFrame, order: tuple[str, ...] | None = None, typ: str = "A") -> DataFrame:
     """Whitespace-separated words of each patient's anamnesis rows joined by ','.
 
     The joined document is never built. For non-empty rows r1..rn joined by ',', the word count is
@@ -51,7 +52,7 @@ def patient_word_count(df: DataFrame, order: tuple[str, ...] = ("entry_date", EN
     runs = F.size(F.regexp_extract_all(F.col("TEXT"), F.lit(r"(?U)\S+"), 0))
     ends = F.col("TEXT").rlike(WS + "$").cast("int")
     starts = F.col("TEXT").rlike("^" + WS).cast("int")
-    key = F.struct(*order)
+    key = F.struct(*order) if order else entry_order()
     per = rows.select(PATIENT, runs.alias("r"), ends.alias("e"), starts.alias("s"), key.alias("k")).groupBy(PATIENT).agg(
         F.sum("r").alias("r"), F.sum("e").alias("e"), F.sum("s").alias("s"), F.count(F.lit(1)).alias("n"),
         F.max_by("e", "k").alias("e_last"), F.min_by("s", "k").alias("s_first"))

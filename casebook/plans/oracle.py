@@ -75,14 +75,12 @@ def sql(body: str, *needs: str) -> str:
 
 # ---- dates and age (D1-D6) on top of the module flags
 cte("dates", ["flags"], """
-SELECT *, make_date(CAST(birth_year AS INTEGER), CAST(substr(PAT_GEBDATUM, 4, 2) AS INTEGER),
-                    CAST(substr(PAT_GEBDATUM, 1, 2) AS INTEGER)) AS birth_date
+SELECT *, CAST(try_strptime(substr(PAT_GEBDATUM, 1, 6) || birth_year, '%d.%m.%Y') AS DATE) AS birth_date
 FROM (
   SELECT *, CASE WHEN by2 > '20' THEN '19' WHEN entry_year < '2000' THEN '19'
                  WHEN CAST(substr(entry_year, 3, 2) AS INTEGER) - CAST(by2 AS INTEGER) < 0 THEN '19'
                  ELSE '20' END || by2 AS birth_year,
-    make_date(CAST(entry_year AS INTEGER), CAST(substr(DATUM, 4, 2) AS INTEGER),
-              CAST(substr(DATUM, 1, 2) AS INTEGER)) AS entry_date
+    CAST(try_strptime(substr(DATUM, 1, 6) || entry_year, '%d.%m.%Y') AS DATE) AS entry_date
   FROM (
     SELECT *, CASE WHEN yy < '21' THEN '20' ELSE '19' END || yy AS entry_year, substr(PAT_GEBDATUM, 7) AS by2
     FROM (SELECT *, CASE substr(DATUM, 7) WHEN '50' THEN '05' WHEN '90' THEN '09' ELSE substr(DATUM, 7) END AS yy
@@ -124,7 +122,7 @@ SELECT * FROM cert WHERE TYP IN ('A', 'Y')
 UNION ALL
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY PATIENT_HASH, ZENTRUM_ID, TYP, ICD10, SICHERHEIT
-                               ORDER BY entry_date, entry_id) AS rn
+                               ORDER BY entry_date NULLS LAST, entry_id) AS rn
   FROM cert WHERE TYP IN ('*', 'D')) d WHERE rn = 1
 """)
 cte("kept", ["dedup"],

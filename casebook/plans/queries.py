@@ -495,7 +495,7 @@ _LAST_COLS = ["PAT_GESCHLECHT", "ZENTRUM_ID", "PATIENT_ID", "ICD10", "SICHERHEIT
 
 @query("patient_last", O.sql(
     "SELECT PATIENT_HASH, " + ", ".join(
-        f"arg_max({c}, CAST(entry_date AS VARCHAR) || entry_id) FILTER (WHERE {c} IS NOT NULL) AS {c}"
+        f"arg_max({c}, coalesce(CAST(entry_date AS VARCHAR), '9999-12-31~') || entry_id) FILTER (WHERE {c} IS NOT NULL) AS {c}"
         for c in _LAST_COLS) + " FROM pre GROUP BY PATIENT_HASH", "pre"))
 def q_patient_last(spark, sf_dir):
     return FT.last_values(pre(spark, sf_dir), _LAST_COLS)
@@ -524,7 +524,7 @@ def q_one_hot(spark, sf_dir):
     "SELECT PATIENT_HASH, " + ", ".join(f"CASE WHEN ZENTRUM_ID = '{s}' THEN 1 ELSE 0 END AS ZENTRUM_ID_{s}"
                                         for s in sorted(R.SITES)[1:])
     + ", CASE WHEN PAT_GESCHLECHT = 'W' THEN 1 ELSE 0 END AS PAT_GESCHLECHT_W FROM (SELECT PATIENT_HASH, "
-    + ", ".join(f"arg_max({c}, CAST(entry_date AS VARCHAR) || entry_id) FILTER (WHERE {c} IS NOT NULL) AS {c}"
+    + ", ".join(f"arg_max({c}, coalesce(CAST(entry_date AS VARCHAR), '9999-12-31~') || entry_id) FILTER (WHERE {c} IS NOT NULL) AS {c}"
                 for c in ["PAT_GESCHLECHT", "ZENTRUM_ID"]) + " FROM pre GROUP BY PATIENT_HASH) l", "pre"))
 def q_dummies(spark, sf_dir):
     last = FT.last_values(pre(spark, sf_dir), ["PAT_GESCHLECHT", SITE])
@@ -607,7 +607,7 @@ O.cte("e78_model", ["e78_final"],
       "SELECT *, CASE WHEN SICHERHEIT IN ('G', 'Z') AND ICD10 = 'E78.01' AND TYP = '*' THEN 1 ELSE 0 END AS Status, "
       "count(*) OVER (PARTITION BY ICD10) / count(*) OVER () AS ICD_mean_encode, CAST(NULL AS INTEGER) AS clusters "
       "FROM e78_final")
-_LASTK = "CAST(entry_date AS VARCHAR) || entry_id"
+_LASTK = "coalesce(CAST(entry_date AS VARCHAR), '9999-12-31~') || entry_id"
 O.cte("e78_patients", ["e78_model"],
       "SELECT PATIENT_HASH, " + ", ".join(f"sum({c}) AS {c}" for c in DS.E78_SUM_COLUMNS) + ", "
       + ", ".join(f"arg_max({c}, {_LASTK}) FILTER (WHERE {c} IS NOT NULL) AS {c}"
@@ -772,7 +772,7 @@ _WS = "[\\s]"
     "AS notes_word_count, count(*) AS n_notes FROM (SELECT PATIENT_HASH, len(regexp_extract_all(TEXT, '\\S+')) AS r, "
     f"CASE WHEN regexp_matches(TEXT, '{_WS}$') THEN 1 ELSE 0 END AS e, "
     f"CASE WHEN regexp_matches(TEXT, '^{_WS}') THEN 1 ELSE 0 END AS s, "
-    "CAST(entry_date AS VARCHAR) || entry_id AS k FROM pre WHERE TYP = 'A' AND TEXT IS NOT NULL AND length(TEXT) > 0) x "
+    "coalesce(CAST(entry_date AS VARCHAR), '9999-12-31~') || entry_id AS k FROM pre WHERE TYP = 'A' AND TEXT IS NOT NULL AND length(TEXT) > 0) x "
     "GROUP BY PATIENT_HASH", "pre"))
 def q_word_count(spark, sf_dir):
     return TX.patient_word_count(pre(spark, sf_dir))
