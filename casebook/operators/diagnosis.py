@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebook.functions.columns import has, has_all, has_any
 from casebook.functions.rules import (CERTAINTY_SUFFIXES, CERTAINTY_TEXT_RULES, COMORBIDITY_RULES,
                                       E78_SPELLINGS, FLAG_CODES, LABEL_CODES, REIMBURSEMENT_MARKERS)
-from casebook.operators.dates import add_age, entry_order
+from casebook.operators.dates import add_age
 from casebook.operators.flags import disease_flags
 from casebook.schema import ENTRY_ID, PATIENT, SITE
 
@@ -66,17 +66,19 @@ def dedup_diagnoses(df: DataFrame, order: list[str] | None = None) -> DataFrame:
     """D7d: diagnosis rows keep the earliest entry per (patient, site, kind, code, certainty); anamnesis
     and lab rows stay; other kinds vanish.
 
-    ``min_by`` over a struct of the row is a grouped aggregate with map-side partial aggregation, so
-    a patient with a huge share of all rows is reduced before the shuffle (a window would sort the
-    whole group in one task). Ties on the date break by the content hash."""
+    One pass (no union of two branches, which would evaluate the upstream chain twice): a window
+    over the five keys plus, for anamnesis/lab rows only, their content hash — those rows spread
+    over many small partitions and are all kept. Unknown dates sort last (pandas puts NaT last);
+    ties on the date break by the content hash."""
     keys = [PATIENT, SITE, "TYP", "ICD10", "SICHERHEIT"]
-    rest = [c for c in df.columns if c not in keys]
-    diag = df.filter(F.col("TYP").isin("*", "D"))
-    firsts = (diag.groupBy(*keys)
-              .agg(F.min_by(F.struct(*rest), F.struct(*order) if order else entry_order()).alias("_r"))
-              .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
-              .select(*df.columns))
-    return df.filter(F.col("TYP").isin("A", "Y")).unionByName(firsts)
+    ordering = [F.col(c) for c in order] if order else [
+        F.col("entry_date").isNull(), F.col("entry_date"), F.col(ENTRY_ID)]
+    kept_kind = F.col("TYP").isin("A", "Y")
+    spread = F.when(kept_kind, F.col(ENTRY_ID))
+    w = Window.partitionBy(*keys, spread).orderBy(*ordering)
+    return (df.filter(F.col("TYP").isin("A", "Y", "*", "D"))
+            .withColumn("_rn", F.row_number().over(w))
+            .filter(kept_kind | (F.col("_rn") == 1)).drop("_rn"))
 
 
 def drop_reimbursement(df: DataFrame) -> DataFrame:

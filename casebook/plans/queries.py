@@ -19,7 +19,7 @@ from casebook.plans import oracle as O
 from casebook.schema import FLAG_COLUMNS, PATIENT, SITE
 from casebook.session import apply_plan_settings, stage
 from casebook.sources import journal as IO
-from casebook.sources.fixtures import journal_view
+from casebook.sources.fixtures import journal_view, spread
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {}
@@ -761,7 +761,7 @@ from casebook.operators import text as TX  # noqa: E402
 
 def documents(spark, sf_dir):
     apply_plan_settings(spark)
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), "doc_id")
 
 
 _WS = "[\\s]"

@@ -14,8 +14,19 @@ from pyspark.sql import functions as F
 from casebook.schema import ENTRY_ID, RAW_COLUMNS
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, spread_by) if spread_by else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores (a small file with few
+    Parquet row groups) by hashing a uniform key, so the CPU-heavy text rules run on every core.
+    A large input already has enough splits and is left alone (no extra shuffle at scale)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores * 2, key)
 
 
 def _two(c: Column) -> Column:
@@ -38,8 +49,8 @@ def _case(key: Column, values: list[str | Column], default=None) -> Column:
 
 
 def journal_view(spark: SparkSession, sf_dir: str, with_entry_id: bool = True) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate")
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"), "l_orderkey")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     j = li.join(od, li.l_orderkey == od.o_orderkey).join(cu, F.col("o_custkey") == cu.c_custkey)
