@@ -938,3 +938,29 @@ def q_importance(spark, sf_dir):
     df = embedding_set(spark, sf_dir).withColumn("label", F.col("label").cast("double"))
     model = MD.classifiers(64, SEED)["forest"]().fit(df)
     return MD.feature_scores(model, [f"e{i}" for i in range(64)], spark)
+
+
+# ---------------------------------------------------------------- M18: control-size sweep
+
+SWEEP_K = [32, 64, 96, 128, 160, 1880]
+
+
+@query("control_sweep", O.sql(" UNION ALL ".join(
+    f"SELECT {k} AS k, count(*) AS n_patients, count_if(PATIENT_HASH IN (SELECT PATIENT_HASH FROM e75_cases)) "
+    f"AS n_cases FROM (SELECT PATIENT_HASH FROM e75_cases UNION {O.bootstrap_sql('pre', 'e75_cases', k, SEED)}) s{k}"
+    for k in SWEEP_K), "e75_cases"))
+def q_sweep(spark, sf_dir):
+    """Cohort sizes for each control draw count of the reference's sweep (the model step per k
+    is ``bake_off`` on ``gaucher_dataset(pre, k)``)."""
+    p = pre_stage(spark, sf_dir)
+    cases = C.diagnosed_cases(p, "E75.22", source="label")
+    marked = cases.withColumn("_c", F.lit(1))
+    outs = []
+    for k in SWEEP_K:
+        ids = cases.unionByName(C.bootstrap_controls(p, cases, k=k, seed=SEED)).distinct()
+        outs.append(ids.join(marked, PATIENT, "left").agg(
+            F.lit(k).alias("k"), F.count(F.lit(1)).alias("n_patients"), F.count("_c").alias("n_cases")))
+    out = outs[0]
+    for o in outs[1:]:
+        out = out.unionByName(o)
+    return out
