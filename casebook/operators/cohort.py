@@ -67,10 +67,9 @@ def bootstrap_controls(df: DataFrame, exclude: DataFrame, k: int, seed: int = 0,
     pool = (rows.select(PATIENT).distinct().join(exclude.select(PATIENT), PATIENT, "left_anti")
             .withColumn("_h", F.md5(F.col(PATIENT))).withColumn("_all", F.lit(1)))
     indexed = rank_by_hash(pool, ["_all"], "_h", "_idx")
-    n = indexed.agg(F.count(F.lit(1)).alias("_n"))
+    n = indexed.agg(F.count(F.lit(1))).scalar()  # the pool size, a scalar subquery
     draws = (df.sparkSession.range(k).withColumn("_dh", seeded_hash(seed, F.col("id")))
-             .crossJoin(n)  # one-row side: the pool size
-             .withColumn("_idx", F.pmod(hex_prefix_int(F.col("_dh"), 12), F.col("_n")) + 1)
+             .withColumn("_idx", F.pmod(hex_prefix_int(F.col("_dh"), 12), n) + 1)
              .select("_idx").distinct())
     return indexed.join(draws, "_idx").select(PATIENT)
 

@@ -59,10 +59,10 @@ def code_frequency(df: DataFrame, min_count: int = 3) -> DataFrame:
 
 def frequency_encode(df: DataFrame, col: str, out: str) -> DataFrame:
     """A10: share of rows carrying the row's value of ``col``. Per-value counts (one row per distinct
-    value, partial aggregation) joined back; the total is a one-row aggregate (no global window)."""
+    value, partial aggregation) joined back; the total is a scalar subquery (no global window)."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
-    total = df.agg(F.count(F.lit(1)).alias("_t"))
-    share = counts.crossJoin(total).select(col, (F.col("_c") / F.col("_t")).alias(out))
+    total = df.agg(F.count(F.lit(1))).scalar()  # scalar subquery
+    share = counts.select(col, (F.col("_c") / total).alias(out))
     return df.join(share, col, "left")
 
 

@@ -36,12 +36,12 @@ def gaussian_nb(train: DataFrame, test: DataFrame, id_col: str, x: str, label: s
     ``var_smoothing·max_j var(x_j)``, log prior + Σ_j log N(x_j; μ, σ²), argmax (ties → lower class).
     Returns (id, prediction, log-likelihood margin score)."""
     long = train.select(F.col(label).alias("y"), F.posexplode(F.col(x).cast("array<double>")).alias("j", "v"))
-    eps = long.groupBy("j").agg(F.var_pop("v").alias("vj")).agg((F.max("vj") * var_smoothing).alias("eps"))
+    eps = long.groupBy("j").agg(F.var_pop("v").alias("vj")).agg(F.max("vj") * var_smoothing).scalar()
     stats = (long.groupBy("y", "j").agg(F.avg("v").alias("mu"), F.var_pop("v").alias("var"))
-             .crossJoin(eps).withColumn("var", F.col("var") + F.col("eps")).drop("eps"))
-    n = train.agg(F.count(F.lit(1)).alias("n"))
-    prior = train.groupBy(F.col(label).alias("y")).agg(F.count(F.lit(1)).alias("ny")).crossJoin(n) \
-        .select("y", F.log(F.col("ny") / F.col("n")).alias("lp"))
+             .withColumn("var", F.col("var") + eps))
+    n = train.agg(F.count(F.lit(1))).scalar()
+    prior = train.groupBy(F.col(label).alias("y")).agg(F.count(F.lit(1)).alias("ny")) \
+        .select("y", F.log(F.col("ny") / n).alias("lp"))
     tl = test.select(id_col, F.posexplode(F.col(x).cast("array<double>")).alias("j", "v"))
     ll = (tl.join(stats, "j")
           .groupBy(id_col, "y").agg(F.sum(-0.5 * (F.log(2 * math.pi * F.col("var"))

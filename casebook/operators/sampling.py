@@ -31,10 +31,10 @@ def undersample(df: DataFrame, n: int, seed: int, id_col: str, label: str, negat
 
 def train_test(df: DataFrame, id_col: str, test: float = 0.25, seed: int = 0) -> DataFrame:
     """Adds ``split`` ('train'/'test'); exactly ceil(test·n) rows are test, chosen by md5 rank."""
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
-    ranked = _ranked(df, id_col, seed).crossJoin(n)  # one-row side
-    return ranked.withColumn("split", F.when(F.col("_rank") <= F.ceil(F.col("_n") * F.lit(test)), "test")
-                             .otherwise("train")).drop("_rank", "_n")
+    n = df.agg(F.count(F.lit(1))).scalar()  # scalar subquery
+    ranked = _ranked(df, id_col, seed)
+    return ranked.withColumn("split", F.when(F.col("_rank") <= F.ceil(n * F.lit(test)), "test")
+                             .otherwise("train")).drop("_rank")
 
 
 def add_folds(df: DataFrame, id_col: str, k: int, seed: int = 0, stratify: str | None = None,
@@ -58,22 +58,18 @@ def resample(df: DataFrame, label: str, id_col: str, mode: str = "over", seed: i
     takes minority index hex(md5(seed ':' i)) mod n) or under-sampling (majority cut to the
     minority size by md5 rank). Two-class labels."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    bounds = counts.agg(F.min_by(label, F.struct("_n", label)).alias("_minor"),
-                        F.max_by(label, F.struct("_n", label)).alias("_major"),
-                        F.min("_n").alias("_nmin"), F.max("_n").alias("_nmax"))
-    tagged = df.crossJoin(bounds)  # one-row side
+    # One row (two classes): read on the driver and used as literals.
+    b = counts.agg(F.min_by(label, F.struct("_n", label)).alias("minor"), F.max_by(label, F.struct("_n", label)).alias("major"),
+                   F.min("_n").alias("nmin"), F.max("_n").alias("nmax")).first()
     if mode == "under":
-        major = _ranked(tagged.filter(F.col(label) == F.col("_major")), id_col, seed)
-        keep = major.filter(F.col("_rank") <= F.col("_nmin")).drop("_rank")
-        return tagged.filter(F.col(label) != F.col("_major")).unionByName(keep).drop("_minor", "_major", "_nmin",
-                                                                                   "_nmax")
-    minor = _ranked(tagged.filter(F.col(label) == F.col("_minor")), id_col, seed, out="_idx")
-    # The draw count is one scalar (read on the driver); the draws themselves are a distributed
-    # ``range`` so no single task generates them.
-    b = bounds.first()
-    extra = int(b["_nmax"]) - int(b["_nmin"])
+        major = _ranked(df.filter(F.col(label) == F.lit(b["major"])), id_col, seed)
+        keep = major.filter(F.col("_rank") <= F.lit(int(b["nmin"]))).drop("_rank")
+        return df.filter(F.col(label) != F.lit(b["major"])).unionByName(keep)
+    minor = _ranked(df.filter(F.col(label) == F.lit(b["minor"])), id_col, seed, out="_idx")
+    # The draws are a distributed ``range`` so no single task generates them.
+    extra = int(b["nmax"]) - int(b["nmin"])
     draws = (df.sparkSession.range(extra)
-             .withColumn("_idx", F.pmod(hex_prefix_int(seeded_hash(seed, F.col("id")), 12), F.lit(int(b["_nmin"]))) + 1)
+             .withColumn("_idx", F.pmod(hex_prefix_int(seeded_hash(seed, F.col("id")), 12), F.lit(int(b["nmin"]))) + 1)
              .select("_idx"))
     added = minor.join(draws, "_idx").drop("_idx")
-    return tagged.unionByName(added.select(*tagged.columns)).drop("_minor", "_major", "_nmin", "_nmax")
+    return df.unionByName(added.select(*df.columns))

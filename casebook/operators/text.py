@@ -164,12 +164,12 @@ def ngrams(tokens: str | Column, n_max: int = 2) -> Column:
 def tfidf(docs: DataFrame, doc: str, tokens: str, min_df: int = 10, max_df: float = 0.3, n_max: int = 2) -> DataFrame:
     """T4: long ``(doc, term, weight)``; terms in at least ``min_df`` documents and at most
     ``max_df``·n documents; weight = tf·(ln((1+n)/(1+df)) + 1), L2-normalised per document."""
-    n = docs.agg(F.count(F.lit(1)).alias("_n"))
+    n = docs.agg(F.count(F.lit(1))).scalar()  # number of documents, a scalar subquery
     terms = docs.select(doc, F.explode(ngrams(tokens, n_max)).alias("term"))
     tf = terms.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
-    dfs = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).crossJoin(n)  # one-row side
-    vocab = (dfs.filter((F.col("df") >= min_df) & (F.col("df") <= F.col("_n") * F.lit(max_df)))
-             .select("term", (F.log((F.col("_n") + 1) / (F.col("df") + 1)) + 1).alias("idf")))
+    dfs = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    vocab = (dfs.filter((F.col("df") >= min_df) & (F.col("df") <= n * F.lit(max_df)))
+             .select("term", (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf")))
     w = tf.join(vocab, "term").select(doc, "term", (F.col("tf") * F.col("idf")).alias("w"))
     norms = w.groupBy(doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
     return w.join(norms, doc).select(doc, "term", (F.col("w") / F.col("_norm")).alias("weight"))
@@ -188,14 +188,20 @@ def initial_centres(vectors: DataFrame, doc: str, k: int, seed: int = 0) -> Data
 
 def assign(vectors: DataFrame, all_docs: DataFrame, centres: DataFrame, doc: str) -> DataFrame:
     """One assignment step: nearest centre by squared distance |c|² − 2·x·c (|x| is constant per
-    doc), ties to the lowest centre id. Documents without terms go to the smallest-norm centre."""
+    doc), ties to the lowest centre id.
+
+    Only (doc, centre) pairs that share a term are formed (a join on the term key). A centre sharing
+    no term with a doc is at |c|²; one extra candidate per doc — the smallest-norm centre at its
+    plain |c|² — covers all of them exactly, because a centre that does share terms is never worse
+    than its own |c|² (weights are non-negative). No docs × centres grid is built."""
     cnorm = centres.groupBy("cluster").agg(F.sum(F.col("weight") * F.col("weight")).alias("cn"))
     dots = (vectors.join(centres.withColumnRenamed("weight", "cw"), "term")
             .groupBy(doc, "cluster").agg(F.sum(F.col("weight") * F.col("cw")).alias("dot")))
-    cand = all_docs.select(doc).crossJoin(cnorm)  # cnorm: k rows
-    scored = (cand.join(dots, [doc, "cluster"], "left")
-              .withColumn("d", F.col("cn") - 2 * F.coalesce(F.col("dot"), F.lit(0.0))))
-    best = scored.groupBy(doc).agg(F.min(F.struct(F.round("d", 9).alias("d"), F.col("cluster").alias("c"))).alias("b"))
+    shared = dots.join(cnorm, "cluster").select(doc, "cluster", (F.col("cn") - 2 * F.col("dot")).alias("d"))
+    fallback = cnorm.agg(F.min(F.struct(F.round("cn", 9).alias("d"), F.col("cluster").alias("c")))).scalar()
+    plain = all_docs.select(doc, fallback.getField("c").alias("cluster"), fallback.getField("d").alias("d"))
+    cand = shared.unionByName(plain)
+    best = cand.groupBy(doc).agg(F.min(F.struct(F.round("d", 9).alias("d"), F.col("cluster").alias("c"))).alias("b"))
     return best.select(doc, F.col("b.c").alias("cluster"))
 
 
