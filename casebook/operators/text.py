@@ -166,6 +166,11 @@ def tfidf(docs: DataFrame, doc: str, tokens: str, min_df: int = 10, max_df: floa
     ``max_df``·n documents; weight = tf·(ln((1+n)/(1+df)) + 1), L2-normalised per document."""
     n = docs.agg(F.count(F.lit(1))).scalar()  # number of documents, a scalar subquery
     terms = docs.select(doc, F.explode(ngrams(tokens, n_max)).alias("term"))
+    return weigh_terms(terms, doc, n, min_df, max_df)
+
+
+def weigh_terms(terms: DataFrame, doc: str, n: Column, min_df: int = 10, max_df: float = 0.3) -> DataFrame:
+    """TF-IDF weights from a long ``(doc, term)`` occurrence table and the document count ``n``."""
     tf = terms.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
     dfs = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     vocab = (dfs.filter((F.col("df") >= min_df) & (F.col("df") <= n * F.lit(max_df)))
@@ -175,6 +180,34 @@ def tfidf(docs: DataFrame, doc: str, tokens: str, min_df: int = 10, max_df: floa
     return w.join(norms, doc).select(doc, "term", (F.col("w") / F.col("_norm")).alias("weight"))
 
 
+def patient_terms(df: DataFrame, stem: bool = False, typ: str = "A") -> tuple[DataFrame, Column]:
+    """T1-T4 per patient: the terms of the patient's notes joined in entry order (unigrams and
+    bigrams of long tokens, including the bigram that spans two consecutive notes), without
+    building the joined document.
+
+    The previous non-empty note of a row is found in two bounded steps: a lag inside
+    (patient, day), and for the first note of a day a lag over per-day summaries (one row per
+    patient and day). No window covers all rows of a patient, so a very active patient does not
+    end up in one task. Returns the ``(PATIENT_HASH, term)`` occurrences and the document count."""
+    rows = df.filter((F.col("TYP") == typ) & F.col("TEXT").isNotNull())
+    n_docs = rows.select(PATIENT).distinct().agg(F.count(F.lit(1))).scalar()
+    lt = long_tokens(clean_tokens("TEXT", stem=stem))
+    notes_ = (rows.select(PATIENT, "entry_date", "entry_id", lt.alias("lt")).filter(F.size("lt") > 0)
+              .withColumn("_first", F.element_at("lt", 1)).withColumn("_last", F.element_at("lt", -1)))
+    in_day = Window.partitionBy(PATIENT, "entry_date").orderBy("entry_id")
+    notes_ = notes_.withColumn("_prev", F.lag("_last").over(in_day))
+    days = notes_.groupBy(PATIENT, "entry_date").agg(F.max_by("_last", "entry_id").alias("_day_last"))
+    over_days = Window.partitionBy(PATIENT).orderBy(F.col("entry_date").isNull(), "entry_date")
+    days = days.withColumn("_prev_day", F.lag("_day_last").over(over_days)).drop("_day_last")
+    days = days.withColumnRenamed(PATIENT, "_p").withColumnRenamed("entry_date", "_d")
+    notes_ = notes_.join(days, (F.col(PATIENT) == F.col("_p")) & F.col("entry_date").eqNullSafe(F.col("_d")),
+                         "left").drop("_p", "_d")
+    prev = F.coalesce(F.col("_prev"), F.col("_prev_day"))
+    cross = F.when(prev.isNotNull(), F.array(F.concat(prev, F.lit(" "), F.col("_first")))).otherwise(F.array())
+    terms = notes_.select(PATIENT, F.explode(F.concat(ngrams("lt"), cross)).alias("term"))
+    return terms, n_docs
+
+
 # ---------------------------------------------------------------- T5: k-means on the long table
 
 

@@ -964,3 +964,48 @@ def q_sweep(spark, sf_dir):
     for o in outs[1:]:
         out = out.unionByName(o)
     return out
+
+
+# ---------------------------------------------------------------- T4/T5 on patient notes
+
+_PTOKS = _TOKS.replace("coalesce(text, '')", "coalesce(TEXT, '')")
+O.cte("p_rows", ["pre"], f"SELECT PATIENT_HASH, entry_date, entry_id, list_filter({_PTOKS}, lambda x: length(x) >= 9) "
+                         "AS lt FROM pre WHERE TYP = 'A' AND TEXT IS NOT NULL")
+O.cte("p_ne", ["p_rows"], "SELECT *, lag(lt[len(lt)]) OVER (PARTITION BY PATIENT_HASH ORDER BY entry_date NULLS LAST, "
+                          "entry_id) AS prev FROM p_rows WHERE len(lt) > 0")
+O.cte("p_terms", ["p_ne"], "SELECT PATIENT_HASH, unnest(list_concat(lt, list_transform(range(1, len(lt)), "
+                           "lambda i: lt[i] || ' ' || lt[i + 1]), CASE WHEN prev IS NULL THEN CAST([] AS VARCHAR[]) "
+                           "ELSE [prev || ' ' || lt[1]] END)) AS term FROM p_ne")
+O.cte("p_tf", ["p_terms"], "SELECT PATIENT_HASH, term, count(*) AS tf FROM p_terms GROUP BY ALL")
+O.cte("p_vocab", ["p_tf", "p_rows"],
+      "SELECT term, ln((n + 1) / (df + 1)) + 1 AS idf FROM (SELECT term, count(*) AS df FROM p_tf GROUP BY term) t, "
+      "(SELECT count(DISTINCT PATIENT_HASH) AS n FROM p_rows) c WHERE df >= 10 AND df <= n * 0.3")
+O.cte("p_w", ["p_tf", "p_vocab"], "SELECT PATIENT_HASH, term, tf * idf AS w FROM p_tf JOIN p_vocab USING (term)")
+
+
+def patient_vectors(spark, sf_dir):
+    terms, n = TX.patient_terms(pre(spark, sf_dir))
+    return TX.weigh_terms(terms, PATIENT, n, min_df=10, max_df=0.3)
+
+
+@query("patient_tfidf", O.sql("SELECT PATIENT_HASH, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY PATIENT_HASH)), 6) "
+                              "AS weight FROM p_w", "p_w"))
+def q_patient_tfidf(spark, sf_dir):
+    """T1-T4 on the journal: one document per patient (anamnesis notes in entry order)."""
+    return patient_vectors(spark, sf_dir).withColumn("weight", F.round("weight", 6))
+
+
+@query("patient_clusters")
+def q_patient_clusters(spark, sf_dir):
+    """T5 on the journal: k-means (k = 15) over the patients' note vectors; patients without a
+    surviving term get the nearest (smallest-norm) centre."""
+    p = pre(spark, sf_dir)
+    docs = p.filter((F.col("TYP") == "A") & F.col("TEXT").isNotNull()).select(PATIENT).distinct()
+    return TX.cluster_notes(patient_vectors(spark, sf_dir), docs, PATIENT, k=K_CLUSTERS, max_iter=100, seed=SEED)
+
+
+@query("dataset_e78_clustered")
+def q_dataset_e78_clustered(spark, sf_dir):
+    """E4 with J13: the E78 dataset with each patient's note cluster (missing → 100)."""
+    clusters = q_patient_clusters(spark, sf_dir).withColumnRenamed("cluster", "clusters")
+    return dataset_e78(spark, sf_dir, clusters=clusters)

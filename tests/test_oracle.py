@@ -9,7 +9,7 @@ from .conftest import SF_SMALL
 
 SAMPLE = ["disease_flags", "prevalence_by_site", "cohort_controls", "cohort_bootstrap", "age_years", "repair_icd",
           "repair_certainty", "dedup_diagnoses", "preprocess", "labs_map", "lab_majority", "symptoms",
-          "frequency_encode", "dataset_e78", "word_count", "tfidf", "stratified_folds", "roc_auc",
+          "frequency_encode", "dataset_e78", "word_count", "tfidf", "patient_tfidf", "stratified_folds", "roc_auc",
           "classification_report", "gaussian_nb"]
 
 
