@@ -43,18 +43,24 @@ def patient_pool(df: DataFrame, flag: str = "is_disease", pool: str = "rows", by
     return per.filter(cond).select(*keys)
 
 
-def sample_controls(df: DataFrame, seed: int = 0, flag: str = "is_disease", pool: str = "rows",
-                    by: str = SITE) -> DataFrame:
-    """Per site, as many controls as the site has cases, drawn without replacement.
+def _per_patient(df: DataFrame, flag: str, by: str) -> DataFrame:
+    return df.groupBy(by, PATIENT).agg(F.min(F.col(flag)).alias("_min"), F.max(F.col(flag)).alias("_max"))
 
-    Returns (site, PATIENT_HASH). A pool smaller than the case count saturates (the reference raises)."""
-    per = df.groupBy(by, PATIENT).agg(F.min(F.col(flag)).alias("_min"), F.max(F.col(flag)).alias("_max"))
+
+def _controls_from(per: DataFrame, seed: int, pool: str, by: str) -> DataFrame:
     n_cases = per.groupBy(by).agg(F.count_if(F.col("_max") != 0).alias("_want"))
     cond = (F.col("_min") == 0) if pool == "rows" else (F.col("_max") == 0)
     candidates = per.filter(cond).select(by, PATIENT).withColumn("_h", seeded_hash(seed, F.col(PATIENT)))
     ranked = rank_by_hash(candidates, [by], "_h", "_rank")
-    return (ranked.join(n_cases, by).filter(F.col("_rank") <= F.col("_want"))
-            .select(by, PATIENT))
+    return ranked.join(n_cases, by).filter(F.col("_rank") <= F.col("_want")).select(by, PATIENT)
+
+
+def sample_controls(df: DataFrame, seed: int = 0, flag: str = "is_disease", pool: str = "rows",
+                    by: str = SITE) -> DataFrame:
+    """Per site, as many controls as the site has cases, drawn without replacement.
+
+    Returns (site, PATIENT_HASH). A pool smaller than the case count saturates (the reference raises)."""
+    return _controls_from(_per_patient(df, flag, by), seed, pool, by)
 
 
 def bootstrap_controls(df: DataFrame, exclude: DataFrame, k: int, seed: int = 0,
@@ -100,9 +106,12 @@ def diagnosed_cases(df: DataFrame, code: str = "E75.22", source: str = "label")
     return df.filter(cond).select(PATIENT).distinct()
 
 
-def cohort(flagged: DataFrame, seed: int = 0, pool: str = "rows") -> DataFrame:
-    """Extraction (entry 1): rows of flagged patients plus an equal-sized control sample per site."""
-    ids = cases(flagged).unionByName(sample_controls(flagged, seed=seed, pool=pool).select(PATIENT))
+def cohort(flagged: DataFrame, seed: int = 0, pool: str = "rows", flag: str = "is_disease") -> DataFrame:
+    """Extraction (entry 1): rows of flagged patients plus an equal-sized control sample per site.
+    Cases and the control pool come from one (site, patient) aggregate (its exchange is reused)."""
+    per = _per_patient(flagged, flag, SITE)
+    ids = per.filter(F.col("_max") != 0).select(PATIENT).unionByName(
+        _controls_from(per, seed, pool, SITE).select(PATIENT))
     return keep_patients(flagged, ids)
 
 
