@@ -842,7 +842,7 @@ O.cte("c_dot", ["c_vec"], "SELECT v.doc_id, c.cluster, sum(v.weight * c.weight)
   FROM documents d CROSS JOIN c_norm n LEFT JOIN c_dot x ON x.doc_id = d.doc_id AND x.cluster = n.cluster) s
 WHERE rk = 1""", "c_norm", "c_dot"))
 def q_cluster_assign(spark, sf_dir):
-    vec = doc_vectors(spark, sf_dir)
+    vec = stage(doc_vectors(spark, sf_dir))  # read by three branches: centres, dot products, fallback
     centres = TX.initial_centres(vec, "doc_id", K_CLUSTERS, SEED)
     return TX.assign(vec, documents(spark, sf_dir), centres, "doc_id")
 
