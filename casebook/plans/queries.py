@@ -1009,3 +1009,10 @@ def q_dataset_e78_clustered(spark, sf_dir):
     """E4 with J13: the E78 dataset with each patient's note cluster (missing → 100)."""
     clusters = q_patient_clusters(spark, sf_dir).withColumnRenamed("cluster", "clusters")
     return dataset_e78(spark, sf_dir, clusters=clusters)
+
+
+@query("age_bands", O.sql(
+    "SELECT ZENTRUM_ID, CAST(floor(a / 10) * 10 AS INTEGER) AS age_band, count(*) AS patients FROM "
+    "(SELECT ZENTRUM_ID, PATIENT_HASH, avg(age) AS a FROM pre GROUP BY ALL) p GROUP BY ALL", "pre"))
+def q_age_bands(spark, sf_dir):
+    return IO.age_bands(pre(spark, sf_dir))
