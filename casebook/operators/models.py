@@ -55,61 +55,78 @@ def gaussian_nb(train: DataFrame, test: DataFrame, id_col: str, x: str, label: s
 
 
 class AdaBoostModel(Model):
-    def __init__(self, stumps: list, alphas: list[float], featuresCol: str = "features"):
+    """Weighted vote of decision stumps ``x_j <= t → left class`` (pure Column expressions)."""
+
+    def __init__(self, stumps: list[tuple[int, float, int]], alphas: list[float], featuresCol: str = "features"):
         super().__init__()
         self.stumps, self.alphas, self.featuresCol = stumps, alphas, featuresCol
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        x = vector_to_array(F.col(self.featuresCol))
         score = F.lit(0.0)
-        out = df
-        for i, (m, a) in enumerate(zip(self.stumps, self.alphas)):
-            out = m.setPredictionCol(f"_p{i}").setRawPredictionCol(f"_r{i}").setProbabilityCol(f"_q{i}").transform(out)
-            score = score + F.lit(a) * (2 * F.col(f"_p{i}") - 1)
-        drop = [c for i in range(len(self.stumps)) for c in (f"_p{i}", f"_r{i}", f"_q{i}")]
-        return (out.withColumn("score", score).withColumn("prediction", (F.col("score") > 0).cast("double"))
-                .withColumn("rawPrediction", array_to_vector(F.array(-F.col("score"), F.col("score"))))
-                .drop(*drop))
+        for (j, t, left), a in zip(self.stumps, self.alphas):
+            pred = F.when(x[j] <= F.lit(t), F.lit(left)).otherwise(F.lit(1 - left))
+            score = score + F.lit(a) * (2 * pred - 1)
+        return (df.withColumn("score", score).withColumn("prediction", (F.col("score") > 0).cast("double"))
+                .withColumn("rawPrediction", array_to_vector(F.array(-F.col("score"), F.col("score")))))
 
 
 class AdaBoost(Estimator):
-    """M5: discrete SAMME boosting of depth-1 trees; sample weights live in a column. Weight
-    updates are a projection per round; the weighted frame is checkpointed every few rounds so the
-    lineage stays short. Stops early on a perfect or useless stump."""
+    """M5: discrete SAMME boosting of decision stumps (two classes). Features are cut once into
+    ``max_bins`` bins at approximate quantiles; every round is one grouped aggregate of the sample
+    weights per (feature, bin) — a table of features × bins rows, read on the driver to pick the
+    split with the lowest weighted error — and one weight update (cached; a Parquet stage every few
+    rounds bounds the lineage). Stops early on a perfect or useless stump."""
 
     def __init__(self, n_estimators: int = 50, learning_rate: float = 1.0, labelCol: str = "label",
-                 featuresCol: str = "features", checkpoint_every: int = 10):
+                 featuresCol: str = "features", max_bins: int = 32, checkpoint_every: int = 10):
         super().__init__()
-        self.n_estimators, self.learning_rate = n_estimators, learning_rate
+        self.n_estimators, self.learning_rate, self.max_bins = n_estimators, learning_rate, max_bins
         self.labelCol, self.featuresCol, self.checkpoint_every = labelCol, featuresCol, checkpoint_every
 
     def copy(self, extra=None):
         extra = extra or {}
         return AdaBoost(extra.get("n_estimators", self.n_estimators), extra.get("learning_rate", self.learning_rate),
-                        self.labelCol, self.featuresCol, self.checkpoint_every)
+                        self.labelCol, self.featuresCol, self.max_bins, self.checkpoint_every)
+
+    def _edges(self, df: DataFrame) -> list[list[float]]:
+        x = vector_to_array(F.col(self.featuresCol))
+        d = len(df.select(self.featuresCol).first()[0])
+        wide = df.select(*[x[j].alias(f"f{j}") for j in range(d)])
+        probs = [i / self.max_bins for i in range(1, self.max_bins)]
+        qs = wide.approxQuantile([f"f{j}" for j in range(d)], probs, 0.001)  # d × (bins − 1) values
+        return [sorted(set(q)) for q in qs]
 
     def _fit(self, df: DataFrame) -> AdaBoostModel:
-        y = F.col(self.labelCol)
+        edges = self._edges(df)
+        x = vector_to_array(F.col(self.featuresCol))
+        def below(xj):
+            return lambda e: e < xj
+
+        bins = F.array(*[F.size(F.filter(F.array(*[F.lit(float(e)) for e in es]) if es else F.array().cast("array<double>"),
+                                         below(x[j]))) for j, es in enumerate(edges)])
         n = df.count()
-        cur = df.select(self.featuresCol, y.cast("double").alias("_y")).withColumn("_w", F.lit(1.0 / n)).cache()
+        cur = df.select(bins.alias("_bins"), F.col(self.labelCol).cast("int").alias("_y"),
+                        F.lit(1.0 / n).alias("_w")).cache()
         stumps, alphas = [], []
         for m in range(self.n_estimators):
-            stump = DecisionTreeClassifier(maxDepth=1, labelCol="_y", featuresCol=self.featuresCol,
-                                           weightCol="_w", predictionCol="_pred").fit(cur)
-            pred = stump.transform(cur).select("_y", "_w", self.featuresCol, "_pred")
-            agg = pred.agg(F.sum(F.when(F.col("_pred") != F.col("_y"), F.col("_w")).otherwise(0.0)).alias("e"),
-                           F.sum("_w").alias("t")).first()
-            err = (agg["e"] or 0.0) / agg["t"]
+            stats = (cur.select("_y", "_w", F.posexplode("_bins").alias("j", "b")).groupBy("j", "b")
+                     .agg(F.sum(F.when(F.col("_y") == 1, F.col("_w")).otherwise(0.0)).alias("pos"),
+                          F.sum(F.when(F.col("_y") == 0, F.col("_w")).otherwise(0.0)).alias("neg"))).collect()
+            best = _best_split(stats, len(edges), [len(es) for es in edges])
+            err, j, b, left = best
             if err >= 0.5:
                 break
-            alpha = self.learning_rate * math.log((1 - err) / max(err, 1e-300)) if err > 0 else 1.0
-            stumps.append(stump)
+            t = edges[j][b] if b < len(edges[j]) else float("inf")
+            alpha = self.learning_rate * math.log((1 - err) / err) if err > 0 else 1.0
+            stumps.append((j, t, left))
             alphas.append(alpha)
             if err <= 0:
                 break
-            nxt = pred.withColumn("_w", F.when(F.col("_pred") != F.col("_y"), F.col("_w") * math.exp(alpha))
-                                  .otherwise(F.col("_w"))).drop("_pred")
-            # Each round reads the previous round's weights from cache (recomputable if an executor
-            # is lost); a reliable checkpoint every few rounds bounds the lineage.
+            pred = F.when(F.col("_bins")[j] <= b, F.lit(left)).otherwise(F.lit(1 - left))
+            total = sum(r["pos"] + r["neg"] for r in stats if r["j"] == j)
+            nxt = cur.withColumn("_w", F.when(pred != F.col("_y"), F.col("_w") * math.exp(alpha))
+                                 .otherwise(F.col("_w")) / F.lit(total))
             nxt = stage(nxt) if (m + 1) % self.checkpoint_every == 0 else nxt.cache()
             nxt.count()
             cur.unpersist()
@@ -117,6 +134,29 @@ class AdaBoost(Estimator):
         return AdaBoostModel(stumps, alphas, self.featuresCol)
 
 
+def _best_split(stats, d: int, n_edges: list[int]) -> tuple[float, int, int, int]:
+    """Lowest weighted error over (feature j, bin cut b, left class); ties → smallest (j, b, class).
+    ``stats`` rows: (j, b, pos, neg) weight sums; cut b sends bins ≤ b left."""
+    by_j: dict[int, dict[int, tuple[float, float]]] = {}
+    for r in stats:
+        by_j.setdefault(r["j"], {})[r["b"]] = (r["pos"], r["neg"])
+    best = None
+    for j in range(d):
+        cells = by_j.get(j, {})
+        tot_p = sum(p for p, _ in cells.values())
+        tot_n = sum(q for _, q in cells.values())
+        tot = tot_p + tot_n
+        lp = ln = 0.0
+        for b in range(n_edges[j] + 1):
+            p, q = cells.get(b, (0.0, 0.0))
+            lp, ln = lp + p, ln + q
+            for left, e in ((0, lp + (tot_n - ln)), (1, ln + (tot_p - lp))):
+                cand = (e / tot if tot else 1.0, j, b, left)
+                if best is None or cand < best:
+                    best = cand
+    return best
+
+
 # ---------------------------------------------------------------- MLlib classifiers (M1, M2, M4, M7, M8)
 
 

@@ -923,7 +923,7 @@ def q_out_of_fold(spark, sf_dir):
 @query("grid_search")
 def q_grid(spark, sf_dir):
     df = embedding_set(spark, sf_dir, folds=3)
-    grid = [{"n_estimators": n, "learning_rate": r} for n in (10, 25) for r in (0.1, 1.0)]
+    grid = [{"n_estimators": n, "learning_rate": r} for n in (5, 10) for r in (0.1, 1.0)]
     return MD.grid_search(lambda **p: MD.AdaBoost(**p), grid, df, metric="recall_weighted")
 
 
