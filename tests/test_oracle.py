@@ -10,7 +10,8 @@ from .conftest import SF_SMALL
 SAMPLE = ["disease_flags", "prevalence_by_site", "cohort_controls", "cohort_bootstrap", "age_years", "repair_icd",
           "repair_certainty", "dedup_diagnoses", "preprocess", "labs_map", "lab_majority", "symptoms",
           "frequency_encode", "dataset_e78", "word_count", "tfidf", "patient_tfidf", "stratified_folds", "roc_auc",
-          "classification_report", "gaussian_nb"]
+          "classification_report", "gaussian_nb", "discriminative_tests", "relevant_test_score", "dataset_e75",
+          "control_sweep", "age_bands", "top_abnormal_tests", "lab_ordinal_pivot"]
 
 
 @pytest.fixture(scope="module")
