@@ -20,3 +20,13 @@ def test_filter_pushed_to_scan(spark):
     p = plan(df)
     assert "EqualTo(toxic,1)" in p.split("PushedFilters:")[1].split("]")[0]
     assert "ReadSchema: struct<doc_id:bigint,toxic:int>" in p
+
+
+def test_no_cartesian_or_nested_loop_joins(spark):
+    names = ["cohort_rows", "cohort_bootstrap", "preprocess", "frequency_encode", "lab_majority", "tfidf",
+             "patient_tfidf", "cluster_assign", "train_test_split", "oversample", "classification_report",
+             "gaussian_nb", "roc_auc"]
+    for name in names:
+        p = plan(E.queries()[name](spark, SF_SMALL))
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+            assert bad not in p, (name, bad)
