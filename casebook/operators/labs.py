@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.functions.columns import has, has_any
+from casebook.functions.columns import has
 from casebook.functions.rules import (DOMINANT_CATEGORIES, INFERENCE_DEFAULT, INFERENCE_ORDINAL, INFERENCE_RULES,
                                       MAJORITY7_CATEGORIES, MAJORITY_CATEGORIES, NO_TEST)
 from casebook.schema import ENTRY_ID, PATIENT, SITE
@@ -122,7 +122,7 @@ def join_labs(entries: DataFrame, wide: DataFrame) -> DataFrame:
     return entries.join(wide, WIDE_KEYS, "left")
 
 
-def lab_majority(joined: DataFrame, tests: Sequence[str], only_positive_negative: str = "parity") -> DataFrame:
+def lab_majority(joined: DataFrame, tests: Sequence[str]) -> DataFrame:
     """Per patient and test, the most frequent of Low, High, Very low, Very high, Normal over the
     patient's lab rows (first in that order on ties); ``no_test`` when the patient has no value.
 
@@ -210,6 +210,3 @@ def lab_pivot(labs: DataFrame, tests: Sequence[str]) -> DataFrame:
     src = labs.filter(F.col("Lab_test").isin(list(tests))).withColumn("label", inference_ordinal())
     return src.groupBy(PATIENT, "DATUM").pivot("Lab_test", list(tests)).agg(F.avg("label"))
 
-
-def mentions(df: DataFrame, phrases: Sequence[str]) -> Column:
-    return has_any("TEXT", phrases)
