@@ -9,15 +9,10 @@ iterations to bound lineage.
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casebook.functions.rules import EXTRA_STOP_WORDS, MIN_TOKEN_LENGTH, RE_TAGS
+from casebook.functions.rules import EXTRA_STOP_WORDS, GERMAN_STOP_WORDS, MIN_TOKEN_LENGTH, RE_TAGS
 from casebook.operators.dates import entry_order
 from casebook.schema import PATIENT
 from casebook.session import stage
@@ -26,16 +21,9 @@ WORD = r"[\p{L}\p{N}_]+"
 WS = r"(?U)\s"
 
 
-@lru_cache(maxsize=1)
 def german_stop_words() -> list[str]:
-    """Spark's built-in German stop-word list (read from the MLlib jar, no JVM needed) plus the
-    domain words of the reference."""
-    import pyspark
-
-    jar = sorted(glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar")))[0]
-    with zipfile.ZipFile(jar) as z:
-        words = z.read("org/apache/spark/ml/feature/stopwords/german.txt").decode("utf8").split()
-    return words + EXTRA_STOP_WORDS
+    """The public German stop-word list plus the domain words of the reference."""
+    return GERMAN_STOP_WORDS + EXTRA_STOP_WORDS
 
 
 # ---------------------------------------------------------------- T1: word count per patient

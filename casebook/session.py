@@ -58,20 +58,24 @@ def stage(df: DataFrame) -> DataFrame:
     """Materialise a pipeline stage (the reference writes one file per stage): a Parquet table in a
     fresh folder under the shared ``spark.checkpoint.dir``, read back. One computation (an eager
     RDD checkpoint would compute the plan twice), lineage cut, survives executor loss, and later
-    reads get column pruning and filter pushdown."""
+    reads get column pruning and filter pushdown. The folder must outlive the returned frame, which
+    is lazy, so it is left to the owner of the checkpoint folder to clear it."""
     spark = df.sparkSession
     apply_plan_settings(spark)
-    path = os.path.join(checkpoint_dir(spark), "stage-" + uuid.uuid4().hex)
+    path = checkpoint_dir(spark).rstrip("/") + "/stage-" + uuid.uuid4().hex
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder: ``spark.checkpoint.dir`` if the cluster names one, else a
-    new scratch folder (local runs and tests only)."""
+    """The shared checkpoint folder: ``spark.checkpoint.dir`` if the cluster names one. Only on a
+    ``local[*]`` master, where the executors share the driver's disk, a new scratch folder is made;
+    elsewhere an unset folder is an error (each executor would write to a disk of its own)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="casebook-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
     return path
