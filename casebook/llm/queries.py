@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import sharding
+from casebook.llm import multiset, sharding, simhash
 from casebook.llm import sql
 from casebook.llm.common import documents
 
@@ -23,3 +23,13 @@ def query(name: str, oracle: str | None = None):
 @query("op10_jump_sharding", sql.JUMP_SHARDING)
 def op10_jump_sharding(spark, sf_dir):
     return sharding.shard_documents(documents(spark, sf_dir), 40)
+
+
+@query("op5_multiset_fingerprints", sql.MULTISET_FINGERPRINTS)
+def op5_multiset_fingerprints(spark, sf_dir):
+    return multiset.fingerprint_documents(documents(spark, sf_dir))
+
+
+@query("op9_simhash_segments")
+def op9_simhash_segments(spark, sf_dir):
+    return simhash.near_duplicate_rows(documents(spark, sf_dir))

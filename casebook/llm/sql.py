@@ -34,3 +34,46 @@ WITH RECURSIVE {_CRC}, d AS (
 SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
     row_number() OVER (PARTITION BY shard ORDER BY slice, doc_id, text_crc32, size) - 1 AS slot
 FROM placed"""
+
+
+_RUN = r"(?:[^\n \t\x0B\f\r]+[ \t\x0B\f\r]*){1,4}"
+
+
+def _fingerprint(text: str) -> str:
+    """Scalar SQL: {same, like} of a text expression."""
+    paragraphs = f"list_transform(string_split({text}, chr(10)), lambda p: sha256(p))"
+    same = (f"list_transform(range(8), lambda i: list_sum(list_transform({paragraphs}, "
+            "lambda d: ('0x' || substr(d, 8 * i + 1, 8))::BIGINT)) % 4294967296)")
+    codes = (f"list_transform(regexp_extract_all({text}, '{_RUN}'), "
+             "lambda r: ('0x' || substr(md5(rtrim(r, ' ')), 1, 4))::BIGINT % 256)")
+    like = (f"list_transform(range(128), lambda l: len(list_filter({codes}, lambda c: c = l)) "
+            f"- len(list_filter({codes}, lambda c: c = l + 128)))")
+    return f"{{'same': {same}, 'like': {like}}}"
+
+
+def _hex(fp: str) -> str:
+    return (f"array_to_string(list_transform({fp}.same, lambda x: lpad(lower(hex(x::BIGINT)), 8, '0')), '') || "
+            f"array_to_string(list_transform({fp}.like, lambda x: lpad(lower(hex(((x::BIGINT % 65536) + 65536) % 65536)), 4, '0')), '')")
+
+
+def _likeness(a: str, b: str) -> str:
+    def dot(x, y):
+        return f"list_sum(list_transform(range(1, 129), lambda i: {x}.like[i] * {y}.like[i]))"
+    return (f"CASE WHEN {a} = {b} THEN 1.0::DOUBLE WHEN {dot(a, a)} = 0 OR {dot(b, b)} = 0 THEN 0.0::DOUBLE "
+            f"ELSE least(1.0, greatest(0.0, {dot(a, b)} / (sqrt({dot(a, a)}::DOUBLE) * sqrt({dot(b, b)}::DOUBLE)))) END")
+
+
+MULTISET_FINGERPRINTS = f"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS k FROM documents
+), u AS (SELECT DISTINCT doc_id, text, k FROM d
+), o AS (
+    SELECT doc_id, text, k, length(text) AS n, coalesce(lead(k) OVER w, first_value(k) OVER w) AS nk,
+        coalesce(lead(text) OVER w, first_value(text) OVER w) AS nt
+    FROM u WINDOW w AS (ORDER BY doc_id DESC NULLS LAST, k DESC)
+), e AS (SELECT *, substr(text, 1, (n - n // 3)::BIGINT) || substr(nt, 1, (n // 3)::BIGINT) AS edited FROM o
+), f AS (SELECT *, {_fingerprint('text')} AS own, {_fingerprint('edited')} AS ed FROM e
+), j AS (SELECT f.*, g.own AS other FROM f JOIN f AS g ON f.nk = g.k)
+SELECT j.doc_id, n::BIGINT AS n_chars, sha256(edited) AS edited_sha256, {_hex('own')} AS fingerprint,
+    {_hex('ed')} AS edited_fingerprint, {_likeness('own', 'ed')} AS near_edited, {_likeness('own', 'other')} AS near_next
+FROM j JOIN d USING (k)"""
