@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import casebook
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Functions of this package travel to Python workers by value, so executors need no copy of it.
+cloudpickle.register_pickle_by_value(casebook)
+
 #: Columns of the documents table, in order; pipeline stages but the last return these.
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import multiset, sharding, simhash
+from casebook.llm import multiset, sharding, simhash, substrings
 from casebook.llm import sql
 from casebook.llm.common import documents
 
@@ -33,3 +33,8 @@ def op5_multiset_fingerprints(spark, sf_dir):
 @query("op9_simhash_segments")
 def op9_simhash_segments(spark, sf_dir):
     return simhash.near_duplicate_rows(documents(spark, sf_dir))
+
+
+@query("op2_sentence_spans")
+def op2_sentence_spans(spark, sf_dir):
+    return substrings.dedup_substrings(documents(spark, sf_dir))
