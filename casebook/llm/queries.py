@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import multiset, sharding, simhash, substrings
+from casebook.llm import multiset, secrets, sharding, simhash, substrings
 from casebook.llm import sql
 from casebook.llm.common import documents
 
@@ -38,3 +38,8 @@ def op9_simhash_segments(spark, sf_dir):
 @query("op2_sentence_spans")
 def op2_sentence_spans(spark, sf_dir):
     return substrings.dedup_substrings(documents(spark, sf_dir))
+
+
+@query("op1_secret_automaton")
+def op1_secret_automaton(spark, sf_dir):
+    return secrets.scan_documents(documents(spark, sf_dir))
