@@ -25,22 +25,33 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def public_tokenizer(name: str) -> str:
+    """JSON text of an installed public tokenizer file, read on the driver: tasks get the text, so the
+    executors need no such file."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
+
 def text_of(df: DataFrame) -> DataFrame:
     """``doc_id`` and the whole text, null read as empty; other columns do not travel."""
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def map_texts(df: DataFrame, fn, schema: str, max_chars: int = 4_000_000) -> DataFrame:
-    """``mapInArrow`` over frames that hold a ``text`` column: ``fn(batch: pa.Table) -> pa.Table | None``.
+def map_texts(df: DataFrame, fn, schema: str, max_chars: int = 4_000_000, per_task: bool = False) -> DataFrame:
+    """``mapInArrow`` over frames that hold a ``text`` column: ``fn(batch) -> pa.Table | None``. With
+    ``per_task``, ``fn()`` makes that function, once a task, for what is costly to build.
 
     Arrow batches have a row limit, not a byte limit, so each is cut into slices of about
     ``max_chars`` bytes of text (one longer text makes a slice of its own): memory in the Python
     worker is bounded by that and by the longest single text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        each = fn() if per_task else fn
         for batch in batches:
             for part in slices(batch, max_chars):
-                out = fn(part)
+                out = each(part)
                 if out is not None:
                     yield from out.to_batches()
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import multiset, secrets, sharding, simhash, substrings
+from casebook.llm import multiset, packing, secrets, sharding, simhash, substrings
 from casebook.llm import sql
-from casebook.llm.common import documents
+from casebook.llm.common import documents, public_tokenizer
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -43,3 +43,8 @@ def op2_sentence_spans(spark, sf_dir):
 @query("op1_secret_automaton")
 def op1_secret_automaton(spark, sf_dir):
     return secrets.scan_documents(documents(spark, sf_dir))
+
+
+@query("op8_least_squares_packing")
+def op8_least_squares_packing(spark, sf_dir):
+    return packing.pack(documents(spark, sf_dir), public_tokenizer("word_bpe_49k.json"))
