@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import multiset, packing, secrets, sharding, simhash, substrings
+from casebook.llm import multiset, packing, secrets, sharding, simhash, substrings, weakrules
 from casebook.llm import sql
 from casebook.llm.common import documents, public_tokenizer
 
@@ -48,3 +48,8 @@ def op1_secret_automaton(spark, sf_dir):
 @query("op8_least_squares_packing")
 def op8_least_squares_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), public_tokenizer("word_bpe_49k.json"))
+
+
+@query("op4_weak_supervision")
+def op4_weak_supervision(spark, sf_dir):
+    return weakrules.quality_rules(documents(spark, sf_dir)).drop("quality")
