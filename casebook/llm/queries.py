@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import multiset, packing, secrets, sharding, simhash, substrings, weakrules
+from casebook.llm import bytebpe, multiset, packing, secrets, sharding, simhash, substrings, weakrules
 from casebook.llm import sql
 from casebook.llm.common import documents, public_tokenizer
 
@@ -53,3 +53,8 @@ def op8_least_squares_packing(spark, sf_dir):
 @query("op4_weak_supervision")
 def op4_weak_supervision(spark, sf_dir):
     return weakrules.quality_rules(documents(spark, sf_dir)).drop("quality")
+
+
+@query("op6_distinct_word_bpe")
+def op6_distinct_word_bpe(spark, sf_dir):
+    return bytebpe.encode_documents(documents(spark, sf_dir), public_tokenizer("byte_bpe_50k.json"))
