@@ -115,8 +115,9 @@ def next_documents(keys: DataFrame) -> DataFrame:
 
 def edited_documents(docs: DataFrame) -> DataFrame:
     """``(doc_id, _key, _copies, _next, text, edited)``: one row per distinct document with its
-    edited text. Texts are shuffled once by key; only the third that replaces the end of another
-    document travels again."""
+    edited text. Texts are shuffled once by key (both uses below read the same columns, so that
+    Spark reuses the exchange); only the third that replaces the end of another document travels
+    again. What else is known of a document comes from the narrow table."""
     body = text_of(docs)
     keyed = body.withColumn("_key", F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("text"))))
     light = stage(keyed.groupBy("doc_id", "_key").agg(F.max(F.length("text")).alias("n"), F.count(F.lit(1)).alias("_copies")))
@@ -124,11 +125,11 @@ def edited_documents(docs: DataFrame) -> DataFrame:
     wanted = follows.join(light.select("_key", "n"), "_key").select(
         F.col("_next").alias("_key"), F.col("_key").alias("_for"), F.floor(F.col("n") / 3).cast("int").alias("_take"))
     same = Window.partitionBy("_key").orderBy("_key")
-    single = keyed.withColumn("_earlier", F.lag(F.lit(1)).over(same)).filter(F.col("_earlier").isNull()).drop("_earlier")
+    single = (keyed.select("_key", "text").withColumn("_earlier", F.lag(F.lit(1)).over(same))
+              .filter(F.col("_earlier").isNull()).drop("_earlier"))
     ends = single.join(wanted, "_key").select(
         F.col("_for").alias("_key"), F.col("_key").alias("_next"), F.expr("substring(text, 1, _take)").alias("_end"))
-    copies = light.select("_key", "_copies")
-    return (single.join(ends, "_key").join(copies, "_key")
+    return (single.join(ends, "_key").join(light.select("doc_id", "_key", "_copies"), "_key")
             .withColumn("edited", F.expr("concat(substring(text, 1, length(text) - cast(floor(length(text) / 3) as int)), _end)"))
             .drop("_end"))
 
