@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import bytebpe, multiset, packing, secrets, sharding, simhash, substrings, weakrules
+from casebook.llm import bytebpe, multiset, packing, secrets, sharding, simhash, substrings, weakrules, wordvectors
 from casebook.llm import sql
-from casebook.llm.common import documents, public_tokenizer
+from casebook.llm.common import documents, labels, public_tokenizer
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -58,3 +58,8 @@ def op4_weak_supervision(spark, sf_dir):
 @query("op6_distinct_word_bpe")
 def op6_distinct_word_bpe(spark, sf_dir):
     return bytebpe.encode_documents(documents(spark, sf_dir), public_tokenizer("byte_bpe_50k.json"))
+
+
+@query("op3_random_indexing_quality")
+def op3_random_indexing_quality(spark, sf_dir):
+    return wordvectors.quality_scores(documents(spark, sf_dir), labels(spark, sf_dir))
