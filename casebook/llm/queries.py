@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import bytebpe, multiset, packing, secrets, sharding, simhash, substrings, weakrules, wordvectors
+from casebook.llm import bytebpe, multiset, packing, secrets, sharding, simhash, substrings, toxicity, weakrules, wordvectors
 from casebook.llm import sql
 from casebook.llm.common import documents, labels, public_tokenizer
 
@@ -63,3 +63,8 @@ def op6_distinct_word_bpe(spark, sf_dir):
 @query("op3_random_indexing_quality")
 def op3_random_indexing_quality(spark, sf_dir):
     return wordvectors.quality_scores(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query("op7_counterfactual_toxicity")
+def op7_counterfactual_toxicity(spark, sf_dir):
+    return toxicity.toxicity_scores(documents(spark, sf_dir), labels(spark, sf_dir))
