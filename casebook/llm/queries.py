@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from casebook.llm import bytebpe, multiset, packing, secrets, sharding, simhash, substrings, toxicity, weakrules, wordvectors
@@ -68,3 +69,6 @@ def op3_random_indexing_quality(spark, sf_dir):
 @query("op7_counterfactual_toxicity")
 def op7_counterfactual_toxicity(spark, sf_dir):
     return toxicity.toxicity_scores(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
