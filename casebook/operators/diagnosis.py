@@ -66,19 +66,16 @@ def dedup_diagnoses(df: DataFrame, order: list[str] | None = None) -> DataFrame:
     """D7d: diagnosis rows keep the earliest entry per (patient, site, kind, code, certainty); anamnesis
     and lab rows stay; other kinds vanish.
 
-    One pass (no union of two branches, which would evaluate the upstream chain twice): a window
-    over the five keys plus, for anamnesis/lab rows only, their content hash — those rows spread
-    over many small partitions and are all kept. Unknown dates sort last (pandas puts NaT last);
-    ties on the date break by the content hash."""
+    Anamnesis and lab rows (most of a journal, with its text) pass without an exchange. Diagnosis rows
+    are ranked by the five keys; Spark drops all but the first of a key before the shuffle already
+    (WindowGroupLimit), so a very active patient is reduced on the map side. Unknown dates sort last
+    (pandas puts NaT last); ties on the date break by the content hash."""
     keys = [PATIENT, SITE, "TYP", "ICD10", "SICHERHEIT"]
     ordering = [F.col(c) for c in order] if order else [
         F.col("entry_date").isNull(), F.col("entry_date"), F.col(ENTRY_ID)]
-    kept_kind = F.col("TYP").isin("A", "Y")
-    spread = F.when(kept_kind, F.col(ENTRY_ID))
-    w = Window.partitionBy(*keys, spread).orderBy(*ordering)
-    return (df.filter(F.col("TYP").isin("A", "Y", "*", "D"))
-            .withColumn("_rn", F.row_number().over(w))
-            .filter(kept_kind | (F.col("_rn") == 1)).drop("_rn"))
+    first = Window.partitionBy(*keys).orderBy(*ordering)
+    single = df.filter(_is_diag()).withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") == 1).drop("_rn")
+    return df.filter(F.col("TYP").isin("A", "Y")).unionByName(single)
 
 
 def drop_reimbursement(df: DataFrame) -> DataFrame:
@@ -90,8 +87,9 @@ def label_diagnosis(df: DataFrame, codes: list[str] | None = None) -> DataFrame:
     """Per patient and code: excluded (any row code+A) > confirmed (any '*' row code+G/Z) >
     suspicious (any row with the code) > null.
 
-    One per-patient aggregate for all codes (3 flags each), joined back on the patient key; with
-    AQE the join splits a hot patient's rows across tasks (skew join)."""
+    One per-patient aggregate for all codes (3 flags each). Only patients with one of the codes are
+    joined back: they are few, so AQE may broadcast the labels by their measured size; beyond that the
+    join on the patient key splits a hot patient's rows across tasks (skew join)."""
     codes = codes or LABEL_CODES
     aggs = []
     for c in codes:
@@ -102,7 +100,7 @@ def label_diagnosis(df: DataFrame, codes: list[str] | None = None) -> DataFrame:
             F.max((is_c & (F.col("TYP") == "*") & F.col("SICHERHEIT").isin("G", "Z")).cast("int")).alias(f"_c_{k}"),
             F.max(is_c.cast("int")).alias(f"_s_{k}"),
         ]
-    per = df.groupBy(PATIENT).agg(*aggs)
+    per = df.groupBy(PATIENT).agg(*aggs).filter(" + ".join(f"coalesce(_s_{c.replace('.', '_')}, 0)" for c in codes) + " > 0")
     labels = []
     for c in codes:
         k = c.replace(".", "_")

@@ -154,13 +154,27 @@ def one_hot(df: DataFrame, cols: Sequence[str], categories: Sequence[str]) -> Da
     return df.select(*outs)
 
 
-def discriminative_tests(labs: DataFrame, min_n: int = 5, min_share: float = 0.6) -> DataFrame:
-    """Per patient and test the 7-way majority without Normal; per test, patients whose
-    majority is High/Low/Positive/Negative; n, share of the top outcome, Dominant; keep n > min_n and
-    share > min_share, ordered by n desc."""
-    x = labs.filter(F.col("Inference") != "Normal")
+def entry_values(labs: DataFrame, entries: DataFrame) -> DataFrame:
+    """``(PATIENT, Lab_test, Inference, n)``: the last value of each test per entry key, and the number
+    ``n`` of lab entries that the five-key merge gives it to (an entry row that repeats counts each
+    time). The free text only enters as part of an md5 key."""
+    def key(keys: Sequence[str]) -> Column:
+        return F.md5(F.concat_ws("\x1f", *[F.col(k).cast("string") for k in keys]))  # keys are not null here
+
+    last = _last_per_test(labs.dropna(subset=MAP_KEYS), MAP_KEYS).select(
+        PATIENT, "Lab_test", "Inference", key(WIDE_KEYS).alias("_entry"))
+    times = (entries.filter(F.col("TYP") == "Y").dropna(subset=WIDE_KEYS).groupBy(key(WIDE_KEYS).alias("_entry"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    return last.join(times, "_entry").drop("_entry")
+
+
+def discriminative_tests(values: DataFrame, min_n: int = 5, min_share: float = 0.6) -> DataFrame:
+    """L12 over ``entry_values``: per patient and test the 7-way majority without Normal; per test,
+    patients whose majority is High/Low/Positive/Negative; n, share of the top outcome, Dominant; keep
+    n > min_n and share > min_share, ordered by n desc."""
+    x = values.filter(F.col("Inference") != "Normal")
     counts = x.groupBy(PATIENT, "Lab_test").agg(
-        *[F.count_if(F.col("Inference") == cat).alias(f"c{i}") for i, cat in enumerate(MAJORITY7_CATEGORIES)])
+        *[F.sum(F.when(F.col("Inference") == cat, F.col("n")).otherwise(0)).alias(f"c{i}") for i, cat in enumerate(MAJORITY7_CATEGORIES)])
     cands = [F.struct(F.col(f"c{i}").alias("n"), F.lit(-i).alias("p"), F.lit(cat).alias("label"))
              for i, cat in enumerate(MAJORITY7_CATEGORIES)]
     major = counts.select("Lab_test", F.array_max(F.array(*cands)).getField("label").alias("major"))
@@ -175,14 +189,15 @@ def discriminative_tests(labs: DataFrame, min_n: int = 5, min_share: float = 0.6
     return out.filter((F.col("n") > min_n) & (F.col("share") > min_share)).orderBy(F.desc("n"), "Lab_test")
 
 
-def relevant_test_score(labs: DataFrame, dominant: DataFrame) -> DataFrame:
-    """Per patient, the number of (entry, test) values equal to the test's Dominant outcome.
+def relevant_test_score(values: DataFrame, dominant: DataFrame, patients: DataFrame) -> DataFrame:
+    """L13 over ``entry_values``: per patient, the number of (entry, test) values equal to the test's
+    Dominant outcome; patients without one have 0.
 
     ``dominant`` has one row per test that passed the discriminative filter — bounded by the
     number of distinct test names; AQE broadcasts it when small."""
-    d = dominant.select("Lab_test", F.col("Dominant"))
-    hits = labs.join(d, "Lab_test").filter(F.col("Inference") == F.col("Dominant"))
-    return hits.groupBy(PATIENT).agg(F.count(F.lit(1)).alias("relevant_tests"))
+    hits = values.join(dominant.select("Lab_test", F.col("Dominant").alias("Inference")), ["Lab_test", "Inference"])
+    scores = hits.groupBy(PATIENT).agg(F.sum("n").alias("_hits"))
+    return patients.join(scores, PATIENT, "left").select(PATIENT, F.coalesce("_hits", F.lit(0)).cast("long").alias("relevant_tests"))
 
 
 def top_abnormal_tests(labs: DataFrame, entries: DataFrame, phrase: str, k: int = 20) -> DataFrame:

@@ -19,7 +19,7 @@ from casebook.plans import oracle as O
 from casebook.schema import FLAG_COLUMNS, PATIENT, SITE
 from casebook.session import apply_plan_settings, stage
 from casebook.sources import journal as IO
-from casebook.sources.fixtures import journal_view, spread
+from casebook.sources.fixtures import journal_view
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {}
@@ -382,7 +382,13 @@ O.cte("certain_eq", ["certain_src"], O.with_inference(O.eq_sql("certain_src")))
 O.cte("certain_labs", ["certain_eq"],
       "SELECT * FROM certain_eq WHERE (ZENTRUM_ID, Lab_test) IN "
       "(SELECT (ZENTRUM_ID, Lab_test) FROM certain_eq GROUP BY ZENTRUM_ID, Lab_test HAVING count(*) >= 2)")
-O.cte("disc", ["certain_labs"], _disc_sql("certain_labs"))
+O.cte("certain_last", ["certain_labs"], f"SELECT {O.MAP_KEYS_SQL}, Lab_test, arg_max(Inference, entry_id || ':' || "
+      "lpad(CAST(pos AS VARCHAR), 10, '0')) AS Inference FROM certain_labs WHERE "
+      + " AND ".join(f"{k.strip()} IS NOT NULL" for k in O.MAP_KEYS_SQL.split(",")) + " GROUP BY ALL")
+O.cte("certain_values", ["certain_last", "certain_e75"],
+      "SELECT e.PATIENT_HASH, l.Lab_test, l.Inference FROM certain_e75 e JOIN certain_last l "
+      "USING (PATIENT_HASH, ZENTRUM_ID, DATUM, TYP, TEXT) WHERE e.TYP = 'Y'")
+O.cte("disc", ["certain_values"], _disc_sql("certain_values"))
 
 
 def pre_stage(spark, sf_dir, keep_flags=False):
@@ -390,10 +396,12 @@ def pre_stage(spark, sf_dir, keep_flags=False):
     return stage(pre(spark, sf_dir, keep_flags))
 
 
-def certain_labs(spark, sf_dir):
+def certain_values(spark, sf_dir):
+    """(rows of the patients with a certain E75.22 diagnosis, their lab values per entry)."""
     p = pre_stage(spark, sf_dir)
-    ids = C.diagnosed_cases(p, "E75.22", source="certain")
-    return LB.filter_rare_tests(LB.explode_labs(C.keep_patients(p, ids), ("eq",)), by=[SITE])
+    rows = stage(C.keep_patients(p, C.diagnosed_cases(p, "E75.22", source="certain")))
+    labs = LB.filter_rare_tests(LB.explode_labs(rows, ("eq",)), by=[SITE])
+    return rows, LB.entry_values(labs, rows)
 
 
 _DISC_COLS = ["Lab_test", *R.DOMINANT_CATEGORIES, "n", "share", "Dominant"]
@@ -402,16 +410,18 @@ _DISC_COLS = ["Lab_test", *R.DOMINANT_CATEGORIES, "n", "share", "Dominant"]
 @query("discriminative_tests", O.sql(
     "SELECT " + ", ".join(f'"{c}"' for c in _DISC_COLS) + " FROM disc WHERE n > 5 AND share > 0.6", "disc"))
 def q_disc(spark, sf_dir):
-    return LB.discriminative_tests(certain_labs(spark, sf_dir)).select(*_DISC_COLS)
+    return LB.discriminative_tests(certain_values(spark, sf_dir)[1]).select(*_DISC_COLS)
 
 
 @query("relevant_test_score", O.sql(
-    "SELECT PATIENT_HASH, count(*) AS relevant_tests FROM certain_labs l JOIN "
-    "(SELECT Lab_test, Dominant FROM disc WHERE n > 5 AND share > 0.6) d USING (Lab_test) "
-    "WHERE l.Inference = d.Dominant GROUP BY PATIENT_HASH", "certain_labs", "disc"))
+    "SELECT p.PATIENT_HASH, count(d.Lab_test) AS relevant_tests FROM (SELECT DISTINCT PATIENT_HASH FROM certain_e75) p "
+    "LEFT JOIN certain_values l USING (PATIENT_HASH) LEFT JOIN (SELECT Lab_test, Dominant FROM disc WHERE n > 5 AND "
+    "share > 0.6) d ON d.Lab_test = l.Lab_test AND d.Dominant = l.Inference GROUP BY p.PATIENT_HASH",
+    "certain_values", "certain_e75", "disc"))
 def q_relevant(spark, sf_dir):
-    labs = certain_labs(spark, sf_dir)
-    return LB.relevant_test_score(labs, LB.discriminative_tests(labs))
+    rows, values = certain_values(spark, sf_dir)
+    values = stage(values)
+    return LB.relevant_test_score(values, LB.discriminative_tests(values), rows.select(PATIENT).distinct())
 
 
 O.cte("e78_entries", ["cert"], "SELECT * FROM cert WHERE TEXT IS NOT NULL")
@@ -761,7 +771,7 @@ from casebook.operators import text as TX  # noqa: E402
 
 def documents(spark, sf_dir):
     apply_plan_settings(spark)
-    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), "doc_id")
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
 
 
 _WS = "[\\s]"
@@ -809,8 +819,11 @@ def q_long_tokens(spark, sf_dir):
                                            F.size(F.array_distinct("long_tokens")).alias("n_distinct"))
 
 
-def doc_vectors(spark, sf_dir, stem=False):
-    return TX.tfidf(doc_notes(spark, sf_dir, stem), "doc_id", "long_tokens", min_df=10, max_df=0.3)
+def doc_vectors(spark, sf_dir, stem=True):
+    """Documents are hashed by id once: term frequencies and norms per document then need no further
+    exchange, instead of one of all (document, term) rows."""
+    notes = TX.notes(documents(spark, sf_dir).repartition("doc_id"), "doc_id", "text", stem=stem)
+    return TX.tfidf(notes, "doc_id", "long_tokens", min_df=10, max_df=0.3)
 
 
 @query("tfidf", O.sql("SELECT doc_id, term, round(weight, 6) AS weight FROM d_vec", "d_vec"))

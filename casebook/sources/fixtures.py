@@ -14,19 +14,8 @@ from pyspark.sql import functions as F
 from casebook.schema import ENTRY_ID, RAW_COLUMNS
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, spread_by) if spread_by else df
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores (a small file with few
-    Parquet row groups) by hashing a uniform key, so the CPU-heavy text rules run on every core.
-    A large input already has enough splits and is left alone (no extra shuffle at scale)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores * 2, key)
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _two(c: Column) -> Column:
@@ -49,8 +38,10 @@ def _case(key: Column, values: list[str | Column], default=None) -> Column:
 
 
 def journal_view(spark: SparkSession, sf_dir: str, with_entry_id: bool = True) -> DataFrame:
-    li = spread(read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"), "l_orderkey")
+    # Hash by the join key: the exchange that the join with orders needs at scale. Where orders is
+    # small enough for AQE to broadcast, it still deals a file of few row groups to all cores.
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate").repartition("l_orderkey")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     j = li.join(od, li.l_orderkey == od.o_orderkey).join(cu, F.col("o_custkey") == cu.c_custkey)
@@ -122,8 +113,13 @@ def journal_view(spark: SparkSession, sf_dir: str, with_entry_id: bool = True) -
 
 def add_entry_id(df: DataFrame) -> DataFrame:
     """Content hash of the raw row: a stable, engine-independent tie-break (exact duplicates tie,
-    which is harmless because they are interchangeable)."""
-    return df.withColumn(ENTRY_ID, F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in RAW_COLUMNS])))
+    which is harmless because they are interchangeable). Every column enters as ``N`` if null, else
+    as its length and value, so rows that differ in any column hash different texts."""
+    def part(c: str) -> Column:
+        v = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("N"))
+
+    return df.withColumn(ENTRY_ID, F.md5(F.concat(*[part(c) for c in RAW_COLUMNS])))
 
 
 # The same view for the DuckDB oracle. Written independently of the DataFrame code above; the
@@ -174,7 +170,7 @@ FROM (
 ) src
 """
 
-JOURNAL_ENTRY_SQL = (
-    "SELECT *, md5(concat_ws('|', PATIENT_HASH, ZENTRUM_ID, CAST(PATIENT_ID AS VARCHAR), PAT_GEBDATUM, "
-    "PAT_GESCHLECHT, DATUM, TYP, TYP_EXT, TEXT, ICD10, SICHERHEIT)) AS entry_id FROM (" + JOURNAL_SQL + ") jv"
-)
+# Fixed column order of the raw journal, as in ``schema.RAW_COLUMNS``.
+JOURNAL_ENTRY_SQL = "SELECT *, md5(" + " || ".join(
+    f"coalesce(CAST(length(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), 'N')" for c in RAW_COLUMNS
+) + ") AS entry_id FROM (" + JOURNAL_SQL + ") jv"
