@@ -134,7 +134,7 @@ wir wird wirst wo wollen wollte würde würden zu zum zur zwar zwischen
 # --- FIXED VALUES: text cleaning --------------------------------------------------------------------
 EXTRA_STOP_WORDS = ["hypercholesterinaemi", "hypercholesterinami", "hypercholesterinamie"]
 RE_TAGS = r"<[^>]+>"
-RE_SINGLE_LETTER = r"\b[A-Za-zÀ-ž]\b"
+SINGLE_LETTER = "[A-Za-zÀ-ž]"
 RE_SINGLE_LETTER_EMBEDDING = r"\b[A-Za-zÀ-ž,.!?]\b"
 MIN_TOKEN_LENGTH = 9  # tokens longer than 8
 

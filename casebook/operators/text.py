@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casebook.functions.rules import EXTRA_STOP_WORDS, GERMAN_STOP_WORDS, MIN_TOKEN_LENGTH, RE_TAGS
+from casebook.functions.rules import (EXTRA_STOP_WORDS, GERMAN_STOP_WORDS, MIN_TOKEN_LENGTH,
+                                      RE_SINGLE_LETTER_EMBEDDING, RE_TAGS, SINGLE_LETTER)
 from casebook.operators.dates import entry_order
 from casebook.schema import PATIENT
 from casebook.session import stage
@@ -51,18 +52,18 @@ def patient_word_count(df: DataFrame, order: tuple[str, ...] | None = None, typ:
 # ---------------------------------------------------------------- T2/T3: cleaning and tokens
 
 
-def clean_tokens(text: str | Column, stem: bool = False, for_embedding: bool = False) -> Column:
-    """Tags → blank; tokens are word runs (letters, digits, '_'), lower-cased; German stop
-    words (+ domain words) removed; optionally stemmed. ``for_embedding`` keeps case, stop words
-    and the punctuation marks , . ! ? as tokens. (Single letters are dropped by every consumer:
-    the long-token filter and the 2+-character term pattern.)"""
+def clean_tokens(text: str | Column, stem: bool = True, for_embedding: bool = False) -> Column:
+    """Tags → blank; tokens are word runs (letters, digits, '_'), lower-cased; single letters and
+    German stop words (+ domain words) removed; stemmed (as the reference always does) unless
+    ``stem`` is off. ``for_embedding`` keeps case, stop words, stems and the punctuation marks
+    , . ! ? as tokens, but drops single letters and marks that stand inside a word."""
     c = F.col(text) if isinstance(text, str) else text
     no_tags = F.regexp_replace(F.coalesce(c, F.lit("")), RE_TAGS, " ")
     if for_embedding:
-        return F.regexp_extract_all(no_tags, F.lit(WORD + r"|[,.!?]"), 0)
+        return F.regexp_extract_all(F.regexp_replace(no_tags, "(?U)" + RE_SINGLE_LETTER_EMBEDDING, " "), F.lit(WORD + r"|[,.!?]"), 0)
     toks = F.regexp_extract_all(F.lower(no_tags), F.lit(WORD), 0)
     stops = F.array(*[F.lit(w) for w in german_stop_words()])
-    toks = F.filter(toks, lambda t: ~F.array_contains(stops, t))
+    toks = F.filter(toks, lambda t: ~F.array_contains(stops, t) & ~t.rlike(f"^{SINGLE_LETTER}$"))
     return F.transform(toks, german_stem) if stem else toks
 
 
@@ -91,44 +92,67 @@ def _chop(word: Column, k) -> Column:
     return word.substr(F.lit(1), F.length(word) - k)
 
 
+def _first(word: Column, cases: list[tuple[Column, Column]]) -> Column:
+    """The result of the first case whose condition holds, else the word."""
+    out = None
+    for cond, value in cases:
+        out = F.when(cond, value) if out is None else out.when(cond, value)
+    return out.otherwise(word)
+
+
+def _ends(word: Column, suffix: str, region: Column) -> Column:
+    """Does the word end in the suffix, all of it in the region that starts at ``region``?"""
+    return word.endswith(suffix) & (F.length(word) - len(suffix) >= region)
+
+
 def _step1(w: Column, r1: Column) -> Column:
-    n = F.length(w)
-    len_em = F.when(w.endswith("ern"), 3).otherwise(2)
-    len_e = F.when(w.endswith("en") | w.endswith("es"), 2).otherwise(1)
-    return (F.when(w.rlike("(em|ern|er)$") & (n - len_em >= r1), _chop(w, len_em))
-            .when(w.rlike("(e|en|es)$") & (n - len_e >= r1), F.regexp_replace(_chop(w, len_e), "niss$", "nis"))
-            .when(w.rlike("[bdfghklmnrt]s$") & (n - 1 >= r1), _chop(w, 1))
-            .otherwise(w))
+    cases = [(_ends(w, suf, r1), _chop(w, len(suf))) for suf in ("ern", "em", "er")]
+    for suf in ("en", "es", "e"):
+        cases.append((_ends(w, suf, r1), F.when(w.endswith("niss" + suf), _chop(w, len(suf) + 1)).otherwise(_chop(w, len(suf)))))
+    cases.append((_ends(w, "s", r1) & w.rlike("[bdfghklmnrt]s$"), _chop(w, 1)))
+    return _first(w, cases)
 
 
-def _step2(s1: Column, r1: Column) -> Column:
-    n1 = F.length(s1)
-    len2 = F.when(s1.endswith("est"), 3).otherwise(2)
-    return (F.when(s1.rlike("(en|er|est)$") & (n1 - len2 >= r1), _chop(s1, len2))
-            .when(s1.rlike("[bdfghklmnt]st$") & (n1 >= 6) & (n1 - 2 >= r1), _chop(s1, 2))
-            .otherwise(s1))
+def _step2(w: Column, r1: Column) -> Column:
+    cases = [(_ends(w, suf, r1), _chop(w, len(suf))) for suf in ("est", "en", "er")]
+    cases.append((_ends(w, "st", r1) & w.rlike("[bdfghklmnt]st$") & (F.length(w) >= 6), _chop(w, 2)))
+    return _first(w, cases)
 
 
-def _step3(s2: Column, r2: Column) -> Column:
-    out = None
-    for suf in ("ung", "end", "isch", "lich", "heit", "keit", "ig", "ik"):
-        cond = s2.endswith(suf) & (F.length(s2) - len(suf) >= r2)
-        out = F.when(cond, _chop(s2, len(suf))) if out is None else out.when(cond, _chop(s2, len(suf)))
-    return out.otherwise(s2)
+def _step3(w: Column, r1: Column, r2: Column) -> Column:
+    n = F.length(w)
 
+    def no_e_before(k: int) -> Column:
+        """No 'e' in R2 right before the last k letters."""
+        return ~((n - k - 1 >= r2) & (w.substr(n - k, F.lit(1)) == "e"))
 
-def german_stem(word: Column) -> Column:
-    """Snowball-style German stemming as Column expressions: ß→ss; R1/R2 regions; step 1 (em ern
-    er | e en es | s after a valid s-ending), step 2 (en er est | st after a valid st-ending),
-    step 3 (the first of ung end isch lich heit keit ig ik lying in R2); umlauts lose their dots."""
-    return let(F.regexp_replace(word, "ß", "ss"), lambda w: let(
-        F.greatest(_region_start(w), F.lit(3)), lambda r1: let(
-            r1 + _region_start(w.substr(r1 + 1, F.lit(1 << 20))), lambda r2: let(
-                _step1(w, r1), lambda s1: let(
-                    _step2(s1, r1), lambda s2: F.translate(_step3(s2, r2), "äöü", "aou"))))))
+    cases = [(_ends(w, "isch", r2), F.when(no_e_before(4), _chop(w, 4)).otherwise(w))]
+    for suf in ("lich", "heit"):
+        er_en = _ends(w, "er" + suf, r1) | _ends(w, "en" + suf, r1)
+        cases.append((_ends(w, suf, r2), F.when(er_en, _chop(w, 6)).otherwise(_chop(w, 4))))
+    cases.append((_ends(w, "keit", r2), F.when(_ends(w, "lichkeit", r2), _chop(w, 8)).when(_ends(w, "igkeit", r2), _chop(w, 6))
+                  .otherwise(_chop(w, 4))))
+    for suf in ("end", "ung"):
+        cases.append((_ends(w, suf, r2), F.when(_ends(w, "ig" + suf, r2) & no_e_before(5), _chop(w, 5)).otherwise(_chop(w, 3))))
+    for suf in ("ig", "ik"):
+        cases.append((_ends(w, suf, r2), F.when(no_e_before(2), _chop(w, 2)).otherwise(w)))
+    return _first(w, cases)
 
 
-def notes(df: DataFrame, doc: str, text: str, stem: bool = False) -> DataFrame:
+def german_stem(word: Column) -> Column:
+    """Snowball's German stemmer as Column expressions: ß → ss; u and y between vowels are consonants;
+    regions R1 (at least three letters before it) and R2; steps 1-3; umlauts lose their dots."""
+    marked = F.regexp_replace(F.regexp_replace(F.regexp_replace(word, "ß", "ss"), f"([{_V}])u(?=[{_V}])", "$1U"),
+                              f"([{_V}])y(?=[{_V}])", "$1Y")
+    return let(marked, lambda w: let(
+        _region_start(w), lambda r: let(
+            F.greatest(r, F.lit(3)), lambda r1: let(
+                r + _region_start(w.substr(r + 1, F.lit(1 << 20))), lambda r2: let(
+                    _step1(w, r1), lambda s1: let(
+                        _step2(s1, r1), lambda s2: F.translate(_step3(s2, r1, r2), "äöüUY", "aouuy")))))))
+
+
+def notes(df: DataFrame, doc: str, text: str, stem: bool = True) -> DataFrame:
     """T2/T3 per document: ``tokens`` (cleaned) and ``long_tokens``, plus ``comment_clean``."""
     toks = clean_tokens(text, stem=stem)
     return (df.select(doc, toks.alias("tokens"))
@@ -168,7 +192,7 @@ def weigh_terms(terms: DataFrame, doc: str, n: Column, min_df: int = 10, max_df:
     return w.join(norms, doc).select(doc, "term", (F.col("w") / F.col("_norm")).alias("weight"))
 
 
-def patient_terms(df: DataFrame, stem: bool = False, typ: str = "A") -> tuple[DataFrame, Column]:
+def patient_terms(df: DataFrame, stem: bool = True, typ: str = "A") -> tuple[DataFrame, Column]:
     """T1-T4 per patient: the terms of the patient's notes joined in entry order (unigrams and
     bigrams of long tokens, including the bigram that spans two consecutive notes), without
     building the joined document.

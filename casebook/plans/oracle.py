@@ -260,3 +260,49 @@ def bootstrap_sql(src: str, cases: str, k: int, seed: int) -> str:
     return (f"SELECT PATIENT_HASH FROM (SELECT PATIENT_HASH, row_number() OVER (ORDER BY md5(PATIENT_HASH)) AS idx "
             f"FROM ({pool}) p) ix WHERE idx IN (SELECT (CAST('0x' || substr(md5('{seed}:' || CAST(range AS VARCHAR)), "
             f"1, 12) AS BIGINT) % (SELECT count(*) FROM ({pool}) c)) + 1 FROM range({k}))")
+
+
+def stem_ctes(prefix: str, src: str, tokens: str) -> None:
+    """``{prefix}_stem(word, stem)``: Snowball German over the distinct words of a token-list column, one
+    CTE a step (w: marked word, r1, r2: where the regions begin, from 0)."""
+    v = "[aeiouyäöü]"
+    c = "[^aeiouyäöü]"
+
+    def region(w: str) -> str:
+        m = f"regexp_extract({w}, '^.*?{v}{c}')"
+        return f"CASE WHEN {m} = '' THEN length({w}) ELSE length({m}) END"
+
+    def ends(w: str, suf: str, r: str) -> str:
+        return f"({w} LIKE '%{suf}' AND length({w}) - {len(suf)} >= {r})"
+
+    def chop(w: str, k: int) -> str:
+        return f"substr({w}, 1, length({w}) - {k})"
+
+    def no_e(w: str, k: int) -> str:
+        return f"NOT (length({w}) - {k} - 1 >= r2 AND substr({w}, length({w}) - {k}, 1) = 'e')"
+
+    cte(f"{prefix}_words", [src], f"SELECT DISTINCT unnest({tokens}) AS word FROM {src}")
+    # RE2 has no lookahead: the vowel after u or y is put back, twice for neighbours that share it.
+    w = "replace(word, 'ß', 'ss')"
+    for letter in "uy":
+        for _ in range(2):
+            w = f"regexp_replace({w}, '({v}){letter}({v})', '\\1{letter.upper()}\\2', 'g')"
+    cte(f"{prefix}_w0", [f"{prefix}_words"], f"SELECT word, w, {region('w')} AS r FROM (SELECT word, {w} AS w FROM {prefix}_words) x")
+    cte(f"{prefix}_w1", [f"{prefix}_w0"], f"SELECT word, w, greatest(r, 3) AS r1, r + {region('substr(w, r + 1)')} AS r2 FROM {prefix}_w0")
+    one = " ".join([*(f"WHEN {ends('w', s, 'r1')} THEN {chop('w', len(s))}" for s in ("ern", "em", "er")),
+                    *(f"WHEN {ends('w', s, 'r1')} THEN CASE WHEN w LIKE '%niss{s}' THEN {chop('w', len(s) + 1)} ELSE {chop('w', len(s))} END"
+                      for s in ("en", "es", "e")),
+                    f"WHEN {ends('w', 's', 'r1')} AND regexp_matches(w, '[bdfghklmnrt]s$') THEN {chop('w', 1)}"])
+    cte(f"{prefix}_w2", [f"{prefix}_w1"], f"SELECT word, r1, r2, CASE {one} ELSE w END AS w FROM {prefix}_w1")
+    two = " ".join([*(f"WHEN {ends('w', s, 'r1')} THEN {chop('w', len(s))}" for s in ("est", "en", "er")),
+                    f"WHEN {ends('w', 'st', 'r1')} AND regexp_matches(w, '[bdfghklmnt]st$') AND length(w) >= 6 THEN {chop('w', 2)}"])
+    cte(f"{prefix}_w3", [f"{prefix}_w2"], f"SELECT word, r1, r2, CASE {two} ELSE w END AS w FROM {prefix}_w2")
+    three = [f"WHEN {ends('w', 'isch', 'r2')} THEN CASE WHEN {no_e('w', 4)} THEN {chop('w', 4)} ELSE w END"]
+    three += [f"WHEN {ends('w', s, 'r2')} THEN CASE WHEN {ends('w', 'er' + s, 'r1')} OR {ends('w', 'en' + s, 'r1')} THEN {chop('w', 6)} "
+              f"ELSE {chop('w', 4)} END" for s in ("lich", "heit")]
+    three += [f"WHEN {ends('w', 'keit', 'r2')} THEN CASE WHEN {ends('w', 'lichkeit', 'r2')} THEN {chop('w', 8)} "
+              f"WHEN {ends('w', 'igkeit', 'r2')} THEN {chop('w', 6)} ELSE {chop('w', 4)} END"]
+    three += [f"WHEN {ends('w', s, 'r2')} THEN CASE WHEN {ends('w', 'ig' + s, 'r2')} AND {no_e('w', 5)} THEN {chop('w', 5)} "
+              f"ELSE {chop('w', 3)} END" for s in ("end", "ung")]
+    three += [f"WHEN {ends('w', s, 'r2')} THEN CASE WHEN {no_e('w', 2)} THEN {chop('w', 2)} ELSE w END" for s in ("ig", "ik")]
+    cte(f"{prefix}_stem", [f"{prefix}_w3"], f"SELECT word, translate(CASE {' '.join(three)} ELSE w END, 'äöüUY', 'aouuy') AS stem FROM {prefix}_w3")

@@ -790,8 +790,13 @@ def q_word_count(spark, sf_dir):
 
 _STOPS = "[" + ", ".join(O.q(w) for w in TX.german_stop_words()) + "]"
 _TOKS = ("list_filter(regexp_extract_all(lower(regexp_replace(coalesce(text, ''), '<[^>]+>', ' ', 'g')), "
-         f"'[\\p{{L}}\\p{{N}}_]+'), lambda x: NOT list_contains({_STOPS}, x))")
-O.cte("d_tok", [], f"SELECT doc_id, {_TOKS} AS toks FROM documents")
+         f"'[\\p{{L}}\\p{{N}}_]+'), lambda x: NOT list_contains({_STOPS}, x) AND NOT regexp_matches(x, '^{R.SINGLE_LETTER}$'))")
+O.cte("d_raw", [], f"SELECT doc_id, {_TOKS} AS raw FROM documents")
+O.stem_ctes("d", "d_raw", "raw")  # d_stem(word, stem)
+O.cte("d_pos", ["d_raw"], "SELECT doc_id, unnest(raw) AS word, unnest(range(0, len(raw))) AS pos FROM d_raw")
+O.cte("d_tok", ["d_raw", "d_pos", "d_stem"],
+      "SELECT r.doc_id, coalesce(t.toks, CAST([] AS VARCHAR[])) AS toks FROM d_raw r LEFT JOIN (SELECT doc_id, "
+      "list(stem ORDER BY pos) AS toks FROM d_pos JOIN d_stem USING (word) GROUP BY doc_id) t USING (doc_id)")
 O.cte("d_long", ["d_tok"], "SELECT doc_id, toks, list_filter(toks, lambda x: length(x) >= 9) AS lt FROM d_tok")
 O.cte("d_terms", ["d_long"], "SELECT doc_id, unnest(list_concat(lt, list_transform(range(1, len(lt)), "
                              "lambda i: lt[i] || ' ' || lt[i + 1]))) AS term FROM d_long")
@@ -802,7 +807,7 @@ O.cte("d_w", ["d_tf", "d_vocab"], "SELECT doc_id, term, tf * idf AS w FROM d_tf
 O.cte("d_vec", ["d_w"], "SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM d_w")
 
 
-def doc_notes(spark, sf_dir, stem=False):
+def doc_notes(spark, sf_dir, stem=True):
     return TX.notes(documents(spark, sf_dir), "doc_id", "text", stem=stem)
 
 
@@ -831,7 +836,7 @@ def q_tfidf(spark, sf_dir):
     return doc_vectors(spark, sf_dir).withColumn("weight", F.round("weight", 6))
 
 
-@query("stem_notes")
+@query("stem_notes", O.sql("SELECT doc_id, array_to_string(lt, ' ') AS comment_clean FROM d_long", "d_long"))
 def q_stem(spark, sf_dir):
     return doc_notes(spark, sf_dir, stem=True).select("doc_id", "comment_clean")
 
@@ -982,8 +987,13 @@ def q_sweep(spark, sf_dir):
 # ---------------------------------------------------------------- T4/T5 on patient notes
 
 _PTOKS = _TOKS.replace("coalesce(text, '')", "coalesce(TEXT, '')")
-O.cte("p_rows", ["pre"], f"SELECT PATIENT_HASH, entry_date, entry_id, list_filter({_PTOKS}, lambda x: length(x) >= 9) "
-                         "AS lt FROM pre WHERE TYP = 'A' AND TEXT IS NOT NULL")
+O.cte("p_raw", ["pre"], f"SELECT row_number() OVER () AS r, PATIENT_HASH, entry_date, entry_id, {_PTOKS} AS raw "
+                        "FROM pre WHERE TYP = 'A' AND TEXT IS NOT NULL")
+O.stem_ctes("p", "p_raw", "raw")
+O.cte("p_pos", ["p_raw"], "SELECT r, unnest(raw) AS word, unnest(range(0, len(raw))) AS pos FROM p_raw")
+O.cte("p_rows", ["p_raw", "p_pos", "p_stem"],
+      "SELECT PATIENT_HASH, entry_date, entry_id, coalesce(t.lt, CAST([] AS VARCHAR[])) AS lt FROM p_raw LEFT JOIN (SELECT r, "
+      "list(stem ORDER BY pos) FILTER (WHERE length(stem) >= 9) AS lt FROM p_pos JOIN p_stem USING (word) GROUP BY r) t USING (r)")
 O.cte("p_ne", ["p_rows"], "SELECT *, lag(lt[len(lt)]) OVER (PARTITION BY PATIENT_HASH ORDER BY entry_date NULLS LAST, "
                           "entry_id) AS prev FROM p_rows WHERE len(lt) > 0")
 O.cte("p_terms", ["p_ne"], "SELECT PATIENT_HASH, unnest(list_concat(lt, list_transform(range(1, len(lt)), "

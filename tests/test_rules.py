@@ -110,8 +110,21 @@ def test_word_count_matches_join(spark):
     assert got == want
 
 
+# Word → stem pairs of the published Snowball German sample, and of its rules one by one.
+STEMS = {"häuser": "haus", "katzen": "katz", "kategorie": "kategori", "kategorien": "kategori", "kategorisch": "kategor",
+         "kategorischen": "kategor", "kater": "kat", "katers": "kat", "kätzchen": "katzch", "aufeinander": "aufeinand",
+         "aufeinanderfolgenden": "aufeinanderfolg", "aufeinanderbiss": "aufeinanderbiss", "abhängigkeit": "abhang",
+         "bauern": "bau", "freundlichkeit": "freundlich", "verlässlichkeit": "verlass", "kenntnisse": "kenntnis",
+         "lustige": "lustig", "beleidigung": "beleid", "laufende": "laufend", "weiß": "weiss", "a": "a", "": ""}
+
+
 def test_stemmer_examples(spark):
-    words = ["häuser", "freundlichkeit", "katzen", "laufende"]
-    df = rows(spark, [(w,) for w in words], "w string")
-    got = [r[0] for r in df.select(TX.german_stem(F.col("w"))).collect()]
-    assert got == ["haus", "freundlich", "katz", "laufend"]
+    df = rows(spark, [(w,) for w in STEMS], "w string")
+    got = {r[0]: r[1] for r in df.select("w", TX.german_stem(F.col("w"))).collect()}
+    assert got == STEMS
+
+
+def test_single_letters_are_removed(spark):
+    df = rows(spark, [("a b Wort <br> c é 7 x. in-y",)], "t string")
+    row = df.select(TX.clean_tokens("t").alias("a"), TX.clean_tokens("t", for_embedding=True).alias("b")).first()
+    assert row["a"] == ["wort", "7"] and row["b"] == ["Wort", "7", ".", "in"]
