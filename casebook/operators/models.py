@@ -9,15 +9,19 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
+from casebook.operators import boosting as BO
+from casebook.operators import metrics as MT
+from casebook.operators import neighbours as NB
 from casebook.session import stage
 
 
@@ -34,21 +38,41 @@ def gaussian_nb(train: DataFrame, test: DataFrame, id_col: str, x: str, label: s
     """M6: sklearn-style Gaussian NB computed relationally on the long form ``(id, j, x_j)``:
     per (class, feature) mean and population variance (partial aggregates), variance smoothing
     ``var_smoothing·max_j var(x_j)``, log prior + Σ_j log N(x_j; μ, σ²), argmax (ties → lower class).
-    Returns (id, prediction, log-likelihood margin score)."""
+    Returns the test rows with ``prediction`` and ``score`` (log-likelihood margin of the last class)."""
     long = train.select(F.col(label).alias("y"), F.posexplode(F.col(x).cast("array<double>")).alias("j", "v"))
     eps = long.groupBy("j").agg(F.var_pop("v").alias("vj")).agg(F.max("vj") * var_smoothing).scalar()
     stats = (long.groupBy("y", "j").agg(F.avg("v").alias("mu"), F.var_pop("v").alias("var"))
-             .withColumn("var", F.col("var") + eps))
+             .groupBy("y").agg(F.sort_array(F.collect_list(F.struct("j", "mu", "var"))).alias("s")))
     n = train.agg(F.count(F.lit(1))).scalar()
     prior = train.groupBy(F.col(label).alias("y")).agg(F.count(F.lit(1)).alias("ny")) \
         .select("y", F.log(F.col("ny") / n).alias("lp"))
-    tl = test.select(id_col, F.posexplode(F.col(x).cast("array<double>")).alias("j", "v"))
-    ll = (tl.join(stats, "j")
-          .groupBy(id_col, "y").agg(F.sum(-0.5 * (F.log(2 * math.pi * F.col("var"))
-                                                   + (F.col("v") - F.col("mu")) ** 2 / F.col("var"))).alias("ll"))
-          .join(prior, "y").withColumn("ll", F.col("ll") + F.col("lp")))
-    best = ll.groupBy(id_col).agg(F.max(F.struct(F.round("ll", 9).alias("ll"), (-F.col("y")).alias("ny"))).alias("b"))
-    return best.select(id_col, (-F.col("b.ny")).cast("int").alias("prediction"))
+    # Classes x features numbers, one array value; test rows are scored in place, without an exchange.
+    model = stats.join(prior, "y").agg(F.sort_array(F.collect_list(F.struct("y", "lp", "s")))).scalar()
+    v = F.col(x).cast("array<double>")
+
+    def likelihood(c):
+        def term(xj, s):
+            var = s["var"] + F.col("_eps")
+            return -0.5 * (F.log(2 * math.pi * var) + (xj - s["mu"]) * (xj - s["mu"]) / var)
+
+        terms = F.zip_with(v, c["s"], term)
+        return F.struct(F.round(F.aggregate(terms, F.lit(0.0), lambda t, w: t + w) + c["lp"], 9).alias("ll"), (-c["y"]).alias("ny"))
+
+    # Scalar subqueries may not stand inside a lambda, so they become columns first.
+    held = test.withColumn("_model", model).withColumn("_eps", eps)
+    scored = held.withColumn("_all", F.transform("_model", likelihood)).withColumn("_best", F.array_max("_all"))
+    return scored.withColumn("prediction", (-F.col("_best.ny")).cast("int")).withColumn(
+        "score", F.element_at("_all", -1)["ll"] - F.element_at("_all", 1)["ll"]).drop("_all", "_best", "_model", "_eps")
+
+
+def nb_out_of_fold(df: DataFrame, id_col: str, x: str, fold: str = "fold", label: str = "label", only_fold: int | None = None) -> DataFrame:
+    """M6 out of fold: every row scored by the classes' statistics over the other folds."""
+    folds = [only_fold] if only_fold is not None else sorted(r[0] for r in df.select(fold).distinct().collect())  # k values
+    parts = [gaussian_nb(df.filter(F.col(fold) != f), df.filter(F.col(fold) == f), id_col, x, label) for f in folds]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 # ---------------------------------------------------------------- M5: AdaBoost (SAMME on stumps)
@@ -131,6 +155,7 @@ class AdaBoost(Estimator):
             nxt.count()
             cur.unpersist()
             cur = nxt
+        cur.unpersist()
         return AdaBoostModel(stumps, alphas, self.featuresCol)
 
 
@@ -160,92 +185,125 @@ def _best_split(stats, d: int, n_edges: list[int]) -> tuple[float, int, int, int
 # ---------------------------------------------------------------- MLlib classifiers (M1, M2, M4, M7, M8)
 
 
-def classifiers(n_features: int, seed: int = 0, ada_rounds: int = 25) -> dict[str, Callable[[], Estimator]]:
-    """The bake-off line-up; MLlib defaults except where the reference sets a value."""
+def classifiers(n_features: int, n_rows: int, seed: int = 0) -> dict[str, Callable[[], Estimator]]:
+    """The MLlib line-up, with the reference's settings where MLlib has them: an L2 term of 1 / n on raw
+    features (sklearn's C = 1), trees as deep as MLlib grows them (30), 100 trees, 100 boosting rounds of
+    depth 6 and rate 0.3, one hidden layer of 100 for 200 steps."""
     return {
-        "logreg": lambda: LogisticRegression(maxIter=100, regParam=0.0),
-        "tree": lambda: DecisionTreeClassifier(maxDepth=10, seed=seed),
-        "forest": lambda: RandomForestClassifier(numTrees=100, seed=seed),
+        "logreg": lambda: LogisticRegression(maxIter=100, regParam=1.0 / max(n_rows, 1), standardization=False),
+        "tree": lambda: DecisionTreeClassifier(maxDepth=30, seed=seed),
+        "forest": lambda: RandomForestClassifier(numTrees=100, maxDepth=30, seed=seed),
         "mlp": lambda: MultilayerPerceptronClassifier(layers=[n_features, 100, 2], maxIter=200, seed=seed),
-        "svc": lambda: LinearSVC(maxIter=100),
-        "gbt": lambda: GBTClassifier(maxIter=50, seed=seed),
-        "adaboost": lambda: AdaBoost(n_estimators=ada_rounds, learning_rate=1.0),
+        "svc": lambda: LinearSVC(maxIter=100, regParam=1.0 / max(n_rows, 1)),
+        "gbt": lambda: GBTClassifier(maxIter=100, maxDepth=6, stepSize=0.3, seed=seed),
     }
 
 
-def _metrics(pred: DataFrame, label: str = "label") -> dict[str, float]:
-    out = {}
-    mc = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction")
-    for name, metric in (("accuracy", "accuracy"), ("precision_weighted", "weightedPrecision"),
-                         ("recall_weighted", "weightedRecall"), ("f1_weighted", "f1"),
-                         ("recall", "truePositiveRateByLabel")):
-        mc.setMetricName(metric)
-        if metric == "truePositiveRateByLabel":
-            mc.setMetricLabel(1.0)
-        out[name] = float(mc.evaluate(pred))
-    if "rawPrediction" in pred.columns:
-        out["roc_auc"] = float(BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                                             metricName="areaUnderROC").evaluate(pred))
-    return out
+def fourier_features(df: DataFrame, array_col: str, out: str = "features", width: int = 256, seed: int = 0) -> DataFrame:
+    """M7's RBF kernel: ``width`` random Fourier features cos(w·x + b), w ~ N(0, 2γ) with sklearn's
+    γ = 1 / (d · var(x)); a linear SVC on them approximates the kernel one. Weights are drawn by the seed
+    on the driver and enter as one array value (width x d numbers)."""
+    import numpy as np
+
+    x = F.col(array_col).cast("array<double>")
+    d = len(df.select(array_col).first()[0])
+    var = df.select(F.explode(x).alias("v")).agg(F.var_pop("v")).first()[0] or 1.0
+    rng = np.random.default_rng(seed)
+    w = rng.normal(0.0, (2.0 / (d * var)) ** 0.5, (width, d))
+    b = rng.uniform(0, 2 * np.pi, width)
+    rows = df.sparkSession.createDataFrame([(np.column_stack([w, b]).tolist(),)], "w array<array<double>>").select("w").scalar()
+    dot = lambda r: F.aggregate(F.zip_with(F.col("_one"), r, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+    held = df.withColumn("_rows", rows).withColumn("_one", F.concat(x, F.array(F.lit(1.0))))
+    return held.withColumn(out, array_to_vector(F.transform("_rows", lambda r: F.cos(dot(r))))).drop("_rows", "_one")
 
 
 def out_of_fold(make: Callable[[], Estimator], df: DataFrame, fold_col: str = "fold", label: str = "label",
-                resample: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Every row predicted by the model trained on the other folds (resampling, if given,
-    applied to the training folds only)."""
-    folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())  # k values
-    parts = []
-    for f in folds:
-        train = df.filter(F.col(fold_col) != f)
+                resample: Callable[[DataFrame], DataFrame] | None = None, parallel: int = 5,
+                only_fold: int | None = None) -> DataFrame:
+    """Every row predicted by the model trained on the other folds (resampling, if given, applied
+    to the training folds only). The folds are independent, so ``parallel`` of them are fitted at a
+    time (their Spark jobs run side by side). Pass a staged ``df``: each fold reads it again. With
+    ``only_fold`` just that fold is predicted (a train/test split)."""
+    folds = [only_fold] if only_fold is not None else sorted(r[0] for r in df.select(fold_col).distinct().collect())  # k values
+    typed = df.withColumn(label, F.col(label).cast("double"))
+
+    def one(f: int) -> DataFrame:
+        train = typed.filter(F.col(fold_col) != f)
         if resample is not None:
             train = resample(train)
-        model = make().fit(train.withColumn(label, F.col(label).cast("double")))
-        pred = model.transform(df.filter(F.col(fold_col) == f).withColumn(label, F.col(label).cast("double")))
-        parts.append(pred.withColumn(fold_col, F.lit(f)))
+        return make().fit(train).transform(typed.filter(F.col(fold_col) == f))
+
+    with ThreadPool(parallel) as pool:
+        parts = pool.map(inheritable_thread_target(df.sparkSession)(one), folds)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
     return out
 
 
-def cross_validate(make: Callable[[], Estimator], df: DataFrame, fold_col: str = "fold", label: str = "label",
-                   resample: Callable[[DataFrame], DataFrame] | None = None, name: str = "model") -> DataFrame:
-    """M9: per fold metrics (accuracy, weighted precision/recall/F1, recall of class 1, ROC AUC)
-    as a tidy table (model, fold, metric, value)."""
-    spark = df.sparkSession
-    rows = []
-    folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())
-    for f in folds:
-        train = df.filter(F.col(fold_col) != f)
-        if resample is not None:
-            train = resample(train)
-        model = make().fit(train.withColumn(label, F.col(label).cast("double")))
-        pred = model.transform(df.filter(F.col(fold_col) == f).withColumn(label, F.col(label).cast("double")))
-        for k, v in _metrics(pred, label).items():
-            rows.append((name, int(f), k, v))
-    return spark.createDataFrame(rows, "model string, fold int, metric string, value double")
-
-
-def bake_off(models: dict[str, Callable[[], Estimator]], df: DataFrame, fold_col: str = "fold",
-             label: str = "label") -> DataFrame:
-    """Every model cross-validated on the same folds (all models returned, not only the last)."""
-    out = None
-    for name, make in models.items():
-        r = cross_validate(make, df, fold_col, label, name=name)
-        out = r if out is None else out.unionByName(r)
-    return out
-
-
-def grid_search(make: Callable[..., Estimator], grid: Sequence[dict], df: DataFrame, metric: str = "recall_weighted",
-                fold_col: str = "fold", label: str = "label") -> DataFrame:
-    """Mean CV metric for every parameter combination, best first."""
-    spark = df.sparkSession
-    rows = []
-    for params in grid:
-        cv = cross_validate(lambda: make(**params), df, fold_col, label, name=str(params))
-        mean = cv.filter(F.col("metric") == metric).agg(F.avg("value")).first()[0]
-        rows.append((str(params), metric, float(mean)))
-    return spark.createDataFrame(rows, "params string, metric string, mean double").orderBy(F.desc("mean"), "params")
+def scored(pred: DataFrame, name: str, id_col: str, label: str = "label", fold_col: str = "fold") -> DataFrame:
+    """(model, fold, id, label, prediction, score) of an out-of-fold table; the score is the probability
+    or raw margin of class 1."""
+    if "score" in pred.columns:
+        score = F.col("score")
+    else:
+        score = vector_to_array("probability" if "probability" in pred.columns else "rawPrediction").getItem(1)
+    return pred.select(F.lit(name).alias("model"), F.col(fold_col).cast("int").alias("fold"), F.col(id_col).cast("string").alias("id"),
+                       F.col(label).cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"), score.cast("double").alias("score"))
+
+
+def line_up(df: DataFrame, id_col: str, x: str, n_features: int, names: Sequence[str], seed: int = 0, k: int = 3,
+            ada_rounds: int = 50, fold_col: str = "fold", label: str = "label", only_fold: int | None = None) -> DataFrame:
+    """Out-of-fold predictions of the named models (MLlib's, and knn, nb, adaboost, svm with random
+    Fourier features), stacked as ``scored`` rows. ``df`` should be staged."""
+    n = df.count()
+    mllib = classifiers(n_features, n, seed)
+    test = df if only_fold is None else df.filter(F.col(fold_col) == only_fold)
+    parts = []
+    for name in names:
+        if name == "knn":
+            parts.append(scored(NB.knn_classify(df, test, id_col, x, label, k=k, fold=fold_col, seed=seed), name, id_col, label, fold_col))
+        elif name == "nb":
+            parts.append(scored(nb_out_of_fold(df, id_col, x, fold_col, label, only_fold), name, id_col, label, fold_col))
+        elif name == "adaboost":
+            ada = BO.boosted_folds(df, id_col, x, label, fold_col, rounds=(ada_rounds,), seed=seed)
+            parts.append(scored(ada if only_fold is None else ada.filter(F.col("fold") == only_fold), name, "id"))
+        elif name == "svm":
+            rbf = stage(fourier_features(df, x, seed=seed))
+            parts.append(scored(out_of_fold(mllib["svc"], rbf, fold_col, label, only_fold=only_fold), name, id_col, label, fold_col))
+        else:
+            parts.append(scored(out_of_fold(mllib[name], df, fold_col, label, only_fold=only_fold), name, id_col, label, fold_col))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return stage(out)
+
+
+def cross_validate(pred: DataFrame, by: Sequence[str] = ("model", "fold")) -> DataFrame:
+    """M9: per model and fold accuracy, weighted precision, recall and F1, recall of class 1 and ROC AUC,
+    as (by…, metric, value), from one pass over out-of-fold predictions."""
+    by = list(by)
+    t = pred.groupBy(*by).agg(*[F.count_if((F.col("label") == y) & (F.col("prediction") == p)).cast("double").alias(c)
+                                for c, y, p in (("tp", 1, 1), ("tn", 0, 0), ("fp", 0, 1), ("fn", 1, 0))])
+    tp, tn, fp, fn = (F.col(c) for c in ("tp", "tn", "fp", "fn"))
+    div = lambda a, b: F.when(b == 0, F.lit(0.0)).otherwise(a / b)
+    n, pos, neg = tp + tn + fp + fn, tp + fn, tn + fp
+    p1, r1, p0, r0 = div(tp, tp + fp), div(tp, pos), div(tn, tn + fn), div(tn, neg)
+    f1, f0 = div(2 * p1 * r1, p1 + r1), div(2 * p0 * r0, p0 + r0)
+    weighted = lambda a, b: (a * pos + b * neg) / n
+    values = {"accuracy": (tp + tn) / n, "precision_weighted": weighted(p1, p0), "recall_weighted": weighted(r1, r0),
+              "f1_weighted": weighted(f1, f0), "recall": r1}
+    joined = t.join(MT.auc(pred, by=by).select(*by, "auc"), by)
+    values["roc_auc"] = F.col("auc")
+    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.round(v, 6).alias("value")) for m, v in values.items()])
+    return joined.select(*by, F.explode(pairs).alias("m")).select(*by, "m.metric", "m.value")
+
+
+def grid_search(pred: DataFrame, params: Sequence[str], metric: str = "recall_weighted") -> DataFrame:
+    """Mean over the folds of a metric for every combination of ``params``, best first."""
+    params = list(params)
+    cv = cross_validate(pred, [*params, "fold"]).filter(F.col("metric") == metric)
+    return cv.groupBy(*params).agg(F.round(F.avg("value"), 6).alias("mean")).orderBy(F.desc("mean"), *params)
 
 
 def feature_scores(model, names: Sequence[str], spark) -> DataFrame:

@@ -11,6 +11,7 @@ from casebook.operators import diagnosis as DG
 from casebook.operators import features as FT
 from casebook.operators import labs as LB
 from casebook.schema import PATIENT, SITE
+from casebook.session import stage
 
 E75_CATEGORIES = [*R.MAJORITY_CATEGORIES, R.NO_TEST]
 E75_FEATURES = (["PAT_GESCHLECHT", "age"]
@@ -18,17 +19,20 @@ E75_FEATURES = (["PAT_GESCHLECHT", "age"]
                 + [FT.safe_name(c) for c in R.COMORBIDITY_CODES] + [g[0] for g in R.SYMPTOM_GROUPS])
 
 
-def gaucher_subset(pre: DataFrame, k: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """Cases (diagnosis_E75_22 confirmed/suspicious) and a bootstrap of ``k`` non-case patients."""
-    cases = C.diagnosed_cases(pre, "E75.22", source="label")
-    controls = C.bootstrap_controls(pre, cases, k=k, seed=seed)
+def gaucher_subset(pre: DataFrame, k: int, seed: int, source: str = "label", flag: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Cases (J8 ``label``: diagnosis_E75_22 confirmed/suspicious; J9 ``certain``) and a bootstrap of ``k``
+    other patients (J4: from rows with ``flag`` 0, if one is given)."""
+    cases = stage(C.diagnosed_cases(pre, "E75.22", source=source))
+    controls = C.bootstrap_controls(pre, cases, k=k, seed=seed, flag=flag)
     return C.keep_patients(pre, cases.unionByName(controls)), cases
 
 
-def gaucher_dataset(pre: DataFrame, k: int = 1800, seed: int = 0) -> DataFrame:
+def gaucher_dataset(pre: DataFrame, k: int = 1800, seed: int = 0, source: str = "label", flag: str | None = None) -> DataFrame:
     """Sex, label ``gaucher``, mean age, one-hot lab majorities for 20 tests, 5 co-morbidity
-    codes, 11 symptom groups — one row per (patient, sex), nulls → 0."""
-    subset, cases = gaucher_subset(pre, k, seed)
+    codes, 11 symptom groups — one row per (patient, sex), nulls → 0. The subset is staged: every
+    group of features reads it."""
+    subset, cases = gaucher_subset(pre, k, seed, source, flag)
+    subset = stage(subset)
     wide = LB.interpret_tests(subset, R.E75_TESTS)
     joined = LB.join_labs(subset, wide)
     majority = LB.lab_majority(joined, R.E75_TESTS)

@@ -873,53 +873,112 @@ def q_cluster_notes(spark, sf_dir):
 
 # ---------------------------------------------------------------- step 8: models
 
+from casebook.operators import boosting as BO  # noqa: E402
 from casebook.operators import models as MD  # noqa: E402
+from casebook.operators import neighbours as NN  # noqa: E402
 
-N_FOLDS = 5
+N_FOLDS = 10
 
 
 def embedding_set(spark, sf_dir, folds: int = N_FOLDS):
-    """Embeddings with a rare binary class (label 0), ML features and seeded stratified folds."""
+    """Embeddings with a rare binary class (label 0), ML features and seeded stratified folds, staged
+    once: every fit reads it again."""
     apply_plan_settings(spark)
     e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     e = e.select("vec_id", "embedding", (F.col("label") == 0).cast("int").alias("label"))
     e = SP.add_folds(e, "vec_id", folds, SEED, stratify="label").drop("repeat")
-    return MD.with_features(e, "embedding")
+    return MD.with_features(stage(e), "embedding")
 
 
-O.cte("nb_long", [], "SELECT vec_id, CASE WHEN label = 0 THEN 1 ELSE 0 END AS y, unnest(CAST(embedding AS DOUBLE[])) AS v, "
-                     "unnest(range(0, len(embedding))) AS j FROM embeddings")
-O.cte("nb_stats", ["nb_long"], "SELECT y, j, avg(v) AS mu, var_pop(v) + (SELECT max(vj) * 1e-9 FROM (SELECT var_pop(v) AS vj "
-                               "FROM nb_long GROUP BY j) q) AS var FROM nb_long GROUP BY y, j")
-O.cte("nb_prior", [], "SELECT y, ln(count(*) / (SELECT count(*) FROM embeddings)) AS lp FROM (SELECT CASE WHEN label = 0 "
-                      "THEN 1 ELSE 0 END AS y FROM embeddings) e GROUP BY y")
-_NB_SQL = O.sql("""
-SELECT vec_id, y AS prediction FROM (
-  SELECT vec_id, y, row_number() OVER (PARTITION BY vec_id ORDER BY round(ll, 9) DESC, y) AS rk FROM (
-    SELECT t.vec_id, s.y, sum(-0.5 * (ln(2 * pi() * s.var) + (t.v - s.mu) * (t.v - s.mu) / s.var)) + p.lp AS ll
-    FROM (SELECT vec_id, j, v FROM nb_long) t JOIN nb_stats s USING (j) JOIN nb_prior p ON p.y = s.y
-    GROUP BY t.vec_id, s.y, p.lp) a) b WHERE rk = 1""", "nb_stats", "nb_prior")
+def embedding_width(df) -> int:
+    return len(df.select("embedding").first()[0])
 
 
-@query("gaussian_nb", _NB_SQL)
+O.cte("emb", [], "SELECT vec_id, CASE WHEN label = 0 THEN 1 ELSE 0 END AS y, CAST(embedding AS DOUBLE[]) AS x FROM embeddings")
+O.cte("emb_folds", ["emb"], f"SELECT *, CAST((row_number() OVER (PARTITION BY y ORDER BY md5('{SEED}:' || CAST(vec_id AS VARCHAR))) - 1) "
+                            f"% {N_FOLDS} AS INTEGER) AS fold FROM emb")
+
+
+def nb_ctes(prefix: str, src: str, key: str) -> None:
+    """Out-of-fold Gaussian naive Bayes over a (key, y, x list, fold) relation → {prefix}_nb (key, fold, y,
+    prediction, score)."""
+    O.cte(f"{prefix}_long", [src], f"SELECT {key}, fold, y, unnest(x) AS v, unnest(range(0, len(x))) AS j FROM {src}")
+    O.cte(f"{prefix}_train", [f"{prefix}_long"], f"SELECT f.fold AS held, l.y, l.j, l.v FROM {prefix}_long l JOIN (SELECT DISTINCT fold FROM "
+                                                 f"{prefix}_long) f ON l.fold <> f.fold")
+    O.cte(f"{prefix}_eps", [f"{prefix}_train"], f"SELECT held, max(vj) * 1e-9 AS eps FROM (SELECT held, var_pop(v) AS vj FROM {prefix}_train "
+                                                "GROUP BY held, j) q GROUP BY held")
+    O.cte(f"{prefix}_stats", [f"{prefix}_train", f"{prefix}_eps"],
+          f"SELECT s.held, y, j, mu, var + eps AS var FROM (SELECT held, y, j, avg(v) AS mu, var_pop(v) AS var FROM {prefix}_train "
+          f"GROUP BY held, y, j) s JOIN {prefix}_eps USING (held)")
+    O.cte(f"{prefix}_prior", [src], f"SELECT f.fold AS held, s.y, ln(count(*) / max(n)) AS lp FROM {src} s JOIN (SELECT fold, (SELECT count(*) "
+                                    f"FROM {src}) - count(*) AS n FROM {src} GROUP BY fold) f ON s.fold <> f.fold GROUP BY ALL")
+    O.cte(f"{prefix}_ll", [f"{prefix}_long", f"{prefix}_stats", f"{prefix}_prior"],
+          f"SELECT t.{key}, t.fold, t.y, s.y AS c, round(sum(-0.5 * (ln(2 * pi() * s.var) + (t.v - s.mu) * (t.v - s.mu) / s.var)) + max(p.lp), 9) "
+          f"AS ll FROM {prefix}_long t JOIN {prefix}_stats s ON s.held = t.fold AND s.j = t.j JOIN {prefix}_prior p ON p.held = t.fold "
+          f"AND p.y = s.y GROUP BY t.{key}, t.fold, t.y, s.y")
+    O.cte(f"{prefix}_nb", [f"{prefix}_ll"], f"SELECT {key}, fold, y AS label, CAST(arg_max(c, (ll, -c)) AS INTEGER) AS prediction "
+                                            f"FROM {prefix}_ll GROUP BY {key}, fold, y")
+
+
+nb_ctes("emb", "emb_folds", "vec_id")
+_TFPN = ("SELECT count_if(label = 1 AND prediction = 1) AS tp, count_if(label = 0 AND prediction = 0) AS tn, "
+         "count_if(label = 0 AND prediction = 1) AS fp, count_if(label = 1 AND prediction = 0) AS fn FROM ")
+
+
+@query("gaussian_nb", O.sql("SELECT vec_id, fold, label, prediction FROM emb_nb", "emb_nb"))
 def q_gnb(spark, sf_dir):
-    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
-        "vec_id", "embedding", (F.col("label") == 0).cast("int").alias("label"))
-    apply_plan_settings(spark)
-    return MD.gaussian_nb(e, e, "vec_id", "embedding")
+    """M6 + M10: out-of-fold naive Bayes."""
+    df = embedding_set(spark, sf_dir)
+    return MD.nb_out_of_fold(df, "vec_id", "embedding").select("vec_id", "fold", "label", "prediction")
+
+
+O.cte("emb_held", ["emb_folds"], f"SELECT * FROM emb_folds ORDER BY md5('{SEED}:' || CAST(vec_id AS VARCHAR)), vec_id LIMIT {NN.SAMPLE}")
+
+
+def _pairs(t: str, s: str, where: str) -> str:
+    return (f"SELECT t.vec_id, t.y AS label, t.fold, s.vec_id AS other, s.y, row_number() OVER (PARTITION BY t.vec_id ORDER BY "
+            f"round(list_sum(list_transform(list_zip(t.x, s.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 6), s.vec_id) AS rk "
+            f"FROM {t} t JOIN {s} s ON {where}")
+
+
+@query("knn_classify", O.sql(
+    "SELECT vec_id, fold, label, CAST(avg(y) > 0.5 AS INTEGER) AS prediction, round(avg(y), 6) AS score FROM ("
+    + _pairs("emb_folds", "emb_held", "t.fold <> s.fold") + ") p WHERE rk <= 3 GROUP BY ALL", "emb_folds", "emb_held"))
+def q_knn(spark, sf_dir):
+    """M3: three nearest neighbours, out of fold."""
+    df = embedding_set(spark, sf_dir)
+    out = NN.knn_classify(df, df, "vec_id", "embedding", k=3, fold="fold", seed=SEED)
+    return out.select("vec_id", "fold", "label", "prediction", F.round("score", 6).alias("score"))
+
+
+@query("enn", O.sql(
+    "SELECT vec_id, label FROM (" + _pairs("emb_folds", "emb_held", "t.vec_id <> s.vec_id")
+    + ") p WHERE rk <= 3 GROUP BY vec_id, label HAVING bool_and(y = label)", "emb_folds", "emb_held"))
+def q_enn(spark, sf_dir):
+    """Edited nearest neighbours."""
+    return NN.edited(embedding_set(spark, sf_dir), "vec_id", "embedding", seed=SEED).select("vec_id", "label")
+
+
+@query("smote")
+def q_smote(spark, sf_dir):
+    """The synthetic rows of SMOTE."""
+    return NN.smote_rows(embedding_set(spark, sf_dir), "vec_id", "embedding", seed=SEED)
+
+
+@query("smote_enn")
+def q_smote_enn(spark, sf_dir):
+    return NN.smote_enn(embedding_set(spark, sf_dir), "vec_id", "embedding", seed=SEED).select("vec_id", "label")
 
 
 def _oof(name):
     def fn(spark, sf_dir):
         df = embedding_set(spark, sf_dir)
-        make = MD.classifiers(64, SEED, ada_rounds=10)[name]
-        pred = MD.out_of_fold(make, df)
-        return pred.select("vec_id", "fold", F.col("label").cast("int").alias("label"),
-                           F.col("prediction").cast("int").alias("prediction"))
+        pred = MD.line_up(df, "vec_id", "embedding", embedding_width(df), [name], SEED)
+        return pred.select(F.col("id").cast("long").alias("vec_id"), "fold", "label", "prediction")
     return fn
 
 
-for _name in ["logreg", "tree", "forest", "mlp", "adaboost", "svc", "gbt"]:
+for _name in ["logreg", "tree", "forest", "mlp", "adaboost", "svc", "svm", "gbt"]:
     query(_name)(_oof(_name))
 
 
@@ -928,34 +987,123 @@ def q_cross_validate(spark, sf_dir):
     """M9 + M15: logistic regression, training folds over-sampled (resampling inside training only)."""
     df = embedding_set(spark, sf_dir)
     over = lambda d: SP.resample(d, "label", "vec_id", "over", SEED)
-    return MD.cross_validate(MD.classifiers(64, SEED)["logreg"], df, resample=over, name="logreg+oversample")
+    make = MD.classifiers(embedding_width(df), df.count(), SEED)["logreg"]
+    return MD.cross_validate(stage(MD.scored(MD.out_of_fold(make, df, resample=over), "logreg+oversample", "vec_id")))
+
+
+@query("resampled_boosting")
+def q_resampled_boosting(spark, sf_dir):
+    """AdaBoost (200 rounds, rate 0.001) on training folds resampled by SMOTEENN."""
+    df = embedding_set(spark, sf_dir).select("vec_id", "embedding", "label", "fold")
+
+    def resample(train):
+        rows = train.select(F.col("id").cast("long").alias("id"), "x", "label")
+        return NN.smote_enn(rows, "id", "x", seed=SEED).select(F.col("id").cast("string").alias("id"), "x", "label")
+
+    pred = BO.boosted_folds(df, "vec_id", "embedding", rates=(0.001,), rounds=(200,), seed=SEED, resample=resample)
+    return MD.cross_validate(stage(MD.scored(pred, "adaboost+smoteenn", "id")))
 
 
 @query("out_of_fold")
 def q_out_of_fold(spark, sf_dir):
     df = embedding_set(spark, sf_dir)
-    pred = MD.probability_of_one(MD.out_of_fold(MD.classifiers(64, SEED)["forest"], df))
-    return pred.select("vec_id", "fold", "label", "prediction", "score")
+    make = MD.classifiers(embedding_width(df), df.count(), SEED)["forest"]
+    return MD.probability_of_one(MD.out_of_fold(make, df)).select("vec_id", "fold", "label", "prediction", "score")
+
+
+GRID_RATES, GRID_ROUNDS = (0.001, 0.01, 0.1, 0.2), (200, 500, 1000, 2000)
 
 
 @query("grid_search")
 def q_grid(spark, sf_dir):
-    df = embedding_set(spark, sf_dir, folds=3)
-    grid = [{"n_estimators": n, "learning_rate": r} for n in (5, 10) for r in (0.1, 1.0)]
-    return MD.grid_search(lambda **p: MD.AdaBoost(**p), grid, df, metric="recall_weighted")
+    """4 rates x 4 numbers of estimators, 10 folds; one boosting run per rate and fold."""
+    pred = BO.boosted_folds(embedding_set(spark, sf_dir), "vec_id", "embedding", rates=GRID_RATES, rounds=GRID_ROUNDS, seed=SEED)
+    return MD.grid_search(stage(pred), ["rate", "rounds"])
+
+
+E75_MODELS = ["knn", "logreg", "tree", "forest", "mlp", "adaboost", "nb"]
+E78_MODELS = ["logreg", "forest", "knn", "svm", "nb", "gbt"]
 
 
 @query("bake_off")
 def q_bake_off(spark, sf_dir):
-    df = embedding_set(spark, sf_dir, folds=3)
-    return MD.bake_off(MD.classifiers(64, SEED, ada_rounds=10), df)
+    """Every model of both line-ups, cross-validated on the same ten folds."""
+    df = embedding_set(spark, sf_dir)
+    names = list(dict.fromkeys(E75_MODELS + E78_MODELS))
+    return MD.cross_validate(MD.line_up(df, "vec_id", "embedding", embedding_width(df), names, SEED))
 
 
 @query("feature_importance")
 def q_importance(spark, sf_dir):
     df = embedding_set(spark, sf_dir).withColumn("label", F.col("label").cast("double"))
-    model = MD.classifiers(64, SEED)["forest"]().fit(df)
-    return MD.feature_scores(model, [f"e{i}" for i in range(64)], spark)
+    n = embedding_width(df)
+    model = MD.classifiers(n, df.count(), SEED)["forest"]().fit(df)
+    return MD.feature_scores(model, [f"e{i}" for i in range(n)], spark)
+
+
+# ---------------------------------------------------------------- models on the two datasets
+
+
+def as_model_set(df, label: str, features: list[str], folds: int):
+    """(PATIENT_HASH, label, x, features, fold), staged."""
+    rows = df.select(PATIENT, F.col(label).cast("int").alias("label"), F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
+    return MD.with_features(stage(SP.add_folds(rows, PATIENT, folds, SEED, stratify="label").drop("repeat")), "x")
+
+
+O.cte("e75_data", ["e75_base", "e75_age", "e75_onehot", "e75_como", "e75_symp"],
+      "SELECT PATIENT_HASH, gaucher AS y, [" + ", ".join(f"CAST(coalesce(\"{c}\", 0) AS DOUBLE)" for c in DS.E75_FEATURES) + "] AS x "
+      "FROM e75_base LEFT JOIN e75_age USING (PATIENT_HASH) LEFT JOIN e75_onehot USING (PATIENT_HASH) "
+      "LEFT JOIN e75_como USING (PATIENT_HASH) LEFT JOIN e75_symp USING (PATIENT_HASH)")
+O.cte("e75_folds", ["e75_data"], f"SELECT *, CAST((row_number() OVER (PARTITION BY y ORDER BY md5('{SEED}:' || PATIENT_HASH)) - 1) "
+                                 f"% {N_FOLDS} AS INTEGER) AS fold FROM e75_data")
+nb_ctes("e75", "e75_folds", "PATIENT_HASH")
+O.cte("e75_tfpn", ["e75_nb"], _TFPN + "e75_nb")
+
+
+def e75_set(spark, sf_dir):
+    return as_model_set(dataset_e75(spark, sf_dir), "gaucher", DS.E75_FEATURES, N_FOLDS)
+
+
+@query("model_e75_nb", O.sql(
+    "SELECT tp, tn, fp, fn, round(fn / (tp + fn), 2) * 100 AS pos_misclassified_pct, round(fp / (tn + fp), 2) * 100 AS neg_misclassified_pct "
+    "FROM e75_tfpn", "e75_tfpn"))
+def q_model_e75_nb(spark, sf_dir):
+    """Naive Bayes on the Gaucher dataset, out of ten folds: confusion counts and misclassification."""
+    return MT.misclassification(stage(MD.nb_out_of_fold(e75_set(spark, sf_dir), PATIENT, "x")))
+
+
+@query("model_e75")
+def q_model_e75(spark, sf_dir):
+    """The seven classifiers of the E75 line-up on the Gaucher dataset, ten folds: metrics per fold."""
+    return MD.cross_validate(MD.line_up(e75_set(spark, sf_dir), PATIENT, "x", len(DS.E75_FEATURES), E75_MODELS, SEED, k=3))
+
+
+E78_DROP = 1000
+
+
+@query("model_e78")
+def q_model_e78(spark, sf_dir):
+    """E78 end to end: dataset → drop 1000 random negatives → 75/25 split → the six classifiers of its
+    line-up fitted on the train part → report on the test part."""
+    data = dataset_e78(spark, sf_dir).withColumn("Status", F.least(F.col("Status"), F.lit(1)))
+    kept = SP.undersample(data, E78_DROP, SEED, PATIENT, "Status")
+    split = SP.train_test(kept, PATIENT, 0.25, SEED)
+    rows = split.select(PATIENT, F.col("Status").cast("int").alias("label"), F.array(*[F.col(c).cast("double") for c in DS.E78_FEATURES]).alias("x"),
+                        (F.col("split") == "test").cast("int").alias("fold"))
+    pred = MD.line_up(MD.with_features(stage(rows), "x"), PATIENT, "x", len(DS.E78_FEATURES), E78_MODELS, SEED, k=5, only_fold=1)
+    outs = [MT.report(pred.filter(F.col("model") == m)).withColumn("model", F.lit(m)) for m in E78_MODELS]
+    out = outs[0]
+    for o in outs[1:]:
+        out = out.unionByName(o)
+    return out
+
+
+@query("prevalence_certain", O.sql(
+    "SELECT ZENTRUM_ID, sum(hit) AS cases, count(*) AS patients, round_even(sum(hit) / count(*), 5) * 100 AS prevalence_pct FROM (SELECT ZENTRUM_ID, "
+    "PATIENT_HASH, max(CASE WHEN SICHERHEIT = 'G' AND ICD10 = 'E75.22' THEN 1 ELSE 0 END) AS hit FROM pre GROUP BY ALL) p GROUP BY ZENTRUM_ID", "pre"))
+def q_prevalence_certain(spark, sf_dir):
+    """Certain cases of E75.22 per site."""
+    return FL.prevalence(pre(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- M18: control-size sweep
@@ -963,19 +1111,23 @@ def q_importance(spark, sf_dir):
 SWEEP_K = [32, 64, 96, 128, 160, 1880]
 
 
+O.cte("certain_ids", ["pre_full"], "SELECT DISTINCT PATIENT_HASH FROM pre_full WHERE SICHERHEIT = 'G' AND ICD10 = 'E75.22'")
+O.cte("unflagged", ["pre_full"], "SELECT * FROM pre_full WHERE is_E75_22 = 0")
+
+
 @query("control_sweep", O.sql(" UNION ALL ".join(
-    f"SELECT {k} AS k, count(*) AS n_patients, count_if(PATIENT_HASH IN (SELECT PATIENT_HASH FROM e75_cases)) "
-    f"AS n_cases FROM (SELECT PATIENT_HASH FROM e75_cases UNION {O.bootstrap_sql('pre', 'e75_cases', k, SEED)}) s{k}"
-    for k in SWEEP_K), "e75_cases"))
+    f"SELECT {k} AS k, count(*) AS n_patients, count_if(PATIENT_HASH IN (SELECT PATIENT_HASH FROM certain_ids)) "
+    f"AS n_cases FROM (SELECT PATIENT_HASH FROM certain_ids UNION {O.bootstrap_sql('unflagged', 'certain_ids', k, SEED)}) s{k}"
+    for k in SWEEP_K), "certain_ids", "unflagged"))
 def q_sweep(spark, sf_dir):
-    """Cohort sizes for each control draw count of the reference's sweep (the model step per k
-    is ``bake_off`` on ``gaucher_dataset(pre, k)``)."""
-    p = pre_stage(spark, sf_dir)
-    cases = C.diagnosed_cases(p, "E75.22", source="label")
+    """Cohort sizes for each control draw count of the notebook's sweep: certain cases (J9) and
+    controls drawn from the rows without the E75.22 flag (J4)."""
+    p = pre_stage(spark, sf_dir, keep_flags=True)
+    cases = stage(C.diagnosed_cases(p, "E75.22", source="certain"))
     marked = cases.withColumn("_c", F.lit(1))
     outs = []
     for k in SWEEP_K:
-        ids = cases.unionByName(C.bootstrap_controls(p, cases, k=k, seed=SEED)).distinct()
+        ids = cases.unionByName(C.bootstrap_controls(p, cases, k=k, seed=SEED, flag="is_E75_22")).distinct()
         outs.append(ids.join(marked, PATIENT, "left").agg(
             F.lit(k).alias("k"), F.count(F.lit(1)).alias("n_patients"), F.count("_c").alias("n_cases")))
     out = outs[0]
@@ -984,6 +1136,21 @@ def q_sweep(spark, sf_dir):
     return out
 
 
+@query("sweep_models")
+def q_sweep_models(spark, sf_dir):
+    """M18's model step: naive Bayes out of ten folds on the dataset of each control draw count."""
+    p = pre_stage(spark, sf_dir, keep_flags=True)
+    outs = []
+    for k in SWEEP_K:
+        data = DS.gaucher_dataset(p, k=k, seed=SEED, source="certain", flag="is_E75_22")
+        pred = MD.nb_out_of_fold(as_model_set(data, "gaucher", DS.E75_FEATURES, N_FOLDS), PATIENT, "x")
+        outs.append(MT.misclassification(stage(pred)).withColumn("k", F.lit(k)))
+    out = outs[0]
+    for o in outs[1:]:
+        out = out.unionByName(o)
+    return out
+
+
 # ---------------------------------------------------------------- T4/T5 on patient notes
 
 _PTOKS = _TOKS.replace("coalesce(text, '')", "coalesce(TEXT, '')")
