@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 from casebook.llm.common import column, map_texts
 from casebook.llm.wordvectors import fold, sample_of
 
-#: Most labelled rows to learn from, most grams kept, and documents that a gram must occur in.
-SAMPLE, FEATURES, LEAST_DOCS = 20_000, 4096, 5
+#: Most labelled rows to learn from, most grams kept, documents that a gram must occur in, and standard
+#: errors by which its share of toxic documents must differ from the share of all (among a million grams
+#: about none gets there by chance).
+SAMPLE, FEATURES, LEAST_DOCS, LEAST_Z = 20_000, 4096, 5, 6.0
 BUCKETS = 1 << 21
 SIZES = (3, 4, 5, 6)
 PENALTY, DECAY, STEPS = 1.0, 1e-4, 400
@@ -121,8 +123,11 @@ def telling_grams(train: DataFrame, features: int = FEATURES) -> np.ndarray:
     rows = map_texts(train, count, "bucket int, n long, toxic long", max_chars=2_000_000).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
     size = train.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic")).first()
     total, toxic = size["n"], size["toxic"] or 0
-    gap = (F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("n") - F.col("toxic") + 0.5) / (total - toxic + 1.0))) * F.sqrt("n")
-    best = rows.filter(F.col("n") >= LEAST_DOCS).withColumn("gap", F.abs(gap)).orderBy(F.col("gap").desc(), "bucket").limit(features)
+    share = toxic / max(total, 1)
+    error = F.sqrt(F.col("n") * share * (1 - share) * F.greatest(1 - F.col("n") / F.lit(max(total, 1)), F.lit(1e-9)))
+    z = F.when(error > 0, F.abs(F.col("toxic") - F.col("n") * share) / error).otherwise(0.0)
+    best = (rows.filter(F.col("n") >= LEAST_DOCS).withColumn("z", z).filter(F.col("z") >= LEAST_Z)
+            .orderBy(F.col("z").desc(), "bucket").limit(features))
     return np.array(sorted(r["bucket"] for r in best.select("bucket").collect()), dtype=np.int64)
 
 
