@@ -41,3 +41,25 @@ def test_file_stream_lands_flagged_rows(spark):
     out = spark.read.parquet(os.path.join(d, "out"))
     assert out.count() == 2
     assert out.filter("PATIENT_HASH = 'h1'").first().is_E75_22 == 2
+
+
+def test_stage_files_are_sorted_by_patient_and_csv_keeps_types(spark):
+    d = tempfile.mkdtemp(prefix="cb-sorted-")
+    df = spark.range(400).selectExpr("md5(cast(id as string)) as PATIENT_HASH", "concat('S', id % 4) as ZENTRUM_ID", "id as n").repartition(3)
+    IO.write_stage(df, os.path.join(d, "p"))
+    parts = [os.path.join(top, f) for top, _, names in os.walk(os.path.join(d, "p")) for f in names if f.endswith(".parquet")]
+    assert len(parts) >= 4
+    for part in parts:
+        ids = [r[0] for r in spark.read.parquet(part).select("PATIENT_HASH").collect()]
+        assert ids == sorted(ids)
+    IO.write_stage(df, os.path.join(d, "c"), fmt="csv")
+    back = IO.read_stage(spark, os.path.join(d, "c"), fmt="csv", schema=df.select("PATIENT_HASH", "n", "ZENTRUM_ID").schema)
+    assert dict(back.dtypes)["n"] == "bigint" and back.agg({"n": "sum"}).first()[0] == 400 * 399 // 2
+
+
+def test_plain_files_are_not_shuffled(spark):
+    d = tempfile.mkdtemp(prefix="cb-plain-")
+    with open(os.path.join(d, "a.csv"), "wb") as f:
+        f.write((";".join(RAW_COLUMNS) + "\n" + "\n".join(";".join(["h", "BER01", "1"] + [""] * 8) for _ in range(5)) + "\n").encode("latin-1"))
+    df = IO.read_journal(spark, d, multi_line=False)
+    assert df.count() == 5 and "Exchange" not in df._jdf.queryExecution().executedPlan().toString()

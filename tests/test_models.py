@@ -1,9 +1,12 @@
 """Model smoke tests on separable data: fits within bounds, metrics consistent."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from casebook.operators import boosting as BO
 from casebook.operators import metrics as MT
 from casebook.operators import models as MD
+from casebook.operators import neighbours as NN
 
 
 def data(spark, n=200):
@@ -23,8 +26,85 @@ def test_adaboost_separable(spark):
 
 def test_gaussian_nb_and_auc(spark):
     df = data(spark)
-    pred = MD.gaussian_nb(df, df, "k", "x").join(df.select("k", "label"), "k")
+    pred = MD.gaussian_nb(df, df, "k", "x")
     acc = pred.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
     assert acc > 0.95
     scored = df.select("label", F.element_at("x", 1).alias("score"))
     assert MT.auc(scored).first()["auc"] == 1.0
+
+
+def brute_knn(x, y, fold, k):
+    out = []
+    for i in range(len(x)):
+        near = sorted((round(float(((x[i] - x[j]) ** 2).sum()), 6), j, y[j]) for j in range(len(x)) if fold[j] != fold[i])[:k]
+        out.append(int(sum(t[2] for t in near) / k > 0.5))
+    return out
+
+
+def points(spark, n=90):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(n, 3))
+    y = (x[:, 0] + 0.5 * rng.normal(size=n) > 0.4).astype(int)
+    rows = [(i, x[i].tolist(), int(y[i]), i % 3) for i in range(n)]
+    return x, y, spark.createDataFrame(rows, "k long, x array<double>, label int, fold int")
+
+
+def test_knn_equals_brute_force(spark):
+    x, y, df = points(spark)
+    got = NN.knn_classify(df, df, "k", "x", k=5, fold="fold").orderBy("k").collect()
+    assert [r["prediction"] for r in got] == brute_knn(x, y, [i % 3 for i in range(len(x))], 5)
+
+
+def test_enn_keeps_what_its_neighbours_confirm(spark):
+    x, y, df = points(spark)
+    keep = []
+    for i in range(len(x)):
+        near = sorted((round(float(((x[i] - x[j]) ** 2).sum()), 6), j) for j in range(len(x)) if j != i)[:3]
+        if all(y[j] == y[i] for _, j in near):
+            keep.append(i)
+    assert [r["k"] for r in NN.edited(df, "k", "x").orderBy("k").collect()] == keep
+
+
+def test_smote_points_lie_between_a_row_and_a_near_one(spark):
+    x, y, df = points(spark)
+    minor = int(y.sum() < len(y) / 2)
+    made = NN.smote_rows(df, "k", "x", k=4).collect()
+    assert len(made) == abs(len(y) - 2 * int(y.sum()))
+    for r in made:
+        b, o = r["base_id"], r["neighbour_id"]
+        near = sorted((round(float(((x[b] - x[j]) ** 2).sum()), 6), j) for j in range(len(x)) if y[j] == minor and j != b)[:4]
+        assert y[b] == minor and o in [j for _, j in near] and 0 <= r["u"] < 1
+        assert np.allclose(r["x"], x[b] + r["u"] * (x[o] - x[b]))
+    both = NN.smote(df, "k", "x").groupBy("label").count().collect()
+    assert len({r["count"] for r in both}) == 1
+
+
+def test_boosting_prefixes_equal_shorter_runs(spark):
+    x, y, _ = points(spark)
+    long = BO.boost(x, y, np.ones(len(y)), 0.5, 40)
+    short = BO.boost(x, y, np.ones(len(y)), 0.5, 10)
+    assert long[:10] == short
+    scores = BO.staged_scores(long, x, (10, 40))
+    assert np.allclose(scores[10], BO.staged_scores(short, x, (10,))[10])
+    assert ((scores[40] > 0) == (y == 1)).mean() > ((scores[10] > 0) == (y == 1)).mean() - 0.05
+
+
+def test_first_stump_is_the_best_one():
+    x = np.array([[0.0, 5.0], [1.0, 4.0], [2.0, 3.0], [3.0, 2.0]])
+    (j, edge, left, _), = BO.boost(x, np.array([0, 0, 1, 1]), np.ones(4), 1.0, 5)
+    assert (j, edge, left) == (0, 1.0, 0)
+
+
+def test_metrics_in_one_pass(spark):
+    rows = [("m", 0, 1, 1, 0.9), ("m", 0, 0, 0, 0.2), ("m", 0, 0, 1, 0.9), ("m", 0, 1, 0, 0.1), ("m", 1, 1, 1, 0.8), ("m", 1, 0, 0, 0.8)]
+    pred = spark.createDataFrame(rows, "model string, fold int, label int, prediction int, score double")
+    got = {(r["fold"], r["metric"]): r["value"] for r in MD.cross_validate(pred).collect()}
+    assert got[0, "accuracy"] == 0.5 and got[1, "accuracy"] == 1.0 and got[0, "recall"] == 0.5
+    assert got[0, "roc_auc"] == 0.375 and got[1, "roc_auc"] == 0.5
+
+
+def test_boosted_folds_cover_every_row_once_per_setting(spark):
+    x, y, df = points(spark)
+    out = BO.boosted_folds(df, "k", "x", rates=(0.1, 1.0), rounds=(5, 20))
+    assert {(r["rate"], r["rounds"], r["count"]) for r in out.groupBy("rate", "rounds").count().collect()} == {
+        (a, n, len(x)) for a in (0.1, 1.0) for n in (5, 20)}

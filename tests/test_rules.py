@@ -128,3 +128,40 @@ def test_single_letters_are_removed(spark):
     df = rows(spark, [("a b Wort <br> c é 7 x. in-y",)], "t string")
     row = df.select(TX.clean_tokens("t").alias("a"), TX.clean_tokens("t", for_embedding=True).alias("b")).first()
     assert row["a"] == ["wort", "7"] and row["b"] == ["Wort", "7", ".", "in"]
+
+
+def test_entry_ids_tell_shifted_nulls_and_separators_apart(spark):
+    from casebook.schema import RAW_COLUMNS, RAW_SCHEMA
+    from casebook.sources.fixtures import add_entry_id
+
+    def row(**kw):
+        return tuple(kw.get(c) for c in RAW_COLUMNS)
+
+    data = [row(ICD10="G"), row(SICHERHEIT="G"), row(TEXT="a|b"), row(TEXT="a", ICD10="b"), row(TEXT="1:x"), row(TEXT=""), row()]
+    df = spark.createDataFrame(data, RAW_SCHEMA)
+    assert add_entry_id(df).select("entry_id").distinct().count() == len(data)
+
+
+def lab_fixture(spark):
+    """Two patients; p1 has an entry twice (same day, same text), in which HB stands twice."""
+    cols = ["entry_id", "pos", "PATIENT_HASH", "ZENTRUM_ID", "PATIENT_ID", "PAT_GESCHLECHT", "DATUM", "TYP", "TEXT", "Lab_test", "Inference", "Result"]
+    entry = ("p1", "S", 1, "W", "01.01.10", "Y", "HB=1+; HB=1-")
+    labs = [("e1", 0, *entry, "HB", "High", "1+"), ("e1", 1, *entry, "HB", "Low", "1-")]
+    rows_ = [("e1", *entry), ("e1", *entry), ("e2", "p2", "S", 2, "W", "01.01.10", "A", "note")]
+    types = "entry_id string, pos int, PATIENT_HASH string, ZENTRUM_ID string, PATIENT_ID long, PAT_GESCHLECHT string, DATUM string, TYP string, TEXT string"
+    labs = spark.createDataFrame(labs, types + ", Lab_test string, Inference string, Result string")
+    entries = spark.createDataFrame(rows_, types.replace("pos int, ", ""))
+    assert labs.columns == cols
+    return labs, entries
+
+
+def test_last_value_of_an_entry_counts_once_per_row(spark):
+    values = LB.entry_values(*lab_fixture(spark)).collect()
+    assert [(r["PATIENT_HASH"], r["Lab_test"], r["Inference"], r["n"]) for r in values] == [("p1", "HB", "Low", 2)]
+
+
+def test_patients_without_a_relevant_value_score_zero(spark):
+    labs, entries = lab_fixture(spark)
+    dominant = spark.createDataFrame([("HB", "Low")], "Lab_test string, Dominant string")
+    got = LB.relevant_test_score(LB.entry_values(labs, entries), dominant, entries.select("PATIENT_HASH").distinct())
+    assert {r[0]: r[1] for r in got.collect()} == {"p1": 2, "p2": 0}
