@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casebook.functions.columns import hex_prefix_int
 from casebook.functions.rules import (EXTRA_STOP_WORDS, GERMAN_STOP_WORDS, MIN_TOKEN_LENGTH,
                                       RE_SINGLE_LETTER_EMBEDDING, RE_TAGS, SINGLE_LETTER)
 from casebook.operators.dates import entry_order
@@ -231,6 +232,27 @@ def initial_centres(vectors: DataFrame, doc: str, k: int, seed: int = 0) -> Data
     return (vectors.join(ranked, doc).select((F.col("c") - 1).alias("cluster"), "term", "weight"))
 
 
+def spread_centres(vectors: DataFrame, doc: str, k: int, seed: int = 0) -> DataFrame:
+    """k-means++ start: each next centre is a document drawn with probability proportional to its squared
+    distance from the nearest centre so far. The draw is a race of exponential times, u from the
+    document's md5 (one aggregate a round, reproducible). Fewer than k distinct vectors give fewer."""
+    unit = F.col("u")
+    docs = vectors.select(doc).distinct().withColumn("d", F.lit(2.0))  # unit vectors are within sqrt(2)
+    now, chosen = stage(docs), []
+    for i in range(k):
+        draw = (hex_prefix_int(F.md5(F.concat(F.lit(f"{seed}:{i}:"), F.col(doc).cast("string"))), 12) + 1) / F.lit(float(1 << 48) + 1)
+        race = now.filter(F.col("d") > 1e-9).withColumn("u", draw).withColumn("t", -F.log(unit) / F.col("d"))
+        first = race.agg(F.min_by(doc, F.struct("t", doc)).alias("c")).first()["c"]
+        if first is None:
+            break
+        chosen.append(first)
+        centre = vectors.filter(F.col(doc) == F.lit(first)).select("term", F.col("weight").alias("cw"))
+        dots = vectors.join(centre, "term").groupBy(doc).agg(F.sum(F.col("weight") * F.col("cw")).alias("dot"))
+        now = stage(now.join(dots, doc, "left").select(doc, F.least("d", F.greatest(F.lit(0.0), 2 - 2 * F.coalesce("dot", F.lit(0.0)))).alias("d")))
+    number = F.array_position(F.array(*[F.lit(c) for c in chosen]), F.col(doc)) - 1  # at most k ids
+    return vectors.filter(F.col(doc).isin(chosen)).select(number.cast("int").alias("cluster"), "term", "weight")
+
+
 def assign(vectors: DataFrame, all_docs: DataFrame, centres: DataFrame, doc: str) -> DataFrame:
     """One assignment step: nearest centre by squared distance |c|² − 2·x·c (|x| is constant per
     doc), ties to the lowest centre id.
@@ -250,23 +272,25 @@ def assign(vectors: DataFrame, all_docs: DataFrame, centres: DataFrame, doc: str
     return best.select(doc, F.col("b.c").alias("cluster"))
 
 
-def update(vectors: DataFrame, assignment: DataFrame, doc: str) -> DataFrame:
-    """Mean of member vectors per cluster (sparse: sum of weights per term / member count)."""
+def update(vectors: DataFrame, assignment: DataFrame, doc: str, centres: DataFrame) -> DataFrame:
+    """Mean of member vectors per cluster (sparse: sum of weights per term / member count). A cluster
+    without members keeps its centre."""
     sizes = assignment.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"))
     sums = vectors.join(assignment, doc).groupBy("cluster", "term").agg(F.sum("weight").alias("s"))
-    return sums.join(sizes, "cluster").select("cluster", "term", (F.col("s") / F.col("m")).alias("weight"))
+    moved = sums.join(sizes, "cluster").select("cluster", "term", (F.col("s") / F.col("m")).alias("weight"))
+    return moved.unionByName(centres.join(sizes, "cluster", "left_anti").select("cluster", "term", "weight"))
 
 
 def cluster_notes(vectors: DataFrame, all_docs: DataFrame, doc: str, k: int = 15, max_iter: int = 100,
                   seed: int = 0, checkpoint_every: int = 5) -> DataFrame:
-    """T5: Lloyd's k-means (k = 15, up to 100 iterations, one start) on the TF-IDF long table.
-    Stops when no document changes cluster (one count per iteration). Centres are checkpointed
-    every few iterations so the lineage stays bounded."""
+    """T5: k-means++ start, then Lloyd's iterations (k = 15, up to 100, one start) on the TF-IDF long
+    table. Stops when no document changes cluster (one count per iteration). Centres are staged every few
+    iterations so the lineage stays bounded."""
     vectors = stage(vectors)
-    centres = stage(initial_centres(vectors, doc, k, seed))
+    centres = stage(spread_centres(vectors, doc, k, seed))
     current = stage(assign(vectors, all_docs, centres, doc))
     for it in range(1, max_iter):
-        centres = update(vectors, current, doc)
+        centres = update(vectors, current, doc, centres)
         if it % checkpoint_every == 0:
             centres = stage(centres)
         nxt = stage(assign(vectors, all_docs, centres, doc))

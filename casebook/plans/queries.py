@@ -704,18 +704,45 @@ def q_oversample(spark, sf_dir):
     return SP.resample(labels(spark, sf_dir), "toxic", "doc_id", "over", SEED).select("doc_id", "toxic")
 
 
+N_FOLDS = 10
+O.cte("emb", [], "SELECT vec_id, CASE WHEN label = 0 THEN 1 ELSE 0 END AS y, CAST(embedding AS DOUBLE[]) AS x FROM embeddings")
+O.cte("emb_folds", ["emb"], f"SELECT *, CAST((row_number() OVER (PARTITION BY y ORDER BY md5('{SEED}:' || CAST(vec_id AS VARCHAR))) - 1) "
+                            f"% {N_FOLDS} AS INTEGER) AS fold FROM emb")
+
+
+def nb_ctes(prefix: str, src: str, key: str) -> None:
+    """Out-of-fold Gaussian naive Bayes over a (key, y, x list, fold) relation → {prefix}_nb (key, fold, y,
+    prediction, score)."""
+    O.cte(f"{prefix}_long", [src], f"SELECT {key}, fold, y, unnest(x) AS v, unnest(range(0, len(x))) AS j FROM {src}")
+    O.cte(f"{prefix}_train", [f"{prefix}_long"], f"SELECT f.fold AS held, l.y, l.j, l.v FROM {prefix}_long l JOIN (SELECT DISTINCT fold FROM "
+                                                 f"{prefix}_long) f ON l.fold <> f.fold")
+    O.cte(f"{prefix}_eps", [f"{prefix}_train"], f"SELECT held, max(vj) * 1e-9 AS eps FROM (SELECT held, var_pop(v) AS vj FROM {prefix}_train "
+                                                "GROUP BY held, j) q GROUP BY held")
+    O.cte(f"{prefix}_stats", [f"{prefix}_train", f"{prefix}_eps"],
+          f"SELECT s.held, y, j, mu, var + eps AS var FROM (SELECT held, y, j, avg(v) AS mu, var_pop(v) AS var FROM {prefix}_train "
+          f"GROUP BY held, y, j) s JOIN {prefix}_eps USING (held)")
+    O.cte(f"{prefix}_prior", [src], f"SELECT f.fold AS held, s.y, ln(count(*) / max(n)) AS lp FROM {src} s JOIN (SELECT fold, (SELECT count(*) "
+                                    f"FROM {src}) - count(*) AS n FROM {src} GROUP BY fold) f ON s.fold <> f.fold GROUP BY ALL")
+    O.cte(f"{prefix}_ll", [f"{prefix}_long", f"{prefix}_stats", f"{prefix}_prior"],
+          f"SELECT t.{key}, t.fold, t.y, s.y AS c, round(sum(-0.5 * (ln(2 * pi() * s.var) + (t.v - s.mu) * (t.v - s.mu) / s.var)) + max(p.lp), 9) "
+          f"AS ll FROM {prefix}_long t JOIN {prefix}_stats s ON s.held = t.fold AND s.j = t.j JOIN {prefix}_prior p ON p.held = t.fold "
+          f"AND p.y = s.y GROUP BY t.{key}, t.fold, t.y, s.y")
+    O.cte(f"{prefix}_nb", [f"{prefix}_ll"], f"SELECT {key}, fold, y AS label, CAST(arg_max(c, (ll, -c)) AS INTEGER) AS prediction "
+                                            f"FROM {prefix}_ll GROUP BY {key}, fold, y")
+
+
+nb_ctes("emb", "emb_folds", "vec_id")
+
+
 def scored_embeddings(spark, sf_dir):
-    """A fixed, data-derived score per embedding (first coordinate) and a rare class (label 0): the
-    input on which the metric operators are checked."""
-    apply_plan_settings(spark)
-    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    s = F.element_at("embedding", 1).cast("double")
-    return e.select("vec_id", (F.col("label") == 0).cast("int").alias("label"), s.alias("score"),
-                    (s > 0).cast("int").alias("prediction"))
+    """Out-of-fold naive Bayes predictions of a rare class (label 0 of the embeddings): the input of the
+    metric queries."""
+    df = embedding_set(spark, sf_dir)
+    return stage(MD.nb_out_of_fold(df, "vec_id", "embedding").select("vec_id", "label", "score", "prediction"))
 
 
-O.cte("scored", [], "SELECT vec_id, CASE WHEN label = 0 THEN 1 ELSE 0 END AS label, CAST(embedding[1] AS DOUBLE) AS score, "
-                    "CASE WHEN CAST(embedding[1] AS DOUBLE) > 0 THEN 1 ELSE 0 END AS prediction FROM embeddings")
+O.cte("scored", ["emb_ll"], "SELECT vec_id, y AS label, max(ll) FILTER (WHERE c = 1) - max(ll) FILTER (WHERE c = 0) AS score, "
+                            "CAST(arg_max(c, (ll, -c)) AS INTEGER) AS prediction FROM emb_ll GROUP BY vec_id, y")
 O.cte("tfpn", ["scored"], "SELECT count_if(label = 1 AND prediction = 1) AS tp, count_if(label = 0 AND prediction = 0) AS tn, "
                           "count_if(label = 0 AND prediction = 1) AS fp, count_if(label = 1 AND prediction = 0) AS fn FROM scored")
 
@@ -877,9 +904,6 @@ from casebook.operators import boosting as BO  # noqa: E402
 from casebook.operators import models as MD  # noqa: E402
 from casebook.operators import neighbours as NN  # noqa: E402
 
-N_FOLDS = 10
-
-
 def embedding_set(spark, sf_dir, folds: int = N_FOLDS):
     """Embeddings with a rare binary class (label 0), ML features and seeded stratified folds, staged
     once: every fit reads it again."""
@@ -894,33 +918,6 @@ def embedding_width(df) -> int:
     return len(df.select("embedding").first()[0])
 
 
-O.cte("emb", [], "SELECT vec_id, CASE WHEN label = 0 THEN 1 ELSE 0 END AS y, CAST(embedding AS DOUBLE[]) AS x FROM embeddings")
-O.cte("emb_folds", ["emb"], f"SELECT *, CAST((row_number() OVER (PARTITION BY y ORDER BY md5('{SEED}:' || CAST(vec_id AS VARCHAR))) - 1) "
-                            f"% {N_FOLDS} AS INTEGER) AS fold FROM emb")
-
-
-def nb_ctes(prefix: str, src: str, key: str) -> None:
-    """Out-of-fold Gaussian naive Bayes over a (key, y, x list, fold) relation → {prefix}_nb (key, fold, y,
-    prediction, score)."""
-    O.cte(f"{prefix}_long", [src], f"SELECT {key}, fold, y, unnest(x) AS v, unnest(range(0, len(x))) AS j FROM {src}")
-    O.cte(f"{prefix}_train", [f"{prefix}_long"], f"SELECT f.fold AS held, l.y, l.j, l.v FROM {prefix}_long l JOIN (SELECT DISTINCT fold FROM "
-                                                 f"{prefix}_long) f ON l.fold <> f.fold")
-    O.cte(f"{prefix}_eps", [f"{prefix}_train"], f"SELECT held, max(vj) * 1e-9 AS eps FROM (SELECT held, var_pop(v) AS vj FROM {prefix}_train "
-                                                "GROUP BY held, j) q GROUP BY held")
-    O.cte(f"{prefix}_stats", [f"{prefix}_train", f"{prefix}_eps"],
-          f"SELECT s.held, y, j, mu, var + eps AS var FROM (SELECT held, y, j, avg(v) AS mu, var_pop(v) AS var FROM {prefix}_train "
-          f"GROUP BY held, y, j) s JOIN {prefix}_eps USING (held)")
-    O.cte(f"{prefix}_prior", [src], f"SELECT f.fold AS held, s.y, ln(count(*) / max(n)) AS lp FROM {src} s JOIN (SELECT fold, (SELECT count(*) "
-                                    f"FROM {src}) - count(*) AS n FROM {src} GROUP BY fold) f ON s.fold <> f.fold GROUP BY ALL")
-    O.cte(f"{prefix}_ll", [f"{prefix}_long", f"{prefix}_stats", f"{prefix}_prior"],
-          f"SELECT t.{key}, t.fold, t.y, s.y AS c, round(sum(-0.5 * (ln(2 * pi() * s.var) + (t.v - s.mu) * (t.v - s.mu) / s.var)) + max(p.lp), 9) "
-          f"AS ll FROM {prefix}_long t JOIN {prefix}_stats s ON s.held = t.fold AND s.j = t.j JOIN {prefix}_prior p ON p.held = t.fold "
-          f"AND p.y = s.y GROUP BY t.{key}, t.fold, t.y, s.y")
-    O.cte(f"{prefix}_nb", [f"{prefix}_ll"], f"SELECT {key}, fold, y AS label, CAST(arg_max(c, (ll, -c)) AS INTEGER) AS prediction "
-                                            f"FROM {prefix}_ll GROUP BY {key}, fold, y")
-
-
-nb_ctes("emb", "emb_folds", "vec_id")
 _TFPN = ("SELECT count_if(label = 1 AND prediction = 1) AS tp, count_if(label = 0 AND prediction = 0) AS tn, "
          "count_if(label = 0 AND prediction = 1) AS fp, count_if(label = 1 AND prediction = 0) AS fn FROM ")
 
