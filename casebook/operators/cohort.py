@@ -33,16 +33,6 @@ def rank_by_hash(df: DataFrame, group: list[str], hash_col: str, out: str = "ran
             .drop("_bucket", "_offset"))
 
 
-def patient_pool(df: DataFrame, flag: str = "is_disease", pool: str = "rows", by: list[str] | None = None
-                 ) -> DataFrame:
-    """Control pool. ``rows`` (reference): patients with >= 1 unflagged row (cases can be drawn);
-    ``clean``: patients without any flagged row."""
-    keys = (by or []) + [PATIENT]
-    per = df.groupBy(*keys).agg(F.min(F.col(flag)).alias("_min"), F.max(F.col(flag)).alias("_max"))
-    cond = (F.col("_min") == 0) if pool == "rows" else (F.col("_max") == 0)
-    return per.filter(cond).select(*keys)
-
-
 def _per_patient(df: DataFrame, flag: str, by: str) -> DataFrame:
     return df.groupBy(by, PATIENT).agg(F.min(F.col(flag)).alias("_min"), F.max(F.col(flag)).alias("_max"))
 
@@ -113,7 +103,3 @@ def cohort(flagged: DataFrame, seed: int = 0, pool: str = "rows", flag: str = "i
     ids = per.filter(F.col("_max") != 0).select(PATIENT).unionByName(
         _controls_from(per, seed, pool, SITE).select(PATIENT))
     return keep_patients(flagged, ids)
-
-
-def cases(df: DataFrame, flag: str = "is_disease") -> DataFrame:
-    return df.filter(F.col(flag) != 0).select(PATIENT).distinct()

@@ -699,6 +699,15 @@ _OVER_SQL = O.sql(
     "SELECT doc_id, toxic FROM labels UNION ALL SELECT m.doc_id, m.toxic FROM d JOIN m USING (idx)")
 
 
+@query("balance_under", O.sql(
+    "WITH c AS (SELECT toxic, count(*) AS n FROM labels GROUP BY toxic), b AS (SELECT arg_max(toxic, (n, toxic)) AS major, "
+    f"min(n) AS nmin FROM c), r AS (SELECT doc_id, toxic, {_md5r('PARTITION BY toxic')} AS rk FROM labels) "
+    "SELECT doc_id, toxic FROM r WHERE toxic <> (SELECT major FROM b) OR rk <= (SELECT nmin FROM b)"))
+def q_balance_under(spark, sf_dir):
+    """The larger class cut to the size of the smaller."""
+    return SP.resample(labels(spark, sf_dir), "toxic", "doc_id", "under", SEED).select("doc_id", "toxic")
+
+
 @query("oversample", _OVER_SQL)
 def q_oversample(spark, sf_dir):
     return SP.resample(labels(spark, sf_dir), "toxic", "doc_id", "over", SEED).select("doc_id", "toxic")
