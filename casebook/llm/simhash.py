@@ -5,12 +5,14 @@ their fingerprints differ in ``max_bits`` bits or fewer; a component is what lin
 
 The search works on distinct fingerprints, never on documents:
 
-1. Embedding: a fingerprint becomes the vector of its bit counts in ``SEGMENTS`` segments. A differing
-   bit changes one count by one, so the Manhattan distance of two vectors is a lower bound of the
-   number of differing bits.
+1. Embedding: a fingerprint becomes the vector of its bit counts in 32 segments of two bits. A
+   differing bit changes one count by one, so the Manhattan distance of two vectors is a lower bound
+   of the number of differing bits. Segments this fine hardly ever meet by chance, so what passes
+   the grid grows with the near duplicates, not with the square of the corpus.
 2. Grid range-join: each fingerprint is entered in the grid cell of its vector and of every vector at
    Manhattan distance ``max_bits / 2``: two within ``max_bits`` then meet in a cell (the cells half
-   way along a shortest path). Fingerprints that meet no other cannot have a link and drop out.
+   way along a shortest path). Fingerprints that meet no other cannot have a link and drop out. The
+   join always shuffles by cell, whatever its size.
 3. Exact check: the rest are compared bit by bit through the words half way between them: two
    fingerprints differ in ``max_bits`` bits or fewer if and only if they share a word within
    ``max_bits / 2`` flipped bits of both. At most 1 + 64 fingerprints lie within one flip of a word
@@ -37,7 +39,8 @@ from casebook.llm.common import column, hot_keys, map_texts
 from casebook.llm.components import components
 from casebook.session import stage
 
-SEGMENTS = 16
+#: The lower bit of each two-bit segment.
+_LOW = np.uint64(0x5555555555555555)
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _BIT = np.arange(64, dtype=np.uint64)
@@ -73,33 +76,40 @@ def fingerprints(docs: DataFrame, words_per_shingle: int = 3) -> DataFrame:
     return map_texts(body, run, "doc_id long, fp long")
 
 
-def counts(fp: Column) -> Column:
-    """The segment popcount vector, four bits a coordinate, packed in a long."""
-    width = 64 // SEGMENTS
-    mask = (1 << width) - 1
-    packed = F.lit(0).cast("long")
-    for s in range(SEGMENTS):
-        part = F.shiftrightunsigned(fp, s * width).bitwiseAND(F.lit(mask).cast("long"))
-        packed = packed.bitwiseOR(F.shiftleft(F.bit_count(part).cast("long"), 4 * s))
-    return packed
+def counts(fp: np.ndarray) -> np.ndarray:
+    """The bit counts of the 32 two-bit segments, each in the place of its segment."""
+    a, b = fp & _LOW, (fp >> np.uint64(1)) & _LOW
+    return (a ^ b) | (a & b) << np.uint64(1)
 
 
-def cells(fp: Column) -> Column:
-    """Grid cells within Manhattan distance 1 of the vector of ``fp``: array<long>. Coordinates run
-    from 0 to the segment width, so a neighbour below 0 or above the width does not exist."""
-    width = 64 // SEGMENTS
+def cells(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, cell) of all grid cells within Manhattan distance 1 of each fingerprint's counts. Counts run
+    from 0 to 2, so there is no cell below or above."""
+    vector = counts(fp)
+    rows, found = [np.arange(len(fp))], [vector]
+    for s in range(32):
+        one = np.uint64(1) << np.uint64(2 * s)
+        at = vector >> np.uint64(2 * s) & np.uint64(3)
+        for can, step in ((at < 2, one), (at > 0, np.uint64(0) - one)):
+            rows.append(np.flatnonzero(can))
+            found.append(vector[can] + step)
+    return np.concatenate(rows), np.concatenate(found)
 
-    def around(vector: Column) -> Column:
-        steps = [F.array(vector)]
-        for s in range(SEGMENTS):
-            at = F.shiftrightunsigned(vector, 4 * s).bitwiseAND(F.lit(15).cast("long"))
-            low = vector.bitwiseAND(F.lit(~(15 << (4 * s)) if 4 * s < 60 else (1 << 60) - 1).cast("long"))
-            put = lambda v: low.bitwiseOR(F.shiftleft(v, 4 * s))  # noqa: B023, E731
-            steps.append(F.when(at > 0, F.array(put(at - 1))).otherwise(F.array().cast("array<long>")))
-            steps.append(F.when(at < width, F.array(put(at + 1))).otherwise(F.array().cast("array<long>")))
-        return F.concat(*steps)
 
-    return F.element_at(F.transform(F.array(counts(fp)), around), 1)
+def entered(distinct: DataFrame) -> DataFrame:
+    """(fp, cell) for every grid cell of every fingerprint. The fingerprints are dealt to as many tasks as
+    a shuffle has, since each becomes some 49 rows."""
+    def run(batches):
+        for batch in batches:
+            fp = batch.column(0).to_numpy().view(np.uint64)
+            for at in range(0, len(fp), 1 << 14):
+                part = fp[at:at + (1 << 14)]
+                with np.errstate(over="ignore"):
+                    row, cell = cells(part)
+                yield pa.record_batch({"fp": pa.array(part[row].view(np.int64)), "cell": pa.array(cell.view(np.int64))})
+
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return distinct.select("fp").repartition(tasks, "fp").mapInArrow(run, "fp long, cell long")
 
 
 def near_words(fp: Column) -> Column:
@@ -110,10 +120,10 @@ def near_words(fp: Column) -> Column:
 
 def links(distinct: DataFrame) -> DataFrame:
     """Edges (a, b) whose components equal those of all pairs of fingerprints within two bits."""
-    entered = distinct.select("fp", F.explode(cells(F.col("fp"))).alias("cell"))
-    shared = (entered.groupBy("cell").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi"))
+    grid = entered(distinct)
+    shared = (grid.groupBy("cell").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi"))
               .filter(F.col("lo") != F.col("hi")).select("cell"))
-    met = stage(entered.join(shared, "cell", "left_semi").select("fp").distinct())
+    met = stage(grid.join(shared.hint("merge"), "cell", "left_semi").select("fp").distinct())
     between = met.select("fp", F.explode(near_words(F.col("fp"))).alias("word"))
     groups = between.groupBy("word").agg(F.collect_list("fp").alias("fps")).filter(F.size("fps") > 1)
     return groups.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).filter("a != b").distinct()
