@@ -1,8 +1,8 @@
 """Byte-pair encoding of many words at once with numpy, for a tokenizer with word-end marks.
 
-Words of a block are found by their class changes, counted once each by hash, and all distinct words
-are merged side by side: in each round every word merges the pair of least rank that it holds. A
-test holds the ids against the tokenizers library. Texts outside the plain repertoire below, those
+Words of a block are found by their class changes and known by hash in a table of distinct words;
+those that it lacks are merged side by side: in each round every word merges the pair of least rank
+that it holds. A test holds the ids against the tokenizers library. Texts outside the plain repertoire below, those
 that hold a special token's string, and very long words go to the library itself.
 """
 
@@ -48,19 +48,51 @@ def byte_symbols() -> list[str]:
     return out
 
 
-class WordBpe:
-    """Built from a tokenizer file's JSON text; shipped to workers as that text."""
+class WordTable:
+    """Distinct words by two 64-bit hashes (open addressing), each with its ids. It begins anew when it is
+    half full, which costs time only."""
 
-    def __init__(self, source: str):
-        from tokenizers import Tokenizer
+    BITS = 21
 
-        spec = json.loads(source)
-        self.library = Tokenizer.from_str(source)
-        self.library.no_padding()
-        self.library.no_truncation()
+    def __init__(self):
+        size = 1 << self.BITS
+        self.key, self.check, self.slot = np.zeros(size, dtype=np.uint64), np.zeros(size, dtype=np.uint64), np.zeros(size, dtype=np.int32)
+        self.ids, self.begin, self.count = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    def find(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Number of each word, -1 if it is not held."""
+        out = np.full(len(first), -1, dtype=np.int64)
+        left, at = np.arange(len(first)), (first >> np.uint64(64 - self.BITS)).astype(np.int64)
+        while len(left):
+            held = self.key[at]
+            hit = held == first[left]
+            if not (self.check[at[hit]] == second[left[hit]]).all():
+                raise ArithmeticError("two words share a hash")
+            out[left[hit]] = self.slot[at[hit]]
+            on = ~hit & (held != 0)
+            left, at = left[on], (at[on] + 1) & ((1 << self.BITS) - 1)
+        return out
+
+    def add(self, first: np.ndarray, second: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Enters distinct words that are not held."""
+        number = len(self.count) + np.arange(len(first))
+        self.begin = np.concatenate((self.begin, len(self.ids) + np.cumsum(counts) - counts))
+        self.count, self.ids = np.concatenate((self.count, counts)), np.concatenate((self.ids, ids))
+        left, at = np.arange(len(first)), (first >> np.uint64(64 - self.BITS)).astype(np.int64)
+        while len(left):
+            free = self.key[at] == 0
+            self.key[at[free]] = first[left[free]]  # of two that want one place, the last has it
+            mine = free & (self.key[at] == first[left])
+            self.check[at[mine]], self.slot[at[mine]] = second[left[mine]], number[left[mine]]
+            left, at = left[~mine], (at[~mine] + 1) & ((1 << self.BITS) - 1)
+
+
+class Merger:
+    """The merges of a byte-level tokenizer file (its parsed JSON) as arrays."""
+
+    def __init__(self, spec: dict):
         model = spec["model"]
         vocab, suffix = model["vocab"], model["end_of_word_suffix"] or ""
-        self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)")
         signs = byte_symbols()
         self.inner = np.array([vocab[s] for s in signs], dtype=np.int64)
         self.final = np.array([vocab[s + suffix] for s in signs], dtype=np.int64)
@@ -77,11 +109,12 @@ class WordBpe:
         self.first = np.full(self.base * self.base, self.none, dtype=np.int32)  # ranks of byte pairs
         pair = (base[:, None] * self.base + base[None, :]).reshape(-1)
         self.first[pair] = self.rank(pair // self.base, pair % self.base)
-        self.classes = code_point_classes()
-        self.lower = np.array([ord(chr(c).lower()) if c != 0x130 else c for c in range(LIMIT)], dtype=np.uint32)
-        rng = np.random.default_rng(7)
-        self.weights = rng.integers(1, 1 << 63, size=(2, PLACES), dtype=np.uint64) | np.uint64(1)
-        self.values = np.where(self.classes == SPACE, np.uint64(0), rng.integers(1, 1 << 63, size=LIMIT, dtype=np.uint64) | np.uint64(1))
+
+    def symbols(self, data: np.ndarray) -> np.ndarray:
+        """Start symbols of equally long words, a row of bytes each."""
+        out = self.inner[data]
+        out[:, -1] = self.final[data[:, -1]]
+        return out
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Merge rank of each pair; ``none`` where it does not merge."""
@@ -130,6 +163,26 @@ class WordBpe:
             has = at > 0
             ranks[each[has], at[has] - 1] = self.rank(symbols[each[has], at[has] - 1], symbols[each[has], at[has]])
 
+
+class WordBpe(Merger):
+    """Built from a tokenizer file's JSON text; shipped to workers as that text."""
+
+    def __init__(self, source: str):
+        from tokenizers import Tokenizer
+
+        spec = json.loads(source)
+        super().__init__(spec)
+        self.library = Tokenizer.from_str(source)
+        self.library.no_padding()
+        self.library.no_truncation()
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)")
+        self.table = WordTable()
+        self.classes = code_point_classes()
+        self.lower = np.array([ord(chr(c).lower()) if c != 0x130 else c for c in range(LIMIT)], dtype=np.uint32)
+        rng = np.random.default_rng(7)
+        self.weights = rng.integers(1, 1 << 63, size=(2, PLACES), dtype=np.uint64) | np.uint64(1)
+        self.values = np.where(self.classes == SPACE, np.uint64(0), rng.integers(1, 1 << 63, size=LIMIT, dtype=np.uint64) | np.uint64(1))
+
     def words(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of the words of a block of lower-case code points."""
         kind = self.classes[points]
@@ -151,8 +204,8 @@ class WordBpe:
         ends = np.minimum(np.concatenate((starts[1:], [len(points)])), stops[np.searchsorted(stops, starts)])
         return starts, ends
 
-    def distinct(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(first occurrence of each distinct word, word -> its number), by two 64-bit sums."""
+    def hashes(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two 64-bit sums of each word, by its characters and their places."""
         sizes = (ends - starts).astype(np.uint64)
         points = points[starts[0]:]
         starts = starts - starts[0]
@@ -161,10 +214,23 @@ class WordBpe:
         place = np.minimum(np.arange(len(points)) - np.repeat(starts, spans), PLACES - 1)
         value = self.values[points]
         first, second = (np.add.reduceat(value * w[place], starts) + sizes * w[0] for w in self.weights)
-        _, at, of = np.unique(first, return_index=True, return_inverse=True)
-        if not (second == second[at][of]).all():
-            raise ArithmeticError("two words share a hash")
-        return at, of
+        return np.maximum(first, np.uint64(1)), second  # 0 marks a free place of the table
+
+    def numbered(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number in the table of each word; words that it lacks are encoded, once each, and entered."""
+        first, second = self.hashes(points, starts, ends)
+        number = self.table.find(first, second)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            _, at = np.unique(first[new], return_index=True)
+            some = new[at]
+            if len(self.table.count) + len(some) > 1 << self.table.BITS - 1:
+                self.table = WordTable()
+                if len(new) < len(first):
+                    return self.numbered(points, starts, ends)
+            self.table.add(first[some], second[some], *self.encode_words(points, starts[some], ends[some]))
+            number[new] = self.table.find(first[new], second[new])
+        return number
 
     def encode_words(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the given words, end to end, and the number of ids of each."""
@@ -206,10 +272,7 @@ class WordBpe:
         at = np.cumsum(1 + wide) - (1 + wide)
         out[at] = np.where(wide, 0xC0 | chars >> 6, chars)
         out[at[wide] + 1] = 0x80 | chars[wide] & 0x3F
-        out = out.reshape(len(starts), width)
-        symbols = self.inner[out]
-        symbols[:, -1] = self.final[out[:, -1]]
-        return symbols
+        return self.symbols(out.reshape(len(starts), width))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, as ``encode(text, add_special_tokens=False)`` of the library gives."""
@@ -226,12 +289,10 @@ class WordBpe:
             starts, ends = self.words(points)
             bounds = np.cumsum([len(texts[i]) + 1 for i in plain])
             if len(starts):
-                at, of = self.distinct(points, starts, ends)
-                ids, counts = self.encode_words(points, starts[at], ends[at])
-                begin = np.cumsum(counts) - counts
-                n = counts[of]
+                of = self.numbered(points, starts, ends)
+                n = self.table.count[of]
                 shift = np.cumsum(n) - n
-                flat = ids[np.repeat(begin[of] - shift, n) + np.arange(int(n.sum()))]
+                flat = self.table.ids[np.repeat(self.table.begin[of] - shift, n) + np.arange(int(n.sum()))]
                 edges = np.concatenate((shift, [len(flat)]))[np.searchsorted(starts, np.concatenate(([0], bounds)))]
             else:
                 flat, edges = np.zeros(0, dtype=np.int64), np.zeros(len(plain) + 1, dtype=np.int64)
