@@ -1,7 +1,8 @@
 """Byte-level BPE encoding and decoding through distinct-word tables (operator 6).
 
 Texts are split into the tokenizer's words; a task keeps a table of the distinct words that it has
-met, encodes each of them once, and joins the ids back by position; decoding joins each id to its
+met, encodes each of them once (all new ones of a block side by side, see ``wordbpe``), and joins the ids
+back by position; decoding joins each id to its
 piece in an id-to-piece table. The table lives as long as its task and is bounded
 (``TABLE_WORDS``): when it is full a new one begins, which costs time, not correctness.
 
@@ -17,18 +18,20 @@ encoded by it whole, as it does itself.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm.common import column, map_texts
-from casebook.llm.wordbpe import byte_symbols
+from casebook.llm.wordbpe import LONGEST, Merger, byte_symbols
 
 TABLE_WORDS = 600_000
-ENCODE_BATCH = 20_000
+ENCODE_BATCH = 100_000
 
 # The published pre-tokenization pattern, its Unicode classes written out for code points below 250 hex.
 _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", " \t\n\r\x0b\x0c\xa0"
@@ -42,6 +45,7 @@ class ByteBpe:
     def __init__(self, source: str):
         from tokenizers import Tokenizer
 
+        self.merger = Merger(json.loads(source))
         self.library = Tokenizer.from_str(source)
         self.library.no_padding()
         self.library.no_truncation()
@@ -62,14 +66,25 @@ class ByteBpe:
 
     def learn(self, words: set[str]) -> None:
         """Encodes the words that the table does not hold."""
-        new = sorted(words - self.table.keys())
+        new = words - self.table.keys()
         if len(self.table) + len(new) > TABLE_WORDS:
             self.table.clear()
-            new = sorted(words)
-        for at in range(0, len(new), ENCODE_BATCH):
-            some = new[at:at + ENCODE_BATCH]
-            for word, found in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
-                self.table[word] = self.entry(found.ids)
+            new = words
+        by_width: dict[int, list[tuple[str, bytes]]] = {}
+        for word in new:
+            data = word.encode()
+            by_width.setdefault(len(data), []).append((word, data))
+        for width, some in by_width.items():
+            if width > LONGEST:
+                for word, _ in some:
+                    self.table[word] = self.entry(self.library.encode(word, add_special_tokens=False).ids)
+                continue
+            for at in range(0, len(some), ENCODE_BATCH):
+                part = some[at:at + ENCODE_BATCH]
+                data = np.frombuffer(b"".join([d for _, d in part]), dtype=np.uint8).reshape(len(part), width)
+                ids, counts = self.merger.merge_all(self.merger.symbols(data))
+                for (word, _), row, n in zip(part, ids.tolist(), counts.tolist()):
+                    self.table[word] = self.entry(row[:n])
 
     def encode(self, texts: list[str]) -> Iterator[tuple[str, int, bytes]]:
         """For each text its ids as comma-joined decimals, their number, and the decoded bytes."""

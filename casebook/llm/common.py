@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import casebook
@@ -39,21 +40,26 @@ def text_of(df: DataFrame) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def map_texts(df: DataFrame, fn, schema: str, max_chars: int = 4_000_000, per_task: bool = False) -> DataFrame:
+def map_texts(df: DataFrame, fn, schema: str, max_chars: int = 2_000_000, per_task: bool = False) -> DataFrame:
     """``mapInArrow`` over frames that hold a ``text`` column: ``fn(batch) -> pa.Table | None``. With
     ``per_task``, ``fn()`` makes that function, once a task, for what is costly to build.
 
     Arrow batches have a row limit, not a byte limit, so each is cut into slices of about
     ``max_chars`` bytes of text (one longer text makes a slice of its own): memory in the Python
-    worker is bounded by that and by the longest single text."""
+    worker is bounded by that and by the longest single text. The cycle collector rests meanwhile: it would
+    walk large tables of strings again and again, and nothing here makes cycles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        each = fn() if per_task else fn
-        for batch in batches:
-            for part in slices(batch, max_chars):
-                out = each(part)
-                if out is not None:
-                    yield from out.to_batches()
+        gc.disable()
+        try:
+            each = fn() if per_task else fn
+            for batch in batches:
+                for part in slices(batch, max_chars):
+                    out = each(part)
+                    if out is not None:
+                        yield from out.to_batches()
+        finally:
+            gc.enable()
 
     return df.mapInArrow(run, schema)
 
