@@ -69,7 +69,7 @@ def _hash_runs(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, weights:
     first = np.cumsum(sizes) - sizes
     place = np.arange(total) - np.repeat(first, sizes)
     value = data[place + np.repeat(starts, sizes)].astype(np.uint64) + np.uint64(1)
-    value *= weights[place % PLACES]
+    value *= weights[place & (PLACES - 1)]
     if total and sizes.max() > PLACES:
         value *= (2 * (place // PLACES) + 1).astype(np.uint64)
     return np.add.reduceat(value, first) + sizes.astype(np.uint64) * weights[1] if len(starts) else np.zeros(0, dtype=np.uint64)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from casebook.llm.common import column, map_texts, slices
 from casebook.llm.neural import calibrated, fit_network, logits
 
-WORD_ROWS, SHAPE_ROWS, WIDTH = 1 << 14, 1 << 12, 32
+WORD_ROWS, SHAPE_ROWS, WIDTH = 1 << 14, 1 << 12, 16
 ROWS = WORD_ROWS + SHAPE_ROWS
 #: Most labelled rows to learn from.
 SAMPLE = 20_000
@@ -47,7 +47,7 @@ _RNG = np.random.default_rng(23)
 _WEIGHTS = _RNG.integers(1, 1 << 63, size=PLACES, dtype=np.uint64) | np.uint64(1)
 #: Two signed places for each row: its random index vector.
 _SLOT = _RNG.integers(0, WIDTH, size=(2, ROWS))
-_SIGN = _RNG.choice([-1, 1], size=(2, ROWS)).astype(np.int64)
+_SIGN = _RNG.choice([-1.0, 1.0], size=(2, ROWS))
 
 
 def units(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -64,7 +64,7 @@ def units(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.cumsum(sizes) - sizes
     place = np.arange(total) - np.repeat(first, sizes)
     chars = data[place + np.repeat(starts, sizes)]
-    hashes = np.add.reduceat((chars.astype(np.uint64) + np.uint64(1)) * _WEIGHTS[place % PLACES], first)
+    hashes = np.add.reduceat((chars.astype(np.uint64) + np.uint64(1)) * _WEIGHTS[place & (PLACES - 1)], first)
     count = lambda mask: np.add.reduceat(mask.astype(np.int32), first)
     letters, upper, digits = count(_LETTER[chars]), count(_UPPER[chars]), count(_DIGIT[chars])
     marks = sizes - letters - digits
@@ -79,31 +79,31 @@ def units(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def context_sums(texts: list[bytes], table: np.ndarray) -> None:
-    """Adds to ``table`` (ROWS, WIDTH) the sign vectors of the units around each unit."""
+    """Adds to ``table`` (ROWS, WIDTH) the sign vectors of the words around each word, and of the shapes
+    around each shape, two to either side."""
     doc, word, shape = units(texts)
     flat = table.reshape(-1)
-    for step in (1, 2):
-        near = np.flatnonzero(doc[step:] == doc[:-step]) if len(doc) > step else np.zeros(0, dtype=np.int64)
-        for here, there in ((near, near + step), (near + step, near)):
-            for mine in (word, shape):
-                for its in (word, shape):
-                    for slot, sign in zip(_SLOT, _SIGN):
-                        other = its[there]
-                        at = mine[here] * WIDTH + slot[other]
-                        flat += np.bincount(at, weights=sign[other], minlength=ROWS * WIDTH).astype(np.int64)
+    for rows in (word, shape):
+        for step in (1, 2):
+            near = np.flatnonzero(doc[step:] == doc[:-step]) if len(doc) > step else np.zeros(0, dtype=np.int64)
+            left, right = rows[near], rows[near + step]
+            for mine, its in ((left, right), (right, left)):
+                base = mine * WIDTH
+                for slot, sign in zip(_SLOT, _SIGN):
+                    flat += np.bincount(base + slot[its], weights=sign[its], minlength=ROWS * WIDTH)
 
 
 def corpus_vectors(docs: DataFrame) -> np.ndarray:
     """Unit vectors (ROWS, WIDTH) from all documents. Tasks hold one table each and hand on its rows that
     are not zero; the driver gets the sums, of the table's size."""
     def run(batches):
-        table = np.zeros((ROWS, WIDTH), dtype=np.int64)
+        table = np.zeros((ROWS, WIDTH))  # whole numbers, exact
         for batch in batches:
             for part in slices(batch, 8_000_000):
                 context_sums(_bytes(part), table)
         held = np.flatnonzero(table.any(axis=1))
         if len(held):
-            yield pa.record_batch({"row": pa.array(held, pa.int32()), **{f"v{k}": pa.array(table[held, k]) for k in range(WIDTH)}})
+            yield pa.record_batch({"row": pa.array(held, pa.int32()), **{f"v{k}": pa.array(table[held, k].astype(np.int64)) for k in range(WIDTH)}})
 
     names = [f"v{k}" for k in range(WIDTH)]
     parts = _body(docs).mapInArrow(run, "row int, " + ", ".join(f"{n} long" for n in names))
