@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from casebook.functions.columns import hex_prefix_int, seeded_hash
 from casebook.operators.cohort import rank_by_hash
+from casebook.session import stage
 
 SAMPLE = 5000
 
@@ -95,5 +96,6 @@ def smote(df: DataFrame, id_col: str, x: str, label: str = "label", k: int = 5,
 
 
 def smote_enn(df: DataFrame, id_col: str, x: str, label: str = "label", seed: int = 0, sample: int = SAMPLE) -> DataFrame:
-    """SMOTEENN: over-sample by SMOTE, then drop by ENN whatever its neighbours contradict."""
-    return edited(smote(df, id_col, x, label, seed=seed, sample=sample), id_col, x, label, sample=sample, seed=seed)
+    """SMOTEENN: over-sample by SMOTE (staged, since ENN reads it twice), then drop by ENN whatever its
+    neighbours contradict."""
+    return edited(stage(smote(df, id_col, x, label, seed=seed, sample=sample)), id_col, x, label, sample=sample, seed=seed)

@@ -997,19 +997,6 @@ def q_cross_validate(spark, sf_dir):
     return MD.cross_validate(stage(MD.scored(MD.out_of_fold(make, df, resample=over), "logreg+oversample", "vec_id")))
 
 
-@query("resampled_boosting")
-def q_resampled_boosting(spark, sf_dir):
-    """AdaBoost (200 rounds, rate 0.001) on training folds resampled by SMOTEENN."""
-    df = embedding_set(spark, sf_dir).select("vec_id", "embedding", "label", "fold")
-
-    def resample(train):
-        rows = train.select(F.col("id").cast("long").alias("id"), "x", "label")
-        return NN.smote_enn(rows, "id", "x", seed=SEED).select(F.col("id").cast("string").alias("id"), "x", "label")
-
-    pred = BO.boosted_folds(df, "vec_id", "embedding", rates=(0.001,), rounds=(200,), seed=SEED, resample=resample)
-    return MD.cross_validate(stage(MD.scored(pred, "adaboost+smoteenn", "id")))
-
-
 @query("out_of_fold")
 def q_out_of_fold(spark, sf_dir):
     df = embedding_set(spark, sf_dir)
