@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from casebook.llm.common import DOCUMENT_COLUMNS, column, hot_keys, map_texts
 from casebook.session import stage
 
-MIN_SENTENCES, MIN_WORDS = 2, 20
-LONG_SENTENCE, PART_EVERY = 30, 16
+MIN_SENTENCES, MIN_WORDS = 2, 15
+LONG_SENTENCE, PART_EVERY = 30, 8
 
 _END = re.compile(r"[.!?。！？…]+[^\w\s]*\s+|\s*\n\s*")
 _WORD = re.compile(r"\S+")
