@@ -266,8 +266,8 @@ def line_up(df: DataFrame, id_col: str, x: str, n_features: int, names: Sequence
         elif name == "nb":
             parts.append(scored(nb_out_of_fold(df, id_col, x, fold_col, label, only_fold), name, id_col, label, fold_col))
         elif name == "adaboost":
-            ada = BO.boosted_folds(df, id_col, x, label, fold_col, rounds=(ada_rounds,), seed=seed)
-            parts.append(scored(ada if only_fold is None else ada.filter(F.col("fold") == only_fold), name, "id"))
+            ada = BO.boosted_folds(df, id_col, x, label, fold_col, rounds=(ada_rounds,), seed=seed, only_fold=only_fold)
+            parts.append(scored(ada, name, "id"))
         elif name == "svm":
             rbf = stage(fourier_features(df, x, seed=seed))
             parts.append(scored(out_of_fold(mllib["svc"], rbf, fold_col, label, only_fold=only_fold), name, id_col, label, fold_col))

@@ -3,6 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from casebook.functions.columns import seeded_hash
 from casebook.operators import boosting as BO
 from casebook.operators import metrics as MT
 from casebook.operators import models as MD
@@ -108,3 +109,17 @@ def test_boosted_folds_cover_every_row_once_per_setting(spark):
     out = BO.boosted_folds(df, "k", "x", rates=(0.1, 1.0), rounds=(5, 20))
     assert {(r["rate"], r["rounds"], r["count"]) for r in out.groupBy("rate", "rounds").count().collect()} == {
         (a, n, len(x)) for a in (0.1, 1.0) for n in (5, 20)}
+
+
+def test_boosted_folds_score_rows_beyond_the_training_sample(spark):
+    x, y, df = points(spark)
+    got = {r["id"]: r for r in BO.boosted_folds(df, "k", "x", rounds=(5,), sample=30, seed=3).collect()}
+    assert len(got) == len(x)
+    for f in range(3):
+        order = df.filter(F.col("fold") != f).select(F.col("k").cast("string").alias("id")).orderBy(seeded_hash(3, F.col("id")), "id")
+        train = sorted((r["id"] for r in order.limit(30).collect()))
+        at = [int(i) for i in train]
+        stumps = BO.boost(x[at], y[at], np.ones(30), 1.0, 5)
+        held = [i for i in range(len(x)) if i % 3 == f]
+        want = BO.staged_scores(stumps, x[held], (5,))[5]
+        assert np.allclose([got[str(i)]["score"] for i in held], want) and all(got[str(i)]["fold"] == f for i in held)
