@@ -1,19 +1,25 @@
 """Substring deduplication by sliding sentence spans (operator 2).
 
-Every run of consecutive sentences is hashed: from each sentence the shortest run that has at least
-``MIN_SENTENCES`` sentences and ``MIN_WORDS`` words. Runs with equal hashes (128 bits over
-lower-cased words) are joined over the whole corpus; the occurrence in the smallest doc_id, and
-there the leftmost, is the first and stays. Sentences covered by any other are cut from their text.
-
-A sentence ends at a line break, or at final punctuation before white space. A sentence of more than
-``LONG_SENTENCE`` words (a table, a list) is parted before words whose CRC-32 is divisible by
-``PART_EVERY``, so that it parts alike wherever it stands.
+Every run of consecutive parts of sentences is hashed: from each part the shortest run that has at
+least ``MIN_SENTENCES`` parts and ``MIN_WORDS`` words. Runs with equal hashes (128 bits over
+lower-cased words, wherever parts and lines end between them) are joined over the whole corpus; the
+occurrence in the smallest doc_id, and there the leftmost, is the first and stays. Parts covered by any
+other are cut from their text.
+
+A sentence ends at a line break, or at final punctuation before white space. Sentences are parted before
+their anchors: of each ``ANCHOR_WINDOW`` consecutive words of the text, whatever lines they stand on, the
+one of least CRC-32 (of equal ones the last) if no sentence begins among them after punctuation. So parts
+depend on the words next to them only, and a passage parts alike wherever it stands, but for a window of
+words at either end. A passage of 3 * ``ANCHOR_WINDOW`` + ``MIN_WORDS`` - 2 = 49 words that stands in two
+places with its lines broken alike therefore holds an equal run; the words before its first and after its
+last equal run stay.
 
 Plan: sentences and hashes are made in one narrow pass, staged as fixed-width rows (one per run and
 document). Repeats within a document are settled there. Across documents, counts and least ids come
 from a pre-aggregated group-by; runs held by over a thousandth of all rows are joined back by
-broadcast (fewer than a thousand can be), the others by shuffle, so no task holds a hot run. Texts
-are shuffled once, by document, to meet their cuts.
+broadcast (fewer than a thousand can be), the others by shuffle, so no task holds a hot run. Columns
+with mostly zero bytes (ids, counts) come last in what is shuffled, where they compress with the next
+row's head. Texts are shuffled once, by document, to meet their cuts.
 
 Nulls: a null text stays null and has no sentences; a null id counts as larger than any id. Rows that share an id
 count as one document: what they share among them stays, and each row is cut by its own text. An
@@ -23,6 +29,7 @@ empty table gives an empty result. Further columns are dropped.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from zlib import crc32
 
 import numpy as np
@@ -34,58 +41,56 @@ from casebook.llm.common import DOCUMENT_COLUMNS, column, hot_keys, map_texts
 from casebook.session import stage
 
 MIN_SENTENCES, MIN_WORDS = 2, 15
-LONG_SENTENCE, PART_EVERY = 30, 8
+ANCHOR_WINDOW = 12
 
 _END = re.compile(r"[.!?。！？…]+[^\w\s]*\s+|\s*\n\s*")
 _WORD = re.compile(r"\S+")
 
 
-def sentences(text: str) -> list[tuple[int, int, list[str]]]:
-    """(start, end, lower-cased words) of each sentence that has a word; ends take in the white
-    space that follows."""
-    out = []
-    ends = [m.end() for m in _END.finditer(text)]
-    at = 0
-    for end in (*ends, len(text)):
-        words = text[at:end].lower().split()
-        if not words:
-            continue
-        if len(words) <= LONG_SENTENCE:
-            out.append((at, end, words))
-        else:
-            out.extend(_parts(text, at, end))
-        at = end
-    return out
-
-
-def _parts(text: str, at: int, end: int) -> list[tuple[int, int, list[str]]]:
-    out, words, begin = [], [], at
-    for m in _WORD.finditer(text, at, end):
-        word = m.group().lower()
-        if words and crc32(word.encode("utf-8", "surrogatepass")) % PART_EVERY == 0:
-            out.append((begin, m.start(), words))
-            words, begin = [], m.start()
-        words.append(word)
-    out.append((begin, end, words))
-    return out
+def anchors(words: list[str], begins: list[int]) -> list[int]:
+    """Places of the words that come first in some ``ANCHOR_WINDOW`` consecutive words: by whether a
+    sentence begins there (``begins``), by CRC-32, the last of equal ones."""
+    n = len(words)
+    if n < ANCHOR_WINDOW:
+        return []
+    codes = np.fromiter((crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.int64, n) | 1 << 32
+    codes[begins] &= 0xFFFFFFFF
+    least, width = codes << 30 | np.arange(n - 1, -1, -1), 1
+    while width < ANCHOR_WINDOW:
+        step = min(width, ANCHOR_WINDOW - width)
+        least, width = np.minimum(least[:-step], least[step:]), width + step
+    return (n - 1 - (np.unique(least) & 0x3FFFFFFF)).tolist()
+
+
+def parts(text: str, words: list[str]) -> list[tuple[int, int]]:
+    """(start in the text, place of the first word) of each part, and of the end of the last."""
+    starts = [m.start() for m in _WORD.finditer(text)]
+    n, breaks, begins = len(words), set(), []
+    for m in _END.finditer(text):
+        at = bisect_left(starts, m.end())
+        breaks.add(at)
+        if at < n and not m.group()[0].isspace():
+            begins.append(at)
+    breaks.update(anchors(words, begins))
+    return [(0, 0), *((starts[i], i) for i in sorted(breaks - {0, n})), (len(text), n)]
 
 
 def runs(text: str) -> list[tuple[int, int, bytes]]:
-    """(start, end, digest) of the shortest sufficient run from each sentence."""
+    """(start, end, digest) of the shortest sufficient run from each part."""
     from xxhash import xxh3_128_digest
 
-    parts = sentences(text)
-    marks = [xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass")) for _, _, words in parts]
-    sizes = [len(words) for _, _, words in parts]
-    out, last, held = [], 0, 0
-    for first in range(len(parts)):
-        while last < len(parts) and (held < MIN_WORDS or last - first < MIN_SENTENCES):
-            held += sizes[last]
+    words = [w.lower() for w in text.split()]
+    if len(words) < MIN_WORDS:
+        return []
+    bounds = parts(text, words)
+    out, last = [], 0
+    for first, (start, begin) in enumerate(bounds):
+        while last < len(bounds) and (bounds[last][1] - begin < MIN_WORDS or last - first < MIN_SENTENCES):
             last += 1
-        if held < MIN_WORDS or last - first < MIN_SENTENCES:
+        if last == len(bounds):
             break
-        out.append((parts[first][0], parts[last - 1][1], xxh3_128_digest(b"".join(marks[first:last]))))
-        held -= sizes[first]
+        end, after = bounds[last]
+        out.append((start, end, xxh3_128_digest(" ".join(words[begin:after]).encode("utf-8", "surrogatepass"))))
     return out
 
 
@@ -117,12 +122,12 @@ def cuts(keyed: DataFrame) -> DataFrame:
     """(uid, doc_id, span): every occurrence of a repeated run but the first."""
     table = stage(run_table(keyed))
     heads = table.filter(~F.col("again"))
-    repeated = stage(heads.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
+    repeated = stage(heads.groupBy("hi", "lo").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
                      .filter(F.col("n") > 1))
     hot = hot_keys(repeated, heads.count()).select("hi", "lo", F.col("first").alias("_hot"), F.lit(True).alias("_is_hot"))
     marked = heads.select("doc_id", "uid", "hi", "lo", "span").join(F.broadcast(hot), ["hi", "lo"], "left")
     of_hot = marked.filter(F.col("_is_hot") & ~F.col("doc_id").eqNullSafe(F.col("_hot")))
-    of_rest = marked.filter(F.col("_is_hot").isNull()).select("doc_id", "uid", "hi", "lo", "span").join(
+    of_rest = marked.filter(F.col("_is_hot").isNull()).select("uid", "hi", "lo", "span", "doc_id").join(
         repeated.select("hi", "lo", "first"), ["hi", "lo"]).filter(~F.col("doc_id").eqNullSafe(F.col("first")))
     own = table.filter("again")
     pick = ["uid", "doc_id", "span"]

@@ -1,3 +1,5 @@
+import random
+
 from casebook.llm import substrings
 
 PASSAGE = ("The quick brown fox jumps over the lazy dog near the river bank. It then rests for a while under a large old tree. "
@@ -54,3 +56,26 @@ def test_edges(nasty, empty):
     assert out.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"] and out.count() == nasty.count()
     assert {r["doc_id"]: r["text"] for r in out.collect()}[7] == "x"
     assert substrings.dedup_substrings(empty).count() == 0
+
+
+def test_passage_of_one_or_two_sentences_is_cut_in_any_surroundings(make):
+    rng, texts, passages = random.Random(5), {}, {}
+    for pair in range(80):
+        n = 51 + pair % 10
+        words = [f"w{rng.randrange(3000)}" for _ in range(n)]
+        if pair % 2:
+            words[n // 2] += "."
+        passages[pair] = words
+        for side in (0, 1):
+            own = [f"own{pair}x{side}x{i}" for i in range(40)]
+            lead = rng.choice(["", " ".join(own[:rng.randrange(1, 20)]) + " ", " ".join(own[:9]) + ".\n", " ".join(own[:5]) + "\n", " ".join(own[:7]) + "! "])
+            tail = rng.choice([".", ". " + " ".join(own[20:33]), " " + " ".join(own[20:rng.randrange(21, 39)]), "\n" + " ".join(own[20:23])])
+            texts[2 * pair + side] = lead + " ".join(words) + tail
+    got = {r["doc_id"]: r["text"].split() for r in substrings.dedup_substrings(make(list(texts.items()))).collect()}
+    for pair, words in passages.items():
+        assert got[2 * pair] == texts[2 * pair].split()
+        whole, left = texts[2 * pair + 1].split(), got[2 * pair + 1]
+        # Word by word: what no other document has stays, and no long stretch of the passage does.
+        assert [w for w in whole if w.startswith("own")] == [w for w in left if w.startswith("own")]
+        shingles = {tuple(words[i:i + 40]) for i in range(len(words) - 39)}
+        assert not any(tuple(left[i:i + 40]) in shingles for i in range(len(left))) and len(whole) - len(left) >= substrings.MIN_WORDS
