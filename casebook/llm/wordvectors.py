@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from casebook.llm.common import column, map_texts, slices
 from casebook.llm.neural import calibrated, fit_network, logits
 
-WORD_ROWS, SHAPE_ROWS, WIDTH = 1 << 14, 1 << 12, 16
+WORD_ROWS, SHAPE_ROWS, WIDTH = 1 << 14, 1 << 12, 32
 ROWS = WORD_ROWS + SHAPE_ROWS
 #: Most labelled rows to learn from.
 SAMPLE = 20_000
@@ -79,18 +79,20 @@ def units(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def context_sums(texts: list[bytes], table: np.ndarray) -> None:
-    """Adds to ``table`` (ROWS, WIDTH) the sign vectors of the words around each word, and of the shapes
-    around each shape, two to either side."""
+    """Adds to ``table`` (ROWS, WIDTH) the sign vectors of the units (words and shapes) around each unit,
+    two places to either side."""
     doc, word, shape = units(texts)
     flat = table.reshape(-1)
-    for rows in (word, shape):
-        for step in (1, 2):
-            near = np.flatnonzero(doc[step:] == doc[:-step]) if len(doc) > step else np.zeros(0, dtype=np.int64)
-            left, right = rows[near], rows[near + step]
-            for mine, its in ((left, right), (right, left)):
-                base = mine * WIDTH
+    for step in (1, 2):
+        near = np.flatnonzero(doc[step:] == doc[:-step]) if len(doc) > step else np.zeros(0, dtype=np.int64)
+        sides = [(rows[near], rows[near + step]) for rows in (word, shape)]
+        for here, there in ((0, 1), (1, 0)):
+            bases = [side[here] * WIDTH for side in sides]
+            for its in (side[there] for side in sides):
                 for slot, sign in zip(_SLOT, _SIGN):
-                    flat += np.bincount(base + slot[its], weights=sign[its], minlength=ROWS * WIDTH)
+                    place, weight = slot[its], sign[its]
+                    for base in bases:
+                        flat += np.bincount(base + place, weights=weight, minlength=ROWS * WIDTH)
 
 
 def corpus_vectors(docs: DataFrame) -> np.ndarray:

@@ -99,3 +99,18 @@ def test_edges(spark, nasty, empty, score, label):
     assert len(rows) == nasty.count() and all(0 <= r["score"] <= 1 for r in rows)
     assert {r["score"] for r in score(nasty, some.limit(0)).collect()} == {0.5}
     assert score(empty, some).count() == 0
+
+
+def test_contexts_sum_all_units_around_a_unit():
+    texts = [b"One two two, three 44 five", b"six One"]
+    got, want = np.zeros((wordvectors.ROWS, wordvectors.WIDTH)), np.zeros((wordvectors.ROWS, wordvectors.WIDTH))
+    wordvectors.context_sums(texts, got)
+    doc, word, shape = wordvectors.units(texts)
+    for i in range(len(doc)):
+        for j in range(len(doc)):
+            if doc[i] == doc[j] and 0 < abs(i - j) <= 2:
+                for mine in (word[i], shape[i]):
+                    for its in (word[j], shape[j]):
+                        for slot, sign in zip(wordvectors._SLOT, wordvectors._SIGN):
+                            want[mine, slot[its]] += sign[its]
+    assert np.array_equal(got, want) and wordvectors.WIDTH >= 32
