@@ -28,8 +28,9 @@ def test_last_values_null_dates_last(spark):
 def test_discriminative_argmax_order(spark):
     rows = []
     for i in range(6):  # six patients whose majority is High for T1
-        rows += [(f"p{i}", "T1", "High"), (f"p{i}", "T1", "Low"), (f"p{i}", "T1", "High")]
-    rows += [("q", "T1", "Low"), ("q", "T1", "High")]  # tie → Low (Low comes first)
-    df = spark.createDataFrame(rows, "PATIENT_HASH string, Lab_test string, Inference string")
+        rows += [(f"p{i}", "T1", "High", 1), (f"p{i}", "T1", "Low", 1), (f"p{i}", "T1", "High", 1)]
+    rows += [("q", "T1", "Low", 1), ("q", "T1", "High", 1)]  # tie → Low (Low comes first)
+    rows += [("r", "T1", "High", 1), ("r", "T1", "Low", 2)]  # one value found in two entries decides
+    df = spark.createDataFrame(rows, "PATIENT_HASH string, Lab_test string, Inference string, n long")
     out = LB.discriminative_tests(df, min_n=5, min_share=0.6).collect()
-    assert [(r.Lab_test, r.High, r.Low, r.n, r.Dominant) for r in out] == [("T1", 6, 1, 7, "High")]
+    assert [(r.Lab_test, r.High, r.Low, r.n, r.Dominant) for r in out] == [("T1", 6, 2, 8, "High")]
