@@ -104,6 +104,16 @@ class Parser:
         return node
 
 
+def reverse(node):
+    """The node that matches the reversed texts."""
+    kind = node[0]
+    if kind == "cat":
+        return ("cat", [reverse(item) for item in reversed(node[1])])
+    if kind == "alt":
+        return ("alt", [reverse(option) for option in node[1]])
+    return ("rep", reverse(node[1]), *node[2:]) if kind == "rep" else node
+
+
 class Nfa:
     """Thompson construction; ``steps[s]`` is a list of (bytes, target), ``free[s]`` of empty moves."""
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.automaton import Dfa, Parser
+from casebook.llm.automaton import Dfa, Parser, reverse
 from casebook.llm.common import DOCUMENT_COLUMNS, column, map_texts
 
 
@@ -50,7 +50,7 @@ BASE_RULES = (
 )
 MORE_RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 40, r"gh[pousr]_[A-Za-z0-9]"),
-    Rule("slack", r"xox[abprs]-[A-Za-z0-9\-]+", 20, r"xox[abprs]-[A-Za-z0-9]"),
+    Rule("slack", r"xox[abprs]-[A-Za-z0-9\-]+", 20, r"xox[abprs]-[A-Za-z0-9\-]"),
     Rule("google", r"AIza[A-Za-z0-9_\-]+", 39, r"AIza[A-Za-z0-9_\-]"),
     Rule("jwt", r"eyJ[A-Za-z0-9_\-]+\.[A-Za-z0-9_\-]+\.[A-Za-z0-9_\-]+", 30, r"eyJ[A-Za-z0-9_\-]"),
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 20, r"-----BEGIN [A-Z ]"),
@@ -79,6 +79,7 @@ class Scanner:
             raise ValueError("a rule matches across line ends")
         self.shortest = scan.shortest()
         self.exact = [_plain(d) for d in exact]
+        self.starts = [_search_table(Dfa([reverse(Parser(r.pattern, r.any_case).parse())], search=True)) for r in rules]
         self.leads = [d and _plain(d) for d in leads]
 
     def hits(self, data: np.ndarray) -> list[tuple[int, int, int]]:
@@ -113,18 +114,19 @@ class Scanner:
         return [(int(starts[i]), int(starts[i] + sizes[i]), int(found[i])) for i in np.flatnonzero(found)]
 
     def matches(self, rule: int, segment: bytes) -> list[tuple[int, int]]:
-        """Leftmost, longest, non-overlapping matches that have the rule's minimum."""
+        """Leftmost, longest, non-overlapping matches that have the rule's minimum.
+
+        The reversed rule runs once from the segment's end to its start and marks the bytes at which a match
+        begins, so no start is tried in vain: the work is linear in the segment."""
         exact, lead, least = self.exact[rule], self.leads[rule], self.rules[rule].least
-        out, at = [], 0
-        while at < len(segment):
-            end = _longest(exact, segment, at)
-            if end <= at:
-                at += 1
+        out, done = [], 0
+        for at in _starts(self.starts[rule], segment):
+            if at < done:
                 continue
+            done = _longest(exact, segment, at)
             value = _longest(lead, segment, at) if lead else at
-            if end - value >= least:
-                out.append((at, end))
-            at = end
+            if done - value >= least:
+                out.append((at, done))
         return out
 
     def spans(self, texts: list[bytes]) -> list[list[tuple[int, int, int]]]:
@@ -152,6 +154,22 @@ def _plain(dfa: Dfa) -> tuple[list[list[int]], list[bool]]:
     return np.where(lost[full], -1, full).tolist(), (dfa.accepts != 0).tolist()
 
 
+def _search_table(dfa: Dfa) -> tuple[list[list[int]], list[bool]]:
+    return dfa.table[:, dfa.class_of].tolist(), (dfa.accepts != 0).tolist()
+
+
+def _starts(backward: tuple[list[list[int]], list[bool]], segment: bytes) -> list[int]:
+    """Where matches begin, ascending: a rule's reversed search automaton over the reversed segment."""
+    table, accepts = backward
+    state, found = 0, []
+    for i, byte in enumerate(reversed(segment), 1):
+        state = table[state][byte]
+        if accepts[state]:
+            found.append(len(segment) - i)
+    found.reverse()
+    return found
+
+
 def _longest(plain: tuple[list[list[int]], list[bool]], segment: bytes, at: int) -> int:
     """End of the longest match that begins at ``at``, or -1."""
     table, accepts = plain

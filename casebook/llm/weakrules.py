@@ -63,16 +63,31 @@ _STOP = _table(b".!?")
 _RANDOM = np.random.default_rng(11).integers(1, 1 << 63, size=(3, PLACES), dtype=np.uint64) | np.uint64(1)
 
 
+def _scramble(x: np.ndarray) -> np.ndarray:
+    """A mixing of 64 bits that is not linear (multiplications and shifts)."""
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
 def _hash_runs(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte runs data[start : start + size]; runs do not overlap and ascend."""
-    total = int(sizes.sum())
-    first = np.cumsum(sizes) - sizes
-    place = np.arange(total) - np.repeat(first, sizes)
-    value = data[place + np.repeat(starts, sizes)].astype(np.uint64) + np.uint64(1)
-    value *= weights[place & (PLACES - 1)]
-    if total and sizes.max() > PLACES:
-        value *= (2 * (place // PLACES) + 1).astype(np.uint64)
-    return np.add.reduceat(value, first) + sizes.astype(np.uint64) * weights[1] if len(starts) else np.zeros(0, dtype=np.uint64)
+    """64-bit hashes of the byte runs data[start : start + size]; runs do not overlap and ascend.
+
+    A run is hashed in blocks of PLACES bytes, a weight for each place. The weights are the same in every
+    block, so the sum of a block is scrambled together with its number before the blocks are added up."""
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64)
+    blocks = (sizes + PLACES - 1) // PLACES
+    of = np.cumsum(blocks) - blocks
+    number = np.arange(int(blocks.sum())) - np.repeat(of, blocks)
+    begin = np.repeat(starts, blocks) + number * PLACES
+    held = np.minimum(np.repeat(sizes, blocks) - number * PLACES, PLACES)
+    first = np.cumsum(held) - held
+    place = np.arange(int(held.sum())) - np.repeat(first, held)
+    value = data[place + np.repeat(begin, held)].astype(np.uint64) + np.uint64(1)
+    value *= weights[place]
+    sums = _scramble(np.add.reduceat(value, first) + number.astype(np.uint64) * weights[2])
+    return np.add.reduceat(sums, of) + sizes.astype(np.uint64) * weights[1]
 
 
 def _repeats(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -43,6 +44,24 @@ def test_automaton_equals_re(texts):
             assert bool(dfa.accepts[state]) == bool(re.fullmatch(pattern, text))
 
 
+def test_long_texts_of_broken_starts_take_linear_time():
+    for piece in (b"eyJ", b"-----BEGIN ", b"token=", b"AKIA", b"eyJ.eyJ."):
+        text = piece * (1_000_000 // len(piece))
+        began = time.process_time()
+        SCANNER.spans([text])
+        assert time.process_time() - began < 20, piece
+
+
+def test_added_kinds_equal_regular_expressions():
+    rnd = random.Random(2)
+    pieces = ["eyJ", "eyJab", ".", "a-_", "xoxb-", "xoxz-", "12345678901234567890", "AIza", "Z" * 35, "ghp_", "ghx_", "A1" * 18, "-----", "-----BEGIN ",
+              "RSA ", "PRIVATE KEY", "PRIVATE KEY-----", " ", "\n", "é", "BEGIN "]
+    texts = ["".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 30))) for _ in range(4000)]
+    want = [[(m.start(), m.end(), k) for k, r in enumerate(secrets.RULES) if k > 2 for m in re.finditer(r.pattern, t) if m.end() - m.start() >= r.least] for t in texts]
+    got = [[s for s in found if s[2] > 2] for found in SCANNER.spans([t.encode() for t in texts])]
+    assert got == [sorted(w, key=lambda s: (s[0], s[2])) for w in want] and {s[2] for w in want for s in w} == {3, 4, 5, 6, 7}
+
+
 def test_minimisation_merges_equal_states():
     assert len(Dfa([Parser("(a|b)c").parse()], search=False).table) < len(Dfa([Parser("ac|bd").parse()], search=False).table)
 

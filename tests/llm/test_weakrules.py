@@ -24,6 +24,10 @@ def brute(text):
 def test_counts_equal_brute_force():
     rnd = random.Random(5)
     texts = ["".join(rnd.choice(["a", "b", " ", "\n", "a b c d e f g h ", "é ", "%", "\x0b", "\x1c", "日本 "]) for _ in range(rnd.randint(0, 60))) for _ in range(2000)]
+    line = bytearray(b"a" * 6000)
+    line[100] += 3  # with equal weights 4096 bytes apart this cancels
+    line[100 + 4096] -= 1
+    texts += ["a" * 6000 + "\n" + line.decode(), line.decode() + "\n" + "a" * 6000 + "\n" + line.decode()]
     texts += ["", "\n", "x" * 9000 + " y\n" + "x" * 9000 + " y", "x" * 5000 + "z" + "x" * 4000 + "\n" + "x" * 5001 + "z" + "x" * 3999]
     m = weakrules.measure([t.encode() for t in texts])
     got = np.stack([m[c] for c in weakrules.COUNTS], axis=1).tolist()
