@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import bytebpe, multiset, packing, secrets, sharding, simhash, substrings, toxicity, weakrules, wordvectors
+from casebook.llm import bytebpe, mixing, multiset, packing, secrets, sharding, simhash, substrings, toxicity, weakrules, wordvectors
 from casebook.llm import sql
 from casebook.llm.common import documents, labels, public_tokenizer
 
@@ -71,4 +71,9 @@ def op7_counterfactual_toxicity(spark, sf_dir):
     return toxicity.toxicity_scores(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+@query("op11_mixed_blocks", sql.MIXED_SOURCES)
+def op11_mixed_blocks(spark, sf_dir):
+    return mixing.mix_documents(documents(spark, sf_dir))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from casebook.llm import mixing
 from casebook.llm.sharding import MODULUS, MULTIPLIER
 
 #: CRC-32 of a text's bytes: the 256-entry table follows from the polynomial, then one lookup a byte.
@@ -77,3 +78,54 @@ WITH d AS (
 SELECT j.doc_id, n::BIGINT AS n_chars, sha256(edited) AS edited_sha256, {_hex('own')} AS fingerprint,
     {_hex('ed')} AS edited_fingerprint, {_likeness('own', 'ed')} AS near_edited, {_likeness('own', 'other')} AS near_next
 FROM j JOIN d USING (k)"""
+
+
+def _keys(salt: str) -> str:
+    return f"list_transform(range(1, {mixing.ROUNDS + 1}), lambda i: ('0x' || substr(md5({salt} || ':' || i::VARCHAR), 1, 12))::BIGINT)"
+
+
+def _permuted(x: str, n: str, keys: str, salt: str) -> str:
+    other = f"((key - a) % {n} + {n}) % {n}"
+    return (f"list_reduce([{x}::BIGINT] || {keys}, lambda a, key: CASE WHEN substr(md5({salt} || ':' || key::VARCHAR || ':' || "
+            f"greatest(a, {other})::VARCHAR), 1, 1) >= '8' THEN {other} ELSE a END)")
+
+
+_B = mixing.BLOCK
+_DEAL = f"'{mixing.SEED}:deal'"
+
+MIXED_SOURCES = f"""
+WITH d AS (
+    SELECT doc_id, source, coalesce('s' || source, '') AS src, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+        md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS digest
+    FROM documents
+), w AS (
+    SELECT *, [{', '.join(map(str, mixing.WEIGHTS))}][(rank % {len(mixing.WEIGHTS)} + 1)::BIGINT]::BIGINT AS weight FROM (
+        SELECT src, sum(size)::BIGINT AS words, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM d GROUP BY src, source) s
+), o AS (
+    SELECT *, coalesce(sum(words) OVER before, 0)::DOUBLE AS full_words, coalesce(sum(weight) OVER before, 0)::DOUBLE AS used_weight,
+        (sum(words) OVER ())::DOUBLE AS all_words, (sum(weight) OVER ())::DOUBLE AS all_weight
+    FROM w WINDOW before AS (ORDER BY words / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), t AS (
+    SELECT src, words, rank, least(words * {mixing.MOST}::DOUBLE, weight * (SELECT max((all_words * {mixing.SHARE}::DOUBLE - full_words * {mixing.MOST}) / (all_weight - used_weight)) FROM o)) AS target
+    FROM o
+), p AS (
+    SELECT *, sum(slots) OVER (ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - slots AS first_slot, sum(slots) OVER () AS all_slots FROM (
+        SELECT *, CASE WHEN words > 0 THEN (taken // words) * blocks + (taken % words + {_B - 1}) // {_B} ELSE 0 END AS slots FROM (
+            SELECT *, floor(target + 0.5)::BIGINT AS taken, (words + {_B - 1}) // {_B} AS blocks FROM t) a) b
+), k AS (
+    SELECT src, rank, blocks, first_slot::BIGINT + k AS x, all_slots::BIGINT AS n, k // blocks AS pass, k % blocks AS p_at,
+        CASE WHEN k = slots - 1 AND taken % words > 0 THEN taken % words - ((taken % words + {_B - 1}) // {_B} - 1) * {_B} ELSE {_B} END AS take
+    FROM (SELECT *, unnest(range(0, slots::BIGINT)) AS k FROM p) e
+), s AS (
+    SELECT src, take, CASE WHEN p_at = blocks - 1 THEN p_at ELSE {_permuted('p_at', 'greatest(blocks - 1, 1)', 'ks', 'salt')} END AS block, {_permuted('x', 'n', 'deal', _DEAL)} AS position
+    FROM (SELECT *, {_keys('salt')} AS ks, {_keys(_DEAL)} AS deal FROM (SELECT *, '{mixing.SEED}:' || rank::VARCHAR || ':' || pass::VARCHAR AS salt FROM k) a) b
+), l AS (
+    SELECT d.*, words, target, row_number() OVER () AS r, sum(size) OVER (PARTITION BY d.src ORDER BY digest, doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS start
+    FROM d JOIN p ON d.src = p.src
+), c AS (
+    SELECT r, src, block, greatest(start, block * {_B}) - block * {_B} AS low, least(start + size, (block + 1) * {_B}) - block * {_B} AS high
+    FROM (SELECT *, unnest(range((start // {_B})::BIGINT, ((start + size - 1) // {_B} + 1)::BIGINT)) AS block FROM l WHERE size > 0) e
+), m AS (
+    SELECT r, sum(least(high, take) - low) AS taken, min(position) AS first_position FROM c JOIN s USING (src, block) WHERE least(high, take) > low GROUP BY r
+)
+SELECT doc_id, size, words AS source_size, target, coalesce(taken, 0)::BIGINT AS taken, first_position FROM l LEFT JOIN m USING (r)"""
