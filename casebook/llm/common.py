@@ -26,6 +26,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def public_tokenizer(name: str) -> str:
     """JSON text of an installed public tokenizer file, read on the driver: tasks get the text, so the
     executors need no such file."""

@@ -28,6 +28,7 @@ sources alone, not on partitions, so reruns agree.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from hashlib import md5
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,7 +44,11 @@ SEED = 7
 
 #: Slots are made in chunks of so many, each in a row of its own first.
 CHUNK = 4096
-WORD = r"[^\x20\x09-\x0D]+"
+BLANK, WORD = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
+
+#: Modulus and multiplier of the permutations' hash, and a factor of the seed for each of their rounds.
+PRIME, MULTIPLIER = 2147483647, 1103515245
+FACTORS = [int(md5(f"round {i}".encode()).hexdigest()[:12], 16) % PRIME for i in range(ROUNDS)]
 
 
 def running(df: DataFrame, order: Sequence[Column], sums: dict[str, Column]) -> DataFrame:
@@ -59,19 +64,27 @@ def running(df: DataFrame, order: Sequence[Column], sums: dict[str, Column]) ->
     return inside.join(starts, "_range").select(*df.columns, *[(F.col(f"_{k}_start") + F.col(f"_{k}_in")).alias(k) for k in sums])
 
 
-def permuted(x: Column, n: Column, keys: Column, salt: Column) -> Column:
-    """The place of ``x`` under a swap-or-not permutation of 0 .. n - 1. A round pairs x with key - x
-    (modulo n) and swaps the pair or not, as a hash of the larger says, so it undoes itself."""
-    def step(at: Column, key: Column) -> Column:
+def permuted(x: Column, n: Column, seed: Column) -> Column:
+    """The place of ``x`` under a swap-or-not permutation of 0 .. n - 1 that ``seed`` (below PRIME) picks. A round
+    pairs x with key - x (modulo n) and swaps the pair or not, as a hash of the larger says, so it undoes itself."""
+    def step(at: Column, factor: Column) -> Column:
+        key = seed * factor
         other = F.pmod(key - at, n)
-        swap = F.substring(F.md5(F.concat_ws(":", salt, key, F.greatest(at, other))), 1, 1) >= "8"
+        mixed = (F.greatest(at, other) + key) % PRIME
+        swap = F.shiftright(mixed * mixed % PRIME * MULTIPLIER % PRIME, 15) % 2 == 1
         return F.when(swap, other).otherwise(at)
 
-    return F.aggregate(keys, x, step)
+    return F.aggregate(F.array(*[F.lit(f).cast("long") for f in FACTORS]), x, step)
+
+
+def seed_of(salt: Column) -> Column:
+    return F.conv(F.substring(F.md5(salt), 1, 12), 16, 10).cast("long") % PRIME
 
 
-def round_keys(salt: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.lit(ROUNDS)), lambda i: F.conv(F.substring(F.md5(F.concat_ws(":", salt, i)), 1, 12), 16, 10).cast("long"))
+def word_count(text: Column) -> Column:
+    """Each word, with the blanks around it, becomes one character; the length is the number of words."""
+    one = F.regexp_replace(text, f"{BLANK}*{WORD}+{BLANK}*", "x")
+    return F.when(text.rlike(WORD), F.length(one)).otherwise(0).cast("long")
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -81,7 +94,7 @@ def sized(docs: DataFrame) -> DataFrame:
     digest = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text)))
     return stage(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "source", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("")).alias("_src"),
-        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), digest.alias("_digest"))
+        word_count(text).alias("size"), digest.alias("_digest"))
         .withColumn("_slice", F.substring("_digest", 1, 4)))
 
 
@@ -111,14 +124,13 @@ def slots(plan: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, s
     """(_src, _block, shard, slot, position, _take): what each output slot holds; the last slot of a source may hold
     the beginning of its block only."""
     chunks = plan.filter("slots > 0").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / CHUNK))).alias("_chunk"))
-    chunks = chunks.repartition(F.col("_src"), F.col("_chunk"))
-    each = chunks.withColumn("_deal", round_keys(F.lit(f"{seed}:deal"))).select(
-        "*", F.explode(F.sequence(F.col("_chunk") * CHUNK, F.least(F.col("_chunk") * CHUNK + CHUNK, F.col("slots")) - 1)).alias("_k"))
+    # A row here becomes a chunk of slots below: a number of partitions that is not coalesced by the size of these rows.
+    chunks = chunks.repartition(int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col("_src"), F.col("_chunk"))
+    each = chunks.select("*", F.explode(F.sequence(F.col("_chunk") * CHUNK, F.least(F.col("_chunk") * CHUNK + CHUNK, F.col("slots")) - 1)).alias("_k"))
     at = each.withColumn("_pass", F.floor(F.col("_k") / F.col("blocks"))).withColumn("_p", F.col("_k") % F.col("blocks"))
-    salt = F.concat_ws(":", F.lit(seed), F.col("rank"), F.col("_pass"))
-    at = at.withColumn("_keys", round_keys(salt))
-    within = F.when(F.col("_p") == F.col("blocks") - 1, F.col("_p")).otherwise(permuted(F.col("_p"), F.greatest(F.col("blocks") - 1, F.lit(1)), F.col("_keys"), salt))
-    dealt = permuted(F.col("first_slot") + F.col("_k"), F.col("all_slots"), F.col("_deal"), F.lit(f"{seed}:deal"))
+    at = at.withColumns({"_seed": seed_of(F.concat_ws(":", F.lit(seed), F.col("rank"), F.col("_pass"))), "_deal": seed_of(F.lit(f"{seed}:deal"))})
+    within = F.when(F.col("_p") == F.col("blocks") - 1, F.col("_p")).otherwise(permuted(F.col("_p"), F.greatest(F.col("blocks") - 1, F.lit(1)), F.col("_seed")))
+    dealt = permuted(F.col("first_slot") + F.col("_k"), F.col("all_slots"), F.col("_deal"))
     rest = F.col("taken") % F.col("words")
     take = F.when((F.col("_k") == F.col("slots") - 1) & (rest > 0), rest - (F.ceil(rest / block) - 1) * block).otherwise(block)
     out = at.select("_src", within.alias("_block"), dealt.alias("position"), take.cast("long").alias("_take"))
@@ -155,7 +167,7 @@ def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     known = sized(docs)
     plan = planned(targets(known.groupBy("_src", "source").agg(F.sum("size").alias("words"))))
     laid = stage(lines(known, plan))
-    mixed = pieces(laid).join(slots(plan), ["_src", "_block"]).withColumn(
+    mixed = pieces(laid).join(slots(plan).hint("merge"), ["_src", "_block"]).withColumn(
         "taken", F.greatest(F.lit(0), F.least(F.col("_at") + F.col("_length"), F.col("_take")) - F.col("_at")))
     return laid, plan, mixed
 

@@ -7,10 +7,11 @@ subtracting its vector (``combine``), without the rest of the text. A vector has
 
 * ``EQUALITY_LANES`` lanes modulo 2**32, the words of the paragraph's SHA-256: equal sums mean
   equal multisets, up to collisions of a 256-bit hash;
-* ``LIKENESS_LANES`` lanes modulo 2**16: each run of ``RUN_WORDS`` words of the paragraph, counted
-  from its start, adds +1 or -1 to one lane that its md5 picks. As the lanes add up over shared
-  runs and cancel over others, the cosine of two fingerprints estimates the share of runs that
-  two documents have in common (standard error about 1 / sqrt(LIKENESS_LANES)).
+* ``LIKENESS_LANES`` lanes modulo 2**16: every word begins a run of up to ``RUN_WORDS`` words of its
+  paragraph (runs overlap), and each run adds +1 or -1 to one lane, which a hash of its words' CRC-32 picks. As
+  the lanes add up over shared runs and cancel over others, the cosine of two fingerprints estimates the share
+  of runs that two documents have in common (standard error about 1 / sqrt(LIKENESS_LANES)). A word put in or
+  taken out touches only the runs that hold it.
 
 Nulls: a null text is the empty document (one empty paragraph), a null id sorts last. Rows that
 repeat an id and text are one document in the order "next document", and each keeps its own
@@ -29,9 +30,11 @@ EQUALITY_LANES, EQUALITY_BITS = 8, 32
 LIKENESS_LANES, LIKENESS_BITS = 128, 16
 RUN_WORDS = 4
 
-#: Up to RUN_WORDS words on one line; the next run starts where it ends, each line starts anew.
-_BLANK = r" \t\x0B\f\r"
-RUN_PATTERN = rf"(?:[^\n{_BLANK}]+[{_BLANK}]*){{1,{RUN_WORDS}}}"
+#: A word, or the end of a paragraph.
+TOKEN_PATTERN = r"[^\n \t\x0B\f\r]+|\n"
+#: Factors of the first, second, ... word of a run, and the prime that their sum is taken modulo.
+FACTORS = (268435399, 181081817, 120721211, 80480807)
+PRIME = 2147483647
 
 
 def let(value: Column, body) -> Column:
@@ -51,16 +54,29 @@ def equality_lanes(text: Column) -> Column:
     return let(digests, lambda ds: F.transform(F.sequence(F.lit(0), F.lit(EQUALITY_LANES - 1)), lambda i: lane(ds, i)))
 
 
+def run_codes(text: Column) -> Column:
+    """For each word the code of the run that it begins, array<long>: its lane, plus LIKENESS_LANES if its sign is minus."""
+    tokens = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 0)
+    hashes = F.transform(tokens, lambda w: F.when(w != "\n", F.crc32(w.cast("binary"))))
+
+    def run(h: Column, i: Column, n: int = 0) -> Column:
+        own = F.get(h, i + n) * F.lit(FACTORS[n])
+        if n == RUN_WORDS - 1:
+            return own
+        # The end of the paragraph or of the text is null and ends the run.
+        return own + F.coalesce(run(h, i, n + 1), F.lit(0).cast("long"))
+
+    codes = let(hashes, lambda h: F.transform(h, lambda _, i: run(h, i) % F.lit(PRIME) % F.lit(2 * LIKENESS_LANES)))
+    return F.filter(codes, lambda c: c.isNotNull())
+
+
 def likeness_lanes(text: Column) -> Column:
     """Signed counts of the text's word runs in LIKENESS_LANES lanes: array<int>.
 
-    A run's code is its lane, plus LIKENESS_LANES if its sign is minus. Codes are sorted together
-    with one copy of every code, so the place at which each first stands gives its count."""
+    Codes are sorted together with one mark before each code, so the places of the marks give the counts."""
     codes = 2 * LIKENESS_LANES
-    runs = F.transform(F.regexp_extract_all(text, F.lit(RUN_PATTERN), 0),
-                       lambda r: F.conv(F.substring(F.md5(F.rtrim(r)), 1, 4), 16, 10).cast("int") % codes)
-    ordered = F.sort_array(F.concat(runs, F.sequence(F.lit(0), F.lit(codes))))
-    places = let(ordered, lambda s: F.transform(F.sequence(F.lit(0), F.lit(codes)), lambda c: F.array_position(s, c)))
+    marked = F.concat(F.transform(run_codes(text), lambda c: (2 * c + 1).cast("int")), F.transform(F.sequence(F.lit(0), F.lit(codes)), lambda c: 2 * c))
+    places = F.filter(F.transform(F.sort_array(marked), lambda v, i: F.when(v % 2 == 0, i)), lambda i: i.isNotNull())
 
     def net(p: Column, lane: Column) -> Column:
         plus = F.get(p, lane + 1) - F.get(p, lane)

@@ -7,9 +7,9 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import bytebpe, mixing, multiset, packing, secrets, sharding, simhash, substrings, toxicity, weakrules, wordvectors
+from casebook.llm import bytebpe, mixing, multiset, negatives, packing, phrases, secrets, sharding, simhash, substrings, toxicity, weakrules, wordvectors
 from casebook.llm import sql
-from casebook.llm.common import documents, labels, public_tokenizer
+from casebook.llm.common import documents, embeddings, labels, public_tokenizer
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -76,4 +76,14 @@ def op11_mixed_blocks(spark, sf_dir):
     return mixing.mix_documents(documents(spark, sf_dir))
 
 
+@query("op12_vertical_negatives", sql.HARD_NEGATIVES)
+def op12_vertical_negatives(spark, sf_dir):
+    return negatives.hard_negatives(embeddings(spark, sf_dir))
+
+
+@query("op13_fingerprint_phrases", sql.PHRASES)
+def op13_fingerprint_phrases(spark, sf_dir):
+    return phrases.mine_phrases(documents(spark, sf_dir))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

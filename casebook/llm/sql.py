@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from casebook.llm import mixing
+from casebook.llm import mixing, multiset
 from casebook.llm.sharding import MODULUS, MULTIPLIER
 
 #: CRC-32 of a text's bytes: the 256-entry table follows from the polynomial, then one lookup a byte.
@@ -37,7 +37,10 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
 FROM placed"""
 
 
-_RUN = r"(?:[^\n \t\x0B\f\r]+[ \t\x0B\f\r]*){1,4}"
+def _run(n: int = 0) -> str:
+    """The word at i + n of the list hs and those after it in its line, weighed and added up."""
+    own = f"hs[i + {n}] * {multiset.FACTORS[n]}"
+    return own if n == multiset.RUN_WORDS - 1 else f"({own} + coalesce({_run(n + 1)}, 0))"
 
 
 def _fingerprint(text: str) -> str:
@@ -45,13 +48,22 @@ def _fingerprint(text: str) -> str:
     paragraphs = f"list_transform(string_split({text}, chr(10)), lambda p: sha256(p))"
     same = (f"list_transform(range(8), lambda i: list_sum(list_transform({paragraphs}, "
             "lambda d: ('0x' || substr(d, 8 * i + 1, 8))::BIGINT)) % 4294967296)")
-    codes = (f"list_transform(regexp_extract_all({text}, '{_RUN}'), "
-             "lambda r: ('0x' || substr(md5(rtrim(r, ' ')), 1, 4))::BIGINT % 256)")
+    codes = f"{text}_codes"
     like = (f"list_transform(range(128), lambda l: len(list_filter({codes}, lambda c: c = l)) "
             f"- len(list_filter({codes}, lambda c: c = l + 128)))")
     return f"{{'same': {same}, 'like': {like}}}"
 
 
+def _codes(text: str) -> str:
+    """Scalar SQL over crc_table: the codes of the word runs of a text expression."""
+    words = f"regexp_extract_all({text}, '[^\\n \\t\\x0B\\f\\r]+|\\n')"
+    crc = ("xor(list_reduce([4294967295] || list_transform(range(0, strlen(w)::BIGINT), lambda i: ('0x' || hex(encode(w))[2 * i + 1 : 2 * i + 2])::BIGINT), "
+           "lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)")
+    hashes = f"list_transform({words}, lambda w: CASE WHEN w <> chr(10) THEN {crc} END)"
+    runs = f"list_transform([{hashes}], lambda hs: list_transform(range(1, len(hs) + 1), lambda i: {_run()} % {multiset.PRIME} % 256))[1]"
+    return f"list_filter({runs}, lambda c: c IS NOT NULL)"
+
+
 def _hex(fp: str) -> str:
     return (f"array_to_string(list_transform({fp}.same, lambda x: lpad(lower(hex(x::BIGINT)), 8, '0')), '') || "
             f"array_to_string(list_transform({fp}.like, lambda x: lpad(lower(hex(((x::BIGINT % 65536) + 65536) % 65536)), 4, '0')), '')")
@@ -65,7 +77,7 @@ def _likeness(a: str, b: str) -> str:
 
 
 MULTISET_FINGERPRINTS = f"""
-WITH d AS (
+WITH {_CRC}, d AS (
     SELECT doc_id, coalesce(text, '') AS text, md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS k FROM documents
 ), u AS (SELECT DISTINCT doc_id, text, k FROM d
 ), o AS (
@@ -73,25 +85,27 @@ WITH d AS (
         coalesce(lead(text) OVER w, first_value(text) OVER w) AS nt
     FROM u WINDOW w AS (ORDER BY doc_id DESC NULLS LAST, k DESC)
 ), e AS (SELECT *, substr(text, 1, (n - n // 3)::BIGINT) || substr(nt, 1, (n // 3)::BIGINT) AS edited FROM o
-), f AS (SELECT *, {_fingerprint('text')} AS own, {_fingerprint('edited')} AS ed FROM e
+), c AS (SELECT e.*, {_codes('text')} AS text_codes, {_codes('edited')} AS edited_codes FROM e, crc_table
+), f AS (SELECT *, {_fingerprint('text')} AS own, {_fingerprint('edited')} AS ed FROM c
 ), j AS (SELECT f.*, g.own AS other FROM f JOIN f AS g ON f.nk = g.k)
 SELECT j.doc_id, n::BIGINT AS n_chars, sha256(edited) AS edited_sha256, {_hex('own')} AS fingerprint,
     {_hex('ed')} AS edited_fingerprint, {_likeness('own', 'ed')} AS near_edited, {_likeness('own', 'other')} AS near_next
 FROM j JOIN d USING (k)"""
 
 
-def _keys(salt: str) -> str:
-    return f"list_transform(range(1, {mixing.ROUNDS + 1}), lambda i: ('0x' || substr(md5({salt} || ':' || i::VARCHAR), 1, 12))::BIGINT)"
+def _seed(salt: str) -> str:
+    return f"(('0x' || substr(md5({salt}), 1, 12))::BIGINT % {mixing.PRIME})"
 
 
-def _permuted(x: str, n: str, keys: str, salt: str) -> str:
-    other = f"((key - a) % {n} + {n}) % {n}"
-    return (f"list_reduce([{x}::BIGINT] || {keys}, lambda a, key: CASE WHEN substr(md5({salt} || ':' || key::VARCHAR || ':' || "
-            f"greatest(a, {other})::VARCHAR), 1, 1) >= '8' THEN {other} ELSE a END)")
+def _permuted(x: str, n: str, seed: str) -> str:
+    key = f"({seed} * factor)"
+    other = f"((({key} - a) % {n} + {n}) % {n})"
+    mixed = f"((greatest(a, {other}) + {key}) % {mixing.PRIME})"
+    return (f"list_reduce([{x}::BIGINT] || {mixing.FACTORS}, lambda a, factor: CASE WHEN "
+            f"(({mixed} * {mixed} % {mixing.PRIME} * {mixing.MULTIPLIER} % {mixing.PRIME}) >> 15) % 2 = 1 THEN {other} ELSE a END)")
 
 
 _B = mixing.BLOCK
-_DEAL = f"'{mixing.SEED}:deal'"
 
 MIXED_SOURCES = f"""
 WITH d AS (
@@ -117,8 +131,8 @@ WITH d AS (
         CASE WHEN k = slots - 1 AND taken % words > 0 THEN taken % words - ((taken % words + {_B - 1}) // {_B} - 1) * {_B} ELSE {_B} END AS take
     FROM (SELECT *, unnest(range(0, slots::BIGINT)) AS k FROM p) e
 ), s AS (
-    SELECT src, take, CASE WHEN p_at = blocks - 1 THEN p_at ELSE {_permuted('p_at', 'greatest(blocks - 1, 1)', 'ks', 'salt')} END AS block, {_permuted('x', 'n', 'deal', _DEAL)} AS position
-    FROM (SELECT *, {_keys('salt')} AS ks, {_keys(_DEAL)} AS deal FROM (SELECT *, '{mixing.SEED}:' || rank::VARCHAR || ':' || pass::VARCHAR AS salt FROM k) a) b
+    SELECT src, take, CASE WHEN p_at = blocks - 1 THEN p_at ELSE {_permuted('p_at', 'greatest(blocks - 1, 1)', 'seed')} END AS block, {_permuted('x', 'n', 'deal')} AS position
+    FROM (SELECT *, {_seed(f"'{mixing.SEED}:' || rank::VARCHAR || ':' || pass::VARCHAR")} AS seed, {_seed(f"'{mixing.SEED}:deal'")} AS deal FROM k) a
 ), l AS (
     SELECT d.*, words, target, row_number() OVER () AS r, sum(size) OVER (PARTITION BY d.src ORDER BY digest, doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS start
     FROM d JOIN p ON d.src = p.src
@@ -129,3 +143,49 @@ WITH d AS (
     SELECT r, sum(least(high, take) - low) AS taken, min(position) AS first_position FROM c JOIN s USING (src, block) WHERE least(high, take) > low GROUP BY r
 )
 SELECT doc_id, size, words AS source_size, target, coalesce(taken, 0)::BIGINT AS taken, first_position FROM l LEFT JOIN m USING (r)"""
+
+
+HARD_NEGATIVES = """
+WITH e AS (
+    SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.r AS ar, a.vec_id AS anchor_id, c.r AS cr, c.vec_id AS id, a.label = c.label AS same,
+        coalesce(list_sum(list_transform(list_zip(a.q, c.q), lambda p: coalesce(p[1] * p[2], 0))), 0)::BIGINT AS score
+    FROM e a JOIN e c ON a.r <> c.r WHERE a.vec_id % 50 = 0
+), p AS (
+    SELECT ar, anchor_id, id AS positive_id, cr, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, id NULLS LAST, cr) <= 5
+)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.ar, p.cr ORDER BY score DESC, id NULLS LAST, s.cr)::INTEGER AS rank,
+    id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.ar = s.ar AND NOT s.same AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score
+QUALIFY rank <= 3"""
+
+
+PHRASES = """
+WITH p AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p
+), g AS (SELECT lang, ws, unnest([1, 2, 3]) AS words FROM w
+), o AS (SELECT lang, words, ws, unnest(range(1, len(ws) - words + 2)) AS i FROM g
+), f AS (SELECT lang, words, array_to_string(ws[i:i + words - 1], ' ') AS phrase, count(*) AS f FROM o GROUP BY ALL
+), t AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang
+), c AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE words >= 2 AND f >= 10
+), k AS (
+    SELECT lang, words, phrase, a, k, array_to_string(ws[1:k], ' ') AS lp, array_to_string(ws[k + 1:], ' ') AS rp
+    FROM (SELECT *, unnest(range(1, words)) AS k FROM c) x
+), s AS (
+    SELECT k.lang, k.words, k.phrase, a, l.f AS l, r.f AS r, ((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f))::BIGINT AS score
+    FROM k JOIN f l ON k.lang = l.lang AND k.lp = l.phrase JOIN f r ON k.lang = r.lang AND k.rp = r.phrase
+    QUALIFY row_number() OVER (PARTITION BY k.lang, k.phrase ORDER BY score, k) = 1
+), b AS (
+    SELECT lang, array_to_string(ws[i:i + 1], ' ') AS phrase, max(a) AS around FROM (SELECT *, unnest([1, 2]) AS i FROM c WHERE words = 3) x GROUP BY ALL
+)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank, s.phrase, a, l, r, n, score
+FROM s JOIN t ON s.lang = t.lang LEFT JOIN b ON s.lang = b.lang AND s.phrase = b.phrase
+WHERE b.around IS NULL OR s.words = 3 OR 100 * b.around < 50 * a
+QUALIFY rank <= 2000"""

@@ -56,3 +56,34 @@ def test_edges(nasty, empty):
 def test_single_document_follows_itself(make):
     (r,) = multiset.fingerprint_documents(make([(7, "abcdef")])).collect()
     assert r["near_next"] == 1 and r["edited_sha256"] == sha256(b"abcdab").hexdigest()
+
+
+def lanes(text):
+    """The signed counts of overlapping runs, word by word."""
+    import re
+    import zlib
+
+    out = [0] * multiset.LIKENESS_LANES
+    for line in text.split("\n"):
+        words = [zlib.crc32(w.encode()) for w in re.findall(r"[^\n \t\x0b\f\r]+", line)]
+        for i in range(len(words)):
+            code = sum(a * b for a, b in zip(words[i:i + multiset.RUN_WORDS], multiset.FACTORS)) % multiset.PRIME % (2 * multiset.LIKENESS_LANES)
+            out[code % multiset.LIKENESS_LANES] += 1 if code < multiset.LIKENESS_LANES else -1
+    return out
+
+
+def test_likeness_lanes_equal_brute_force(spark, texts):
+    some = [*list(texts.values())[:40], "", "\n", " a\n\n b\tc \x0b\fd\r\ne", "one", "é ü\n日本 語", "w " * 3000]
+    assert [list(r["like"]) for r in prints(spark, *some)] == [lanes(t) for t in some]
+
+
+def test_one_word_put_in_keeps_a_long_line_alike(spark):
+    import random
+
+    rnd = random.Random(3)
+    for _ in range(5):
+        words = ["".join(rnd.choices("abcdefghij", k=rnd.randint(2, 9))) for _ in range(400)]
+        other = " ".join(rnd.sample(words, 400))
+        a, b, c = spark.createDataFrame([(" ".join(words), " ".join([*words[:3], "new", *words[3:]]), other)], "a string, b string, c string").select(
+            *[multiset.likeness(multiset.fingerprint(F.col("a")), multiset.fingerprint(F.col(x))) for x in ("a", "b", "c")]).first()
+        assert a == 1 and b > 0.9 and c < 0.5
