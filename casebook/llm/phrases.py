@@ -1,10 +1,11 @@
 """Phrase collocations by Rabin-Karp fingerprints (operator 13).
 
 1. *Slices.* Texts are lower-cased (A-Z), cut into pieces and words, and packed, language by language, into slices of
-   about ``SLICE_BYTES``: one space between words, one line end between pieces. Slices are staged once; their number
-   is the occurrence pointer of everything below.
+   about ``SLICE_BYTES``: one space between words, one line end between pieces. Slices are staged once, compressed; their
+   number is the occurrence pointer of everything below.
 2. *Fingerprints.* In a slice, prefix polynomials modulo two primes (numpy, one pass over the bytes) give the hash of
-   every run of 1 to ``LONGEST`` words of a piece by one subtraction. Equal ones are counted in the slice.
+   every run of 1 to ``LONGEST`` words of a piece by one subtraction. Equal ones are counted in the slice. Fingerprints
+   are as wide as the corpus needs (``SPARE_BITS`` more than its length has), since texts decide in the end.
 3. *Counting.* The sorted fingerprints are cut into ranges; a shuffle brings each range together from all slices and adds
    up. Fingerprints found ``LEAST`` times or more go back, by their pointers, to every slice that holds them.
 4. *Verification.* Those slices read the words behind the fingerprints and count them by text. Counts per text are
@@ -37,6 +38,7 @@ SCALE = 1_000_000
 SLICE_BYTES = 4_000_000
 #: Bytes of slices whose fingerprints make one range (about 0.8 fingerprints a byte before counting).
 RANGE_BYTES = 8_000_000
+SPARE_BITS = 12
 #: Parts of a language in which its best rows are sought first.
 PARTS = 32
 
@@ -77,7 +79,7 @@ def packed(text: bytes) -> tuple[bytes, int]:
 
 
 def in_slices(docs: DataFrame, size: int = SLICE_BYTES) -> DataFrame:
-    """(slice, lang, words, body), staged: ``body`` ends with a line end."""
+    """(slice, lang, words, size, body), staged: ``body`` holds ``size`` bytes, ends with a line end and is compressed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
         sizes: dict[str, int] = {}
@@ -89,10 +91,10 @@ def in_slices(docs: DataFrame, size: int = SLICE_BYTES) -> DataFrame:
                 cut = len(text) if len(text) <= 2 * size else (text.find(b"\n", size) + 1 or len(text))
                 body, words = packed(text[:cut])
                 if words:
-                    yield pa.RecordBatch.from_pydict({"lang": [lang], "words": [words], "body": [body]}, schema)
+                    yield pa.RecordBatch.from_pydict({"lang": [lang], "words": [words], "size": [len(body)], "body": [pa.compress(body, "zstd", asbytes=True)]}, schema)
                 text = text[cut:]
 
-        schema = pa.schema([("lang", pa.string()), ("words", pa.int64()), ("body", pa.binary())])
+        schema = pa.schema([("lang", pa.string()), ("words", pa.int64()), ("size", pa.int64()), ("body", pa.binary())])
         for batch in batches:
             for part in text_slices(batch, size):
                 for lang, text in zip(column(part, "lang").to_pylist(), column(part, "text").to_pylist()):
@@ -100,13 +102,13 @@ def in_slices(docs: DataFrame, size: int = SLICE_BYTES) -> DataFrame:
                     sizes[lang] = sizes.get(lang, 0) + len(held[lang][-1]) + 1
                     if sizes[lang] >= size:
                         yield from flush(lang)
-                while sum(sizes.values()) > 8 * size:  # many small languages
+                while sum(sizes.values()) > 4 * size:  # many small languages
                     yield from flush(max(sizes, key=sizes.get))
         for lang in list(held):
             yield from flush(lang)
 
     body = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text")).filter("text is not null and text != ''")
-    made = body.mapInArrow(run, "lang string, words long, body binary")
+    made = body.mapInArrow(run, "lang string, words long, size long, body binary")
     return stage(made.select(F.monotonically_increasing_id().alias("slice"), "*"))
 
 
@@ -122,13 +124,40 @@ def powers(base: int, prime: int, n: int) -> np.ndarray:
     return out[:n]
 
 
+_LOW = 12
+
+
+def power_of(exponents: np.ndarray, base: int, prime: int, most: int) -> np.ndarray:
+    """base ** exponents modulo prime, by a table of the low bits and one of the high bits."""
+    low, high = powers(base, prime, 1 << _LOW), powers(pow(base, 1 << _LOW, prime), prime, (most >> _LOW) + 1)
+    return low[exponents & ((1 << _LOW) - 1)] * high[exponents >> _LOW] % np.uint64(prime)
+
+
+def prefixes(data: np.ndarray, base: int, prime: int) -> np.ndarray:
+    """Sums of (byte + 1) * base ** place before each place; not reduced (2 ** 32 terms below 2 ** 31 fit)."""
+    out = np.zeros(len(data) + 1, dtype=np.uint64)
+    block = 1 << 18
+    table = powers(base, prime, block)
+    for at in range(0, len(data), block):
+        part = data[at:at + block].astype(np.uint64) + np.uint64(1)
+        part *= table[:len(part)] * np.uint64(pow(base, at, prime)) % np.uint64(prime)
+        part %= np.uint64(prime)
+        np.cumsum(part, out=out[at + 1:at + 1 + len(part)])
+        out[at + 1:at + 1 + len(part)] += out[at]
+    return out
+
+
 def lang_key(lang: str) -> np.uint64:
     import xxhash
 
     return np.uint64(xxhash.xxh64_intdigest(lang, seed=13))
 
 
-def grams(body: bytes, lang: str, longest: int = LONGEST) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def unpacked(body: pa.Scalar, size: pa.Scalar) -> bytes:
+    return pa.decompress(body.as_buffer(), size.as_py(), "zstd", asbytes=True)
+
+
+def grams(body: bytes, lang: str, longest: int = LONGEST, bits: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(fingerprint, first byte, byte after the last, words) of every run of 1 to ``longest`` words of a piece."""
     data = np.frombuffer(body, dtype=np.uint8)
     ends = np.flatnonzero((data == _SPACE) | (data == _LINE))
@@ -139,16 +168,21 @@ def grams(body: bytes, lang: str, longest: int = LONGEST) -> tuple[np.ndarray, n
         inside = np.flatnonzero(piece[n - 1:] == piece[:len(piece) - n + 1])
         first.append(starts[inside])
         last.append(ends[inside + n - 1])
-    words = np.repeat(np.arange(1, longest + 1), [len(x) for x in first])
-    first, last = np.concatenate(first), np.concatenate(last)
-    key = np.zeros(len(first), dtype=np.uint64)
+    words = np.repeat(np.arange(1, longest + 1, dtype=np.int8), [len(x) for x in first])
+    keys = [np.zeros(len(x), dtype=np.uint64) for x in first]
     for prime, base in zip(PRIMES, BASES):
-        p = np.uint64(prime)
-        prefix = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(base, prime, len(data)) % p)))
-        back = powers(pow(base, -1, prime), prime, len(data))
-        run = (prefix[last] - prefix[first]) % p * back[first] % p
-        key = (key << np.uint64(31)) | run
-    return (key + lang_key(lang)) * np.uint64(0x9E3779B97F4A7C15), first, last, words
+        p, prefix, inverse = np.uint64(prime), prefixes(data, base, prime), pow(base, -1, prime)
+        for key, a, b in zip(keys, first, last):
+            run = (prefix[b] - prefix[a]) % p
+            run *= power_of(a, inverse, prime, len(data))
+            run %= p
+            key <<= np.uint64(31)
+            key |= run
+    key = np.concatenate(keys)
+    key += lang_key(lang)
+    key *= np.uint64(0x9E3779B97F4A7C15)
+    key >>= np.uint64(64 - bits)
+    return key, np.concatenate(first), np.concatenate(last), words
 
 
 def _blob(fingerprints: np.ndarray) -> bytes:
@@ -161,14 +195,14 @@ def _unblob(blob: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).reshape(-1), dtype=np.uint64)
 
 
-def counted(slices: DataFrame, ranges: int, longest: int) -> DataFrame:
+def counted(slices: DataFrame, ranges: int, longest: int, bits: int) -> DataFrame:
     """(range, slice, keys, counts): each slice's distinct fingerprints, cut into ranges."""
-    edges = np.array([(r << 64) // ranges for r in range(1, ranges)], dtype=np.uint64)
+    edges = np.array([(r << bits) // ranges for r in range(1, ranges)], dtype=np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, lang, body in zip(*(column(batch, c) for c in ("slice", "lang", "body"))):
-                found, n = np.unique(grams(body.as_py(), lang.as_py(), longest)[0], return_counts=True)
+            for number, lang, size, body in zip(*(column(batch, c) for c in ("slice", "lang", "size", "body"))):
+                found, n = np.unique(grams(unpacked(body, size), lang.as_py(), longest, bits)[0], return_counts=True)
                 cuts = np.concatenate(([0], np.searchsorted(found, edges), [len(found)]))
                 at = np.flatnonzero(np.diff(cuts))
                 yield pa.RecordBatch.from_pydict({
@@ -202,15 +236,15 @@ def frequent(parts: DataFrame, ranges: int, least: int) -> DataFrame:
     return parts.repartition(ranges, "range").groupBy("range").applyInArrow(run, "slice long, keys binary")
 
 
-def read_back(slices: DataFrame, wanted: DataFrame, longest: int) -> DataFrame:
+def read_back(slices: DataFrame, wanted: DataFrame, longest: int, bits: int) -> DataFrame:
     """(lang, phrase, words, n): the wanted runs of each slice by their text."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64())])
         out = [schema.empty_table()]
         if len(left) and len(right):
             keys = np.sort(np.concatenate([_unblob(b.as_py()) for b in right.column("keys")]))
-            lang, body = left.column("lang")[0].as_py(), left.column("body")[0].as_py()
-            own, first, last, words = grams(body, lang, longest)
+            lang, body = left.column("lang")[0].as_py(), unpacked(left.column("body")[0], left.column("size")[0])
+            own, first, last, words = grams(body, lang, longest, bits)
             place = np.searchsorted(keys, own)
             hit = keys[np.minimum(place, len(keys) - 1)] == own
             for n in range(1, longest + 1):
@@ -235,10 +269,11 @@ def _texts(body: bytes, first: np.ndarray, last: np.ndarray) -> pa.Array:
 def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, words, f) of all runs found ``least`` times or more, staged; (lang, n) of all words)."""
     slices = in_slices(docs)
-    size = slices.agg(F.sum(F.octet_length("body")).alias("n")).first()["n"] or 0
+    size = slices.agg(F.sum("size").alias("n")).first()["n"] or 0
     ranges = 1 + size // RANGE_BYTES
-    wanted = frequent(counted(slices, ranges, longest), ranges, least)
-    found = read_back(slices, wanted, longest).groupBy("lang", "phrase").agg(F.first("words").alias("words"), F.sum("n").alias("f"))
+    bits = min(62, size.bit_length() + SPARE_BITS)
+    wanted = frequent(counted(slices, ranges, longest, bits), ranges, least)
+    found = read_back(slices, wanted, longest, bits).groupBy("lang", "phrase").agg(F.first("words").alias("words"), F.sum("n").alias("f"))
     return stage(found.filter(F.col("f") >= least)), slices.groupBy("lang").agg(F.sum("words").alias("n"))
 
 
