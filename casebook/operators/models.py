@@ -11,6 +11,7 @@ import math
 from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
-from casebook.operators import boosting as BO
+from casebook.operators import histboost as HB
 from casebook.operators import metrics as MT
 from casebook.operators import neighbours as NB
 from casebook.session import stage
@@ -33,46 +34,83 @@ def with_features(df: DataFrame, array_col: str, out: str = "features") -> DataF
 # ---------------------------------------------------------------- M6: Gaussian naive Bayes
 
 
-def gaussian_nb(train: DataFrame, test: DataFrame, id_col: str, x: str, label: str = "label",
-                var_smoothing: float = 1e-9) -> DataFrame:
-    """M6: sklearn-style Gaussian NB computed relationally on the long form ``(id, j, x_j)``:
-    per (class, feature) mean and population variance (partial aggregates), variance smoothing
-    ``var_smoothing·max_j var(x_j)``, log prior + Σ_j log N(x_j; μ, σ²), argmax (ties → lower class).
-    Returns the test rows with ``prediction`` and ``score`` (log-likelihood margin of the last class)."""
-    long = train.select(F.col(label).alias("y"), F.posexplode(F.col(x).cast("array<double>")).alias("j", "v"))
-    eps = long.groupBy("j").agg(F.var_pop("v").alias("vj")).agg(F.max("vj") * var_smoothing).scalar()
-    stats = (long.groupBy("y", "j").agg(F.avg("v").alias("mu"), F.var_pop("v").alias("var"))
-             .groupBy("y").agg(F.sort_array(F.collect_list(F.struct("j", "mu", "var"))).alias("s")))
-    n = train.agg(F.count(F.lit(1))).scalar()
-    prior = train.groupBy(F.col(label).alias("y")).agg(F.count(F.lit(1)).alias("ny")) \
-        .select("y", F.log(F.col("ny") / n).alias("lp"))
-    # Classes x features numbers, one array value; test rows are scored in place, without an exchange.
-    model = stats.join(prior, "y").agg(F.sort_array(F.collect_list(F.struct("y", "lp", "s")))).scalar()
-    v = F.col(x).cast("array<double>")
-
+def _likelihoods(v, model, eps):
+    """Per class of ``model`` (array of (y, lp, s: array of (mu, var))) its log-likelihood, and -y to break ties."""
     def likelihood(c):
         def term(xj, s):
-            var = s["var"] + F.col("_eps")
+            var = s["var"] + eps
             return -0.5 * (F.log(2 * math.pi * var) + (xj - s["mu"]) * (xj - s["mu"]) / var)
 
         terms = F.zip_with(v, c["s"], term)
         return F.struct(F.round(F.aggregate(terms, F.lit(0.0), lambda t, w: t + w) + c["lp"], 9).alias("ll"), (-c["y"]).alias("ny"))
 
-    # Scalar subqueries may not stand inside a lambda, so they become columns first.
-    held = test.withColumn("_model", model).withColumn("_eps", eps)
-    scored = held.withColumn("_all", F.transform("_model", likelihood)).withColumn("_best", F.array_max("_all"))
+    return F.transform(model, likelihood)
+
+
+MODEL = "array<struct<y:int,lp:double,s:array<struct<mu:double,var:double>>>>"
+
+
+def fold_moments(df: DataFrame, x: str, fold: str, label: str) -> dict[tuple[int, int], tuple[int, np.ndarray, np.ndarray]]:
+    """By (fold, class): rows, and per feature the mean and the sum of squared deviations. One pass over the
+    rows; folds x classes x features numbers reach the driver."""
+    long = df.select(F.col(fold).cast("int").alias("f"), F.col(label).cast("int").alias("y"), F.posexplode(F.col(x).cast("array<double>")).alias("j", "v"))
+    per = long.groupBy("f", "y", "j").agg(F.count("v").alias("n"), F.avg("v").alias("mu"), (F.var_pop("v") * F.count("v")).alias("m2"))
+    out: dict[tuple[int, int], list] = {}
+    for r in per.orderBy("j").collect():
+        out.setdefault((r["f"], r["y"]), []).append((r["n"], r["mu"], r["m2"]))
+    return {key: (rows[0][0], np.array([r[1] for r in rows]), np.array([r[2] for r in rows])) for key, rows in out.items()}
+
+
+def merged(moments: Sequence[tuple[int, np.ndarray, np.ndarray]]) -> tuple[int, np.ndarray, np.ndarray]:
+    """Moments of the union of disjoint row sets."""
+    n = sum(m[0] for m in moments)
+    mu = sum(m[0] * m[1] for m in moments) / n
+    return n, mu, sum(m[2] + m[0] * (m[1] - mu) ** 2 for m in moments)
+
+
+def nb_model(moments: dict[int, tuple[int, np.ndarray, np.ndarray]], var_smoothing: float) -> tuple[list, float]:
+    """(model, variance floor) from the classes' moments."""
+    n, _, m2 = merged(list(moments.values()))
+    model = [(y, math.log(c / n), [(float(a), float(b)) for a, b in zip(mu, dev / c)]) for y, (c, mu, dev) in sorted(moments.items())]
+    return model, float((m2 / n).max() * var_smoothing)
+
+
+def _nb_scored(test: DataFrame, x: str, model, eps) -> DataFrame:
+    scored = test.withColumn("_all", _likelihoods(F.col(x).cast("array<double>"), model, eps)).withColumn("_best", F.array_max("_all"))
     return scored.withColumn("prediction", (-F.col("_best.ny")).cast("int")).withColumn(
         "score", F.element_at("_all", -1)["ll"] - F.element_at("_all", 1)["ll"]).drop("_all", "_best", "_model", "_eps")
 
 
-def nb_out_of_fold(df: DataFrame, id_col: str, x: str, fold: str = "fold", label: str = "label", only_fold: int | None = None) -> DataFrame:
-    """M6 out of fold: every row scored by the classes' statistics over the other folds."""
-    folds = [only_fold] if only_fold is not None else sorted(r[0] for r in df.select(fold).distinct().collect())  # k values
-    parts = [gaussian_nb(df.filter(F.col(fold) != f), df.filter(F.col(fold) == f), id_col, x, label) for f in folds]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def gaussian_nb(train: DataFrame, test: DataFrame, id_col: str, x: str, label: str = "label",
+                var_smoothing: float = 1e-9) -> DataFrame:
+    """M6: sklearn-style Gaussian NB: per (class, feature) mean and population variance (one pass of partial
+    aggregates), variance smoothing ``var_smoothing·max_j var(x_j)``, log prior + Σ_j log N(x_j; μ, σ²), argmax (ties →
+    lower class). Returns the test rows with ``prediction`` and ``score`` (log-likelihood margin of the last class)."""
+    moments = {y: m for (_, y), m in fold_moments(train.withColumn("_fold", F.lit(0)), x, "_fold", label).items()}
+    model, eps = nb_model(moments, var_smoothing)
+    held = train.sparkSession.createDataFrame([(model, eps)], f"_model {MODEL}, _eps double")
+    one = lambda c: held.select(c).scalar()
+    # Scalar subqueries may not stand inside a lambda, so they become columns first.
+    return _nb_scored(test.withColumn("_model", one("_model")).withColumn("_eps", one("_eps")), x, F.col("_model"), F.col("_eps"))
+
+
+def nb_out_of_fold(df: DataFrame, id_col: str, x: str, fold: str = "fold", label: str = "label", only_fold: int | None = None,
+                   var_smoothing: float = 1e-9) -> DataFrame:
+    """M6 out of fold: every row scored by the classes' statistics over the other folds. The moments of every
+    (fold, class) come from one pass; a training set's are the union of the other folds'."""
+    moments = fold_moments(df, x, fold, label)
+    folds = sorted({f for f, _ in moments})
+    models = []
+    for held in folds if only_fold is None else [only_fold]:
+        classes: dict[int, list] = {}
+        for (f, y), m in moments.items():
+            if f != held:
+                classes.setdefault(y, []).append(m)
+        if classes:
+            models.append((held, *nb_model({y: merged(ms) for y, ms in classes.items()}, var_smoothing)))
+    table = df.sparkSession.createDataFrame(models, f"_held int, _model {MODEL}, _eps double")  # a row a fold
+    test = df.join(F.broadcast(table), F.col(fold) == F.col("_held")).drop("_held")
+    return _nb_scored(test, x, F.col("_model"), F.col("_eps"))
 
 
 # ---------------------------------------------------------------- M5: AdaBoost (SAMME on stumps)
@@ -253,21 +291,23 @@ def scored(pred: DataFrame, name: str, id_col: str, label: str = "label", fold_c
 
 
 def line_up(df: DataFrame, id_col: str, x: str, n_features: int, names: Sequence[str], seed: int = 0, k: int = 3,
-            ada_rounds: int = 50, fold_col: str = "fold", label: str = "label", only_fold: int | None = None) -> DataFrame:
-    """Out-of-fold predictions of the named models (MLlib's, and knn, nb, adaboost, svm with random
-    Fourier features), stacked as ``scored`` rows. ``df`` should be staged."""
+            ada_rounds: int = 50, xgb_rounds: int = 20, fold_col: str = "fold", label: str = "label", only_fold: int | None = None) -> DataFrame:
+    """Out-of-fold predictions of the named models (MLlib's, and knn, nb, adaboost and xgb on all
+    rows, svm with random Fourier features), stacked as ``scored`` rows. ``df`` should be staged."""
     n = df.count()
     mllib = classifiers(n_features, n, seed)
     test = df if only_fold is None else df.filter(F.col(fold_col) == only_fold)
     parts = []
     for name in names:
         if name == "knn":
-            parts.append(scored(NB.knn_classify(df, test, id_col, x, label, k=k, fold=fold_col, seed=seed), name, id_col, label, fold_col))
+            parts.append(scored(NB.knn_classify(df, test, id_col, x, label, k=k, fold=fold_col), name, id_col, label, fold_col))
         elif name == "nb":
             parts.append(scored(nb_out_of_fold(df, id_col, x, fold_col, label, only_fold), name, id_col, label, fold_col))
         elif name == "adaboost":
-            ada = BO.boosted_folds(df, id_col, x, label, fold_col, rounds=(ada_rounds,), seed=seed, only_fold=only_fold)
+            ada = HB.ada_folds(df, id_col, x, label, fold_col, rounds=ada_rounds, only_fold=only_fold)
             parts.append(scored(ada, name, "id"))
+        elif name == "xgb":
+            parts.append(scored(HB.newton_folds(df, id_col, x, label, fold_col, rounds=xgb_rounds, only_fold=only_fold), name, "id"))
         elif name == "svm":
             rbf = stage(fourier_features(df, x, seed=seed))
             parts.append(scored(out_of_fold(mllib["svc"], rbf, fold_col, label, only_fold=only_fold), name, id_col, label, fold_col))

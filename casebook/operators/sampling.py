@@ -66,10 +66,11 @@ def resample(df: DataFrame, label: str, id_col: str, mode: str = "over", seed: i
         keep = major.filter(F.col("_rank") <= F.lit(int(b["nmin"]))).drop("_rank")
         return df.filter(F.col(label) != F.lit(b["major"])).unionByName(keep)
     minor = _ranked(df.filter(F.col(label) == F.lit(b["minor"])), id_col, seed, out="_idx")
-    # The draws are a distributed ``range`` so no single task generates them.
+    # The draws are a distributed ``range`` so no single task generates them; they are counted per index
+    # (map-side) before the join, so that few minority rows do not gather all draws.
     extra = int(b["nmax"]) - int(b["nmin"])
-    draws = (df.sparkSession.range(extra)
-             .withColumn("_idx", F.pmod(hex_prefix_int(seeded_hash(seed, F.col("id")), 12), F.lit(int(b["nmin"]))) + 1)
-             .select("_idx"))
-    added = minor.join(draws, "_idx").drop("_idx")
+    times = (df.sparkSession.range(extra)
+             .select((F.pmod(hex_prefix_int(seeded_hash(seed, F.col("id")), 12), F.lit(int(b["nmin"]))) + 1).alias("_idx"))
+             .groupBy("_idx").agg(F.count(F.lit(1)).alias("_times")))
+    added = minor.join(times, "_idx").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
     return df.unionByName(added.select(*df.columns))

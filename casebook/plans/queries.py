@@ -938,9 +938,6 @@ def q_gnb(spark, sf_dir):
     return MD.nb_out_of_fold(df, "vec_id", "embedding").select("vec_id", "fold", "label", "prediction")
 
 
-O.cte("emb_held", ["emb_folds"], f"SELECT * FROM emb_folds ORDER BY md5('{SEED}:' || CAST(vec_id AS VARCHAR)), vec_id LIMIT {NN.SAMPLE}")
-
-
 def _pairs(t: str, s: str, where: str) -> str:
     return (f"SELECT t.vec_id, t.y AS label, t.fold, s.vec_id AS other, s.y, row_number() OVER (PARTITION BY t.vec_id ORDER BY "
             f"round(list_sum(list_transform(list_zip(t.x, s.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 6), s.vec_id) AS rk "
@@ -949,29 +946,47 @@ def _pairs(t: str, s: str, where: str) -> str:
 
 @query("knn_classify", O.sql(
     "SELECT vec_id, fold, label, CAST(avg(y) > 0.5 AS INTEGER) AS prediction, round(avg(y), 6) AS score FROM ("
-    + _pairs("emb_folds", "emb_held", "t.fold <> s.fold") + ") p WHERE rk <= 3 GROUP BY ALL", "emb_folds", "emb_held"))
+    + _pairs("emb_folds", "emb_folds", "t.fold <> s.fold") + ") p WHERE rk <= 3 GROUP BY ALL", "emb_folds"))
 def q_knn(spark, sf_dir):
     """M3: three nearest neighbours, out of fold."""
     df = embedding_set(spark, sf_dir)
-    out = NN.knn_classify(df, df, "vec_id", "embedding", k=3, fold="fold", seed=SEED)
+    out = NN.knn_classify(df, df, "vec_id", "embedding", k=3, fold="fold")
     return out.select("vec_id", "fold", "label", "prediction", F.round("score", 6).alias("score"))
 
 
 @query("enn", O.sql(
-    "SELECT vec_id, label FROM (" + _pairs("emb_folds", "emb_held", "t.vec_id <> s.vec_id")
-    + ") p WHERE rk <= 3 GROUP BY vec_id, label HAVING bool_and(y = label)", "emb_folds", "emb_held"))
+    "SELECT vec_id, label FROM (" + _pairs("emb_folds", "emb_folds", "t.vec_id <> s.vec_id")
+    + ") p WHERE rk <= 3 GROUP BY vec_id, label HAVING bool_and(y = label)", "emb_folds"))
 def q_enn(spark, sf_dir):
     """Edited nearest neighbours."""
-    return NN.edited(embedding_set(spark, sf_dir), "vec_id", "embedding", seed=SEED).select("vec_id", "label")
+    return NN.edited(embedding_set(spark, sf_dir), "vec_id", "embedding").select("vec_id", "label")
+
+
+def _hex(name: str) -> str:
+    return f"('0x' || substr(md5('{SEED}:{name}:' || CAST(draw AS VARCHAR)), 1, 12))::BIGINT"
+
+
+O.cte("sm_base", ["emb_folds"], "SELECT vec_id, x, fold, y, row_number() OVER (ORDER BY md5('" + str(SEED) + ":' || CAST(vec_id AS VARCHAR))) AS idx "
+                                "FROM emb_folds WHERE y = 1")
+O.cte("sm_near", ["sm_base"], "SELECT vec_id, other, rk, count(*) OVER (PARTITION BY vec_id) AS n FROM (SELECT * FROM ("
+      + _pairs("sm_base", "sm_base", "t.vec_id <> s.vec_id") + ") p WHERE rk <= 5) q")
+O.cte("sm_draws", ["emb_folds"], f"SELECT draw, {_hex('base')} % low + 1 AS idx, {_hex('near')} AS pick, round(({_hex('step')} % 1000000) / 1000000, 6) AS u "
+      "FROM (SELECT low, unnest(range(0, high - low)) AS draw FROM (SELECT count_if(y = 1)::BIGINT AS low, count_if(y = 0)::BIGINT AS high FROM emb_folds) c) d")
+O.cte("sm_rows", ["sm_base", "sm_near", "sm_draws"],
+      "SELECT draw, b.vec_id AS base_id, o.vec_id AS neighbour_id, u, list_transform(list_zip(b.x, o.x), lambda p: p[1] + u * (p[2] - p[1])) AS x "
+      "FROM sm_draws d JOIN sm_base b USING (idx) JOIN sm_near n ON n.vec_id = b.vec_id AND n.rk = d.pick % n.n + 1 JOIN sm_base o ON o.vec_id = n.other")
+O.cte("sm_all", ["emb_folds", "sm_rows"], "SELECT vec_id, x, y, fold FROM emb_folds UNION ALL SELECT -1 - draw, x, 1, -1 FROM sm_rows")
 
 
-@query("smote")
+@query("smote", O.sql("SELECT draw, base_id, neighbour_id, u, x FROM sm_rows", "sm_rows"))
 def q_smote(spark, sf_dir):
     """The synthetic rows of SMOTE."""
     return NN.smote_rows(embedding_set(spark, sf_dir), "vec_id", "embedding", seed=SEED)
 
 
-@query("smote_enn")
+@query("smote_enn", O.sql(
+    "SELECT vec_id, label FROM (" + _pairs("sm_all", "sm_all", "t.vec_id <> s.vec_id")
+    + ") p WHERE rk <= 3 GROUP BY vec_id, label HAVING bool_and(y = label)", "sm_all"))
 def q_smote_enn(spark, sf_dir):
     return NN.smote_enn(embedding_set(spark, sf_dir), "vec_id", "embedding", seed=SEED).select("vec_id", "label")
 
@@ -984,7 +999,7 @@ def _oof(name):
     return fn
 
 
-for _name in ["logreg", "tree", "forest", "mlp", "adaboost", "svc", "svm", "gbt"]:
+for _name in ["logreg", "tree", "forest", "mlp", "adaboost", "svc", "svm", "gbt", "xgb"]:
     query(_name)(_oof(_name))
 
 
@@ -1014,8 +1029,18 @@ def q_grid(spark, sf_dir):
     return MD.grid_search(stage(pred), ["rate", "rounds"])
 
 
+@query("grid_search_resampled")
+def q_grid_resampled(spark, sf_dir):
+    """M14 + M15: the grid over SMOTEENN → AdaBoost, scored by recall of the rare class; each fold's training rows are
+    resampled once, in one plan, for all rates and rounds."""
+    df = embedding_set(spark, sf_dir)
+    train = stage(NN.smote_enn_folds(df, "vec_id", "embedding", seed=SEED))
+    pred = BO.boosted_folds(df, "vec_id", "embedding", rates=GRID_RATES, rounds=GRID_ROUNDS, seed=SEED, train=train)
+    return MD.grid_search(stage(pred), ["rate", "rounds"], metric="recall")
+
+
 E75_MODELS = ["knn", "logreg", "tree", "forest", "mlp", "adaboost", "nb"]
-E78_MODELS = ["logreg", "forest", "knn", "svm", "nb", "gbt"]
+E78_MODELS = ["logreg", "forest", "knn", "svm", "nb", "xgb"]
 
 
 @query("bake_off")
@@ -1071,6 +1096,16 @@ def q_model_e75(spark, sf_dir):
     return MD.cross_validate(MD.line_up(e75_set(spark, sf_dir), PATIENT, "x", len(DS.E75_FEATURES), E75_MODELS, SEED, k=3))
 
 
+@query("model_e75_resampled")
+def q_model_e75_resampled(spark, sf_dir):
+    """M15 on the Gaucher dataset: SMOTEENN → AdaBoost (200 rounds, rate 0.001), out of ten folds: confusion counts and
+    misclassification."""
+    data = e75_set(spark, sf_dir)
+    train = stage(NN.smote_enn_folds(data, PATIENT, "x", seed=SEED))
+    pred = BO.boosted_folds(data, PATIENT, "x", rates=(0.001,), rounds=(200,), seed=SEED, train=train)
+    return MT.misclassification(stage(pred))
+
+
 E78_DROP = 1000
 
 

@@ -80,6 +80,98 @@ def test_smote_points_lie_between_a_row_and_a_near_one(spark):
     assert len({r["count"] for r in both}) == 1
 
 
+def brute_near(x, rows, k, every=1):
+    """{i: [(rounded squared distance, j)]} of every n-th of ``rows`` against all of them."""
+    out = {}
+    for i in rows[::every]:
+        d = np.zeros(len(rows))
+        for c in range(x.shape[1]):
+            step = x[i, c] - x[rows, c]
+            d += step * step
+        d = np.floor(d * 1e6 + 0.5) / 1e6
+        order = np.lexsort((rows, d))
+        out[i] = [(float(d[o]), int(rows[o])) for o in order if rows[o] != i][:k]
+    return out
+
+
+def clustered(n, d=6, seed=5):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(40, d))[rng.integers(0, 40, size=n)] * 8 + rng.normal(size=(n, d))
+    x[n // 3:n // 3 + n // 4] = x[0]  # one vector in a quarter of all rows
+    x[-n // 10:] = np.round(x[-n // 10:])  # many equal distances
+    return x
+
+
+def test_index_equals_all_pairs_at_ten_thousand_rows(spark):
+    x = clustered(10_000)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "k long, x array<double>, y int").repartition(6)
+    rows = NN.indexed_rows(df, "k", "x", "y")
+    number = {r["row"]: r["id"] for r in rows.select("row", "id").collect()}
+    got = {}
+    for r in NN.nearest(rows, rows, 3, block=1500, pivots=64).orderBy("q_row", "rank").collect():
+        got.setdefault(number[r["q_row"]], []).append((r["d"], r["id"]))
+    want = brute_near(x, np.arange(len(x)), 3, every=7)
+    assert len(got) == len(x) and {i: got[i] for i in want} == want
+
+
+def test_far_groups_are_not_visited():
+    pivots = np.array([[0.0, 0.0], [1.0, 0.0], [100.0, 0.0], [101.0, 0.0]])
+    plan = NN.Plan(pivots, [(0, c, 10, 0.5, 10, 0.5) for c in range(4)], block=20)
+    assert [len(np.unique(plan.group[:2])), len(np.unique(plan.group[2:]))] == [1, 1] and plan.group[0] != plan.group[2]
+    assert plan.visits({(0, c): 5.0 for c in range(4)}) == [] and len(plan.visits({(0, c): 200.0 for c in range(4)})) == 2
+    assert NN.Plan(pivots, [(0, 0, 90, 1.0, 90, 1.0)], block=20).parts[0] == 5
+
+
+def test_keys_are_searched_apart(spark):
+    x = clustered(600, 4)
+    df = spark.createDataFrame([(i, v.tolist(), i % 2) for i, v in enumerate(x)], "k long, x array<double>, g int")
+    rows = NN.indexed_rows(df, "k", "x", key=F.col("g"))
+    number = {r["row"]: r["id"] for r in rows.select("row", "id").collect()}
+    got = {}
+    for r in NN.nearest(rows, rows, 4, block=100, pivots=9).orderBy("q_row", "rank").collect():
+        got.setdefault(number[r["q_row"]], []).append((r["d"], r["id"]))
+    assert got == brute_near(x, np.arange(0, 600, 2), 4) | brute_near(x, np.arange(1, 600, 2), 4)
+
+
+def test_resampled_training_sets_leave_held_out_rows_alone(spark):
+    """SMOTEENN keyed by the fold left out: the rows of a fold neither stand in its own set nor shape it."""
+    x, y, df = points(spark, 150)
+    out = NN.smote_enn_folds(df, "k", "x").collect()
+    for f in range(3):
+        kept = {r["k"]: r for r in out if r["fold"] == f}
+        assert all(i < 0 or i % 3 != f for i in kept) and any(i < 0 for i in kept) == (f != 2)  # fold 2 leaves classes of one size
+        alone = NN.smote_enn(df.filter(F.col("fold") != f), "k", "x")
+        held = [i for i in kept if i >= 0]
+        moved = df.withColumn("x", F.when(F.col("fold") == f, F.transform("x", lambda v: v * 100 + 7)).otherwise(F.col("x")))
+        again = {r["k"]: r for r in NN.smote_enn_folds(moved, "k", "x").filter(F.col("fold") == f).collect()}
+        assert {i: (tuple(r["x"]), r["label"]) for i, r in kept.items()} == {i: (tuple(r["x"]), r["label"]) for i, r in again.items()}
+        assert alone.count() > 0 and len(held) > 50
+
+
+def test_neighbours_of_nothing(spark):
+    df = spark.createDataFrame([], "k long, x array<double>, label int, fold int")
+    assert NN.edited(df, "k", "x").count() == NN.smote(df, "k", "x").count() == NN.smote_enn(df, "k", "x").count() == 0
+    one = spark.createDataFrame([(1, [1.0], 1, 0), (2, None, 0, 1)], "k long, x array<double>, label int, fold int")
+    assert [r["k"] for r in NN.edited(one, "k", "x").collect()] == [1]
+    assert sorted((r["k"], r["prediction"]) for r in NN.knn_classify(one, one, "k", "x", fold="fold").collect()) == [(1, 0), (2, 0)]
+
+
+def test_naive_bayes_by_fold_equals_a_fit_per_fold(spark):
+    x, y, df = points(spark)
+    got = {r["k"]: r for r in MD.nb_out_of_fold(df, "k", "x").collect()}
+    for f in range(3):
+        for r in MD.gaussian_nb(df.filter(F.col("fold") != f), df.filter(F.col("fold") == f), "k", "x").collect():
+            assert got[r["k"]]["prediction"] == r["prediction"] and abs(got[r["k"]]["score"] - r["score"]) < 1e-6
+        train, held = np.arange(len(x)) % 3 != f, np.flatnonzero(np.arange(len(x)) % 3 == f)
+        eps = 1e-9 * x[train].var(axis=0).max()
+        ll = []
+        for c in (0, 1):
+            part = x[train & (y == c)]
+            var = part.var(axis=0) + eps
+            ll.append(np.log(len(part) / train.sum()) - 0.5 * (np.log(2 * np.pi * var) + (x[held] - part.mean(axis=0)) ** 2 / var).sum(axis=1))
+        assert np.allclose([got[int(i)]["score"] for i in held], ll[1] - ll[0])
+
+
 def test_boosting_prefixes_equal_shorter_runs(spark):
     x, y, _ = points(spark)
     long = BO.boost(x, y, np.ones(len(y)), 0.5, 40)
