@@ -67,13 +67,18 @@ def simhash(text: bytes, words_per_shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, words_per_shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp)``, fp as a signed long of the same bits; a narrow pass over the texts."""
+    """``(doc_id, fp, text_key)``, fp as a signed long of the same bits, text_key a hash that tells texts of one id
+    apart; a narrow pass over the texts."""
     def run(batch: pa.RecordBatch) -> pa.Table:
         values = [simhash(t.as_buffer().to_pybytes() if t.is_valid else b"", words_per_shingle) for t in column(batch, "text")]
-        return pa.table({"doc_id": column(batch, "doc_id"), "fp": np.array(values, dtype=np.uint64).astype(np.int64)})
+        return pa.table({"doc_id": column(batch, "doc_id"), "fp": np.array(values, dtype=np.uint64).astype(np.int64), "text_key": column(batch, "text_key")})
 
-    body = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    return map_texts(body, run, "doc_id long, fp long")
+    body = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key("text"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    return map_texts(body, run, "doc_id long, fp long, text_key long")
+
+
+def text_key(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_key")
 
 
 def counts(fp: np.ndarray) -> np.ndarray:
@@ -130,22 +135,23 @@ def links(distinct: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words_per_shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp, component_id)`` for every row; component_id is the smallest doc_id reachable."""
+    """``(doc_id, fp, text_key, component_id, root)`` for every row; component_id is the smallest doc_id reachable, root
+    a fingerprint that names the component (ids may repeat)."""
     marked = stage(fingerprints(docs, words_per_shingle))
     distinct = stage(marked.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first")))
     roots = stage(components(links(distinct)))
     placed = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "n", "first", F.coalesce("root", "fp").alias("root"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    groups = stage(placed.join(least, "root").select("fp", "n", "component_id"))
+    groups = stage(placed.join(least, "root").select("fp", "n", "component_id", "root"))
     total = distinct.agg(F.sum("n")).first()[0] or 0
     # Fingerprints with over a thousandth of all rows (under a thousand of them) are joined by
     # broadcast; for the rest no key of the shuffle holds more than that share.
-    hot = hot_keys(groups, total).select("fp", F.col("component_id").alias("_hot"))
+    hot = hot_keys(groups, total).select("fp", F.struct("component_id", "root").alias("_hot"))
     rest = marked.join(F.broadcast(hot), "fp", "left")
-    cold = rest.filter(F.col("_hot").isNull()).drop("_hot").join(groups.select("fp", "component_id"), "fp", "left")
-    return rest.filter(F.col("_hot").isNotNull()).select("doc_id", "fp", F.col("_hot").alias("component_id")).unionByName(
-        cold.select("doc_id", "fp", "component_id"))
+    cold = rest.filter(F.col("_hot").isNull()).drop("_hot").join(groups.select("fp", "component_id", "root"), "fp", "left")
+    return rest.filter(F.col("_hot").isNotNull()).select("doc_id", "fp", "text_key", "_hot.component_id", "_hot.root").unionByName(
+        cold.select("doc_id", "fp", "text_key", "component_id", "root"))
 
 
 def as_hex(fp: Column) -> Column:

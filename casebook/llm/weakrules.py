@@ -226,14 +226,15 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents columns of the documents kept. Texts do not move: a first pass gathers the votes,
-    a second measures again and drops."""
-    good = {p for p, q in judge(measured(docs).select("pattern")).items() if q >= 0.5}
-
+    """The documents columns of the documents kept. Every text is measured once: its votes are staged beside it, and
+    the histogram of the votes says which rows stay."""
     def run(batch: pa.RecordBatch) -> pa.Table:
         m = measure(_bytes(batch))
-        kept = ~base_failed(m) & np.isin(pattern(votes(m)), list(good))
-        return pa.Table.from_batches([batch]).filter(pa.array(kept)).select(DOCUMENT_COLUMNS)
+        table = pa.Table.from_batches([batch]).select(DOCUMENT_COLUMNS)
+        return table.append_column("_pattern", pa.array(pattern(votes(m)))).append_column("_failed", pa.array(base_failed(m)))
 
     body = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.col("lang"), F.col("source"), F.col("n_chars").cast("long").alias("n_chars"))
-    return map_texts(body, run, "doc_id long, text string, lang string, source string, n_chars long")
+    made = stage(map_texts(body, run, "doc_id long, text string, lang string, source string, n_chars long, _pattern long, _failed boolean"))
+    good = [p for p, q in judge(made.select(F.col("_pattern").alias("pattern"))).items() if q >= 0.5]
+    kept = docs.sparkSession.createDataFrame([(p,) for p in good], "_pattern long")  # at most 3 ** rules rows
+    return made.filter(~F.col("_failed")).join(F.broadcast(kept), "_pattern", "left_semi").select(*DOCUMENT_COLUMNS)
