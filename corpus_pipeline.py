@@ -3,9 +3,9 @@
 Each stage gets what its predecessor kept, written as Parquet and read again, and all but the last
 return the columns of ``documents``.
 
-Rows whose id is null cannot be told apart by it: the near-duplicate stage keeps them all. Rows that
-share an id are one document there, of which the text with the least hash stays. A text that
-substring dedup cuts to nothing stays as an empty document (it packs as its end token alone).
+Rows that share an id (or have none) are documents of their own, told apart by their texts: the near-duplicate
+stage keeps one row of each component, that of least id (null last), then text hash. A text that substring dedup
+cuts to nothing stays as an empty document (it packs as its end token alone).
 """
 
 from __future__ import annotations
@@ -24,14 +24,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: of each component of near duplicates the smallest id stays."""
+    """Operator 9: of each component of near duplicates the row of least id and text hash stays, whatever ids
+    repeat or are null; of rows equal in both, one."""
     found = simhash.near_duplicates(docs)
-    keep = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    body = docs.select(*DOCUMENT_COLUMNS)
-    same_id = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    first = (body.join(keep, "doc_id", "left_semi").withColumn("_before", F.lag(F.lit(1)).over(same_id))
-             .filter(F.col("_before").isNull()).drop("_before"))
-    return first.unionByName(body.filter(F.col("doc_id").isNull()))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
+    first = found.groupBy("root").agg(F.min(order).alias("m")).select(F.col("m.doc_id").alias("_id"), F.col("m.text_key").alias("_key"))
+    body = docs.select(*DOCUMENT_COLUMNS, simhash.text_key("text"))
+    kept = body.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left_semi")
+    same = Window.partitionBy("doc_id", "text_key").orderBy("text_key")
+    return kept.withColumn("_before", F.lag(F.lit(1)).over(same)).filter(F.col("_before").isNull()).select(*DOCUMENT_COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
