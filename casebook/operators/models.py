@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from casebook.operators import histboost as HB
+from casebook.operators import kernels as KN
 from casebook.operators import metrics as MT
 from casebook.operators import neighbours as NB
 from casebook.session import stage
@@ -233,28 +234,12 @@ def classifiers(n_features: int, n_rows: int, seed: int = 0) -> dict[str, Callab
         "forest": lambda: RandomForestClassifier(numTrees=100, maxDepth=30, seed=seed),
         "mlp": lambda: MultilayerPerceptronClassifier(layers=[n_features, 100, 2], maxIter=200, seed=seed),
         "svc": lambda: LinearSVC(maxIter=100, regParam=1.0 / max(n_rows, 1)),
+        # On kernel features: their scales are part of the kernel, so they are not standardised.
+        "kernel_svc": lambda: LinearSVC(maxIter=300, regParam=1.0 / max(n_rows, 1), standardization=False, tol=1e-6),
         "gbt": lambda: GBTClassifier(maxIter=100, maxDepth=6, stepSize=0.3, seed=seed),
     }
 
 
-def fourier_features(df: DataFrame, array_col: str, out: str = "features", width: int = 256, seed: int = 0) -> DataFrame:
-    """M7's RBF kernel: ``width`` random Fourier features cos(w·x + b), w ~ N(0, 2γ) with sklearn's
-    γ = 1 / (d · var(x)); a linear SVC on them approximates the kernel one. Weights are drawn by the seed
-    on the driver and enter as one array value (width x d numbers)."""
-    import numpy as np
-
-    x = F.col(array_col).cast("array<double>")
-    d = len(df.select(array_col).first()[0])
-    var = df.select(F.explode(x).alias("v")).agg(F.var_pop("v")).first()[0] or 1.0
-    rng = np.random.default_rng(seed)
-    w = rng.normal(0.0, (2.0 / (d * var)) ** 0.5, (width, d))
-    b = rng.uniform(0, 2 * np.pi, width)
-    rows = df.sparkSession.createDataFrame([(np.column_stack([w, b]).tolist(),)], "w array<array<double>>").select("w").scalar()
-    dot = lambda r: F.aggregate(F.zip_with(F.col("_one"), r, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
-    held = df.withColumn("_rows", rows).withColumn("_one", F.concat(x, F.array(F.lit(1.0))))
-    return held.withColumn(out, array_to_vector(F.transform("_rows", lambda r: F.cos(dot(r))))).drop("_rows", "_one")
-
-
 def out_of_fold(make: Callable[[], Estimator], df: DataFrame, fold_col: str = "fold", label: str = "label",
                 resample: Callable[[DataFrame], DataFrame] | None = None, parallel: int = 5,
                 only_fold: int | None = None) -> DataFrame:
@@ -293,7 +278,7 @@ def scored(pred: DataFrame, name: str, id_col: str, label: str = "label", fold_c
 def line_up(df: DataFrame, id_col: str, x: str, n_features: int, names: Sequence[str], seed: int = 0, k: int = 3,
             ada_rounds: int = 50, xgb_rounds: int = 20, fold_col: str = "fold", label: str = "label", only_fold: int | None = None) -> DataFrame:
     """Out-of-fold predictions of the named models (MLlib's, and knn, nb, adaboost and xgb on all
-    rows, svm with random Fourier features), stacked as ``scored`` rows. ``df`` should be staged."""
+    rows, svm on Nyström features), stacked as ``scored`` rows. ``df`` should be staged."""
     n = df.count()
     mllib = classifiers(n_features, n, seed)
     test = df if only_fold is None else df.filter(F.col(fold_col) == only_fold)
@@ -309,8 +294,8 @@ def line_up(df: DataFrame, id_col: str, x: str, n_features: int, names: Sequence
         elif name == "xgb":
             parts.append(scored(HB.newton_folds(df, id_col, x, label, fold_col, rounds=xgb_rounds, only_fold=only_fold), name, "id"))
         elif name == "svm":
-            rbf = stage(fourier_features(df, x, seed=seed))
-            parts.append(scored(out_of_fold(mllib["svc"], rbf, fold_col, label, only_fold=only_fold), name, id_col, label, fold_col))
+            rbf = KN.nystroem(df, id_col, x, seed=seed)
+            parts.append(scored(out_of_fold(mllib["kernel_svc"], rbf, fold_col, label, only_fold=only_fold), name, id_col, label, fold_col))
         else:
             parts.append(scored(out_of_fold(mllib[name], df, fold_col, label, only_fold=only_fold), name, id_col, label, fold_col))
     out = parts[0]
