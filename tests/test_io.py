@@ -63,3 +63,46 @@ def test_plain_files_are_not_shuffled(spark):
         f.write((";".join(RAW_COLUMNS) + "\n" + "\n".join(";".join(["h", "BER01", "1"] + [""] * 8) for _ in range(5)) + "\n").encode("latin-1"))
     df = IO.read_journal(spark, d, multi_line=False)
     assert df.count() == 5 and "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_line_breaks_in_quotes_are_read_by_several_tasks(spark):
+    """Many splits, some of which lie within one record, against Spark's reader of whole files."""
+    import random
+
+    from casebook.sources import records
+
+    rnd, d = random.Random(5), tempfile.mkdtemp(prefix="cb-quotes-")
+    made = 0
+    for name in ("a.csv", "b.csv", "c.csv"):
+        rows = []
+        for i in range(300):
+            text = "".join(rnd.choice(["x", "é", ";", "\n", '""', "word ", "\n\n"]) for _ in range(rnd.randint(0, 40)))
+            if i == 150:
+                text = "long\n" * 2000  # a record over several splits
+            rows.append(["p%d" % rnd.randint(0, 99), "BER01", str(i), "", "W", "", "A", "", f'"{text}"', "NA", ""])
+            made += 1
+        with open(os.path.join(d, name), "wb") as f:
+            f.write((";".join(RAW_COLUMNS) + "\n" + "\n".join(";".join(r) for r in rows) + ("\n" if name != "b.csv" else "")).encode("latin-1"))
+    write_raw(d, "z.csv.gz")
+    whole = IO.read_journal(spark, d, whole=True)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "3000")
+    try:
+        assert records.split_lines(spark, d, "ISO-8859-1").rdd.getNumPartitions() > 20
+        split = IO.read_journal(spark, d)
+        assert split.count() == whole.count() == made + 2
+        assert split.exceptAll(whole).count() == whole.exceptAll(split).count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_unbalanced_quotes_are_an_error(spark):
+    import pytest
+
+    d = tempfile.mkdtemp(prefix="cb-odd-")
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write(";".join(RAW_COLUMNS) + "\n" + 'p;BER01;1;;W;;A;;"open;;\n')
+    with pytest.raises(ValueError, match="unbalanced"):
+        IO.read_journal(spark, d)
