@@ -59,6 +59,12 @@ def bootstrap_controls(df: DataFrame, exclude: DataFrame, k: int, seed: int = 0,
 
     Pool patients get an exact global index (bucketed rank); draw i picks index
     ``hex(md5(seed ':' i))[0:12] mod n``. ``flag`` (J4): the pool keeps only rows with flag 0."""
+    return control_draws(df, exclude, k, seed, flag).select(PATIENT)
+
+
+def control_draws(df: DataFrame, exclude: DataFrame, k: int, seed: int = 0, flag: str | None = None) -> DataFrame:
+    """``bootstrap_controls`` with ``first_draw``, the draw that first picks the patient. Draws do not depend on k,
+    so the sample of a smaller k is the patients with ``first_draw`` below it."""
     rows = df if flag is None else df.filter(F.col(flag) == 0)
     pool = (rows.select(PATIENT).distinct().join(exclude.select(PATIENT), PATIENT, "left_anti")
             .withColumn("_h", F.md5(F.col(PATIENT))).withColumn("_all", F.lit(1)))
@@ -66,8 +72,8 @@ def bootstrap_controls(df: DataFrame, exclude: DataFrame, k: int, seed: int = 0,
     n = indexed.agg(F.count(F.lit(1))).scalar()  # the pool size, a scalar subquery
     draws = (df.sparkSession.range(k).withColumn("_dh", seeded_hash(seed, F.col("id")))
              .withColumn("_idx", F.pmod(hex_prefix_int(F.col("_dh"), 12), n) + 1)
-             .select("_idx").distinct())
-    return indexed.join(draws, "_idx").select(PATIENT)
+             .groupBy("_idx").agg(F.min("id").alias("first_draw")))
+    return indexed.join(draws, "_idx").select(PATIENT, "first_draw")
 
 
 def keep_patients(df: DataFrame, ids: DataFrame) -> DataFrame:

@@ -183,16 +183,35 @@ def tfidf(docs: DataFrame, doc: str, tokens: str, min_df: int = 10, max_df: floa
 
 
 def weigh_terms(terms: DataFrame, doc: str, n: Column, min_df: int = 10, max_df: float = 0.3) -> DataFrame:
-    """TF-IDF weights from a long ``(doc, term)`` occurrence table and the document count ``n``."""
-    tf = terms.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
-    dfs = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    """TF-IDF weights from a long ``(doc, term)`` occurrence table and the document count ``n``.
+
+    Occurrences are counted once (staged). Terms of more than ``max_df`` of the documents go before the join: their
+    number is at most the mean vocabulary of a document divided by ``max_df``. What remains may still stand in
+    nearly that share of the documents, so it joins in ``SALT`` parts."""
+    tf = stage(terms.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf")))
+    dfs = stage(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    frequent = dfs.filter(F.col("df") > n * F.lit(max_df)).select("term")
+    few = frequent.count()
+    left = tf.join(F.broadcast(frequent) if few <= BROADCAST_ROWS else frequent, "term", "left_anti") if few else tf
     vocab = (dfs.filter((F.col("df") >= min_df) & (F.col("df") <= n * F.lit(max_df)))
              .select("term", (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf")))
-    w = tf.join(vocab, "term").select(doc, "term", (F.col("tf") * F.col("idf")).alias("w"))
+    w = salted_join(left, vocab, "term", doc).select(doc, "term", (F.col("tf") * F.col("idf")).alias("w"))
     norms = w.groupBy(doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
     return w.join(norms, doc).select(doc, "term", (F.col("w") / F.col("_norm")).alias("weight"))
 
 
+#: Copies of the smaller side where few keys hold many rows, and the most rows that are broadcast.
+SALT, BROADCAST_ROWS = 8, 200_000
+
+
+def salted_join(many: DataFrame, few: DataFrame, key: str, spread: str) -> DataFrame:
+    """``many`` joined with ``few`` on ``key``, each key in SALT parts by the hash of ``spread``; no key gathers all
+    of its rows in one task."""
+    salt = F.pmod(F.xxhash64(spread), F.lit(SALT)).cast("int")
+    copies = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    return many.withColumn("_salt", salt).join(copies, [key, "_salt"]).drop("_salt")
+
+
 def patient_terms(df: DataFrame, stem: bool = True, typ: str = "A") -> tuple[DataFrame, Column]:
     """T1-T4 per patient: the terms of the patient's notes joined in entry order (unigrams and
     bigrams of long tokens, including the bigram that spans two consecutive notes), without
@@ -262,8 +281,10 @@ def assign(vectors: DataFrame, all_docs: DataFrame, centres: DataFrame, doc: str
     plain |c|² — covers all of them exactly, because a centre that does share terms is never worse
     than its own |c|² (weights are non-negative). No docs × centres grid is built."""
     cnorm = centres.groupBy("cluster").agg(F.sum(F.col("weight") * F.col("weight")).alias("cn"))
-    dots = (vectors.join(centres.withColumnRenamed("weight", "cw"), "term")
-            .groupBy(doc, "cluster").agg(F.sum(F.col("weight") * F.col("cw")).alias("dot")))
+    # Centres may share a term that stands in many documents: broadcast if counted to be small, else joined in parts.
+    named = centres.withColumnRenamed("weight", "cw")
+    met = vectors.join(F.broadcast(named), "term") if centres.count() <= BROADCAST_ROWS else salted_join(vectors, named, "term", doc)
+    dots = (met.groupBy(doc, "cluster").agg(F.sum(F.col("weight") * F.col("cw")).alias("dot")))
     shared = dots.join(cnorm, "cluster").select(doc, "cluster", (F.col("cn") - 2 * F.col("dot")).alias("d"))
     fallback = cnorm.agg(F.min(F.struct(F.round("cn", 9).alias("d"), F.col("cluster").alias("c")))).scalar()
     plain = all_docs.select(doc, fallback.getField("c").alias("cluster"), fallback.getField("d").alias("d"))
@@ -282,17 +303,15 @@ def update(vectors: DataFrame, assignment: DataFrame, doc: str, centres: DataFra
 
 
 def cluster_notes(vectors: DataFrame, all_docs: DataFrame, doc: str, k: int = 15, max_iter: int = 100,
-                  seed: int = 0, checkpoint_every: int = 5) -> DataFrame:
+                  seed: int = 0) -> DataFrame:
     """T5: k-means++ start, then Lloyd's iterations (k = 15, up to 100, one start) on the TF-IDF long
-    table. Stops when no document changes cluster (one count per iteration). Centres are staged every few
-    iterations so the lineage stays bounded."""
+    table. Stops when no document changes cluster (one count per iteration). Centres are staged in every
+    iteration: they are counted before they are broadcast."""
     vectors = stage(vectors)
     centres = stage(spread_centres(vectors, doc, k, seed))
     current = stage(assign(vectors, all_docs, centres, doc))
-    for it in range(1, max_iter):
-        centres = update(vectors, current, doc, centres)
-        if it % checkpoint_every == 0:
-            centres = stage(centres)
+    for _ in range(1, max_iter):
+        centres = stage(update(vectors, current, doc, centres))
         nxt = stage(assign(vectors, all_docs, centres, doc))
         changed = nxt.join(current.withColumnRenamed("cluster", "_old"), doc).filter(F.col("cluster") != F.col("_old")).count()
         current = nxt

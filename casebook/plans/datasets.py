@@ -32,6 +32,20 @@ def gaucher_dataset(pre: DataFrame, k: int = 1800, seed: int = 0, source: str =
     codes, 11 symptom groups — one row per (patient, sex), nulls → 0. The subset is staged: every
     group of features reads it."""
     subset, cases = gaucher_subset(pre, k, seed, source, flag)
+    return gaucher_features(subset, cases)
+
+
+def gaucher_sweep(pre: DataFrame, ks: list[int], seed: int, source: str = "label", flag: str | None = None) -> DataFrame:
+    """The dataset of the largest k of ``ks`` with ``first_draw`` (null for cases), staged. Features are each
+    patient's own, so the dataset of a smaller k is its cases and the patients drawn before k."""
+    cases = stage(C.diagnosed_cases(pre, "E75.22", source=source))
+    draws = stage(C.control_draws(pre, cases, k=max(ks), seed=seed, flag=flag))
+    subset = C.keep_patients(pre, cases.unionByName(draws.select(PATIENT)))
+    return stage(gaucher_features(subset, cases).join(draws, PATIENT, "left"))
+
+
+def gaucher_features(subset: DataFrame, cases: DataFrame) -> DataFrame:
+    """The rows of E3 for the patients of ``subset``."""
     subset = stage(subset)
     wide = LB.interpret_tests(subset, R.E75_TESTS)
     joined = LB.join_labs(subset, wide)

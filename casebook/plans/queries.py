@@ -897,7 +897,7 @@ O.cte("c_dot", ["c_vec"], "SELECT v.doc_id, c.cluster, sum(v.weight * c.weight)
 WHERE rk = 1""", "c_norm", "c_dot"))
 def q_cluster_assign(spark, sf_dir):
     vec = stage(doc_vectors(spark, sf_dir))  # read by three branches: centres, dot products, fallback
-    centres = TX.initial_centres(vec, "doc_id", K_CLUSTERS, SEED)
+    centres = stage(TX.initial_centres(vec, "doc_id", K_CLUSTERS, SEED))
     return TX.assign(vec, documents(spark, sf_dir), centres, "doc_id")
 
 
@@ -1166,17 +1166,33 @@ def q_sweep(spark, sf_dir):
 
 @query("sweep_models")
 def q_sweep_models(spark, sf_dir):
-    """M18's model step: naive Bayes out of ten folds on the dataset of each control draw count."""
-    p = pre_stage(spark, sf_dir, keep_flags=True)
+    """M18's model step: naive Bayes out of ten folds on the dataset of each control draw count. The cohorts are
+    nested, so the journal is preprocessed and the features are made once, for the largest."""
     outs = []
-    for k in SWEEP_K:
-        data = DS.gaucher_dataset(p, k=k, seed=SEED, source="certain", flag="is_E75_22")
-        pred = MD.nb_out_of_fold(as_model_set(data, "gaucher", DS.E75_FEATURES, N_FOLDS), PATIENT, "x")
+    for k, rows in sweep_sets(spark, sf_dir):
+        pred = MD.nb_out_of_fold(rows, PATIENT, "x")
         outs.append(MT.misclassification(stage(pred)).withColumn("k", F.lit(k)))
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
-    return out
+    return IO.union_frames(outs)
+
+
+def sweep_sets(spark, sf_dir):
+    """(k, model rows) for every control draw count."""
+    data = DS.gaucher_sweep(pre_stage(spark, sf_dir, keep_flags=True), SWEEP_K, SEED, source="certain", flag="is_E75_22")
+    for k in SWEEP_K:
+        drawn = data.filter(F.col("first_draw").isNull() | (F.col("first_draw") < k))
+        yield k, as_model_set(drawn, "gaucher", DS.E75_FEATURES, N_FOLDS)
+
+
+@query("sweep_line_up")
+def q_sweep_line_up(spark, sf_dir):
+    """The seven classifiers of the E75 line-up for every control draw count, ten folds, on the nested cohorts'
+    one feature table: mean metrics over the folds."""
+    outs = []
+    for k, rows in sweep_sets(spark, sf_dir):
+        pred = MD.line_up(rows, PATIENT, "x", len(DS.E75_FEATURES), E75_MODELS, SEED, k=3)
+        means = MD.cross_validate(pred).groupBy("model", "metric").agg(F.round(F.avg("value"), 6).alias("mean"))
+        outs.append(stage(means.withColumn("k", F.lit(k))))
+    return IO.union_frames(outs)
 
 
 # ---------------------------------------------------------------- T4/T5 on patient notes
