@@ -38,7 +38,7 @@ SCALE = 1_000_000
 SLICE_BYTES = 4_000_000
 #: Bytes of slices whose fingerprints make one range (about 0.8 fingerprints a byte before counting).
 RANGE_BYTES = 8_000_000
-SPARE_BITS = 12
+SPARE_BITS = 8
 #: Parts of a language in which its best rows are sought first.
 PARTS = 32
 
@@ -237,9 +237,9 @@ def frequent(parts: DataFrame, ranges: int, least: int) -> DataFrame:
 
 
 def read_back(slices: DataFrame, wanted: DataFrame, longest: int, bits: int) -> DataFrame:
-    """(lang, phrase, words, n): the wanted runs of each slice by their text."""
+    """(lang, phrase, n): the wanted runs of each slice by their text, in its order (so that a shuffle packs them well)."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64())])
+        schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
         out = [schema.empty_table()]
         if len(left) and len(right):
             keys = np.sort(np.concatenate([_unblob(b.as_py()) for b in right.column("keys")]))
@@ -250,11 +250,10 @@ def read_back(slices: DataFrame, wanted: DataFrame, longest: int, bits: int) ->
             for n in range(1, longest + 1):
                 here = np.flatnonzero(hit & (words == n))
                 found = _texts(body, first[here], last[here]).value_counts()
-                out.append(pa.table({"lang": pa.repeat(pa.scalar(lang), len(found)), "phrase": found.field("values"),
-                                     "words": pa.array(np.full(len(found), n, dtype=np.int32)), "n": found.field("counts")}, schema))
-        return pa.concat_tables(out)
+                out.append(pa.table({"lang": pa.repeat(pa.scalar(lang), len(found)), "phrase": found.field("values"), "n": found.field("counts")}, schema))
+        return pa.concat_tables(out).sort_by("phrase")
 
-    return slices.groupBy("slice").cogroup(wanted.groupBy("slice")).applyInArrow(run, "lang string, phrase string, words int, n long")
+    return slices.groupBy("slice").cogroup(wanted.groupBy("slice")).applyInArrow(run, "lang string, phrase string, n long")
 
 
 def _texts(body: bytes, first: np.ndarray, last: np.ndarray) -> pa.Array:
@@ -273,8 +272,9 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -
     ranges = 1 + size // RANGE_BYTES
     bits = min(62, size.bit_length() + SPARE_BITS)
     wanted = frequent(counted(slices, ranges, longest, bits), ranges, least)
-    found = read_back(slices, wanted, longest, bits).groupBy("lang", "phrase").agg(F.first("words").alias("words"), F.sum("n").alias("f"))
-    return stage(found.filter(F.col("f") >= least)), slices.groupBy("lang").agg(F.sum("words").alias("n"))
+    found = read_back(slices, wanted, longest, bits).groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+    words = F.length("phrase") - F.length(F.replace(F.col("phrase"), F.lit(" "), F.lit(""))) + 1
+    return stage(found.select("lang", "phrase", words.cast("int").alias("words"), "f")), slices.groupBy("lang").agg(F.sum("words").alias("n"))
 
 
 # ---------------------------------------------------------------- scores
@@ -286,9 +286,11 @@ def _words(phrase: Column, first: Column, n: Column) -> Column:
 def scored(counts: DataFrame) -> DataFrame:
     """(lang, phrase, words, a, l, r, k, score) of the phrases of two words or more: the cut that scores least."""
     cuts = counts.filter("words >= 2").select("lang", "phrase", "words", F.col("f").alias("a"), F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("k"))
-    cuts = cuts.withColumns({"_left": _words(F.col("phrase"), F.lit(1), F.col("k")), "_right": _words(F.col("phrase"), F.col("k") + 1, F.col("words") - F.col("k"))})
-    part = lambda side, name: counts.select("lang", F.col("phrase").alias(side), F.col("f").alias(name))
-    sides = cuts.join(part("_left", "l"), ["lang", "_left"]).join(part("_right", "r"), ["lang", "_right"])
+    # The parts are join keys only: they are read off the phrase and do not travel beside it.
+    side = lambda name: counts.select(F.col("lang").alias(f"_{name}_lang"), F.col("phrase").alias(f"_{name}"), F.col("f").alias(name))
+    left, right = _words(F.col("phrase"), F.lit(1), F.col("k")), _words(F.col("phrase"), F.col("k") + 1, F.col("words") - F.col("k"))
+    sides = cuts.join(side("l"), (F.col("lang") == F.col("_l_lang")) & (left == F.col("_l"))).drop("_l", "_l_lang")
+    sides = sides.join(side("r"), (F.col("lang") == F.col("_r_lang")) & (right == F.col("_r"))).drop("_r", "_r_lang")
     whole = lambda c: f"cast({c} as decimal(16, 0))"
     score = F.expr(f"cast({whole('a')} * {whole('a')} * {SCALE} as decimal(38, 0)) div ({whole('l')} * {whole('r')})").cast("long")
     least = F.min(F.struct(score.alias("score"), "k", "l", "r"))
