@@ -7,7 +7,7 @@ kind; the fit penalises the squared difference of the two logits, ``PENALTY`` ti
 merely says which group a text names costs more than it gains, so neutral mentions keep their score.
 
 Plan: grams are counted over at most ``SAMPLE`` labelled training rows (those of least hash) in Spark,
-the ``FEATURES`` most telling ones reach the driver, the rows of the sample come back as short lists of
+the ``FEATURES`` most telling ones and all grams of identity terms reach the driver, the rows of the sample come back as short lists of
 these, and the fit runs in numpy. Scoring is one narrow pass over all whole texts.
 
 Nulls: a null text is empty; an empty text has no gram and scores what the intercept says. Labels that
@@ -30,11 +30,13 @@ from casebook.llm.wordvectors import fold, sample_of
 
 #: Most labelled rows to learn from, most grams kept, documents that a gram must occur in, and standard
 #: errors by which its share of toxic documents must differ from the share of all (among a million grams
-#: about none gets there by chance).
-SAMPLE, FEATURES, LEAST_DOCS, LEAST_Z = 20_000, 4096, 5, 6.0
+#: a handful get there by chance; the decay keeps these small).
+SAMPLE, FEATURES, LEAST_DOCS, LEAST_Z = 20_000, 4096, 3, 4.5
 BUCKETS = 1 << 21
 SIZES = (3, 4, 5, 6)
-PENALTY, DECAY, STEPS = 1.0, 1e-4, 400
+PENALTY, DECAY, STEPS = 1.0, 3e-4, 400
+#: What a toxic text that is missed costs, in false alarms.
+MISS_COST = 8.0
 
 #: Kinds of groups; within a kind each term may stand for another (fixed values of this model).
 IDENTITY_KINDS = (
@@ -110,7 +112,8 @@ def _body(docs: DataFrame) -> DataFrame:
 
 
 def telling_grams(train: DataFrame, features: int = FEATURES) -> np.ndarray:
-    """Buckets whose presence tells most about the label, at most ``features``."""
+    """Buckets whose presence tells most about the label, at most ``features``, and all grams of identity terms: what a
+    swap changes is a feature, so the penalty acts on it, whether or not it tells anything here."""
     def count(batch: pa.RecordBatch) -> pa.Table | None:
         doc, bucket = present(_texts(batch))
         label = np.array(column(batch, "label").to_pylist(), dtype=np.int64)
@@ -128,7 +131,8 @@ def telling_grams(train: DataFrame, features: int = FEATURES) -> np.ndarray:
     z = F.when(error > 0, F.abs(F.col("toxic") - F.col("n") * share) / error).otherwise(0.0)
     best = (rows.filter(F.col("n") >= LEAST_DOCS).withColumn("z", z).filter(F.col("z") >= LEAST_Z)
             .orderBy(F.col("z").desc(), "bucket").limit(features))
-    return np.array(sorted(r["bucket"] for r in best.select("bucket").collect()), dtype=np.int64)
+    named = np.unique(grams(list(_SWAP))[1]).tolist()
+    return np.array(sorted({r["bucket"] for r in best.select("bucket").collect()} | set(named)), dtype=np.int64)
 
 
 def fit(rows: list[list[int]], swaps: list[list[int] | None], y: np.ndarray, width: int, penalty: float = PENALTY) -> tuple[np.ndarray, float]:
@@ -143,12 +147,13 @@ def fit(rows: list[list[int]], swaps: list[list[int] | None], y: np.ndarray, wid
     # The difference of the two texts: features of one and not the other, with their sign.
     plus, plus_f = flat([sorted(set(rows[i]) - set(swaps[i])) for i in paired])
     minus, minus_f = flat([sorted(set(swaps[i]) - set(rows[i])) for i in paired])
-    share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+    cost = np.where(y == 1, MISS_COST, 1.0)
+    share = np.clip(np.average(y, weights=cost), 1e-3, 1 - 1e-3)
     w, b = np.zeros(width), float(np.log(share / (1 - share)))
     m, v, mb, vb = np.zeros(width), np.zeros(width), 0.0, 0.0
     for step in range(1, STEPS + 1):
         logit = np.bincount(doc, weights=w[feature], minlength=len(y)) + b
-        error = (1 / (1 + np.exp(-np.clip(logit, -40, 40))) - y) / len(y)
+        error = cost * (1 / (1 + np.exp(-np.clip(logit, -40, 40))) - y) / cost.sum()
         g = np.bincount(feature, weights=error[doc], minlength=width) + DECAY * w
         if paired:
             gap = np.bincount(plus, weights=w[plus_f], minlength=len(paired)) - np.bincount(minus, weights=w[minus_f], minlength=len(paired))
