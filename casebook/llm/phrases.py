@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -236,24 +237,55 @@ def frequent(parts: DataFrame, ranges: int, least: int) -> DataFrame:
     return parts.repartition(ranges, "range").groupBy("range").applyInArrow(run, "slice long, keys binary")
 
 
-def read_back(slices: DataFrame, wanted: DataFrame, longest: int, bits: int) -> DataFrame:
-    """(lang, phrase, n): the wanted runs of each slice by their text, in its order (so that a shuffle packs them well)."""
+def read_back(slices: DataFrame, wanted: DataFrame, ranges: int, longest: int, bits: int) -> DataFrame:
+    """(range, lang, size, phrases, counts): the wanted runs of each slice by their text, sorted and compressed, in the
+    ranges of their fingerprints (so that a phrase is in the same range everywhere)."""
+    edges = np.array([(r << bits) // ranges for r in range(1, ranges)], dtype=np.uint64)
+    schema = pa.schema([("range", pa.int32()), ("lang", pa.string()), ("size", pa.int64()), ("phrases", pa.binary()), ("counts", pa.binary())])
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
-        out = [schema.empty_table()]
-        if len(left) and len(right):
-            keys = np.sort(np.concatenate([_unblob(b.as_py()) for b in right.column("keys")]))
-            lang, body = left.column("lang")[0].as_py(), unpacked(left.column("body")[0], left.column("size")[0])
-            own, first, last, words = grams(body, lang, longest, bits)
-            place = np.searchsorted(keys, own)
-            hit = keys[np.minimum(place, len(keys) - 1)] == own
-            for n in range(1, longest + 1):
-                here = np.flatnonzero(hit & (words == n))
-                found = _texts(body, first[here], last[here]).value_counts()
-                out.append(pa.table({"lang": pa.repeat(pa.scalar(lang), len(found)), "phrase": found.field("values"), "n": found.field("counts")}, schema))
-        return pa.concat_tables(out).sort_by("phrase")
-
-    return slices.groupBy("slice").cogroup(wanted.groupBy("slice")).applyInArrow(run, "lang string, phrase string, n long")
+        if not len(left) or not len(right):
+            return schema.empty_table()
+        keys = np.sort(np.concatenate([_unblob(b.as_py()) for b in right.column("keys")]))
+        lang, body = left.column("lang")[0].as_py(), unpacked(left.column("body")[0], left.column("size")[0])
+        own, first, last, words = grams(body, lang, longest, bits)
+        place = np.searchsorted(keys, own)
+        hit = keys[np.minimum(place, len(keys) - 1)] == own
+        parts = []
+        for n in range(1, longest + 1):
+            here = np.flatnonzero(hit & (words == n))
+            coded = _texts(body, first[here], last[here]).dictionary_encode()
+            number = coded.indices.to_numpy()
+            seen = np.zeros(len(coded.dictionary), dtype=np.int64)
+            seen[number[::-1]] = here[::-1]  # the first occurrence of each text
+            parts.append(pa.table({"range": np.searchsorted(edges, own[seen], side="right").astype(np.int32), "phrase": coded.dictionary,
+                                   "n": np.bincount(number, minlength=len(seen)).astype(np.uint32)}))
+        found = pa.concat_tables(parts).sort_by([("range", "ascending"), ("phrase", "ascending")])
+        at, counts = found.column("range").to_numpy(), found.column("n").to_numpy()
+        cuts = np.flatnonzero(np.diff(at, prepend=-1, append=-1))
+        out = []
+        for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            text = "\n".join(found.column("phrase").slice(i, j - i).to_pylist()).encode()
+            out.append((int(at[i]), lang, len(text), pa.compress(text, "zstd", asbytes=True), counts[i:j].tobytes()))
+        return pa.table({f.name: pa.array([r[k] for r in out], f.type) for k, f in enumerate(schema)}, schema)
+
+    return slices.groupBy("slice").cogroup(wanted.groupBy("slice")).applyInArrow(run, "range int, lang string, size long, phrases binary, counts binary")
+
+
+def summed(parts: DataFrame, ranges: int, least: int) -> DataFrame:
+    """(lang, phrase, f): the counts of every text over all slices, where they reach ``least``."""
+    schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
+
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        texts, counts = [], []
+        for size, body, n in zip(*(group.column(c) for c in ("size", "phrases", "counts"))):
+            texts += unpacked(body, size).decode().split("\n")
+            counts.append(np.frombuffer(n.as_py(), dtype=np.uint32).astype(np.int64))
+        total = pa.table({"phrase": pa.array(texts, pa.string()), "n": np.concatenate(counts)}).group_by("phrase").aggregate([("n", "sum")])
+        total = total.filter(pa.compute.greater_equal(total.column("n_sum"), least))
+        return pa.table({"lang": pa.repeat(key[1], len(total)), "phrase": total.column("phrase"), "f": total.column("n_sum")}, schema)
+
+    return parts.repartition(ranges, "range").groupBy("range", "lang").applyInArrow(run, "lang string, phrase string, f long")
 
 
 def _texts(body: bytes, first: np.ndarray, last: np.ndarray) -> pa.Array:
@@ -272,7 +304,7 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -
     ranges = 1 + size // RANGE_BYTES
     bits = min(62, size.bit_length() + SPARE_BITS)
     wanted = frequent(counted(slices, ranges, longest, bits), ranges, least)
-    found = read_back(slices, wanted, longest, bits).groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+    found = summed(read_back(slices, wanted, ranges, longest, bits), ranges, least)
     words = F.length("phrase") - F.length(F.replace(F.col("phrase"), F.lit(" "), F.lit(""))) + 1
     return stage(found.select("lang", "phrase", words.cast("int").alias("words"), "f")), slices.groupBy("lang").agg(F.sum("words").alias("n"))
 
