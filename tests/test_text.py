@@ -74,3 +74,18 @@ def test_clusters_equal_lloyds(spark, monkeypatch):
         monkeypatch.setattr(TX, "BROADCAST_ROWS", limit)
         got = {r["doc"]: r["cluster"] for r in TX.cluster_notes(long, every, "doc", k=4, max_iter=30, seed=3).collect()}
         assert got == want
+
+
+def test_long_tokens_are_cleaned_before_they_are_stemmed(spark):
+    rnd = random.Random(4)
+    ends = ["", "e", "em", "ern", "es", "nisses", "st", "isch", "lichkeit", "igkeit", "ungen", "end", "ik", "ß", "ße", "ys", "uer", "d", "g"]
+    words = ["".join(rnd.choices("abdefghiklmnorstuyäöüß", k=rnd.randint(1, 11))) + rnd.choice(ends) for _ in range(1500)] + ["zwischen", "a", "É", "manchen"]
+    docs = spark.createDataFrame([(i, " <b>x</b> ".join(words[i::40])) for i in range(40)] + [(40, None), (41, "")], "doc long, text string")
+    for stem in (True, False):
+        out = docs.select(TX.clean_long_tokens("text", stem).alias("a"), TX.long_tokens(TX.clean_tokens("text", stem)).alias("b"))
+        assert all(r["a"] == r["b"] for r in out.collect())
+    each = spark.createDataFrame([(w,) for w in words], "w string").select(
+        TX.german_stem(F.col("w")).alias("a"), TX._stem_steps(F.replace("w", F.lit("ß"), F.lit("ss"))).alias("b"), "w")
+    assert not [r for r in each.collect() if r["a"] != r["b"]]
+    plan = docs.select(TX.clean_tokens("text"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "INSET" in plan and "array_contains" not in plan  # a hash set, not a walk over all stop words
