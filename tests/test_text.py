@@ -89,3 +89,17 @@ def test_long_tokens_are_cleaned_before_they_are_stemmed(spark):
     assert not [r for r in each.collect() if r["a"] != r["b"]]
     plan = docs.select(TX.clean_tokens("text"))._jdf.queryExecution().optimizedPlan().toString()
     assert "INSET" in plan and "array_contains" not in plan  # a hash set, not a walk over all stop words
+
+
+def test_few_terms_cluster_in_passes_over_packed_rows(spark, monkeypatch):
+    docs = documents(60)
+    vectors = weights(docs, 2, 0.9)
+    long = spark.createDataFrame([(f"d{d}", t, w) for (d, t), w in vectors.items()], "doc string, term string, weight double")
+    every = spark.createDataFrame([(f"d{d}",) for d in docs] + [("empty",), ("empty",), (None,)], "doc string")
+    clusters = lambda: {r["doc"]: r["cluster"] for r in TX.cluster_notes(long, every, "doc", k=4, max_iter=30, seed=3).collect()}
+    with monkeypatch.context() as m:
+        m.setattr(TX, "BROADCAST_ROWS", 0)
+        want = clusters()
+    joins = []
+    monkeypatch.setattr(TX, "assign", lambda *a: joins.append(a))
+    assert clusters() == want and len(want) == len(docs) + 2 and not joins
