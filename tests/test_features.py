@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from casebook.operators import features as FT
+from casebook.operators import joins as JN
 from casebook.operators import labs as LB
 
 
@@ -34,3 +35,20 @@ def test_discriminative_argmax_order(spark):
     df = spark.createDataFrame(rows, "PATIENT_HASH string, Lab_test string, Inference string, n long")
     out = LB.discriminative_tests(df, min_n=5, min_share=0.6).collect()
     assert [(r.Lab_test, r.High, r.Low, r.n, r.Dominant) for r in out] == [("T1", 6, 2, 8, "High")]
+
+
+def test_rare_test_filter_does_not_gather_a_test_in_one_task(spark, monkeypatch):
+    rows = [(f"p{i}", f"e{i}", i % 3, "HKT" if i % 50 else f"T{i}") for i in range(400)] + [("p", "e", 0, None)]
+    labs = spark.createDataFrame(rows, "PATIENT_HASH string, entry_id string, pos int, Lab_test string").repartition(4)
+    want = sorted(r for r in rows if r[3] == "HKT")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as on tables of many tests
+    try:
+        for limit in (JN.BROADCAST_ROWS, 0):
+            monkeypatch.setattr(JN, "BROADCAST_ROWS", limit)
+            kept = LB.filter_rare_tests(labs)
+            assert sorted(tuple(r) for r in kept.select("PATIENT_HASH", "entry_id", "pos", "Lab_test").collect()) == want
+            plan = kept.groupBy("PATIENT_HASH", "Lab_test").count()._jdf.queryExecution().executedPlan().toString()
+            assert all("hashpartitioning(PATIENT_HASH" in line or "_salt" in line for line in plan.split("\n") if "hashpartitioning" in line), plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
