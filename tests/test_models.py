@@ -215,3 +215,34 @@ def test_boosted_folds_score_rows_beyond_the_training_sample(spark):
         held = [i for i in range(len(x)) if i % 3 == f]
         want = BO.staged_scores(stumps, x[held], (5,))[5]
         assert np.allclose([got[str(i)]["score"] for i in held], want) and all(got[str(i)]["fold"] == f for i in held)
+
+
+def test_what_the_search_shuffles_is_a_fixed_multiple_of_the_rows():
+    """A row goes to every pair of blocks that it stands in, so the number of blocks must not grow with the rows."""
+    for keys in (1, 10):
+        groups = []
+        for n in (40_000, 100_000, 200_000):
+            stats = [(key, cell, n // 400, 9.0, n // 400, 9.0) for key in range(keys) for cell in range(400)]
+            pivots = np.random.default_rng(0).normal(size=(400, 4))
+            plan = NN.Plan(pivots, stats, NN.block_size(stats))
+            groups.append(sum(plan.parts))
+        assert max(groups) <= min(groups) + 2 and max(groups) <= (10 if keys == 1 else 5)
+    assert NN.block_size([(0, 0, 10 ** 8, 1.0, 10 ** 8, 1.0)]) == NN.LARGE_BLOCK and NN.block_size([(0, 0, 10, 1.0, 10, 1.0)]) == NN.BLOCK
+
+
+def test_knn_sends_a_training_row_once_whatever_the_folds(spark, monkeypatch):
+    """Folds are left out in the search; the training rows are not copied once a fold."""
+    _, _, df = points(spark, 90)
+    seen, real = [], NN.nearest
+    monkeypatch.setattr(NN, "nearest", lambda q, r, k: seen.append((q.count(), r.count())) or real(q, r, k))
+    assert NN.knn_classify(df, df, "k", "x", k=5, fold="fold").count() == 90 and seen == [(90, 90)]
+
+
+def test_knn_out_of_fold_among_copies(spark):
+    """Equal vectors of many folds, more of them than neighbours asked for."""
+    x = clustered(300, 3)
+    x[::2] = x[0]
+    y = (np.arange(300) % 7 == 0).astype(int)
+    df = spark.createDataFrame([(i, v.tolist(), int(y[i]), i % 3) for i, v in enumerate(x)], "k long, x array<double>, label int, fold int")
+    got = NN.knn_classify(df, df, "k", "x", k=5, fold="fold").orderBy("k").collect()
+    assert [r["prediction"] for r in got] == brute_knn(x, y, [i % 3 for i in range(300)], 5)
