@@ -246,3 +246,19 @@ def test_knn_out_of_fold_among_copies(spark):
     df = spark.createDataFrame([(i, v.tolist(), int(y[i]), i % 3) for i, v in enumerate(x)], "k long, x array<double>, label int, fold int")
     got = NN.knn_classify(df, df, "k", "x", k=5, fold="fold").orderBy("k").collect()
     assert [r["prediction"] for r in got] == brute_knn(x, y, [i % 3 for i in range(300)], 5)
+
+
+def test_training_sets_have_no_more_partitions_than_fill_the_cores(spark):
+    """What a fit shuffles is its sums times the partitions of its rows."""
+    x, y, df = points(spark, 90)
+    seen = []
+
+    class Marked(MD.AdaBoost):
+        def _fit(self, train):
+            seen.append((train.rdd.getNumPartitions(), train.count()))
+            return super()._fit(train)
+
+    many = MD.with_features(df, "x").repartition(40)
+    assert MD.out_of_fold(lambda: Marked(2), many).count() == 90
+    assert len(seen) == 3 and all(parts <= -(-spark.sparkContext.defaultParallelism // 3) and n == 60 for parts, n in seen)
+    assert MD.training_parts(df, 10_000_000, 5) == 100
