@@ -1,5 +1,7 @@
 """Model smoke tests on separable data: fits within bounds, metrics consistent."""
 
+import threading
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -262,3 +264,16 @@ def test_training_sets_have_no_more_partitions_than_fill_the_cores(spark):
     assert MD.out_of_fold(lambda: Marked(2), many).count() == 90
     assert len(seen) == 3 and all(parts <= -(-spark.sparkContext.defaultParallelism // 3) and n == 60 for parts, n in seen)
     assert MD.training_parts(df, 10_000_000, 5) == 100
+
+
+def test_models_of_a_line_up_are_fitted_side_by_side(spark, monkeypatch):
+    _, _, df = points(spark, 60)
+    both, plain = threading.Barrier(2, timeout=60), MD.out_of_fold
+
+    def meeting(*args, **kwargs):
+        both.wait()
+        return plain(*args, **kwargs)
+
+    monkeypatch.setattr(MD, "out_of_fold", meeting)
+    pred = MD.line_up(MD.with_features(df, "x"), "k", "x", 2, ["logreg", "tree"])
+    assert {(r["model"], r["count"]) for r in pred.groupBy("model").count().collect()} == {("logreg", 60), ("tree", 60)}
