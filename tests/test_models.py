@@ -282,5 +282,5 @@ def test_models_of_a_line_up_are_fitted_side_by_side(spark, monkeypatch):
 def test_fits_of_a_grid_are_spread_over_partitions(spark):
     """Joined by size, forty small groups would lie in one partition."""
     pool = spark.range(40).selectExpr("cast(id % 4 as double) AS rate", "cast(id div 4 as int) AS fold")
-    groups = BO.spread(pool, 40).groupBy("rate", "fold").agg(F.first(F.spark_partition_id()).alias("p"))
+    groups = BO.spread(pool, 40).select("rate", "fold", F.spark_partition_id().alias("p"))
     assert max(r["count"] for r in groups.groupBy("p").count().collect()) <= 4
