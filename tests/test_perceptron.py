@@ -19,9 +19,9 @@ def frame(spark, n=384, seed=2, parts=3):
 
 
 def test_weights_are_those_of_mllib(spark):
-    """Full stacks of 128 rows: the mean over stacks is the mean over rows."""
-    df = frame(spark).coalesce(1).cache()
-    for steps in (2, 40):
+    """Stacks of 128 rows of a partition, the last one shorter, as MLlib has them."""
+    df = frame(spark, 450, parts=2).cache()
+    for steps in (2, 25):
         theirs = MultilayerPerceptronClassifier(layers=[4, 7, 2], maxIter=steps, seed=5).fit(df)
         ours = PC.Perceptron(4, 7, steps, 5).fit(df)
         assert np.allclose(ours.weights.toArray(), theirs.weights.toArray(), rtol=1e-4, atol=1e-5), steps
@@ -90,3 +90,11 @@ def test_what_mllib_refuses_is_refused(spark):
         df = spark.createDataFrame([good, good, bad], MD.with_features(frame(spark, 3), "x").select("features", "label").schema)
         with pytest.raises(Exception, match="must"):
             PC.Perceptron(2, 3, 2).fit(df)
+
+
+def test_folds_weigh_rows_as_mllib_does(spark):
+    df = frame(spark, 450, parts=3).cache()
+    ours = PC.Perceptron(4, 5, 10, 1).weights(df, "fold", [0, 1, 2], 2)
+    for f in (0, 2):
+        theirs = MultilayerPerceptronClassifier(layers=[4, 5, 2], maxIter=10, seed=1).fit(df.filter(F.col("fold") != f).coalesce(2))
+        assert np.allclose(ours[f], theirs.weights.toArray(), rtol=1e-4, atol=1e-5)
