@@ -219,6 +219,39 @@ def test_boosted_folds_score_rows_beyond_the_training_sample(spark):
         assert np.allclose([got[str(i)]["score"] for i in held], want) and all(got[str(i)]["fold"] == f for i in held)
 
 
+def test_boosted_folds_learn_from_all_training_rows(spark, monkeypatch):
+    """More training rows than the 20,000 that a fit once took, in a task's memory and by rounds of jobs."""
+    n = 44_000
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 60, size=(n, 2)).astype(float)
+    y = ((x[:, 0] > 30) ^ (rng.random(n) < 0.3)).astype(int)
+    df = spark.createDataFrame([(i, v.tolist(), int(c), i % 2) for i, (v, c) in enumerate(zip(x, y))], "k long, x array<float>, label int, fold int")
+    for cells in (BO.FIT_CELLS, 0):
+        monkeypatch.setattr(BO, "FIT_CELLS", cells)
+        got = {int(r["id"]): r["score"] for r in BO.boosted_folds(df, "k", "x", rates=(0.5,), rounds=(4,)).collect()}
+        assert len(got) == n
+        for f in (0, 1):
+            train, held = np.arange(n) % 2 != f, np.flatnonzero(np.arange(n) % 2 == f)
+            want = BO.staged_scores(BO.boost(x[train], y[train], np.ones(train.sum()), 0.5, 4), x[held], (4,))[4]
+            assert np.allclose([got[int(i)] for i in held], want)
+
+
+def test_boosting_searches_a_feature_again_only_when_it_may_win(spark):
+    """The stumps are those of a search through all features and cuts, equal values and copies of a feature included."""
+    rng = np.random.default_rng(9)
+    x = np.round(rng.normal(size=(300, 6)), 1)
+    x[:, 3] = x[:, 1]
+    y = (x[:, 0] + x[:, 1] + rng.normal(size=300) > 1).astype(int)
+    for rate in (0.01, 0.7):
+        w = np.ones(300) / 300
+        for j, edge, left, alpha in BO.boost(x, y, np.ones(300), rate, 60):
+            wrong = [[(np.where(x[:, c] <= v, side, 1 - side) != y) @ w for v in np.unique(x[:, c])] for c in range(6) for side in (0, 1)]
+            at = np.where(x[:, j] <= edge, left, 1 - left) != y
+            assert abs(w @ at - min(map(min, wrong))) < 1e-9
+            w = w * np.where(at, np.exp(alpha), 1.0)
+            w /= w.sum()
+
+
 def test_what_the_search_shuffles_is_a_fixed_multiple_of_the_rows():
     """A row goes to every pair of blocks that it stands in, so the number of blocks must not grow with the rows."""
     for keys in (1, 10):
