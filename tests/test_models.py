@@ -252,6 +252,35 @@ def test_boosting_searches_a_feature_again_only_when_it_may_win(spark):
             w /= w.sum()
 
 
+def test_a_block_is_searched_through_the_least_of_its_groups(spark, monkeypatch):
+    """Neighbours equal brute force, also of queries with parts, limits and many equal distances, and no step but the matrix
+    product and one minimum looks at every pair."""
+    rng = np.random.default_rng(4)
+    looked, real = [], np.partition
+    monkeypatch.setattr(np, "partition", lambda a, *args, **kwargs: looked.append(a.size) or real(a, *args, **kwargs))
+    for x in (rng.normal(size=(3000, 8)), np.round(rng.normal(size=(3000, 2)), 1), rng.normal(size=(3000, 8)) * 1e-4 + 1e4):
+        part = rng.integers(-1, 4, size=3000)
+        rank = rng.permutation(3000)
+        for omit, limit in ((None, None), (part, None), (None, np.full(300, 0.5))):
+            looked.clear()
+            q, s, d = NN.block_nearest(x[:300], np.arange(300), x, np.arange(3000), rank, 3, limit, q_omit=None if omit is None else omit[:300], s_omit=omit)
+            assert sum(looked) <= 300 * 3000 / 16
+            got = {}
+            for i, j, far in zip(q.tolist(), s.tolist(), d.tolist()):
+                got.setdefault(i, []).append((far, rank[j]))
+            for i in range(300):
+                far = np.zeros(3000)
+                for c in range(x.shape[1]):
+                    far += (x[i, c] - x[:, c]) * (x[i, c] - x[:, c])
+                far = np.floor(far * 1e6 + 0.5) / 1e6
+                use = np.arange(3000) != i
+                if omit is not None:
+                    use &= (omit != omit[i]) | (omit[i] == NN.NONE)
+                if limit is not None:
+                    use &= far <= limit[i]
+                assert got.get(i, []) == sorted(zip(far[use].tolist(), rank[use].tolist()))[:3]
+
+
 def test_what_the_search_shuffles_is_a_fixed_multiple_of_the_rows():
     """A row goes to every pair of blocks that it stands in, so the number of blocks must not grow with the rows."""
     for keys in (1, 10):
