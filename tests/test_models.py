@@ -236,6 +236,19 @@ def test_boosted_folds_learn_from_all_training_rows(spark, monkeypatch):
             assert np.allclose([got[int(i)] for i in held], want)
 
 
+def test_boosted_folds_learn_from_all_resampled_rows(spark):
+    """More given training rows than the 20,000 that a fit once took of them."""
+    n = 25_000
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(n, 2))
+    y = (x[:, 0] + rng.normal(size=n) > 0).astype(int)
+    train = spark.createDataFrame([(i, v.tolist(), int(c), 0) for i, (v, c) in enumerate(zip(x, y))], "k long, x array<double>, label int, fold int")
+    held = spark.createDataFrame([(i, v.tolist(), int(c), 0) for i, (v, c) in enumerate(zip(x[:200] + 0.1, y[:200]))], "k long, x array<double>, label int, fold int")
+    got = {int(r["id"]): r["score"] for r in BO.boosted_folds(held, "k", "x", rates=(1.0,), rounds=(3,), train=train).collect()}
+    want = BO.staged_scores(BO.boost(x, y, np.ones(n), 1.0, 3), x[:200] + 0.1, (3,))[3]
+    assert np.allclose([got[i] for i in range(200)], want)
+
+
 def test_boosting_searches_a_feature_again_only_when_it_may_win(spark):
     """The stumps are those of a search through all features and cuts, equal values and copies of a feature included."""
     rng = np.random.default_rng(9)
