@@ -359,3 +359,13 @@ def test_fits_of_a_grid_are_spread_over_partitions(spark):
     pool = spark.range(40).selectExpr("cast(id % 4 as double) AS rate", "cast(id div 4 as int) AS fold")
     groups = BO.spread(pool, 40).select("rate", "fold", F.spark_partition_id().alias("p"))
     assert max(r["count"] for r in groups.groupBy("p").count().collect()) <= 4
+
+
+def test_each_fit_of_a_grid_has_a_partition_of_its_own(spark):
+    """Hashed, some fits share a partition and wait for each other."""
+    rates = (0.00001, 0.2, 1.0)
+    pool = spark.range(300).select(F.element_at(F.array(*[F.lit(r) for r in rates]), (F.col("id") % 3 + 1).cast("int")).alias("rate"),
+                                   (F.col("id") % 10).cast("int").alias("fold"))
+    order = [(r, f) for r in sorted(rates, reverse=True) for f in range(10)]
+    got = BO.spread(pool, 30, order).select("rate", "fold", F.spark_partition_id().alias("p")).distinct().collect()
+    assert {(r["rate"], r["fold"]): r["p"] for r in got} == {fit: i for i, fit in enumerate(order)} and len(got) == 30
