@@ -52,3 +52,35 @@ def test_rare_test_filter_does_not_gather_a_test_in_one_task(spark, monkeypatch)
             assert all("hashpartitioning(PATIENT_HASH" in line or "_salt" in line for line in plan.split("\n") if "hashpartitioning" in line), plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def _lab_entries(spark):
+    rows = [("a", "p1", "S", 1, "W", "01.01.20", "Y", "Hb=1+; Hb=2; CHOL=3- x"), ("a", "p1", "S", 1, "W", "01.01.20", "Y", "Hb=1+; Hb=2; CHOL=3- x"),
+            ("b", "p2", "S", 2, "M", "01.01.20", "Y", "Hb=9++"), ("c", "p1", "S", 1, "W", "01.01.20", "Y", "Hb=1+; Hb=2; CHOL=3- x"),
+            ("d", "p3", "S", 3, None, "02.01.20", "Y", "Hb=4"), ("e", "p3", "S", 3, "W", "02.01.20", "A", None), ("f", "p2", "S", 2, "M", "03.01.20", "Y", "LDL=5"),
+            ("f", "p2", "S", 2, "M", "03.01.20", "Y", "LDL=5")]
+    return spark.createDataFrame(rows, "entry_id string, PATIENT_HASH string, ZENTRUM_ID string, PATIENT_ID int, PAT_GESCHLECHT string, DATUM string, TYP string, TEXT string")
+
+
+def test_lab_values_of_entries_that_repeat(spark):
+    """CHOL stands in two entries, LDL in one that repeats; the last Hb of a text counts."""
+    df = _lab_entries(spark)
+    m = LB.lab_map(LB.filter_rare_tests(LB.explode_labs(df, ("eq",), dedup=False)))
+    got = {(r["PATIENT_HASH"], r["i"], r["r"]) for r in m.select("PATIENT_HASH", LB.map_text("inference").alias("i"), LB.map_text("result").alias("r")).collect()}
+    assert got == {("p1", "CHOL:Low;Hb:Normal", "CHOL:3- x;Hb:2"), ("p2", "Hb:Very high", "Hb:9++")}
+    joined = LB.join_labs(df, LB.interpret_tests(df, ["Hb", "CHOL", "LDL"]))
+    assert joined.columns == [*LB.WIDE_KEYS, "entry_id", "PATIENT_ID", "PAT_GESCHLECHT", "Hb", "CHOL", "LDL"]
+    got = sorted((r["entry_id"], r["Hb"], r["CHOL"], r["LDL"]) for r in joined.collect())
+    assert got == [("a", "Normal", "Low", None), ("a", "Normal", "Low", None), ("b", "Very high", None, None), ("c", "Normal", "Low", None),
+                   ("d", None, None, None), ("e", None, None, None), ("f", None, None, None), ("f", None, None, None)]
+
+
+def test_a_lab_text_is_sent_once(spark):
+    """Neither once a piece, nor again for the join, nor to drop repeats."""
+    df = _lab_entries(spark)
+    plan = lambda f: [x for x in f._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in x]
+    maps = plan(LB.lab_map(LB.filter_rare_tests(LB.explode_labs(df, ("eq",), dedup=False))))
+    assert len(maps) == 1 and "TEXT" in maps[0]
+    wide = LB.interpret_tests(df, ["Hb", "CHOL"])
+    joined = plan(LB.join_labs(df, wide).select("entry_id", "Hb", "CHOL"))
+    assert [("TEXT" in x, "_entry" in x) for x in joined].count((True, False)) == 1 and all("_entry" in x or "TEXT" in x for x in joined)
