@@ -1,6 +1,9 @@
 """Plan shape: no Python UDF in the hot path, filters reach the Parquet scan."""
 
 import __spark_entry__ as E
+from casebook.operators import diagnosis as DG
+from casebook.plans import queries as Q
+from casebook.session import compiled_parts, stage
 
 from .conftest import SF_SMALL
 
@@ -30,3 +33,21 @@ def test_no_cartesian_or_nested_loop_joins(spark):
         p = plan(E.queries()[name](spark, SF_SMALL))
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
             assert bad not in p, (name, bad)
+
+
+def test_labels_read_the_staged_rows(spark):
+    """The steps before the labels run once: all that the labelled rows read is the stage of the unlabelled ones."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before, seen = spark.conf.get(key), []
+
+    def between(rows):
+        seen.append((spark.conf.get(key), stage(rows)))
+        return seen[-1][1]
+
+    with compiled_parts(spark):
+        rows = DG.preprocess(Q.J(spark, SF_SMALL), keep_flags=True, between=between)
+        files = set(rows.inputFiles())
+    assert [k for k, _ in seen] == ["8000"] and spark.conf.get(key) == before
+    assert files == set(seen[0][1].inputFiles())
+    plain = Q.pre(spark, SF_SMALL, keep_flags=True)
+    assert rows.columns == plain.columns and rows.exceptAll(plain).isEmpty() and plain.exceptAll(rows).isEmpty()
